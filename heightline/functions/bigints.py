@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .hexes import hex_digits, strip
+from .hexes import BLANK, found
 
 # Wide hex turns into decimal in base 10^9 limbs, 28 bits at a time; each
 # product stays below 2^58, so BIGINT arithmetic is exact at any length.
@@ -35,14 +35,13 @@ def _take_in(limbs: Column, chunk: Column) -> Column:
 
 
 def _wide_hex(digits: Column) -> Column:
-    width = F.call_function("div", F.length(digits) + F.lit(_STEP_DIGITS - 1), F.lit(_STEP_DIGITS))
-    padded = F.lpad(digits, (width * _STEP_DIGITS).cast("int"), F.lit("0"))
-    chunks = F.transform(
-        F.sequence(F.lit(0), (width - 1).cast("int")),
-        lambda i: F.conv(
-            F.substring(padded, i * _STEP_DIGITS + 1, F.lit(_STEP_DIGITS)), 16, 10
-        ).cast("bigint"),
+    # Groups of seven counted from the end; the zeros complete the first one.
+    groups = F.regexp_extract_all(
+        F.concat(F.lit("0" * (_STEP_DIGITS - 1)), digits),
+        F.lit(f".{{{_STEP_DIGITS}}}(?=(?:.{{{_STEP_DIGITS}}})*$)"),
+        F.lit(0),
     )
+    chunks = F.transform(groups, lambda g: F.conv(g, 16, 10).cast("bigint"))
     limbs = F.aggregate(chunks, F.array().cast(_NO_LIMBS), _take_in)
     text = F.transform(
         F.reverse(limbs),
@@ -53,25 +52,22 @@ def _wide_hex(digits: Column) -> Column:
     return F.array_join(text, "")
 
 
+_DECIMAL = f"^{BLANK}*[+-]?[0-9]+{BLANK}*$"
+_DECIMAL_NOISE = rf"{BLANK}|\+|(?<![0-9])0+(?=[0-9])"
+_HEX = f"^{BLANK}*(?:0x|(?=[0-9a-f]))(?=(?:[0-9a-f]{{2}})*{BLANK}*$)0*([0-9a-f]*){BLANK}*$"
+
+
 def parse_big(s: Column) -> Column:
     """Decimal text of an integer written in base 10, or else in hex.
 
     Blank, odd-length hex and anything malformed are NULL; a bare ``0x`` is 0.
     """
-    text = strip(s)
-    magnitude = F.regexp_replace(text, "^[+-]?0*", "")
-    decimal = F.when(magnitude == "", F.lit("0")).otherwise(
-        F.concat(F.when(F.startswith(text, F.lit("-")), F.lit("-")).otherwise(F.lit("")), magnitude)
-    )
-    digits = F.regexp_replace(hex_digits(text), "^0+", "")
-    from_hex = (
-        F.when(digits == "", F.lit("0"))
-        .when(F.length(digits) <= 16, F.conv(digits, 16, 10))
-        .otherwise(_wide_hex(digits))
-    )
-    return F.when(text == "", F.lit(None).cast("string")).otherwise(
-        F.when(text.rlike("^[+-]?[0-9]+$"), decimal).otherwise(from_hex)
-    )
+    decimal = F.regexp_replace(F.regexp_replace(s, _DECIMAL_NOISE, ""), "^-0$", "0")
+    digits = found(F.lower(s), _HEX)
+    from_hex = F.when(
+        F.length(digits) <= 16, F.conv(F.concat(F.lit("0"), digits), 16, 10)
+    ).otherwise(_wide_hex(digits))
+    return F.when(s.rlike(_DECIMAL), decimal).otherwise(from_hex)
 
 
 def big_decimal(s: Column) -> Column:

@@ -15,6 +15,10 @@ ZERO_ADDRESS = "0x" + "0" * ADDRESS_DIGITS
 ZERO_BLOOM = "0x" + "0" * BLOOM_DIGITS
 ZERO_NONCE = "0x" + "0" * NONCE_DIGITS
 BLANKS = " \t\n\r\u000b\f\u0085\u00a0"
+BLANK = r"[\s\x{85}\x{a0}]"
+
+# Each function reads its argument once or twice only: arguments are often whole
+# expressions themselves, and copies of copies would make plans explode.
 
 
 def strip(s: Column) -> Column:
@@ -27,26 +31,28 @@ def trim_0x(s: Column) -> Column:
     return F.regexp_replace(strip(F.lower(s)), "^0x", "")
 
 
-def _even_hex(digits: Column) -> Column:
-    return digits.rlike("^([0-9a-f]{2})*$")
+def found(s: Column, pattern: str) -> Column:
+    """The first group of a pattern, or NULL where it does not match."""
+    return F.get(F.regexp_extract_all(s, F.lit(pattern), F.lit(1)), F.lit(0))
 
 
 def hex_digits(s: Column) -> Column:
     """The digits of well-formed hex text (two per byte), else NULL."""
-    digits = trim_0x(s)
-    return F.when(_even_hex(digits), digits)
+    return found(F.lower(s), f"^{BLANK}*(?:0x)?((?:[0-9a-f]{{2}})*){BLANK}*$")
+
+
+def _some_digits(s: Column) -> Column:
+    return found(F.lower(s), f"^{BLANK}*(?:0x)?((?:[0-9a-f]{{2}})+){BLANK}*$")
 
 
 def hex_bytes(s: Column) -> Column:
     """Bytes of hex text. Empty, odd-length or malformed text is NULL."""
-    digits = trim_0x(s)
-    return F.when((digits != "") & _even_hex(digits), F.unhex(digits))
+    return F.unhex(_some_digits(s))
 
 
 def clean_hex(s: Column) -> Column:
     """Canonical ``0x`` text of a byte value; empty or malformed is NULL."""
-    digits = trim_0x(s)
-    return F.when((digits != "") & _even_hex(digits), F.concat(F.lit("0x"), digits))
+    return F.concat(F.lit("0x"), _some_digits(s))
 
 
 def bytes_hex(b: Column) -> Column:
@@ -54,13 +60,15 @@ def bytes_hex(b: Column) -> Column:
     return F.when(F.octet_length(b) > 0, F.concat(F.lit("0x"), F.lower(F.hex(b))))
 
 
+# Odd text counts as if one zero stood in front; reading stops at the first bad
+# byte, so the digits before it are what is left.
+_LEADING_BYTES = r"(?s)^(?:0x)?((?:[0-9a-f](?=(?:..)*$))?(?:[0-9a-f]{2})*)"
+
+
 def _fixed(s: Column, digits: int) -> Column:
-    # Odd text gets one zero in front; reading stops at the first bad byte;
-    # long values keep their tail and short ones are padded in front.
-    bare = F.regexp_replace(F.lower(F.coalesce(s, F.lit(""))), "^0x", "")
-    even = F.when(F.length(bare) % 2 == 1, F.concat(F.lit("0"), bare)).otherwise(bare)
-    good = F.regexp_extract(even, "^((?:[0-9a-f]{2})*)", 1)
-    return F.concat(F.lit("0x"), F.lpad(F.right(good, F.lit(digits)), digits, "0"))
+    # Long values keep their tail and short ones are padded in front.
+    good = F.regexp_extract(F.lower(F.coalesce(s, F.lit(""))), _LEADING_BYTES, 1)
+    return F.concat(F.lit("0x"), F.lpad(F.substring(good, -digits, digits), digits, "0"))
 
 
 def hash32(s: Column) -> Column:
@@ -75,10 +83,8 @@ def address20(s: Column) -> Column:
 
 def bloom256(s: Column) -> Column:
     """A bloom value: exactly 256 bytes, anything else reads as zero."""
-    digits = hex_digits(s)
-    return F.when(F.length(digits) == BLOOM_DIGITS, F.concat(F.lit("0x"), digits)).otherwise(
-        F.lit(ZERO_BLOOM)
-    )
+    digits = found(F.lower(s), f"^{BLANK}*(?:0x)?([0-9a-f]{{{BLOOM_DIGITS}}}){BLANK}*$")
+    return F.coalesce(F.concat(F.lit("0x"), digits), F.lit(ZERO_BLOOM))
 
 
 def nonce8(s: Column) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Fixed value: the largest unsigned 64-bit number.
-UINT64_MAX = 18446744073709551615
+UINT64_MAX = "18446744073709551615"
 
 
 def parse_uint64(s: Column) -> Column:

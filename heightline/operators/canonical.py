@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from ..functions.bigints import parse_big
 from ..functions.hexes import (
-    ZERO_ADDRESS,
     address20,
     bloom256,
     clean_hex,
@@ -29,7 +28,7 @@ def _zero_if_null(value: Column, kind: str) -> Column:
     return F.coalesce(value.cast(kind), F.lit(0).cast(kind))
 
 
-def map_header(h: Column) -> Column:
+def map_header(h: Column, number: Column | None = None) -> Column:
     """A header with every required field set; a missing header is all zero."""
     return F.struct(
         hash32(h["parentHash"]).alias("parentHash"),
@@ -40,7 +39,7 @@ def map_header(h: Column) -> Column:
         hash32(h["receiptHash"]).alias("receiptHash"),
         bloom256(h["bloom"]).alias("bloom"),
         parse_big(h["difficulty"]).alias("difficulty"),
-        _zero_if_null(h["number"], "bigint").alias("number"),
+        _zero_if_null(h["number"] if number is None else number, "bigint").alias("number"),
         _zero_if_null(h["gasLimit"], UINT64).alias("gasLimit"),
         _zero_if_null(h["gasUsed"], UINT64).alias("gasUsed"),
         _zero_if_null(h["time"], "bigint").alias("time"),
@@ -60,7 +59,7 @@ def _optional(s: Column, normal) -> Column:
 
 
 def map_headers(items: Column) -> Column:
-    return _filled(items, map_header)
+    return _filled(items, lambda h: map_header(h))
 
 
 def map_access_list(items: Column) -> Column:
@@ -100,17 +99,20 @@ def map_withdrawals(items: Column) -> Column:
         lambda w: F.struct(
             _zero_if_null(w["index"], UINT64).alias("index"),
             _zero_if_null(w["validator"], UINT64).alias("validator"),
-            F.coalesce(address20(w["address"]), F.lit(ZERO_ADDRESS)).alias("address"),
+            address20(w["address"]).alias("address"),
             _zero_if_null(w["amount"], UINT64).alias("amount"),
         ),
     )
 
 
-def map_block(block: Column) -> Column:
-    """The canonical block of a raw block struct."""
+def map_block(block: Column, hash_: Column | None = None, number: Column | None = None) -> Column:
+    """The canonical block of a raw block struct.
+
+    ``hash_`` and ``number`` stand in for the block's own where given.
+    """
     return F.struct(
-        hash32(block["hash"]).alias("hash"),
-        map_header(block["header"]).alias("header"),
+        hash32(block["hash"] if hash_ is None else hash_).alias("hash"),
+        map_header(block["header"], number).alias("header"),
         map_headers(block["uncles"]).alias("uncles"),
         map_transactions(block["transactions"]).alias("transactions"),
         map_withdrawals(block["withdrawals"]).alias("withdrawals"),
@@ -166,33 +168,33 @@ def wire_ok(wire: Column) -> Column:
     )
 
 
+def once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add a costly column that is computed once per row.
+
+    A plain projection would be copied into every filter that is pushed below
+    it, and run there again; nothing is pushed below a generator.
+    """
+    return df.select("*", F.explode(F.array(value)).alias(name))
+
+
 def decode_payload(df: DataFrame, payload: str = "payload", into: str = "block") -> DataFrame:
     """Add the canonical block of a JSON payload; NULL where it cannot be read."""
     wire = "_wire"
     return (
-        df.withColumn(wire, read_payload(F.col(payload)))
+        once(df, wire, read_payload(F.col(payload)))
         .withColumn(into, F.when(wire_ok(F.col(wire)), map_block(F.col(wire))))
         .drop(wire)
     )
 
 
-def repair_block(block: Column, message_hash: Column, message_number: Column) -> Column:
-    """Fill a zero payload hash or number from the message that carried it."""
-    number = block["header"]["number"]
-    return F.when(
-        block.isNotNull(),
-        block.withField(
-            "hash",
-            F.when(is_zero_hash(block["hash"]) & (message_hash != ""), hash32(message_hash)).otherwise(
-                block["hash"]
-            ),
-        ).withField(
-            "header.number",
-            F.when(
-                (number == 0) & (message_number != 0), message_number.cast("bigint")
-            ).otherwise(number),
-        ),
-    )
+def repaired_hash(own: Column, message: Column) -> Column:
+    """A payload's hash, or that of the message which carried it where it is zero."""
+    return F.when(is_zero_hash(own) & (message != ""), message).otherwise(own)
+
+
+def repaired_number(own: Column, message: Column) -> Column:
+    """A payload's number, or that of the message where it is zero."""
+    return F.when(F.coalesce(own, F.lit(0)) == 0, message.cast("bigint")).otherwise(own)
 
 
 def valid_blocks(df: DataFrame, hash_col: str = "hash") -> DataFrame:

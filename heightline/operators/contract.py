@@ -40,32 +40,25 @@ def failure_reason(hash_: Column, number: Column, payload: Column, decoded_ok: C
 
 
 def check_messages(df: DataFrame) -> DataFrame:
-    """Add ``reason`` and, for sound messages, the repaired canonical ``block``.
+    """Add ``reason`` and the repaired canonical ``block`` (of use where reason is NULL).
 
     The payload is parsed once; nothing is dropped, so callers can split the
     result into good rows (``reason IS NULL``) and a quarantine table.
     """
-    return (
-        df.withColumn("_wire", canonical.read_payload(F.col("payload")))
-        .withColumn(
-            "reason",
-            failure_reason(
-                F.col("hash"),
-                F.col("number"),
-                F.col("payload"),
-                canonical.wire_ok(F.col("_wire")),
+    wire = F.col("_wire")
+    parsed = canonical.once(df, "_wire", canonical.read_payload(F.col("payload")))
+    return parsed.withColumns(
+        {
+            "reason": failure_reason(
+                F.col("hash"), F.col("number"), F.col("payload"), canonical.wire_ok(wire)
             ),
-        )
-        .withColumn(
-            "block",
-            F.when(F.col("reason").isNull(), canonical.map_block(F.col("_wire"))),
-        )
-        .withColumn(
-            "block",
-            canonical.repair_block(F.col("block"), F.col("hash"), parse_uint64(F.col("number"))),
-        )
-        .drop("_wire")
-    )
+            "block": canonical.map_block(
+                wire,
+                canonical.repaired_hash(wire["hash"], F.col("hash")),
+                canonical.repaired_number(wire["header"]["number"], parse_uint64(F.col("number"))),
+            ),
+        }
+    ).drop("_wire")
 
 
 def too_large(value: Column, limit: int) -> Column:

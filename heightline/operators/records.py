@@ -36,13 +36,15 @@ def block_records(
     )
     if extras is not None:
         headers = F.concat(headers, F.filter(extras, lambda h: h["key"] != ""))
-    return df.select(
-        "*",
+    record = F.struct(
         F.lit(topic).alias("topic"),
         F.unhex(F.substring(b["hash"], 3, HASH_DIGITS)).alias("key"),
         F.encode(canonical.encode_payload(b), "UTF-8").alias("value"),
         headers.alias("headers"),
     )
+    return canonical.once(df, "_record", record).select(
+        *[F.col(c) for c in df.columns], "_record.*"
+    )
 
 
 def source_header(message_id: Column) -> Column:

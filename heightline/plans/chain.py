@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.hexes import ZERO_ADDRESS, ZERO_BLOOM, ZERO_HASH, ZERO_NONCE
-from ..operators import canonical, heights
+from ..operators import canonical, contract, heights
 from ..sources.tables import in_height_range
 from . import inputs
 from .registry import query
@@ -275,22 +275,12 @@ def payload_decode(spark, sf):
         FROM ({inputs.MESSAGES_SQL}) WHERE k >= 40""",
 )
 def payload_repair(spark, sf):
-    # Messages whose payload lacks hash and number get those of the message; the
-    # message hash differs from the payload's so that the two can be told apart.
-    sent = inputs.messages(spark, sf).filter(
-        F.col("payload").isNotNull() & F.col("hash").isNotNull() & F.col("number").isNotNull()
-        & (F.get_json_object("payload", "$.header.number").isNotNull())
+    # The message hash differs from the payload's, so that the two can be told apart.
+    sent = inputs.messages(spark, sf).withColumn(
+        "hash", F.when(F.col("hash") != "", F.concat(F.lit("0x"), F.sha2("hash", 256)))
     )
-    sent = sent.filter(
-        F.col("number").rlike("^[0-9]{1,18}$") & (F.col("hash") != "")
-    ).withColumn("message_hash", F.concat(F.lit("0x"), F.sha2("hash", 256)))
-    repaired = canonical.decode_payload(sent).withColumn(
-        "block",
-        canonical.repair_block(
-            F.col("block"), F.col("message_hash"), F.col("number").cast("bigint")
-        ),
-    )
-    return repaired.select(
+    checked = contract.check_messages(sent)
+    return checked.filter(F.col("reason").isNull()).select(
         "id",
         F.col("block.hash").alias("hash"),
         F.col("block.header.number").alias("number"),

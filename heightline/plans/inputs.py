@@ -179,13 +179,13 @@ LINES_SQL = """
 
 
 def entries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events as outbox entries: id, hash, at (microseconds), kind, scanned_at_ms."""
+    """Events as outbox entries: id, hash, at_us (microseconds), kind, scanned_at_ms."""
     us = F.unix_micros(F.col("ts").cast("timestamp"))
     ms = F.unix_millis(F.col("ts").cast("timestamp"))
     return table(spark, sf_dir, "events").select(
         F.concat(ms.cast("string"), F.lit("-"), F.col("event_id").cast("string")).alias("id"),
         F.concat(F.lit("0x"), F.sha2(F.col("user_id").cast("string"), 256)).alias("hash"),
-        us.alias("at"),
+        us.alias("at_us"),
         F.col("event_type").alias("kind"),
         "event_id",
         "user_id",
@@ -195,9 +195,9 @@ def entries(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ENTRIES_SQL = """
-    SELECT CAST(epoch_ms(ts) AS VARCHAR) || '-' || CAST(event_id AS VARCHAR) AS id,
+    SELECT CAST(epoch_us(ts) // 1000 AS VARCHAR) || '-' || CAST(event_id AS VARCHAR) AS id,
            '0x' || sha256(CAST(user_id AS VARCHAR)) AS hash,
-           epoch_us(ts) AS at, epoch_ms(ts) AS at_ms, event_type AS kind, event_id, user_id, value, props
+           epoch_us(ts) AS at_us, epoch_us(ts) // 1000 AS at_ms, event_type AS kind, event_id, user_id, value, props
     FROM events"""
 
 _MESSAGE_FIELDS = {
@@ -221,8 +221,8 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return base.select(
         "id",
         *[F.expr(sql.format(string="STRING")).alias(c) for c, sql in _MESSAGE_FIELDS.items()],
-        F.expr("cast(at div 1000 as string)").alias("scanned_at_ms"),
-        "at",
+        F.expr("cast(at_us div 1000 as string)").alias("scanned_at_ms"),
+        "at_us",
         "event_id",
     )
 
@@ -230,22 +230,22 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 _M = {c: sql.format(string="VARCHAR") for c, sql in _MESSAGE_FIELDS.items()}
 MESSAGES_SQL = f"""
     SELECT id, {_M['hash']} AS hash, {_M['number']} AS number, {_M['payload']} AS payload,
-           CAST(at_ms AS VARCHAR) AS scanned_at_ms, at, event_id, hash AS sent_hash, k
+           CAST(at_ms AS VARCHAR) AS scanned_at_ms, at_us, event_id, hash AS sent_hash, k
     FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k
           FROM ({ENTRIES_SQL}))"""
 
 
 def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Purchases as published markers: hash, published_at (microseconds)."""
+    """Purchases as published markers: hash, published_at_us (microseconds)."""
     return (
         entries(spark, sf_dir)
         .filter(F.col("kind") == "purchase")
-        .select("hash", F.col("at").alias("published_at"))
+        .select("hash", F.col("at_us").alias("published_at"))
     )
 
 
 LEDGER_SQL = f"""
-    SELECT hash, at AS published_at FROM ({ENTRIES_SQL}) WHERE kind = 'purchase'"""
+    SELECT hash, at_us AS published_at FROM ({ENTRIES_SQL}) WHERE kind = 'purchase'"""
 
 
 # --- samples and logs --------------------------------------------------------

@@ -83,7 +83,7 @@ def publish_success_rate(spark, sf):
 
 
 def _histogram_sql(bounds, labels: str, value: str) -> str:
-    lists = ", ".join(f"({float(b)}, '{b}')" for b in bounds) + ", ('infinity', '+Inf')"
+    lists = ", ".join(f"({float(b)}, '{b}')" for b in bounds) + ", ('infinity'::DOUBLE, '+Inf')"
     group = f"{labels}, " if labels else ""
     return f"""
         WITH s AS (SELECT *, {value} AS v, {_MODE} AS mode FROM events),
@@ -117,7 +117,7 @@ def fetch_latency_histogram(spark, sf):
 
 @query(
     "gauge_last",
-    """SELECT user_id, event_type, arg_max(value, ts) AS value, epoch_us(max(ts)) AS at,
+    """SELECT user_id, event_type, arg_max(value, ts) AS value, epoch_us(max(ts)) AS at_us,
             arg_max(value, ts) / 1024.0::DOUBLE / 1024.0::DOUBLE AS megabytes
        FROM events GROUP BY user_id, event_type""",
 )
@@ -129,7 +129,7 @@ def gauge_last(spark, sf):
         "user_id",
         "event_type",
         "value",
-        F.unix_micros("ts").alias("at"),
+        F.unix_micros("ts").alias("at_us"),
         metrics.rescaled(F.col("value"), 1024 * 1024).alias("megabytes"),
     )
 
@@ -189,7 +189,7 @@ def _rates(spark, sf):
 @query(
     "counter_rate",
     f"""SELECT epoch_us(range_start) AS range_start, user_id, samples,
-            round(increase, 4) AS increase, round(increase / {DAY_S}.0::DOUBLE, 9) AS rate
+            round(increase, 4) AS increase, round(increase / {DAY_S}.0::DOUBLE, 10) AS rate
         FROM ({_RATE_SQL})""",
 )
 def counter_rate(spark, sf):
@@ -198,21 +198,21 @@ def counter_rate(spark, sf):
         "user_id",
         "samples",
         F.round("increase", 4).alias("increase"),
-        F.round("rate", 9).alias("rate"),
+        F.round("rate", 10).alias("rate"),
     )
 
 
 @query(
     "rate_sum_by_label",
     f"""SELECT epoch_us(range_start) AS range_start,
-            round(100 * sum(increase / {DAY_S}.0::DOUBLE), 6) AS rate
+            round(100 * sum(increase / {DAY_S}.0::DOUBLE), 9) AS rate
         FROM ({_RATE_SQL}) GROUP BY range_start""",
 )
 def rate_sum_by_label(spark, sf):
     summed = metrics.sum_rates(_rates(spark, sf), ["range_start"])
     return summed.select(
         F.unix_micros("range_start").alias("range_start"),
-        F.round(F.col("rate") * 100, 6).alias("rate"),
+        F.round(F.col("rate") * 100, 9).alias("rate"),
     )
 
 
@@ -319,7 +319,7 @@ def log_lines_sliding(spark, sf):
 
 @query(
     "log_select",
-    f"""SELECT event_id, epoch_us(ts) AS at, instance FROM ({_LOGS})
+    f"""SELECT event_id, epoch_us(ts) AS at_us, instance FROM ({_LOGS})
         WHERE service = 'blockscan' AND regexp_full_match(instance, 'replica1.*')
           AND ts >= TIMESTAMP '2024-01-05' AND ts < TIMESTAMP '2024-01-25'""",
 )
@@ -332,4 +332,4 @@ def log_select(spark, sf):
         "blockscan",
         "replica1.*",
     )
-    return picked.select("event_id", _micros("ts").alias("at"), "instance")
+    return picked.select("event_id", _micros("ts").alias("at_us"), "instance")

@@ -70,11 +70,11 @@ def kafka_record(spark, sf):
 @query(
     "latest_per_key",
     f"""SELECT hash, id, kind, value FROM (
-            SELECT *, row_number() OVER (PARTITION BY hash ORDER BY at DESC, event_id DESC) AS r
+            SELECT *, row_number() OVER (PARTITION BY hash ORDER BY at_us DESC, event_id DESC) AS r
             FROM ({_ENTRIES})) WHERE r = 1""",
 )
 def latest_per_key(spark, sf):
-    newest = dedup.latest_per_key(inputs.entries(spark, sf), ["hash"], ["at", "event_id"])
+    newest = dedup.latest_per_key(inputs.entries(spark, sf), ["hash"], ["at_us", "event_id"])
     return newest.select("hash", "id", "kind", "value")
 
 
@@ -114,43 +114,43 @@ def size_guard(spark, sf):
 @query(
     "dedup_first",
     f"""SELECT hash, id, kind, value FROM (
-            SELECT *, row_number() OVER (PARTITION BY hash ORDER BY at, event_id) AS r
+            SELECT *, row_number() OVER (PARTITION BY hash ORDER BY at_us, event_id) AS r
             FROM ({_ENTRIES})) WHERE r = 1""",
 )
 def dedup_first(spark, sf):
-    first = dedup.first_arrival(inputs.entries(spark, sf), ["hash"], ["at", "event_id"])
+    first = dedup.first_arrival(inputs.entries(spark, sf), ["hash"], ["at_us", "event_id"])
     return first.select("hash", "id", "kind", "value")
 
 
 DEDUP_TTL_SQL = f"""
     WITH RECURSIVE e AS (
-        SELECT event_id, user_id, epoch_us(ts) AS at,
+        SELECT event_id, user_id, epoch_us(ts) AS at_us,
                row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS n
         FROM events),
     walk AS (
-        SELECT event_id, user_id, n, at AS accepted, TRUE AS keep FROM e WHERE n = 1
+        SELECT event_id, user_id, n, at_us AS accepted, TRUE AS keep FROM e WHERE n = 1
         UNION ALL
         SELECT e.event_id, e.user_id, e.n,
-               CASE WHEN e.at >= w.accepted + {DAY} THEN e.at ELSE w.accepted END,
-               e.at >= w.accepted + {DAY}
+               CASE WHEN e.at_us >= w.accepted + {DAY} THEN e.at_us ELSE w.accepted END,
+               e.at_us >= w.accepted + {DAY}
         FROM walk w JOIN e ON e.user_id = w.user_id AND e.n = w.n + 1)
-    SELECT user_id, event_id, accepted AS at FROM walk WHERE keep"""
+    SELECT user_id, event_id, accepted AS at_us FROM walk WHERE keep"""
 
 
 @query("dedup_ttl", DEDUP_TTL_SQL)
 def dedup_ttl(spark, sf):
-    rows = inputs.entries(spark, sf).select("user_id", "event_id", "at")
-    return dedup.dedup_ttl(rows, "user_id", "at", DAY, ["event_id"])
+    rows = inputs.entries(spark, sf).select("user_id", "event_id", "at_us")
+    return dedup.dedup_ttl(rows, "user_id", "at_us", DAY, ["event_id"])
 
 
 @query(
     "marker_insert",
     f"""WITH c AS (
-            SELECT CASE WHEN kind = 'error' THEN ' ' ELSE hash END AS hash, at, event_id
+            SELECT CASE WHEN kind = 'error' THEN ' ' ELSE hash END AS hash, at_us, event_id
             FROM ({_ENTRIES}) WHERE kind <> 'purchase'),
         live AS (SELECT hash FROM ({_LEDGER}) WHERE published_at > {NOW} - {7 * DAY})
-        SELECT hash, at, event_id FROM (
-            SELECT *, row_number() OVER (PARTITION BY hash ORDER BY at, event_id) AS r
+        SELECT hash, at_us, event_id FROM (
+            SELECT *, row_number() OVER (PARTITION BY hash ORDER BY at_us, event_id) AS r
             FROM c WHERE trim(hash) <> '' AND hash NOT IN (SELECT hash FROM live))
         WHERE r = 1""",
 )
@@ -158,11 +158,11 @@ def marker_insert(spark, sf):
     seen = inputs.entries(spark, sf).filter(F.col("kind") != "purchase")
     candidates = seen.select(
         F.when(F.col("kind") == "error", F.lit(" ")).otherwise(F.col("hash")).alias("hash"),
-        "at",
+        "at_us",
         "event_id",
     )
     live = markers.live_markers(inputs.ledger(spark, sf), "published_at", 7 * DAY, NOW)
-    return markers.insert_markers(candidates, live, "hash", ["at", "event_id"])
+    return markers.insert_markers(candidates, live, "hash", ["at_us", "event_id"])
 
 
 @query(
@@ -202,14 +202,14 @@ _BARE_HEADER = (
 )
 PUBLISH_ONCE_SQL = f"""
     WITH sound AS (
-        SELECT id, sent_hash AS hash, at, event_id,
+        SELECT id, sent_hash AS hash, at_us, event_id,
                CASE WHEN k < 60 THEN event_id ELSE event_id + 1 END AS number
         FROM ({_MESSAGES}) WHERE k >= 40),
     live AS (SELECT hash FROM ({_LEDGER}) WHERE published_at > {NOW} - {DAY})
     SELECT id, upper(substr(hash, 3)) AS key_hex, number,
            '{{"hash":"' || hash || '","header":{_BARE_HEADER},"number":' || CAST(number AS VARCHAR)
            || ',"mixDigest":"{ZERO_HASH}","nonce":"{ZERO_NONCE}"}}}}' AS value
-    FROM (SELECT *, row_number() OVER (PARTITION BY hash ORDER BY at, event_id) AS r
+    FROM (SELECT *, row_number() OVER (PARTITION BY hash ORDER BY at_us, event_id) AS r
           FROM sound WHERE hash NOT IN (SELECT hash FROM live))
     WHERE r = 1"""
 PUBLISH = PublishPlan(topic=TOPIC, max_record_bytes=20 * 1024 * 1024, marker_ttl_ms=DAY)
@@ -218,7 +218,7 @@ PUBLISH = PublishPlan(topic=TOPIC, max_record_bytes=20 * 1024 * 1024, marker_ttl
 @query("publish_once", PUBLISH_ONCE_SQL)
 def publish_once_query(spark, sf):
     made = publish_once(
-        inputs.messages(spark, sf), inputs.ledger(spark, sf), PUBLISH, NOW, ["at", "event_id"]
+        inputs.messages(spark, sf), inputs.ledger(spark, sf), PUBLISH, NOW, ["at_us", "event_id"]
     )
     return made.select(
         "id",
@@ -261,7 +261,7 @@ def pending_entries(spark, sf):
         WHERE {NOW_MS} - at_ms >= {DAY_MS}""",
 )
 def stale_reclaim(spark, sf):
-    waiting = _pending(spark, sf).withColumn("delivered_ms", F.expr("at div 1000"))
+    waiting = _pending(spark, sf).withColumn("delivered_ms", F.expr("at_us div 1000"))
     return backlog.reclaim_stale(waiting, "delivered_ms", NOW_MS, DAY_MS, "replica1").select(
         "id", "idle_ms", "claimed_by"
     )
@@ -277,7 +277,7 @@ def stale_reclaim(spark, sf):
         FROM all_phases GROUP BY id""",
 )
 def work_list(spark, sf):
-    waiting = _pending(spark, sf).withColumn("delivered_ms", F.expr("at div 1000"))
+    waiting = _pending(spark, sf).withColumn("delivered_ms", F.expr("at_us div 1000"))
     return backlog.work_list(
         [
             ("pending", waiting.filter(F.col("kind") == "click")),
@@ -357,8 +357,8 @@ def trim_0x(spark, sf):
             WHEN k < 30 THEN '-' || CAST(event_id + 1 AS VARCHAR)
             WHEN k < 70 THEN CAST(list_reduce(list_prepend(0::HUGEINT, list_transform(
                 string_split(CASE WHEN k < 50 THEN substr(hash, 3, 16) ELSE substr(hash, 3, 30) END, ''),
-                c -> CAST(strpos('0123456789abcdef', c) - 1 AS HUGEINT))),
-                (a, b) -> a * 16::HUGEINT + b) AS VARCHAR)
+                lambda c: CAST(strpos('0123456789abcdef', c) - 1 AS HUGEINT))),
+                lambda a, b: a * 16::HUGEINT + b) AS VARCHAR)
             WHEN k < 80 THEN '0' END AS big
         FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k
               FROM ({_ENTRIES}))""",
