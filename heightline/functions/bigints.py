@@ -1,75 +1,66 @@
-"""Unbounded integers kept as decimal text."""
+"""Unbounded integers kept as decimal text. Functions take and return SQL text."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from .hexes import hex_bytes, strip, trim_0x
 
-from .hexes import BLANK, found
-
-# Wide hex turns into decimal in base 10^9 limbs, 28 bits at a time; each
-# product stays below 2^58, so BIGINT arithmetic is exact at any length.
+# Wide hex turns into decimal in base 10^9 limbs (low limb first), 28 bits at a
+# time; each product stays below 2^58, so BIGINT arithmetic is exact at any length.
 _LIMB = 1_000_000_000
 _STEP_DIGITS = 7
 _STEP = 1 << (4 * _STEP_DIGITS)
-_NO_LIMBS = "array<bigint>"
-
-
-def _take_in(limbs: Column, chunk: Column) -> Column:
-    """limbs * 2^28 + chunk, low limb first."""
-
-    def carry_on(state: Column, limb: Column) -> Column:
-        value = limb * F.lit(_STEP) + state["carry"]
-        return F.struct(
-            F.concat(state["out"], F.array(value % F.lit(_LIMB))).alias("out"),
-            F.call_function("div", value, F.lit(_LIMB)).alias("carry"),
-        )
 
-    def close(state: Column) -> Column:
-        return F.when(
-            state["carry"] > 0, F.concat(state["out"], F.array(state["carry"]))
-        ).otherwise(state["out"])
 
-    start = F.struct(F.array().cast(_NO_LIMBS).alias("out"), chunk.alias("carry"))
-    return F.aggregate(limbs, start, carry_on, close)
-
-
-def _wide_hex(digits: Column) -> Column:
+def _wide_hex(digits: str) -> str:
     # Groups of seven counted from the end; the zeros complete the first one.
-    groups = F.regexp_extract_all(
-        F.concat(F.lit("0" * (_STEP_DIGITS - 1)), digits),
-        F.lit(f".{{{_STEP_DIGITS}}}(?=(?:.{{{_STEP_DIGITS}}})*$)"),
-        F.lit(0),
+    groups = (
+        f"regexp_extract_all(concat('{'0' * (_STEP_DIGITS - 1)}', {digits}), "
+        f"r'.{{{_STEP_DIGITS}}}(?=(?:.{{{_STEP_DIGITS}}})*$)', 0)"
     )
-    chunks = F.transform(groups, lambda g: F.conv(g, 16, 10).cast("bigint"))
-    limbs = F.aggregate(chunks, F.array().cast(_NO_LIMBS), _take_in)
-    text = F.transform(
-        F.reverse(limbs),
-        lambda limb, i: F.when(i == 0, limb.cast("string")).otherwise(
-            F.lpad(limb.cast("string"), 9, "0")
-        ),
+    chunks = f"transform({groups}, g -> cast(conv(g, 16, 10) AS BIGINT))"
+    value = f"(limb * {_STEP}L + s.carry)"
+    take_in = f"""aggregate(limbs,
+        named_struct('out', cast(array() AS ARRAY<BIGINT>), 'carry', chunk),
+        (s, limb) -> named_struct('out', concat(s.out, array({value} % {_LIMB}L)),
+                                  'carry', {value} div {_LIMB}L),
+        s -> CASE WHEN s.carry > 0 THEN concat(s.out, array(s.carry)) ELSE s.out END)"""
+    limbs = f"aggregate({chunks}, cast(array() AS ARRAY<BIGINT>), (limbs, chunk) -> {take_in})"
+    return f"""array_join(transform(reverse({limbs}), (limb, i) -> CASE WHEN i = 0
+        THEN cast(limb AS STRING) ELSE lpad(cast(limb AS STRING), 9, '0') END), '')"""
+
+
+def _mid_hex(digits: str) -> str:
+    """Up to 31 digits: the last 15 and what is before them, as exact decimals."""
+    high = f"cast(conv(substr(lpad({digits}, 31, '0'), 1, 16), 16, 10) AS DECIMAL(20,0))"
+    low = f"cast(conv(right({digits}, 15), 16, 10) AS DECIMAL(20,0))"
+    return (
+        f"cast(cast({high} * cast({1 << 60}L AS DECIMAL(19,0)) + {low} AS DECIMAL(38,0)) AS STRING)"
     )
-    return F.array_join(text, "")
 
 
-_DECIMAL = f"^{BLANK}*[+-]?[0-9]+{BLANK}*$"
-_DECIMAL_NOISE = rf"{BLANK}|\+|(?<![0-9])0+(?=[0-9])"
-_HEX = f"^{BLANK}*(?:0x|(?=[0-9a-f]))(?=(?:[0-9a-f]{{2}})*{BLANK}*$)0*([0-9a-f]*){BLANK}*$"
+_BLANK = r"[\s\x{85}\x{a0}]"
+_PLAIN = "^[1-9][0-9]*$"
+_DECIMAL = f"^{_BLANK}*[+-]?[0-9]+{_BLANK}*$"
+_DECIMAL_NOISE = rf"{_BLANK}|\+|(?<![0-9])0+(?=[0-9])"
 
 
-def parse_big(s: Column) -> Column:
+def parse_big(s: str) -> str:
     """Decimal text of an integer written in base 10, or else in hex.
 
     Blank, odd-length hex and anything malformed are NULL; a bare ``0x`` is 0.
     """
-    decimal = F.regexp_replace(F.regexp_replace(s, _DECIMAL_NOISE, ""), "^-0$", "0")
-    digits = found(F.lower(s), _HEX)
-    from_hex = F.when(
-        F.length(digits) <= 16, F.conv(F.concat(F.lit("0"), digits), 16, 10)
-    ).otherwise(_wide_hex(digits))
-    return F.when(s.rlike(_DECIMAL), decimal).otherwise(from_hex)
-
-
-def big_decimal(s: Column) -> Column:
+    decimal = f"regexp_replace(regexp_replace({s}, r'{_DECIMAL_NOISE}', ''), '^-0$', '0')"
+    value = hex_bytes(s)
+    digits = f"ltrim('0', hex({value}))"
+    return f"""CASE WHEN {s} IS NULL THEN NULL
+        WHEN {s} rlike '{_PLAIN}' THEN {s}
+        WHEN {s} rlike r'{_DECIMAL}' THEN {decimal}
+        WHEN {value} IS NULL THEN CASE WHEN {trim_0x(s)} = '' AND {strip(s)} <> '' THEN '0' END
+        WHEN length({digits}) <= 16 THEN conv(concat('0', {digits}), 16, 10)
+        WHEN length({digits}) <= 31 THEN {_mid_hex(digits)}
+        ELSE {_wide_hex(digits)} END"""
+
+
+def big_decimal(s: str) -> str:
     """A numeric view of decimal text; NULL where 38 digits do not hold it."""
-    return s.try_cast("decimal(38,0)")
+    return f"try_cast({s} AS DECIMAL(38,0))"

@@ -1,173 +1,204 @@
-"""The typed block and its JSON payload."""
+"""The typed block and its JSON payload.
+
+The maps take and return SQL text (see ``functions.hexes``); the functions on
+DataFrames below wrap them.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.bigints import parse_big
-from ..functions.hexes import (
-    address20,
-    bloom256,
-    clean_hex,
-    hash32,
-    is_zero_hash,
-    nonce8,
-)
+from ..functions.hexes import address20, bloom256, clean_hex, hash32, is_zero_hash, nonce8
 from ..schemas import CORRUPT, HEADER, WIRE
 
-UINT64 = "decimal(20,0)"
+WIRE_DDL = ", ".join(f"{f.name}: {f.dataType.simpleString()}" for f in WIRE.fields)
+
+
+def _struct(fields: dict[str, str]) -> str:
+    return "named_struct(" + ", ".join(f"'{name}', {value}" for name, value in fields.items()) + ")"
 
 
-def _filled(items: Column, each) -> Column:
+def _each(items: str, name: str, value: Callable[[str], str]) -> str:
     """Map every element; an empty list counts as missing."""
-    return F.when(F.size(items) > 0, F.transform(items, each))
+    return f"CASE WHEN size({items}) > 0 THEN transform({items}, {name} -> {value(name)}) END"
 
 
-def _zero_if_null(value: Column, kind: str) -> Column:
-    return F.coalesce(value.cast(kind), F.lit(0).cast(kind))
+def _number(value: str) -> str:
+    return f"coalesce(cast({value} AS DECIMAL(20,0)), cast(0 AS DECIMAL(20,0)))"
 
 
-def map_header(h: Column, number: Column | None = None) -> Column:
-    """A header with every required field set; a missing header is all zero."""
-    return F.struct(
-        hash32(h["parentHash"]).alias("parentHash"),
-        hash32(h["uncleHash"]).alias("uncleHash"),
-        address20(h["coinbase"]).alias("coinbase"),
-        hash32(h["root"]).alias("root"),
-        hash32(h["txHash"]).alias("txHash"),
-        hash32(h["receiptHash"]).alias("receiptHash"),
-        bloom256(h["bloom"]).alias("bloom"),
-        parse_big(h["difficulty"]).alias("difficulty"),
-        _zero_if_null(h["number"] if number is None else number, "bigint").alias("number"),
-        _zero_if_null(h["gasLimit"], UINT64).alias("gasLimit"),
-        _zero_if_null(h["gasUsed"], UINT64).alias("gasUsed"),
-        _zero_if_null(h["time"], "bigint").alias("time"),
-        clean_hex(h["extra"]).alias("extra"),
-        hash32(h["mixDigest"]).alias("mixDigest"),
-        nonce8(h["nonce"]).alias("nonce"),
-        parse_big(h["baseFee"]).alias("baseFee"),
-        _optional(h["withdrawalsHash"], hash32).alias("withdrawalsHash"),
-        _optional(h["parentBeaconRoot"], hash32).alias("parentBeaconRoot"),
-        h["blobGasUsed"].cast(UINT64).alias("blobGasUsed"),
-        h["excessBlobGas"].cast(UINT64).alias("excessBlobGas"),
-    )
+def _long(value: str) -> str:
+    return f"coalesce(cast({value} AS BIGINT), 0L)"
 
 
-def _optional(s: Column, normal) -> Column:
-    return F.when(s != "", normal(s))
+def _optional(s: str, normal: Callable[[str], str]) -> str:
+    return f"CASE WHEN {s} <> '' THEN {normal(s)} END"
 
 
-def map_headers(items: Column) -> Column:
-    return _filled(items, lambda h: map_header(h))
+def map_header(h: str, number: str | None = None) -> str:
+    """A header with every required field set; a missing header is all zero."""
+    return _struct(
+        {
+            "parentHash": hash32(f"{h}.parentHash"),
+            "uncleHash": hash32(f"{h}.uncleHash"),
+            "coinbase": address20(f"{h}.coinbase"),
+            "root": hash32(f"{h}.root"),
+            "txHash": hash32(f"{h}.txHash"),
+            "receiptHash": hash32(f"{h}.receiptHash"),
+            "bloom": bloom256(f"{h}.bloom"),
+            "difficulty": parse_big(f"{h}.difficulty"),
+            "number": _long(number or f"{h}.number"),
+            "gasLimit": _number(f"{h}.gasLimit"),
+            "gasUsed": _number(f"{h}.gasUsed"),
+            "time": _long(f"{h}.time"),
+            "extra": clean_hex(f"{h}.extra"),
+            "mixDigest": hash32(f"{h}.mixDigest"),
+            "nonce": nonce8(f"{h}.nonce"),
+            "baseFee": parse_big(f"{h}.baseFee"),
+            "withdrawalsHash": _optional(f"{h}.withdrawalsHash", hash32),
+            "parentBeaconRoot": _optional(f"{h}.parentBeaconRoot", hash32),
+            "blobGasUsed": f"cast({h}.blobGasUsed AS DECIMAL(20,0))",
+            "excessBlobGas": f"cast({h}.excessBlobGas AS DECIMAL(20,0))",
+        }
+    )
 
 
-def map_access_list(items: Column) -> Column:
-    return _filled(
+def map_headers(items: str) -> str:
+    return _each(items, "h", map_header)
+
+
+def map_access_list(items: str) -> str:
+    return _each(
         items,
-        lambda a: F.struct(
-            address20(a["address"]).alias("address"),
-            _filled(a["storageKeys"], hash32).alias("storageKeys"),
+        "a",
+        lambda a: _struct(
+            {
+                "address": address20(f"{a}.address"),
+                "storageKeys": _each(f"{a}.storageKeys", "k", hash32),
+            }
         ),
     )
 
 
-def map_transactions(items: Column) -> Column:
-    return _filled(
+def map_transactions(items: str) -> str:
+    return _each(
         items,
-        lambda t: F.struct(
-            hash32(t["hash"]).alias("hash"),
-            _zero_if_null(t["type"], "int").alias("type"),
-            _optional(t["to"], address20).alias("to"),
-            parse_big(t["value"]).alias("value"),
-            _zero_if_null(t["gas"], UINT64).alias("gas"),
-            parse_big(t["gasPrice"]).alias("gasPrice"),
-            parse_big(t["maxFeePerGas"]).alias("maxFeePerGas"),
-            parse_big(t["maxPriorityFeePerGas"]).alias("maxPriorityFeePerGas"),
-            _zero_if_null(t["nonce"], UINT64).alias("nonce"),
-            clean_hex(t["data"]).alias("data"),
-            map_access_list(t["accessList"]).alias("accessList"),
-            parse_big(t["chainId"]).alias("chainId"),
+        "t",
+        lambda t: _struct(
+            {
+                "hash": hash32(f"{t}.hash"),
+                "type": f"coalesce({t}.type, 0)",
+                "to": _optional(f"{t}.to", address20),
+                "value": parse_big(f"{t}.value"),
+                "gas": _number(f"{t}.gas"),
+                "gasPrice": parse_big(f"{t}.gasPrice"),
+                "maxFeePerGas": parse_big(f"{t}.maxFeePerGas"),
+                "maxPriorityFeePerGas": parse_big(f"{t}.maxPriorityFeePerGas"),
+                "nonce": _number(f"{t}.nonce"),
+                "data": clean_hex(f"{t}.data"),
+                "accessList": map_access_list(f"{t}.accessList"),
+                "chainId": parse_big(f"{t}.chainId"),
+            }
         ),
     )
 
 
-def map_withdrawals(items: Column) -> Column:
+def map_withdrawals(items: str) -> str:
     """A missing withdrawal keeps its place as an all-zero entry."""
-    return _filled(
+    return _each(
         items,
-        lambda w: F.struct(
-            _zero_if_null(w["index"], UINT64).alias("index"),
-            _zero_if_null(w["validator"], UINT64).alias("validator"),
-            address20(w["address"]).alias("address"),
-            _zero_if_null(w["amount"], UINT64).alias("amount"),
+        "w",
+        lambda w: _struct(
+            {
+                "index": _number(f"{w}.index"),
+                "validator": _number(f"{w}.validator"),
+                "address": address20(f"{w}.address"),
+                "amount": _number(f"{w}.amount"),
+            }
         ),
     )
 
 
-def map_block(block: Column, hash_: Column | None = None, number: Column | None = None) -> Column:
+def map_block(block: str, hash_: str | None = None, number: str | None = None) -> str:
     """The canonical block of a raw block struct.
 
     ``hash_`` and ``number`` stand in for the block's own where given.
     """
-    return F.struct(
-        hash32(block["hash"] if hash_ is None else hash_).alias("hash"),
-        map_header(block["header"], number).alias("header"),
-        map_headers(block["uncles"]).alias("uncles"),
-        map_transactions(block["transactions"]).alias("transactions"),
-        map_withdrawals(block["withdrawals"]).alias("withdrawals"),
+    return _struct(
+        {
+            "hash": hash32(hash_ or f"{block}.hash"),
+            "header": map_header(f"{block}.header", number),
+            "uncles": map_headers(f"{block}.uncles"),
+            "transactions": map_transactions(f"{block}.transactions"),
+            "withdrawals": map_withdrawals(f"{block}.withdrawals"),
+        }
     )
 
 
-def _drop_zero(value: Column) -> Column:
-    return F.when(value != 0, value)
-
-
-def _wire_header(h: Column) -> Column:
+def _wire_header(h: str) -> str:
     sparse = {"gasLimit", "gasUsed", "time"}
-    return F.struct(
-        *[
-            (_drop_zero(h[f.name]) if f.name in sparse else h[f.name]).alias(f.name)
+    return _struct(
+        {
+            f.name: f"nullif({h}.{f.name}, cast(0 AS {f.dataType.simpleString()}))"
+            if f.name in sparse
+            else f"{h}.{f.name}"
             for f in HEADER.fields
-        ]
+        }
     )
 
 
-def encode_payload(block: Column) -> Column:
+def encode_payload(block: str) -> str:
     """JSON text of a canonical block.
 
     Missing values, empty lists and zero gasLimit, gasUsed and time are left
     out; number, gas, nonce and type are always written.
     """
-    return F.to_json(
-        F.struct(
-            block["hash"].alias("hash"),
-            _wire_header(block["header"]).alias("header"),
-            _filled(block["uncles"], _wire_header).alias("uncles"),
-            block["transactions"].alias("transactions"),
-            block["withdrawals"].alias("withdrawals"),
+    return "to_json({})".format(
+        _struct(
+            {
+                "hash": f"{block}.hash",
+                "header": _wire_header(f"{block}.header"),
+                "uncles": _each(f"{block}.uncles", "h", _wire_header),
+                "transactions": f"{block}.transactions",
+                "withdrawals": f"{block}.withdrawals",
+            }
         )
     )
 
 
-def read_payload(payload: Column) -> Column:
+def read_payload(payload: str) -> str:
     """The raw wire struct of JSON text, with the text itself where it is malformed."""
-    text = F.when(F.trim(payload) == "null", F.lit("{}")).otherwise(payload)
-    return F.from_json(text, WIRE, {"columnNameOfCorruptRecord": CORRUPT})
+    text = f"CASE WHEN trim({payload}) = 'null' THEN '{{}}' ELSE {payload} END"
+    return (
+        f"from_json({text}, 'STRUCT<{WIRE_DDL}>', map('columnNameOfCorruptRecord', '{CORRUPT}'))"
+    )
 
 
-def wire_ok(wire: Column) -> Column:
+def wire_ok(wire: str) -> str:
     """Whether a wire struct was read without error and holds unsigned numbers."""
-    number = wire["header"]["number"]
-    when = wire["header"]["time"]
     return (
-        wire.isNotNull()
-        & wire[CORRUPT].isNull()
-        & (F.coalesce(number, F.lit(0)) >= 0)
-        & (F.coalesce(when, F.lit(0)) >= 0)
+        f"({wire} IS NOT NULL AND {wire}.{CORRUPT} IS NULL "
+        f"AND coalesce({wire}.header.number, 0) >= 0 AND coalesce({wire}.header.time, 0) >= 0)"
     )
 
 
+def repaired_hash(own: str, message: str) -> str:
+    """A payload's hash, or that of the message which carried it where it is zero."""
+    return f"CASE WHEN {is_zero_hash(own)} AND {message} <> '' THEN {message} ELSE {own} END"
+
+
+def repaired_number(own: str, message: str) -> str:
+    """A payload's number, or that of the message where it is zero."""
+    return f"CASE WHEN coalesce({own}, 0) = 0 THEN {message} ELSE {own} END"
+
+
+# --- on DataFrames -----------------------------------------------------------
+
+
 def once(df: DataFrame, name: str, value: Column) -> DataFrame:
     """Add a costly column that is computed once per row.
 
@@ -177,26 +208,20 @@ def once(df: DataFrame, name: str, value: Column) -> DataFrame:
     return df.select("*", F.explode(F.array(value)).alias(name))
 
 
+def with_block(df: DataFrame, raw: str = "raw", into: str = "block") -> DataFrame:
+    """Replace a raw block struct by its canonical block."""
+    return df.withColumn(into, F.expr(map_block(raw))).drop(raw)
+
+
 def decode_payload(df: DataFrame, payload: str = "payload", into: str = "block") -> DataFrame:
     """Add the canonical block of a JSON payload; NULL where it cannot be read."""
-    wire = "_wire"
     return (
-        once(df, wire, read_payload(F.col(payload)))
-        .withColumn(into, F.when(wire_ok(F.col(wire)), map_block(F.col(wire))))
-        .drop(wire)
+        once(df, "_wire", F.expr(read_payload(payload)))
+        .withColumn(into, F.expr(f"CASE WHEN {wire_ok('_wire')} THEN {map_block('_wire')} END"))
+        .drop("_wire")
     )
 
 
-def repaired_hash(own: Column, message: Column) -> Column:
-    """A payload's hash, or that of the message which carried it where it is zero."""
-    return F.when(is_zero_hash(own) & (message != ""), message).otherwise(own)
-
-
-def repaired_number(own: Column, message: Column) -> Column:
-    """A payload's number, or that of the message where it is zero."""
-    return F.when(F.coalesce(own, F.lit(0)) == 0, message.cast("bigint")).otherwise(own)
-
-
 def valid_blocks(df: DataFrame, hash_col: str = "hash") -> DataFrame:
     """Blocks whose hash is set."""
-    return df.filter(~is_zero_hash(F.col(hash_col)))
+    return df.filter(F.expr(f"NOT {is_zero_hash(hash_col)}"))

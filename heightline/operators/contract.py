@@ -45,20 +45,25 @@ def check_messages(df: DataFrame) -> DataFrame:
     The payload is parsed once; nothing is dropped, so callers can split the
     result into good rows (``reason IS NULL``) and a quarantine table.
     """
-    wire = F.col("_wire")
-    parsed = canonical.once(df, "_wire", canonical.read_payload(F.col("payload")))
+    parsed = canonical.once(df, "_wire", F.expr(canonical.read_payload("payload"))).withColumn(
+        "_sent_number", parse_uint64(F.col("number")).cast("bigint")
+    )
+    block = canonical.map_block(
+        "_wire",
+        canonical.repaired_hash("_wire.hash", "hash"),
+        canonical.repaired_number("_wire.header.number", "_sent_number"),
+    )
     return parsed.withColumns(
         {
             "reason": failure_reason(
-                F.col("hash"), F.col("number"), F.col("payload"), canonical.wire_ok(wire)
-            ),
-            "block": canonical.map_block(
-                wire,
-                canonical.repaired_hash(wire["hash"], F.col("hash")),
-                canonical.repaired_number(wire["header"]["number"], parse_uint64(F.col("number"))),
+                F.col("hash"),
+                F.col("number"),
+                F.col("payload"),
+                F.expr(canonical.wire_ok("_wire")),
             ),
+            "block": F.expr(block),
         }
-    ).drop("_wire")
+    ).drop("_wire", "_sent_number")
 
 
 def too_large(value: Column, limit: int) -> Column:

@@ -29,7 +29,7 @@ def insert_markers(
     candidates: DataFrame, ledger: DataFrame, hash_col: str, order: list[str]
 ) -> DataFrame:
     """Rows to append to the ledger: non-blank hashes not marked yet, first one wins."""
-    named = candidates.filter(strip(F.col(hash_col)) != "")
+    named = candidates.filter(F.expr(f"{strip(hash_col)} <> ''"))
     return first_arrival(
         named.join(_known(ledger, hash_col), hash_col, "left_anti"), [hash_col], order
     )

@@ -39,7 +39,7 @@ def block_records(
     record = F.struct(
         F.lit(topic).alias("topic"),
         F.unhex(F.substring(b["hash"], 3, HASH_DIGITS)).alias("key"),
-        F.encode(canonical.encode_payload(b), "UTF-8").alias("value"),
+        F.encode(F.expr(canonical.encode_payload(block)), "UTF-8").alias("value"),
         headers.alias("headers"),
     )
     return canonical.once(df, "_record", record).select(

@@ -19,7 +19,7 @@ SCAN_LOW, SCAN_HIGH = 1_000, 500_000
 
 
 def mapped(df):
-    return df.withColumn("block", canonical.map_block(F.col("raw"))).drop("raw")
+    return canonical.with_block(df)
 
 
 @query(
@@ -75,7 +75,7 @@ _HEADER_SQL = f"""SELECT hash, parent_hash, '{ZERO_HASH}' AS uncle_hash, coinbas
 @query("header_project", _HEADER_SQL)
 def header_project(spark, sf):
     df = inputs.order_blocks(spark, sf).withColumn(
-        "h", canonical.map_header(F.col("raw.header"))
+        "h", F.expr(canonical.map_header("raw.header"))
     )
     return df.select(F.col("raw.hash").alias("hash"), *_flat_header(F.col("h")))
 
@@ -126,7 +126,7 @@ def uncles_map(spark, sf):
     u = F.col("u")
     return (
         inputs.document_blocks(spark, sf)
-        .select("doc_id", F.posexplode(canonical.map_headers(F.col("raw.uncles"))).alias("pos", "u"))
+        .select("doc_id", F.posexplode(F.expr(canonical.map_headers("raw.uncles"))).alias("pos", "u"))
         .select(
             "doc_id",
             F.col("pos").cast("bigint").alias("pos"),
@@ -163,7 +163,7 @@ def tx_map(spark, sf):
         inputs.document_blocks(spark, sf)
         .select(
             "doc_id",
-            F.posexplode(canonical.map_transactions(F.col("raw.transactions"))).alias("pos", "t"),
+            F.posexplode(F.expr(canonical.map_transactions("raw.transactions"))).alias("pos", "t"),
         )
         .select(
             "doc_id",
@@ -199,7 +199,7 @@ def withdrawal_map(spark, sf):
         inputs.document_blocks(spark, sf)
         .select(
             "doc_id",
-            F.posexplode(canonical.map_withdrawals(F.col("raw.withdrawals"))).alias("pos", "w"),
+            F.posexplode(F.expr(canonical.map_withdrawals("raw.withdrawals"))).alias("pos", "w"),
         )
         .select(
             "doc_id",
@@ -253,14 +253,14 @@ PAYLOAD_SQL = (
 @query("payload_encode", f"SELECT number, payload FROM ({PAYLOAD_SQL})")
 def payload_encode(spark, sf):
     return mapped(inputs.order_blocks(spark, sf)).select(
-        "number", canonical.encode_payload(F.col("block")).alias("payload")
+        "number", F.expr(canonical.encode_payload("block")).alias("payload")
     )
 
 
 @query("payload_decode", _HEADER_SQL)
 def payload_decode(spark, sf):
     encoded = mapped(inputs.order_blocks(spark, sf)).select(
-        canonical.encode_payload(F.col("block")).alias("payload")
+        F.expr(canonical.encode_payload("block")).alias("payload")
     )
     block = F.col("block")
     return canonical.decode_payload(encoded).select(

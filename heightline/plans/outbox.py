@@ -39,7 +39,7 @@ def outbox_message(spark, sf):
     blocks = mapped(inputs.order_blocks(spark, sf))
     ms = F.col("arrived") * 1000
     message_id = F.concat(ms.cast("string"), F.lit("-"), F.col("number").cast("string"))
-    return outbox_messages(blocks, message_id, F.col("block"), ms)
+    return outbox_messages(blocks, message_id, ms)
 
 
 @query(
@@ -342,10 +342,10 @@ def backlog_summary(spark, sf):
 def trim_0x(spark, sf):
     rows = inputs.entries(spark, sf)
     padded = F.concat(F.lit(" \t"), F.regexp_replace(F.upper("hash"), "^0X", "0X"), F.lit("\n "))
-    return rows.select(
+    return rows.withColumn("padded", padded).select(
         "event_id",
-        hexes.trim_0x(padded).alias("bare"),
-        hexes.trim_0x(F.concat(F.initcap("kind"), F.lit(" "))).alias("word"),
+        F.expr(hexes.trim_0x("padded")).alias("bare"),
+        F.expr(hexes.trim_0x("concat(initcap(kind), ' ')")).alias("word"),
     )
 
 
@@ -378,7 +378,9 @@ def big_parse(spark, sf):
         .when(F.col("k") < 90, F.concat(F.lit("0x"), F.substring("hash", 3, 15)))
         .otherwise(F.concat(F.lit("z"), number))
     )
-    return rows.select("event_id", bigints.parse_big(text).alias("big"))
+    return rows.withColumn("text", text).select(
+        "event_id", F.expr(bigints.parse_big("text")).alias("big")
+    )
 
 
 @query(
@@ -388,7 +390,7 @@ def big_parse(spark, sf):
 )
 def bytes_hex(spark, sf):
     return inputs.table(spark, sf, "documents").select(
-        "doc_id", hexes.bytes_hex(F.encode("text", "UTF-8")).alias("hex")
+        "doc_id", F.expr(hexes.bytes_hex("encode(text, 'UTF-8')")).alias("hex")
     )
 
 
@@ -404,7 +406,9 @@ def hex_bytes(spark, sf):
         .when(F.col("kind") == "signup", F.concat(F.col("hash"), F.lit("zz")))
         .otherwise(F.concat(F.lit(" "), F.upper("hash")))
     )
-    return rows.select("event_id", F.hex(hexes.hex_bytes(text)).alias("bytes_hex"))
+    return rows.withColumn("text", text).select(
+        "event_id", F.expr(f"hex({hexes.hex_bytes('text')})").alias("bytes_hex")
+    )
 
 
 @query(

@@ -58,13 +58,15 @@ def read_json_blocks(spark: SparkSession, path: str) -> DataFrame:
     return canonical.decode_payload(lines)
 
 
-def outbox_messages(df: DataFrame, message_id: Column, block: Column, scanned_at_ms: Column) -> DataFrame:
+def outbox_messages(
+    df: DataFrame, message_id: Column, scanned_at_ms: Column, block: str = "block"
+) -> DataFrame:
     """Outbox rows (all strings) of canonical blocks."""
     return df.select(
         message_id.cast("string").alias("id"),
-        block["hash"].alias("hash"),
-        block["header"]["number"].cast("string").alias("number"),
-        canonical.encode_payload(block).alias("payload"),
+        F.col(f"{block}.hash").alias("hash"),
+        F.col(f"{block}.header.number").cast("string").alias("number"),
+        F.expr(canonical.encode_payload(block)).alias("payload"),
         scanned_at_ms.cast("string").alias("scanned_at_ms"),
     )
 
