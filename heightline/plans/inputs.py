@@ -28,7 +28,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def heads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as heads: chain, number, arrived (seconds), ok."""
-    return table(spark, sf_dir, "orders").select(
+    return as_heads(table(spark, sf_dir, "orders"))
+
+
+def as_heads(orders: DataFrame) -> DataFrame:
+    return orders.select(
         F.col("o_orderstatus").alias("chain"),
         F.col("o_orderkey").alias("number"),
         F.unix_seconds(F.col("o_orderdate").cast("timestamp")).alias("arrived"),
@@ -180,9 +184,13 @@ LINES_SQL = """
 
 def entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as outbox entries: id, hash, at_us (microseconds), kind, scanned_at_ms."""
+    return as_entries(table(spark, sf_dir, "events"))
+
+
+def as_entries(events: DataFrame) -> DataFrame:
     us = F.unix_micros(F.col("ts").cast("timestamp"))
     ms = F.unix_millis(F.col("ts").cast("timestamp"))
-    return table(spark, sf_dir, "events").select(
+    return events.select(
         F.concat(ms.cast("string"), F.lit("-"), F.col("event_id").cast("string")).alias("id"),
         F.concat(F.lit("0x"), F.sha2(F.col("user_id").cast("string"), 256)).alias("hash"),
         us.alias("at_us"),
@@ -215,7 +223,11 @@ _MESSAGE_FIELDS = {
 
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as outbox messages, sound or broken as their property ``k`` says."""
-    base = entries(spark, sf_dir).withColumn(
+    return as_messages(table(spark, sf_dir, "events"))
+
+
+def as_messages(events: DataFrame) -> DataFrame:
+    base = as_entries(events).withColumn(
         "k", F.get_json_object("props", "$.k").cast("int")
     )
     return base.select(

@@ -12,6 +12,9 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 
+_MICROS = "_micros"
+
+
 def dedup_ttl_stream(
     stream: DataFrame, key: str, at: str, ttl_us: int, tie: Sequence[str], late_by: str
 ) -> DataFrame:
@@ -35,8 +38,8 @@ def dedup_ttl_stream(
             state.remove()
             return
         rows = pd.concat(list(frames), ignore_index=True)
-        rows = rows.sort_values([at, *tie], kind="stable", ignore_index=True)
-        times = rows[at].to_numpy().astype("datetime64[us]").astype(np.int64)
+        rows = rows.sort_values([_MICROS, *tie], kind="stable", ignore_index=True)
+        times = rows[_MICROS].to_numpy()
         accepted = state.get[0] if state.exists else None
         keep: list[int] = []
         i = 0 if accepted is None else int(np.searchsorted(times, accepted + ttl_us))
@@ -53,6 +56,7 @@ def dedup_ttl_stream(
 
     return (
         stream.withWatermark(at, late_by)
+        .withColumn(_MICROS, F.unix_micros(at))
         .groupBy(F.col(key))
         .applyInPandasWithState(
             accept, stream.schema, state_type, "append", GroupStateTimeout.EventTimeTimeout
