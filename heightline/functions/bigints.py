@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .hexes import hex_bytes, strip, trim_0x
+from .hexes import hex_bytes, let, strip
 
 # Wide hex turns into decimal in base 10^9 limbs (low limb first), 28 bits at a
 # time; each product stays below 2^58, so BIGINT arithmetic is exact at any length.
@@ -44,21 +44,25 @@ _DECIMAL = f"^{_BLANK}*[+-]?[0-9]+{_BLANK}*$"
 _DECIMAL_NOISE = rf"{_BLANK}|\+|(?<![0-9])0+(?=[0-9])"
 
 
+def _from_hex(value: str) -> str:
+    def by_width(digits: str) -> str:
+        return f"""CASE WHEN length({digits}) <= 16 THEN conv(concat('0', {digits}), 16, 10)
+            WHEN length({digits}) <= 31 THEN {_mid_hex(digits)}
+            ELSE {_wide_hex(digits)} END"""
+
+    return f"CASE WHEN {value} IS NOT NULL THEN {let(f'ltrim(\'0\', hex({value}))', 'd', by_width)} END"
+
+
 def parse_big(s: str) -> str:
     """Decimal text of an integer written in base 10, or else in hex.
 
     Blank, odd-length hex and anything malformed are NULL; a bare ``0x`` is 0.
     """
     decimal = f"regexp_replace(regexp_replace({s}, r'{_DECIMAL_NOISE}', ''), '^-0$', '0')"
-    value = hex_bytes(s)
-    digits = f"ltrim('0', hex({value}))"
-    return f"""CASE WHEN {s} IS NULL THEN NULL
-        WHEN {s} rlike '{_PLAIN}' THEN {s}
+    bare_mark = f"CASE WHEN lower({strip(s)}) = '0x' THEN '0' END"
+    return f"""CASE WHEN {s} IS NULL OR {s} rlike '{_PLAIN}' THEN {s}
         WHEN {s} rlike r'{_DECIMAL}' THEN {decimal}
-        WHEN {value} IS NULL THEN CASE WHEN {trim_0x(s)} = '' AND {strip(s)} <> '' THEN '0' END
-        WHEN length({digits}) <= 16 THEN conv(concat('0', {digits}), 16, 10)
-        WHEN length({digits}) <= 31 THEN {_mid_hex(digits)}
-        ELSE {_wide_hex(digits)} END"""
+        ELSE coalesce({let(hex_bytes(s), 'v', _from_hex)}, {bare_mark}) END"""
 
 
 def big_decimal(s: str) -> str:

@@ -7,6 +7,8 @@ build than as many Column objects.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 # Fixed values.
 HASH_DIGITS = 64
 ADDRESS_DIGITS = 40
@@ -28,7 +30,7 @@ def strip(s: str) -> str:
 
 
 def _bare(s: str) -> str:
-    return f"substr({s}, CASE WHEN startswith({s}, '0x') OR startswith({s}, '0X') THEN 3 ELSE 1 END)"
+    return f"substr({s}, CASE WHEN substr({s}, 1, 2) IN ('0x', '0X') THEN 3 ELSE 1 END)"
 
 
 def trim_0x(s: str) -> str:
@@ -42,13 +44,17 @@ def hex_text(b: str) -> str:
 
 def _whole_bytes(s: str) -> str:
     # ``unhex`` would take odd text as if a zero stood in front.
-    digits = _bare(s)
-    return f"CASE WHEN length({digits}) % 2 = 0 THEN unhex({digits}) END"
+    return f"CASE WHEN length({s}) % 2 = 0 THEN unhex({_bare(s)}) END"
 
 
 def _bytes(s: str) -> str:
     # Blanks make ``unhex`` fail; only then are they looked for.
-    return f"coalesce({_whole_bytes(s)}, {_whole_bytes(strip(s))})"
+    return f"coalesce({_whole_bytes(s)}, {let(strip(s), 'bare', _whole_bytes)})"
+
+
+def let(value: str, name: str, body: Callable[[str], str]) -> str:
+    """``body`` over a value that is worked out once; for branches rarely taken."""
+    return f"element_at(transform(array({value}), {name} -> {body(name)}), 1)"
 
 
 def hex_bytes(s: str) -> str:

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
+from ..sources.tables import spread_small
 
 # Fixed parameters of the checks.
 NOW_US = 1706659200000000  # 2024-01-31 00:00:00 UTC, after the last event
@@ -86,7 +87,7 @@ def order_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
         'uncles', cast(array() as array<struct<{_ddl(schemas.HEADER)}>>),
         'transactions', cast(NULL as array<struct<{_ddl(schemas.TRANSACTION)}>>),
         'withdrawals', cast(array() as array<struct<{_ddl(schemas.WITHDRAWAL)}>>))"""
-    return table(spark, sf_dir, "orders").select(
+    return spread_small(table(spark, sf_dir, "orders"), "o_orderkey").select(
         F.col("o_orderstatus").alias("chain"),
         F.col("o_orderkey").alias("number"),
         F.unix_seconds(F.col("o_orderdate").cast("timestamp")).alias("arrived"),
@@ -158,7 +159,7 @@ def document_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
         'address', concat('0x', substring(sha2(line, 256), 25, 40)),
         'amount', cast(octet_length(line) * 32 as decimal(20,0))) END)"""
     return (
-        table(spark, sf_dir, "documents")
+        spread_small(table(spark, sf_dir, "documents"), "doc_id")
         .withColumn("_lines", F.expr("split(text, '\\n', -1)"))
         .select(
             "doc_id",
@@ -223,7 +224,7 @@ _MESSAGE_FIELDS = {
 
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as outbox messages, sound or broken as their property ``k`` says."""
-    return as_messages(table(spark, sf_dir, "events"))
+    return as_messages(spread_small(table(spark, sf_dir, "events"), "event_id"))
 
 
 def as_messages(events: DataFrame) -> DataFrame:

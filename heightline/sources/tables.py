@@ -13,6 +13,18 @@ from ..schemas import BLOCK
 HEIGHT_BUCKET = 100_000
 
 
+def spread_small(df: DataFrame, *keys: str) -> DataFrame:
+    """Deal out a scan of fewer partitions than there are cores, by ``keys``.
+
+    For costly per-row work on small tables only: large scans have enough
+    partitions of their own and pass through without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, *keys)
+
+
 def in_height_range(df: DataFrame, number: str, low: int | None, high: int | None) -> DataFrame:
     """Blocks from ``low`` to ``high``; the bare comparisons reach the scan."""
     if low is not None:
