@@ -100,9 +100,10 @@ def _last_reached(times: np.ndarray, ttl: int) -> np.ndarray:
 def _summarise_run(times: np.ndarray, ttl: int) -> tuple[np.ndarray, np.ndarray]:
     """How a run turns the time carried in into the time carried out.
 
-    Returns (upto, leaves), both rising: a carried time whose expiry is at most
-    ``upto`` leaves the run as ``leaves``. Only rows in the first ttl can be
-    where a carried time lands, and neighbours with one outcome are merged.
+    Returns (upto, leaves), ``upto`` rising: a carried time leaves the run as the
+    ``leaves`` of the first ``upto`` that its expiry does not exceed. Only rows in
+    the first ttl can be where a carried time lands, and neighbours with one
+    outcome are merged.
     """
     reach = min(int(np.searchsorted(times, times[0] + ttl)) + 1, len(times))
     leaves = times[_last_reached(times, ttl)][:reach]

@@ -37,15 +37,22 @@ def drop_matching(df: DataFrame, label: str, pattern: str) -> DataFrame:
     return df.filter(~matches(F.col(label), pattern))
 
 
-def logfmt_field(line: Column, name: str) -> Column:
-    """The value of ``name=`` in a logfmt line, without its quotes; NULL if absent."""
-    pattern = rf'(?:^|\s){name}=("(?:[^"\\]|\\.)*"|\S*)'
-    raw = F.regexp_extract(line, pattern, 1)
-    bare = F.when(
-        F.startswith(raw, F.lit('"')),
-        F.regexp_replace(F.regexp_replace(raw, '^"|"$', ""), r'\\(["\\])', "$1"),
-    ).otherwise(raw)
-    return F.when(line.rlike(pattern), bare)
+# A token takes a quoted value whole, so that text inside it is never read as a
+# field. Possessive repeats keep matching flat on long lines.
+_TOKEN = r'[^\s=]++(?:=(?:"[^"\\]*+(?:\\.[^"\\]*+)*+"|\S*+))?'
+
+
+def logfmt_tokens(line: Column) -> Column:
+    return F.regexp_extract_all(line, F.lit(_TOKEN), F.lit(0))
+
+
+def logfmt_field(tokens: Column, name: str) -> Column:
+    """The last value of a field, without its quotes; NULL if absent."""
+    start = F.lit(f"{name}=")
+    mine = F.filter(tokens, lambda t: F.startswith(t, start))
+    raw = F.substr(F.try_element_at(mine, F.lit(-1)), F.lit(len(name) + 2))
+    bare = F.regexp_replace(F.regexp_replace(raw, '^"|"$', ""), r'\\(["\\])', "$1")
+    return F.when(F.startswith(raw, F.lit('"')), bare).otherwise(raw)
 
 
 def extract_logfmt(
@@ -54,8 +61,9 @@ def extract_logfmt(
 ) -> DataFrame:
     """Add ``log_<field>`` for lines of matching services; other lines get NULL."""
     mine = matches(F.col(service), pattern)
-    return df.select(
-        "*", *[F.when(mine, logfmt_field(F.col(line), f)).alias(f"log_{f}") for f in fields]
+    split = df.withColumn("_tokens", F.when(mine, logfmt_tokens(F.col(line))))
+    return split.select(
+        *df.columns, *[logfmt_field(F.col("_tokens"), f).alias(f"log_{f}") for f in fields]
     )
 
 
