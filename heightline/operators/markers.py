@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.hexes import strip
 from .dedup import first_arrival
+from .ordered import SMALL_KEY_ROWS, with_known
 
 
 def live_markers(ledger: DataFrame, published_at: str, ttl: int, now: Column | int) -> DataFrame:
@@ -26,25 +27,31 @@ def _known(markers: DataFrame, hash_col: str) -> DataFrame:
 
 
 def insert_markers(
-    candidates: DataFrame, ledger: DataFrame, hash_col: str, order: list[str]
+    candidates: DataFrame,
+    ledger: DataFrame,
+    hash_col: str,
+    order: list[str],
+    floor: int = SMALL_KEY_ROWS,
 ) -> DataFrame:
     """Rows to append to the ledger: non-blank hashes not marked yet, first one wins."""
     named = candidates.filter(F.expr(f"{strip(hash_col)} <> ''"))
-    return first_arrival(
-        named.join(_known(ledger, hash_col), hash_col, "left_anti"), [hash_col], order
-    )
+    return first_arrival(skip_published(named, ledger, hash_col, floor), [hash_col], order)
 
 
-def look_up_markers(df: DataFrame, markers: DataFrame, hash_col: str) -> DataFrame:
+def look_up_markers(
+    df: DataFrame, markers: DataFrame, hash_col: str, floor: int = SMALL_KEY_ROWS
+) -> DataFrame:
     """Add ``published``: whether each hash has a marker."""
     known = _known(markers, hash_col).withColumn("_hit", F.lit(True))
     return (
-        df.join(known, hash_col, "left")
+        with_known(df, known, hash_col, "left", floor)
         .withColumn("published", F.coalesce(F.col("_hit"), F.lit(False)))
         .drop("_hit")
     )
 
 
-def skip_published(df: DataFrame, markers: DataFrame, hash_col: str) -> DataFrame:
+def skip_published(
+    df: DataFrame, markers: DataFrame, hash_col: str, floor: int = SMALL_KEY_ROWS
+) -> DataFrame:
     """Rows whose hash has no live marker."""
-    return df.join(_known(markers, hash_col), hash_col, "left_anti")
+    return with_known(df, _known(markers, hash_col), hash_col, "left_anti", floor)

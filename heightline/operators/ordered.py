@@ -12,6 +12,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import shared_dir, shuffle_width
 
@@ -21,45 +22,82 @@ CHUNK = "_chunk"
 SMALL_KEY_ROWS = 2_000_000
 
 
-def _limit(total: int, width: int, floor: int) -> int:
-    return max(floor, total // max(width, 1))
+# A key is large when it holds more than 1/width of the rows, or 1/1000 where the
+# width is more than that; the sketch tracks enough keys to miss none of those.
+_MOST_LARGE = 1000
+_TRACKED = 8192
+_SKETCH_GROUPS = 64
 
 
-def key_sizes(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+def _find_large(df: DataFrame, key: Column, floor: int) -> list:
+    """Values of ``key`` that hold too many rows for one task, fewer than 1000.
+
+    Heavy hitters are found with a mergeable sketch: one scan of the key columns
+    in which no rows are shuffled, only one small sketch per task, merged in two
+    steps. The answer steers the plan only, never the result.
+    """
+    most = min(max(shuffle_width(df.sparkSession), 2), _MOST_LARGE)
+    sketched = (
+        df.select(key.alias("_key"))
+        .groupBy(F.pmod(F.spark_partition_id(), F.lit(_SKETCH_GROUPS)).alias("_group"))
+        .agg(
+            F.count(F.lit(1)).alias("_rows"),
+            F.expr(f"approx_top_k_accumulate(_key, {_TRACKED})").alias("_sketch"),
+        )
+        # Grouped by a constant, so that no rows give no result.
+        .groupBy(F.lit(0).alias("_all"))
+        .agg(
+            F.sum("_rows").alias("rows"),
+            F.expr(f"approx_top_k_combine(_sketch, {_TRACKED})").alias("_sketch"),
+        )
+        .selectExpr("rows", f"approx_top_k_estimate(_sketch, {most}) AS top")
+    )
+    row = sketched.first()
+    if row is None or not row["rows"]:
+        return []
+    limit = max(floor, row["rows"] // most)
+    return [hit["item"] for hit in row["top"] if hit["count"] > limit]
 
 
 def has_large_key(df: DataFrame, keys: Sequence[str], floor: int = SMALL_KEY_ROWS) -> bool:
-    """Whether some key holds more than an average shuffle partition (and the floor).
+    """Whether some key holds too many rows for one task."""
+    return bool(_find_large(df, F.xxhash64(*keys), floor))
 
-    One pre-aggregated count over the key columns; one row reaches the driver.
-    """
-    row = (
-        key_sizes(df, keys)
-        .agg(F.max("_rows").alias("top"), F.sum("_rows").alias("total"))
-        .first()
+
+def large_keys(df: DataFrame, key: str, floor: int = SMALL_KEY_ROWS) -> DataFrame | None:
+    """The keys too large for one task (fewer than 1000, so safe to broadcast), or None."""
+    found = _find_large(df, F.col(key), floor)
+    if not found:
+        return None
+    return df.sparkSession.createDataFrame(
+        [(value,) for value in found], T.StructType([T.StructField(key, df.schema[key].dataType)])
     )
-    if row is None or row["total"] is None:
-        return False
-    return row["top"] > _limit(row["total"], shuffle_width(df.sparkSession), floor)
 
 
-def large_keys(df: DataFrame, key: str, floor: int = SMALL_KEY_ROWS) -> DataFrame | None:
-    """The keys that hold more than an average shuffle partition, or None.
+def with_known(df: DataFrame, known: DataFrame, key: str, how: str, floor: int = SMALL_KEY_ROWS) -> DataFrame:
+    """Join ``df`` to ``known`` (distinct by ``key``) where few keys may hold most of ``df``.
 
-    Each holds more than total / width rows, so there are fewer than ``width``
-    of them: small enough to bring to the driver and to broadcast.
+    Rows of large keys are not shuffled: there are under 1000 such keys, and the
+    rows of ``known`` for them are broadcast. The other rows join as usual.
     """
-    spark = df.sparkSession
-    sizes = key_sizes(df, [key])
-    row = sizes.agg(F.max("_rows").alias("top"), F.sum("_rows").alias("total")).first()
-    if row is None or row["total"] is None:
-        return None
-    limit = _limit(row["total"], shuffle_width(spark), floor)
-    if row["top"] <= limit:
-        return None
-    found = sizes.filter(F.col("_rows") > limit).select(key)
-    return spark.createDataFrame(found.collect(), found.schema)
+    large = large_keys(df, key, floor)
+    if large is None:
+        return df.join(known, key, how)
+    hot = F.broadcast(large)
+    rest = df.join(hot, key, "left_anti").join(known, key, how)
+    few = F.broadcast(known.join(hot, key, "left_semi"))
+    return rest.unionByName(df.join(hot, key, "left_semi").join(few, key, how))
+
+
+def by_value(df: DataFrame, most_rows: int = 10_000) -> DataFrame:
+    """A result of at most ``most_rows`` rows worked out once and held as values.
+
+    Joins then see its true size and broadcast it. A larger one stays as it is.
+    """
+    rows = df.take(most_rows + 1)
+    if len(rows) > most_rows:
+        return df
+    return df.sparkSession.createDataFrame(rows, df.schema)
 
 
 def ordered_chunks(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions.hexes import ZERO_ADDRESS, ZERO_BLOOM, ZERO_HASH, ZERO_NONCE
 from ..operators import canonical, contract, heights
+from ..operators.ordered import by_value
 from ..sources.tables import in_height_range
 from . import inputs
 from .registry import query
@@ -345,10 +346,8 @@ def finalized_head(spark, sf):
         WHERE number <= finalized""",
 )
 def finalized_heights(spark, sf):
-    # One row per chain on the right; the size decides the join.
-    blocks = inputs.heads(spark, sf).join(
-        finalized(spark, sf).select("chain", "finalized"), "chain"
-    )
+    head = by_value(finalized(spark, sf).select("chain", "finalized"))
+    blocks = inputs.heads(spark, sf).join(head, "chain")
     return heights.finalized_only(blocks, "number", F.col("finalized")).select("chain", "number")
 
 

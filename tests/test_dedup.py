@@ -68,11 +68,23 @@ def test_run_summary_equals_a_walk(times, ttl, carry):
     assert all(a != b for a, b in zip(leaves, leaves[1:]))
 
 
-def test_large_keys_are_few(spark):
-    df = spark.createDataFrame([("a",)] * 60 + [("b",)] * 30 + [(f"c{i}",) for i in range(30)], "k string")
+def test_large_keys_are_found(spark):
+    rows = [("a",)] * 600 + [("b",)] * 90 + [(f"c{i}",) for i in range(900)]
+    df = spark.createDataFrame(rows, "k string").repartition(7)
     assert [r.k for r in ordered.large_keys(df, "k", 0).collect()] == ["a"]
     assert ordered.large_keys(df, "k") is None
     assert ordered.large_keys(df.limit(0), "k", 0) is None
+    assert ordered.has_large_key(df, ["k"], 500) and not ordered.has_large_key(df, ["k"], 600)
+
+
+def test_joins_keep_all_rows_of_a_large_key(spark):
+    df = spark.createDataFrame([("hot" if i % 2 else f"k{i}", i) for i in range(400)], "hash string, i long")
+    for marked in (["hot", "k0"], ["k2"]):
+        known = spark.createDataFrame([(h, 1) for h in marked * 3], "hash string, published_at long")
+        want = sorted(i for h, i in df.collect() if h not in marked)
+        assert sorted(r.i for r in markers.skip_published(df, known, "hash", 0).collect()) == want
+        looked = markers.look_up_markers(df, known, "hash", 0).collect()
+        assert sorted(r.i for r in looked if not r.published) == want and len(looked) == 400
 
 
 def test_first_and_latest(spark):
