@@ -12,7 +12,7 @@ from ..sources.epochs import EpochTable
 from ..sources.tables import follow_parquet
 from ..streaming import heads as head_stream
 from ..streaming import publish as publish_job
-from ..streaming.dedup import dedup_ttl_stream
+from ..streaming.dedup import dedup_ttl_batches
 from . import inputs
 from .chain import _HEADS
 from .outbox import DEDUP_TTL_SQL, NOW, PUBLISH, PUBLISH_ONCE_SQL, _ENTRIES
@@ -93,22 +93,14 @@ def read_new(spark, sf):
 @query("stream_dedup_ttl", DEDUP_TTL_SQL)
 def stream_dedup_ttl(spark, sf):
     path = work_path(spark, "dedup")
-    rows = _follow(spark, sf, "events").select(
-        "user_id", "event_id", F.col("ts").cast("timestamp").alias("at")
-    )
-    kept = dedup_ttl_stream(rows, "user_id", "at", inputs.DAY_US, ["event_id"], "1 day")
+    rows = inputs.as_entries(_follow(spark, sf, "events")).select("user_id", "event_id", "at_us")
     _end(
-        kept.writeStream.format("parquet")
-        .option("path", f"{path}/out")
-        .option("checkpointLocation", f"{path}/checkpoint")
-        .trigger(availableNow=True)
-        .start()
-    )
-    return (
-        spark.read.schema(rows.schema)
-        .parquet(f"{path}/out")
-        .select("user_id", "event_id", F.unix_micros("at").alias("at_us"))
+        dedup_ttl_batches(
+            rows, f"{path}/out", f"{path}/checkpoint", "user_id", "at_us", inputs.DAY_US,
+            ["event_id"],
+        )
     )
+    return EpochTable(spark, f"{path}/out", rows.schema).rows()
 
 
 @query("stream_publish_once", PUBLISH_ONCE_SQL)

@@ -1,4 +1,10 @@
-"""Deduplication of a stream under a strict time-to-live."""
+"""Deduplication of a stream under a strict time-to-live.
+
+``dedup_ttl_batches`` is for large micro-batches and hot keys: the accepted rows
+are the state, and each batch uses the batch operator, which splits large keys.
+``dedup_ttl_stream`` keeps a value per key in the state store instead, for small
+and frequent micro-batches.
+"""
 
 from __future__ import annotations
 
@@ -6,11 +12,81 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from ..operators.dedup import dedup_ttl
+from ..operators.ordered import SMALL_KEY_ROWS, with_known
+from ..sources.epochs import EpochTable
+
+
+def accept_batch(
+    batch: DataFrame,
+    accepted: EpochTable,
+    epoch: int,
+    key: str,
+    at: str,
+    ttl: int,
+    tie: Sequence[str],
+    floor: int = SMALL_KEY_ROWS,
+) -> None:
+    """Append the rows of a batch that no live accepted row of their key precedes.
+
+    Accepting a row and appending it are one write, which replaces its epoch:
+    a batch that fails leaves nothing behind, and one that is run again finds
+    the state it found before.
+    """
+    batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        first = batch.agg(F.min(at).alias("first")).first()["first"]
+        if first is None:
+            accepted.write(batch, epoch)
+            return
+        live = accepted.rows(before=epoch).filter(F.col(at) > first - ttl)
+        last = live.groupBy(key).agg(F.max(at).alias("_last"))
+        # All rows before the carried time runs out are repeats; what is left
+        # starts afresh.
+        free = with_known(batch, last, key, "left", floor).filter(
+            F.col("_last").isNull() | (F.col(at) >= F.col("_last") + ttl)
+        )
+        kept = dedup_ttl(free.select(*batch.columns), key, at, ttl, tie, floor)
+        accepted.write(kept, epoch)
+    finally:
+        batch.unpersist()
+
+
+def dedup_ttl_batches(
+    stream: DataFrame,
+    path: str,
+    checkpoint: str,
+    key: str,
+    at: str,
+    ttl: int,
+    tie: Sequence[str],
+    floor: int = SMALL_KEY_ROWS,
+    **trigger,
+) -> StreamingQuery:
+    """Write the accepted rows of a stream to an ``EpochTable`` at ``path``.
+
+    ``at`` is a BIGINT time in the unit of ``ttl``. A row that comes late counts
+    as a repeat unless it is past the key's last accepted row by ``ttl``.
+    """
+    accepted = EpochTable(stream.sparkSession, path, stream.schema)
+
+    def step(batch: DataFrame, epoch: int) -> None:
+        accept_batch(batch, accepted, epoch, key, at, ttl, tie, floor)
+
+    return (
+        stream.writeStream.foreachBatch(step)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or {"availableNow": True}))
+        .start()
+    )
+
 
 _MICROS = "_micros"
 
@@ -18,15 +94,15 @@ _MICROS = "_micros"
 def dedup_ttl_stream(
     stream: DataFrame, key: str, at: str, ttl_us: int, tie: Sequence[str], late_by: str
 ) -> DataFrame:
-    """Streaming form of ``operators.dedup.dedup_ttl``.
+    """State store form of ``operators.dedup.dedup_ttl``.
 
     ``at`` is a TIMESTAMP. The state of a key is the time of its last accepted
     row; it is let go once the watermark shows that it has expired, so state
     covers live keys only. ``late_by`` must cover how late rows may come: rows
     behind the watermark are dropped, as their key's state may be gone.
 
-    Rows of one key and micro-batch are ordered in its task; the source's batch
-    limits bound them.
+    The rows of one key and micro-batch are put in order in one task, so the
+    source's batch limit has to be one that a task can hold.
     """
     columns = stream.columns
     state_type = T.StructType([T.StructField("accepted", T.LongType())])

@@ -9,7 +9,7 @@ from heightline.sources import kafka, tables
 from heightline.sources.epochs import EpochTable
 from heightline.streaming import heads as head_stream
 from heightline.streaming import publish
-from heightline.streaming.dedup import dedup_ttl_stream
+from heightline.streaming.dedup import accept_batch, dedup_ttl_batches, dedup_ttl_stream
 from heightline.streaming.progress import progress_table
 
 EVENTS = "/root/testdata/sf0.001/events.parquet"
@@ -152,25 +152,51 @@ def test_finalized_waits_for_depth(spark, tmp_path):
     assert run() == [2, 3, 4]
 
 
-def test_dedup_stream_equals_batch_over_files_and_restarts(spark, tmp_path):
-    events = spark.read.parquet(EVENTS).select("user_id", "event_id", F.col("ts").cast("timestamp").alias("at"))
-    day = 86_400_000_000
-    want = dedup.dedup_ttl(events.withColumn("us", F.unix_micros("at")), "user_id", "us", day, ["event_id"])
-    want = sorted(r.event_id for r in want.collect())
+DAY = 86_400_000_000
 
-    def run():
-        stream = tables.follow_parquet(spark, str(tmp_path / "in"), events.schema, files_per_batch=1)
-        dedup_ttl_stream(stream, "user_id", "at", day, ["event_id"], "1 minute").writeStream.format(
-            "parquet").option("path", str(tmp_path / "out")).option(
-            "checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start().awaitTermination()
 
+def run_state_dedup(spark, tmp):
+    schema = spark.read.parquet(str(tmp / "in")).schema
+    stream = tables.follow_parquet(spark, str(tmp / "in"), schema, files_per_batch=1)
+    kept = dedup_ttl_stream(stream, "user_id", "at", DAY, ["event_id"], "1 minute")
+    kept.writeStream.format("parquet").option("path", str(tmp / "out")).option(
+        "checkpointLocation", str(tmp / "cp")).trigger(availableNow=True).start().awaitTermination()
+    return sorted(r.event_id for r in spark.read.parquet(str(tmp / "out")).collect())
+
+
+def run_batch_dedup(spark, tmp, floor=0):
+    schema = spark.read.parquet(str(tmp / "in")).schema
+    stream = tables.follow_parquet(spark, str(tmp / "in"), schema, files_per_batch=1)
+    dedup_ttl_batches(stream, str(tmp / "out"), str(tmp / "cp"), "user_id", "us", DAY, ["event_id"],
+                      floor=floor).awaitTermination()
+    return sorted(r.event_id for r in EpochTable(spark, str(tmp / "out"), schema).rows().collect())
+
+
+@pytest.mark.parametrize("run", [run_state_dedup, run_batch_dedup])
+def test_dedup_stream_equals_batch_over_files_and_restarts(spark, tmp_path, run):
+    # Half of all rows get one key.
+    user = F.when(F.col("event_id") % 2 == 0, F.lit(-1)).otherwise(F.col("user_id"))
+    events = spark.read.parquet(EVENTS).select(
+        user.cast("long").alias("user_id"), "event_id", F.col("ts").cast("timestamp").alias("at"),
+        F.unix_micros(F.col("ts").cast("timestamp")).alias("us"))
+    want = dedup.dedup_ttl(events, "user_id", "us", DAY, ["event_id"])
+    want = sorted(r.event_id for r in want.collect())
     # Three files in order of time, the last one after a restart.
     for low, high in ((0, 300), (300, 700), (700, 10**9)):
         events.filter((F.col("event_id") >= low) & (F.col("event_id") < high)).coalesce(1).write.mode(
             "append").parquet(str(tmp_path / "in"))
         if low:
-            run()
-    assert sorted(r.event_id for r in spark.read.parquet(str(tmp_path / "out")).collect()) == want
+            got = run(spark, tmp_path)
+    assert got == want
+
+
+def test_accepting_again_leaves_the_same_rows(spark, tmp_path):
+    schema = "k string, at long, i long"
+    table = EpochTable(spark, str(tmp_path), spark.createDataFrame([], schema).schema)
+    batches = [[("a", 0, 1), ("a", 5, 2)], [("a", 9, 3), ("a", 10, 4), ("b", 1, 5)], []]
+    for epoch in (0, 1, 1, 0, 1, 2):
+        accept_batch(spark.createDataFrame(batches[epoch], schema), table, epoch, "k", "at", 10, ["i"])
+    assert sorted(r.i for r in table.rows().collect()) == [1, 4, 5]
 
 
 def test_epoch_table_replaces_an_epoch(spark, tmp_path):
