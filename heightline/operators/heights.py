@@ -13,24 +13,33 @@ from .ordered import SMALL_KEY_ROWS, running_max
 RANGE_BLOCK = 100_000
 
 
-def explode_heights(df: DataFrame, low: Column, high: Column, out: str, spread: bool = False) -> DataFrame:
+def explode_heights(df: DataFrame, low: Column, high: Column, out: str) -> DataFrame:
     """One row per height from ``low`` to ``high``; none where high < low.
 
-    With ``spread`` the blocks of long ranges are dealt out over the cluster, for
-    inputs of few rows with long ranges.
+    Ranges longer than a block are cut into blocks that are dealt out over the
+    cluster, so that one long gap does not become the work of one task.
     """
     block = F.lit(RANGE_BLOCK).cast("bigint")
-    cut = (
+    ranges = (
         df.withColumn("_low", low.cast("bigint"))
         .withColumn("_high", high.cast("bigint"))
         .filter(F.col("_low") <= F.col("_high"))
-        .withColumn("_from", F.explode(F.sequence(F.col("_low"), F.col("_high"), block)))
     )
-    if spread:
-        cut = cut.repartition("_from")
-    last = F.least(F.col("_high"), F.col("_from") + block - 1)
-    return cut.withColumn(out, F.explode(F.sequence(F.col("_from"), last))).drop(
-        "_low", "_high", "_from"
+    is_long = F.col("_high") - F.col("_low") >= block
+    starts = F.explode(F.sequence(F.col("_low"), F.col("_high"), block))
+    blocks = (
+        ranges.filter(is_long)
+        .withColumn("_from", starts)
+        .withColumn("_high", F.least(F.col("_high"), F.col("_from") + block - 1))
+        .withColumn("_low", F.col("_from"))
+        .drop("_from")
+        .repartition("_low")
+    )
+    return (
+        ranges.filter(~is_long)
+        .unionByName(blocks)
+        .withColumn(out, F.explode(F.sequence("_low", "_high")))
+        .drop("_low", "_high")
     )
 
 
@@ -117,6 +126,6 @@ def missing_heights(wanted: DataFrame, done: DataFrame, chain: str, low: str, hi
     Done heights are made distinct first, so repeats of a height do not pile up
     on one side of the anti-join.
     """
-    heights = explode_heights(wanted, F.col(low), F.col(high), "height", spread=True)
+    heights = explode_heights(wanted, F.col(low), F.col(high), "height")
     have = done.select(F.col(chain), F.col(number).alias("height")).distinct()
     return heights.select(chain, "height").join(have, [chain, "height"], "left_anti")

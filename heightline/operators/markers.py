@@ -26,16 +26,26 @@ def _known(markers: DataFrame, hash_col: str) -> DataFrame:
     return markers.select(hash_col).distinct()
 
 
+def first_unmarked(
+    df: DataFrame, markers: DataFrame, hash_col: str, order: list[str]
+) -> DataFrame:
+    """The first row of each hash that has no marker.
+
+    Whether a hash is marked does not depend on the row, so the first rows are
+    taken before the join: hashes are unique by then, a hot one is a single row,
+    and the join goes on with the partitioning of the first step.
+    """
+    return first_arrival(df, [hash_col], order).join(
+        _known(markers, hash_col), hash_col, "left_anti"
+    )
+
+
 def insert_markers(
-    candidates: DataFrame,
-    ledger: DataFrame,
-    hash_col: str,
-    order: list[str],
-    floor: int = SMALL_KEY_ROWS,
+    candidates: DataFrame, ledger: DataFrame, hash_col: str, order: list[str]
 ) -> DataFrame:
     """Rows to append to the ledger: non-blank hashes not marked yet, first one wins."""
     named = candidates.filter(F.expr(f"{strip(hash_col)} <> ''"))
-    return first_arrival(skip_published(named, ledger, hash_col, floor), [hash_col], order)
+    return first_unmarked(named, ledger, hash_col, order)
 
 
 def look_up_markers(

@@ -125,7 +125,7 @@ def sliding_count(
         raise ValueError("the window width must be a multiple of the step")
     pane = F.window(ts, f"{step_s} seconds")
     panes = df.groupBy(pane.alias("_p"), *labels).agg(F.count(F.lit(1)).alias("_n"))
-    first = F.unix_seconds(F.col("_p.start"))
+    first = F.unix_seconds(F.col("_p.start").cast("timestamp"))
     starts = F.sequence(first - F.lit(width_s - step_s), first, F.lit(step_s).cast("bigint"))
     return (
         panes.withColumn("_s", F.explode(starts))

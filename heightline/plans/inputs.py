@@ -265,10 +265,10 @@ LEDGER_SQL = f"""
 
 
 def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events as metric samples with ``ts`` as TIMESTAMP."""
+    """Events as metric samples; ``ts`` stays as stored, so that filters on it reach the scan."""
     return table(spark, sf_dir, "events").select(
         "event_id",
-        F.col("ts").cast("timestamp").alias("ts"),
+        "ts",
         "user_id",
         "event_type",
         "value",
@@ -296,7 +296,7 @@ def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as container log lines with discovered labels."""
     return table(spark, sf_dir, "events").select(
         "event_id",
-        F.col("ts").cast("timestamp").alias("ts"),
+        "ts",
         F.expr(_CONTAINER.format(service=_SERVICE)).alias("meta_container"),
         F.expr(_SERVICE).alias("service"),
         F.expr("concat('replica', cast(user_id as string))").alias("instance"),

@@ -14,7 +14,7 @@ DAY_S = 86_400
 
 
 def _micros(ts):
-    return F.unix_micros(ts)
+    return F.unix_micros(F.col(ts).cast("timestamp"))
 
 
 # --- counters ------------------------------------------------------------------
@@ -129,7 +129,7 @@ def gauge_last(spark, sf):
         "user_id",
         "event_type",
         "value",
-        F.unix_micros("ts").alias("at_us"),
+        _micros("ts").alias("at_us"),
         metrics.rescaled(F.col("value"), 1024 * 1024).alias("megabytes"),
     )
 
@@ -194,7 +194,7 @@ def _rates(spark, sf):
 )
 def counter_rate(spark, sf):
     return _rates(spark, sf).select(
-        F.unix_micros("range_start").alias("range_start"),
+        _micros("range_start").alias("range_start"),
         "user_id",
         "samples",
         F.round("increase", 4).alias("increase"),
@@ -211,7 +211,7 @@ def counter_rate(spark, sf):
 def rate_sum_by_label(spark, sf):
     summed = metrics.sum_rates(_rates(spark, sf), ["range_start"])
     return summed.select(
-        F.unix_micros("range_start").alias("range_start"),
+        _micros("range_start").alias("range_start"),
         F.round(F.col("rate") * 100, 9).alias("rate"),
     )
 
@@ -327,8 +327,8 @@ def log_select(spark, sf):
     picked = logs.select_logs(
         inputs.log_lines(spark, sf),
         "ts",
-        F.lit("2024-01-05").cast("timestamp"),
-        F.lit("2024-01-25").cast("timestamp"),
+        F.lit("2024-01-05").cast("timestamp_ntz"),
+        F.lit("2024-01-25").cast("timestamp_ntz"),
         "blockscan",
         "replica1.*",
     )

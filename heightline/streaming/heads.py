@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.heights import explode_heights, finalized_head
+from ..operators.ordered import by_value
 from ..sources.epochs import EpochTable
 
 
@@ -46,10 +47,8 @@ def _advance(
         spark = batch.sparkSession
         heights, marks = _tables(spark, path, batch.schema["chain"].dataType)
         known = marks.epoch(epoch - 1)
-        due = new_heights(batch.filter(number.isNotNull()), known, number, order)
-        heights.write(
-            explode_heights(due, F.col("low"), F.col("high"), "height", spread=True), epoch
-        )
+        due = by_value(new_heights(batch.filter(number.isNotNull()), known, number, order))
+        heights.write(explode_heights(due, F.col("low"), F.col("high"), "height"), epoch)
         if on_heights is not None:
             on_heights(heights.epoch(epoch), epoch)
         # The marks move only after the heights are written and handled. Each

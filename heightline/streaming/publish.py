@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import contract, markers, records
-from ..operators.dedup import first_arrival
 from ..schemas import LEDGER, QUARANTINE, RECORD
 from ..sources.epochs import EpochTable
 
@@ -45,10 +44,9 @@ def classify(messages: DataFrame, plan: PublishPlan) -> DataFrame:
 def unpublished(classified: DataFrame, live: DataFrame, order: list[str]) -> DataFrame:
     """Sound records with no live marker, one per hash."""
     sound = classified.filter(F.col("reason").isNull()).drop("hash")
-    fresh = markers.skip_published(
-        sound.withColumnRenamed("block_hash", "hash"), live, "hash"
+    return markers.first_unmarked(
+        sound.withColumnRenamed("block_hash", "hash"), live, "hash", order
     )
-    return first_arrival(fresh, ["hash"], order)
 
 
 class Publisher:

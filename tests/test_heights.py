@@ -87,11 +87,11 @@ def test_finalized_backlog(spark, floor):
 
 def test_long_ranges_are_cut_into_blocks(spark, monkeypatch):
     monkeypatch.setattr(heights, "RANGE_BLOCK", 10)
-    df = spark.createDataFrame([(0, 99), (5, 4), (7, 7), (3, 12)], "lo long, hi long")
-    for spread in (False, True):
-        got = heights.explode_heights(df, F.col("lo"), F.col("hi"), "h", spread=spread).collect()
-        assert sorted((r.lo, r.h) for r in got) == sorted(
-            [(0, h) for h in range(100)] + [(7, 7)] + [(3, h) for h in range(3, 13)])
+    df = spark.createDataFrame([(0, 99), (5, 4), (7, 7), (3, 12), (0, 9), (0, 10)], "lo long, hi long")
+    got = heights.explode_heights(df, F.col("lo"), F.col("hi"), "h").collect()
+    assert sorted((r.lo, r.h) for r in got) == sorted(
+        [(0, h) for h in range(100)] + [(7, 7)] + [(3, h) for h in range(3, 13)]
+        + [(0, h) for h in range(10)] + [(0, h) for h in range(11)])
 
 
 def test_missing_heights(spark):
