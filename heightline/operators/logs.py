@@ -11,7 +11,7 @@ from .metrics import matches
 
 # Log rules.
 CONTAINER_PATTERN = "/(.*)"
-SERVICE_PATTERN = "blockscan(-replica[0-9]+)?"
+SERVICE_PATTERN = "scanner(-replica[0-9]+)?"
 DROPPED_CONTAINER = "promtail"
 LOG_PATH_PATTERN = "(.+)"
 LOGFMT_FIELDS = ("service", "instance", "level")

@@ -277,10 +277,10 @@ def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LEVELS = {"error": "ERROR", "signup": "WARN"}
 SERVICES = {
-    "click": "blockscan",
-    "view": "blockscan-replica1",
-    "purchase": "blockscan-replica2",
-    "error": "blockscan-service",
+    "click": "scanner",
+    "view": "scanner-replica1",
+    "purchase": "scanner-replica2",
+    "error": "scanner-service",
     "signup": "kafka",
 }
 _SERVICE = "CASE event_type " + " ".join(

@@ -276,7 +276,7 @@ def log_drop(spark, sf):
     return kept.select("event_id", "container")
 
 
-_MINE = r"regexp_full_match(service, 'blockscan(-replica[0-9]+)?')"
+_MINE = r"regexp_full_match(service, 'scanner(-replica[0-9]+)?')"
 
 
 @query(
@@ -320,7 +320,7 @@ def log_lines_sliding(spark, sf):
 @query(
     "log_select",
     f"""SELECT event_id, epoch_us(ts) AS at_us, instance FROM ({_LOGS})
-        WHERE service = 'blockscan' AND regexp_full_match(instance, 'replica1.*')
+        WHERE service = 'scanner' AND regexp_full_match(instance, 'replica1.*')
           AND ts >= TIMESTAMP '2024-01-05' AND ts < TIMESTAMP '2024-01-25'""",
 )
 def log_select(spark, sf):
@@ -329,7 +329,7 @@ def log_select(spark, sf):
         "ts",
         F.lit("2024-01-05").cast("timestamp_ntz"),
         F.lit("2024-01-25").cast("timestamp_ntz"),
-        "blockscan",
+        "scanner",
         "replica1.*",
     )
     return picked.select("event_id", _micros("ts").alias("at_us"), "instance")

@@ -102,10 +102,10 @@ def test_average_of_the_newest_samples(spark):
 
 
 def test_selectors_match_in_full(spark):
-    df = spark.createDataFrame([("blockscan-replica1",), ("x-blockscan-replica1",), ("blockscan",), (None,)],
+    df = spark.createDataFrame([("scanner-replica1",), ("x-scanner-replica1",), ("scanner",), (None,)],
                                "n string")
-    got = metrics.select_labels(df, {"n": "blockscan-replica.*"}).collect()
-    assert [r.n for r in got] == ["blockscan-replica1"]
+    got = metrics.select_labels(df, {"n": "scanner-replica.*"}).collect()
+    assert [r.n for r in got] == ["scanner-replica1"]
     assert metrics.select_labels(df, {"n": ".*|zz"}).count() == 4
 
 
@@ -135,8 +135,8 @@ def test_logfmt(spark, line, want):
 
 
 def test_log_rules(spark):
-    df = spark.createDataFrame([("/promtail", "kafka", "level=INFO"), ("/web", "blockscan-replica12", "level=INFO"),
-                                ("web2", "blockscan-replica", "level=INFO")], "m string, service string, l string")
+    df = spark.createDataFrame([("/promtail", "kafka", "level=INFO"), ("/web", "scanner-replica12", "level=INFO"),
+                                ("web2", "scanner-replica", "level=INFO")], "m string, service string, l string")
     named = logs.relabel(df, "m", logs.CONTAINER_PATTERN, "container")
     assert [r.container for r in named.collect()] == ["promtail", "web", None]
     kept = logs.drop_matching(named, "container", logs.DROPPED_CONTAINER)
