@@ -70,10 +70,12 @@ def _accept_rows(key: str, at: str, ttl: int, columns: list[str], carried: bool)
                     accepted = carries[start].as_py() if carried else None
                 at_run = times[start:end]
                 i = 0 if accepted is None else int(np.searchsorted(at_run, accepted + ttl))
-                while i < len(at_run):
+                # Where each row would hand over, worked out for the run at once.
+                hop = np.searchsorted(at_run, at_run + ttl).tolist()
+                while i < len(hop):
                     keep.append(start + i)
                     accepted = int(at_run[i])
-                    i = int(np.searchsorted(at_run, accepted + ttl))
+                    i = hop[i]
             if keep:
                 yield batch.take(pa.array(keep, pa.int64())).select(columns)
 

@@ -11,7 +11,6 @@ from .metrics import matches
 
 # Log rules.
 CONTAINER_PATTERN = "/(.*)"
-SERVICE_PATTERN = "scanner(-replica[0-9]+)?"
 DROPPED_CONTAINER = "promtail"
 LOG_PATH_PATTERN = "(.+)"
 LOGFMT_FIELDS = ("service", "instance", "level")
@@ -56,7 +55,7 @@ def logfmt_field(tokens: Column, name: str) -> Column:
 
 
 def extract_logfmt(
-    df: DataFrame, line: str, service: str, pattern: str = SERVICE_PATTERN,
+    df: DataFrame, line: str, service: str, pattern: str,
     fields: Sequence[str] = LOGFMT_FIELDS,
 ) -> DataFrame:
     """Add ``log_<field>`` for lines of matching services; other lines get NULL."""

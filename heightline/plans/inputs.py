@@ -275,6 +275,8 @@ def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Services whose lines are logfmt.
+SERVICE_PATTERN = "scanner(-replica[0-9]+)?"
 LEVELS = {"error": "ERROR", "signup": "WARN"}
 SERVICES = {
     "click": "scanner",

@@ -276,7 +276,7 @@ def log_drop(spark, sf):
     return kept.select("event_id", "container")
 
 
-_MINE = r"regexp_full_match(service, 'scanner(-replica[0-9]+)?')"
+_MINE = f"regexp_full_match(service, '{inputs.SERVICE_PATTERN}')"
 
 
 @query(
@@ -289,7 +289,7 @@ _MINE = r"regexp_full_match(service, 'scanner(-replica[0-9]+)?')"
 def logfmt_extract(spark, sf):
     # The instance is known from the line only, and only for matching services.
     lines = inputs.log_lines(spark, sf).drop("instance")
-    found = logs.promote_labels(logs.extract_logfmt(lines, "line", "service"))
+    found = logs.promote_labels(logs.extract_logfmt(lines, "line", "service", inputs.SERVICE_PATTERN))
     return found.select(
         "event_id", "service", "instance", "log_service", "log_instance", "log_level"
     )

@@ -140,5 +140,5 @@ def test_log_rules(spark):
     named = logs.relabel(df, "m", logs.CONTAINER_PATTERN, "container")
     assert [r.container for r in named.collect()] == ["promtail", "web", None]
     kept = logs.drop_matching(named, "container", logs.DROPPED_CONTAINER)
-    got = logs.extract_logfmt(kept, "l", "service").collect()
+    got = logs.extract_logfmt(kept, "l", "service", "scanner(-replica[0-9]+)?").collect()
     assert [(r.m, r.log_level) for r in got] == [("/web", "INFO"), ("web2", None)]

@@ -235,3 +235,22 @@ def test_kafka_options():
     assert int(made["kafka.max.request.size"]) > 20 << 20
     assert kafka.producer_options("h", " GZIP ")["kafka.compression.type"] == "gzip"
     assert "kafka.compression.type" not in kafka.producer_options("h", "brotli")
+
+
+def test_ledger_time_filter_reaches_the_scan(spark, tmp_path):
+    from heightline.operators import markers
+    from heightline.schemas import LEDGER
+
+    table = EpochTable(spark, str(tmp_path / "ledger"), LEDGER)
+    table.write(spark.createDataFrame([("h", 5)], LEDGER), 0)
+    table.write(spark.createDataFrame([("i", 50)], LEDGER), 1)
+    live = markers.live_markers(table.rows(before=1), "published_at", 10, 20)
+    plan = live._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThan(published_at,10)" in plan and "PartitionFilters: [isnotnull(epoch" in plan
+    assert live.count() == 0
+
+
+def test_log_files(spark, tmp_path):
+    (tmp_path / "a.log").write_text("level=INFO\nlevel=WARN\n")
+    got = tables.read_log_lines(spark, str(tmp_path)).collect()
+    assert sorted(r.line for r in got) == ["level=INFO", "level=WARN"] and got[0].path.endswith("a.log")
