@@ -212,7 +212,7 @@ PUBLISH_ONCE_SQL = f"""
     FROM (SELECT *, row_number() OVER (PARTITION BY hash ORDER BY at_us, event_id) AS r
           FROM sound WHERE hash NOT IN (SELECT hash FROM live))
     WHERE r = 1"""
-PUBLISH = PublishPlan(topic=TOPIC, max_record_bytes=20 * 1024 * 1024, marker_ttl_ms=DAY)
+PUBLISH = PublishPlan(topic=TOPIC, max_record_bytes=20 * 1024 * 1024, marker_ttl=DAY)
 
 
 @query("publish_once", PUBLISH_ONCE_SQL)

@@ -19,9 +19,11 @@ TOO_LARGE = "record_too_large"
 
 @dataclass(frozen=True)
 class PublishPlan:
+    """Where records go and what stops one; ``marker_ttl`` is in the unit of ``now``, 0 is for ever."""
+
     topic: str
     max_record_bytes: int = 0
-    marker_ttl_ms: int = 0
+    marker_ttl: int = 0
 
 
 def classify(messages: DataFrame, plan: PublishPlan) -> DataFrame:
@@ -63,7 +65,7 @@ def publish_batch(
     epoch: int,
     path: str,
     plan: PublishPlan,
-    now_ms: Callable[[], int],
+    now: Callable[[], int],
     order: list[str],
     send: Callable[[DataFrame], None] | None = None,
     before_ledger: Callable[[int], None] | None = None,
@@ -77,12 +79,12 @@ def publish_batch(
     """
     spark = messages.sparkSession
     out = Publisher(spark, path)
-    now = now_ms()
+    at = now()
     classified = classify(messages, plan).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         out.quarantine.write(classified.filter(F.col("reason").isNotNull()), epoch)
         live = markers.live_markers(
-            out.ledger.rows(before=epoch), "published_at", plan.marker_ttl_ms, now
+            out.ledger.rows(before=epoch), "published_at", plan.marker_ttl, at
         )
         # The batch is small and its size is known by now, the ledger is not:
         # cut the ledger down to the batch's hashes before anything shuffles.
@@ -98,7 +100,7 @@ def publish_batch(
         before_ledger(epoch)
     # From the written records, so that the ledger is what was published.
     out.ledger.write(
-        written.select("hash", F.lit(now).cast("bigint").alias("published_at")), epoch
+        written.select("hash", F.lit(at).cast("bigint").alias("published_at")), epoch
     )
 
 
@@ -107,14 +109,14 @@ def publish_stream(
     path: str,
     checkpoint: str,
     plan: PublishPlan,
-    now_ms: Callable[[], int],
+    now: Callable[[], int],
     order: list[str],
     send: Callable[[DataFrame], None] | None = None,
     before_ledger: Callable[[int], None] | None = None,
     **trigger,
 ) -> StreamingQuery:
     def step(batch: DataFrame, epoch: int) -> None:
-        publish_batch(batch, epoch, path, plan, now_ms, order, send, before_ledger)
+        publish_batch(batch, epoch, path, plan, now, order, send, before_ledger)
 
     return (
         outbox.writeStream.foreachBatch(step)
@@ -128,5 +130,5 @@ def publish_once(
     messages: DataFrame, ledger: DataFrame, plan: PublishPlan, now: Column | int, order: list[str]
 ) -> DataFrame:
     """The batch form: the records a set of messages would publish."""
-    live = markers.live_markers(ledger, "published_at", plan.marker_ttl_ms, now)
+    live = markers.live_markers(ledger, "published_at", plan.marker_ttl, now)
     return unpublished(classify(messages, plan), live, order)

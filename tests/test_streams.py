@@ -91,7 +91,7 @@ def test_poison_messages_go_to_quarantine(spark, tmp_path):
 
 
 def test_expired_marker_publishes_again(spark, tmp_path):
-    plan = publish.PublishPlan(topic="blocks", marker_ttl_ms=100)
+    plan = publish.PublishPlan(topic="blocks", marker_ttl=100)
     for i, now in enumerate((1000, 1099, 1100)):
         add(spark, tmp_path / "in", [message(i + 1, "0xaaa")], OUTBOX)
         run_publish(spark, tmp_path, plan=plan, now=lambda now=now: now)
