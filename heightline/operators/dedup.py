@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,6 +17,10 @@ from .ordered import CHUNK, SMALL_KEY_ROWS, large_keys, ordered_chunks
 
 _CARRY = "_carry"
 
+# Functions of this module travel to the workers whole, so that workers need
+# not have the package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def _top_row(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     # A rank filter of 1 is also applied before the shuffle, so a hot key sends

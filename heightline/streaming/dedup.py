@@ -8,11 +8,12 @@ and frequent micro-batches.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark import StorageLevel
+from pyspark import StorageLevel, cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -90,6 +91,9 @@ def dedup_ttl_batches(
 
 _MICROS = "_micros"
 
+# As in the batch operator: workers need not have the package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def dedup_ttl_stream(
     stream: DataFrame, key: str, at: str, ttl_us: int, tie: Sequence[str], late_by: str
