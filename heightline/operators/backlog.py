@@ -34,8 +34,9 @@ def with_id_parts(df: DataFrame, id_col: str = "id") -> DataFrame:
 
 
 def oldest(df: DataFrame, n: int, id_col: str = "id") -> DataFrame:
-    """The first ``n`` entries by id."""
-    return with_id_parts(df, id_col).orderBy("id_ms", "id_seq").limit(n)
+    """The first ``n`` entries by id; ids that cannot be read come last."""
+    ordered = [F.col(c).asc_nulls_last() for c in ("id_ms", "id_seq")]
+    return with_id_parts(df, id_col).orderBy(*ordered).limit(n)
 
 
 def page_after(df: DataFrame, cursor: str, n: int, id_col: str = "id") -> DataFrame:

@@ -20,6 +20,8 @@ REASONS = (
     "payload_undecodable",
 )
 
+LARGEST_HEIGHT = 2**63 - 1
+
 
 def failure_reason(hash_: Column, number: Column, payload: Column, decoded_ok: Column) -> Column:
     """The first broken rule, or NULL for a sound message."""
@@ -28,7 +30,8 @@ def failure_reason(hash_: Column, number: Column, payload: Column, decoded_ok: C
         hash_ == "",
         number.isNull(),
         number == "",
-        parse_uint64(number).isNull(),
+        # A height beyond BIGINT has no place in the tables: quarantine, not a failing batch.
+        parse_uint64(number).isNull() | (parse_uint64(number) > F.lit(LARGEST_HEIGHT)),
         payload.isNull(),
         payload == "",
         ~decoded_ok,
@@ -46,7 +49,7 @@ def check_messages(df: DataFrame) -> DataFrame:
     result into good rows (``reason IS NULL``) and a quarantine table.
     """
     parsed = canonical.once(df, "_wire", F.expr(canonical.read_payload("payload"))).withColumn(
-        "_sent_number", parse_uint64(F.col("number")).cast("bigint")
+        "_sent_number", parse_uint64(F.col("number")).try_cast("bigint")
     )
     block = canonical.map_block(
         "_wire",

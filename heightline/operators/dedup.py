@@ -242,12 +242,12 @@ def dedup_ttl(
     time in the unit of ``ttl``; ``tie`` orders rows of equal time and should
     end in a unique column. Keys must not be NULL.
 
-    Rows stream through each task with one carried time per key. Keys larger
-    than an average shuffle partition are cut into chunks (see ``ordered``).
+    Rows stream through each task with one carried time per key. Keys of more
+    than ``floor`` rows are cut into chunks (see ``ordered``).
     """
     accept = _accept_rows(key, at, ttl, df.columns, carried=False)
     large = large_keys(df, key, floor)
-    small = df if large is None else df.join(F.broadcast(large), key, "left_anti")
+    small = df if large is None else df.join(large, key, "left_anti")
     result = (
         small.select(*df.columns)
         .repartition(key)
@@ -256,5 +256,5 @@ def dedup_ttl(
     )
     if large is None:
         return result
-    hot = df.join(F.broadcast(large), key, "left_semi").select(*df.columns)
+    hot = df.join(large, key, "left_semi").select(*df.columns)
     return result.unionByName(_split_key_dedup(hot, key, at, ttl, tie))

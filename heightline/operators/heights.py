@@ -16,8 +16,8 @@ RANGE_BLOCK = 100_000
 def explode_heights(df: DataFrame, low: Column, high: Column, out: str) -> DataFrame:
     """One row per height from ``low`` to ``high``; none where high < low.
 
-    Ranges longer than a block are cut into blocks that are dealt out over the
-    cluster, so that one long gap does not become the work of one task.
+    Ranges are cut into blocks that are dealt out evenly over the cluster, so
+    that one long gap does not become the work of one task.
     """
     block = F.lit(RANGE_BLOCK).cast("bigint")
     ranges = (
@@ -25,21 +25,12 @@ def explode_heights(df: DataFrame, low: Column, high: Column, out: str) -> DataF
         .withColumn("_high", high.cast("bigint"))
         .filter(F.col("_low") <= F.col("_high"))
     )
-    is_long = F.col("_high") - F.col("_low") >= block
-    starts = F.explode(F.sequence(F.col("_low"), F.col("_high"), block))
-    blocks = (
-        ranges.filter(is_long)
-        .withColumn("_from", starts)
-        .withColumn("_high", F.least(F.col("_high"), F.col("_from") + block - 1))
-        .withColumn("_low", F.col("_from"))
-        .drop("_from")
-        .repartition("_low")
-    )
     return (
-        ranges.filter(~is_long)
-        .unionByName(blocks)
-        .withColumn(out, F.explode(F.sequence("_low", "_high")))
-        .drop("_low", "_high")
+        ranges.withColumn("_from", F.explode(F.sequence(F.col("_low"), F.col("_high"), block)))
+        .hint("rebalance")
+        .withColumn("_to", F.least(F.col("_high"), F.col("_from") + block - 1))
+        .withColumn(out, F.explode(F.sequence("_from", "_to")))
+        .drop("_low", "_high", "_from", "_to")
     )
 
 

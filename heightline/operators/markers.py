@@ -51,11 +51,11 @@ def insert_markers(
 def look_up_markers(
     df: DataFrame, markers: DataFrame, hash_col: str, floor: int = SMALL_KEY_ROWS
 ) -> DataFrame:
-    """Add ``published``: whether each hash has a marker."""
+    """Add ``published``: whether each hash has a marker; NULL for a blank hash, which has no answer."""
     known = _known(markers, hash_col).withColumn("_hit", F.lit(True))
     return (
         with_known(df, known, hash_col, "left", floor)
-        .withColumn("published", F.coalesce(F.col("_hit"), F.lit(False)))
+        .withColumn("published", F.when(F.expr(f"{strip(hash_col)} <> ''"), F.coalesce(F.col("_hit"), F.lit(False))))
         .drop("_hit")
     )
 

@@ -86,10 +86,12 @@ def histogram(
     )
 
 
-def gauge_last(df: DataFrame, labels: Sequence[str], ts: str, value: str) -> DataFrame:
-    """The newest value of each series."""
+def gauge_last(
+    df: DataFrame, labels: Sequence[str], ts: str, value: str, tie: Sequence[str] = ()
+) -> DataFrame:
+    """The newest value of each series; of equal times the last by ``tie``, then the largest value."""
     return df.groupBy(*labels).agg(
-        F.max_by(value, ts).alias(value), F.max(ts).alias(ts)
+        F.max_by(value, F.struct(ts, *tie, value)).alias(value), F.max(ts).alias(ts)
     )
 
 
@@ -234,4 +236,5 @@ def select_labels(df: DataFrame, matchers: dict[str, str]) -> DataFrame:
 
 
 def matches(label: Column, pattern: str) -> Column:
-    return F.coalesce(label, F.lit("")).rlike(f"^(?:{pattern})$")
+    """Whether a pattern matches the whole label, a newline at its end included."""
+    return F.coalesce(label, F.lit("")).rlike(f"\\A(?:{pattern})\\z")

@@ -12,7 +12,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..session import shared_dir, shuffle_width
 
@@ -22,23 +21,24 @@ CHUNK = "_chunk"
 SMALL_KEY_ROWS = 2_000_000
 
 
-# A key is large when it holds more than 1/width of the rows, or 1/1000 where the
-# width is more than that; the sketch tracks enough keys to miss none of those.
-_MOST_LARGE = 1000
+# The sketch that tells whether there is any key of more than ``floor`` rows.
 _TRACKED = 8192
+# Large keys up to this number are broadcast.
+_MOST_BROADCAST = 10_000
 _SKETCH_GROUPS = 64
 
 
-def _find_large(df: DataFrame, key: Column, floor: int) -> list:
-    """Values of ``key`` that hold too many rows for one task, fewer than 1000.
+def has_large_key(df: DataFrame, keys: Sequence[str], floor: int = SMALL_KEY_ROWS) -> bool:
+    """Whether some key holds more than ``floor`` rows, too many for one task.
 
-    Heavy hitters are found with a mergeable sketch: one scan of the key columns
-    in which no rows are shuffled, only one small sketch per task, merged in two
-    steps. The answer steers the plan only, never the result.
+    This runs a job: one scan of the key columns in which no rows are shuffled,
+    only one small sketch of heavy hitters per task, merged in two steps. The
+    bound is a number of rows, whatever the size of the table, and the answer
+    steers the plan only, never the result.
     """
-    most = min(max(shuffle_width(df.sparkSession), 2), _MOST_LARGE)
     sketched = (
-        df.select(key.alias("_key"))
+        # A hash stands for keys of any type, NULL among them.
+        df.select(F.xxhash64(*keys).alias("_key"))
         .groupBy(F.pmod(F.spark_partition_id(), F.lit(_SKETCH_GROUPS)).alias("_group"))
         .agg(
             F.count(F.lit(1)).alias("_rows"),
@@ -50,42 +50,49 @@ def _find_large(df: DataFrame, key: Column, floor: int) -> list:
             F.sum("_rows").alias("rows"),
             F.expr(f"approx_top_k_combine(_sketch, {_TRACKED})").alias("_sketch"),
         )
-        .selectExpr("rows", f"approx_top_k_estimate(_sketch, {most}) AS top")
+        .selectExpr("rows", "approx_top_k_estimate(_sketch, 1) AS top")
     )
     row = sketched.first()
-    if row is None or not row["rows"]:
-        return []
-    limit = max(floor, row["rows"] // most)
-    return [hit["item"] for hit in row["top"] if hit["count"] > limit]
-
-
-def has_large_key(df: DataFrame, keys: Sequence[str], floor: int = SMALL_KEY_ROWS) -> bool:
-    """Whether some key holds too many rows for one task."""
-    return bool(_find_large(df, F.xxhash64(*keys), floor))
+    # Counts of the sketch are never too low.
+    return bool(row and row["rows"] and row["top"] and row["top"][0]["count"] > floor)
 
 
 def large_keys(df: DataFrame, key: str, floor: int = SMALL_KEY_ROWS) -> DataFrame | None:
-    """The keys too large for one task (fewer than 1000, so safe to broadcast), or None."""
-    found = _find_large(df, F.col(key), floor)
-    if not found:
+    """The keys of more than ``floor`` rows as a table, or None if there are none.
+
+    Only where the sketch finds one are keys counted; NULL is not among them, as
+    no join matches it. Their number is at most the rows over ``floor``.
+    """
+    if not has_large_key(df.filter(F.col(key).isNotNull()), [key], floor):
         return None
-    return df.sparkSession.createDataFrame(
-        [(value,) for value in found], T.StructType([T.StructField(key, df.schema[key].dataType)])
+    shared_dir(df.sparkSession)
+    found = (
+        df.filter(F.col(key).isNotNull())
+        .groupBy(key)
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .filter(F.col("_n") > floor)
+        .select(key)
+        .checkpoint(eager=True)
     )
+    count = found.count()
+    if not count:
+        return None
+    return F.broadcast(found) if count <= _MOST_BROADCAST else found
 
 
 def with_known(df: DataFrame, known: DataFrame, key: str, how: str, floor: int = SMALL_KEY_ROWS) -> DataFrame:
     """Join ``df`` to ``known`` (distinct by ``key``) where few keys may hold most of ``df``.
 
-    Rows of large keys are not shuffled: there are under 1000 such keys, and the
-    rows of ``known`` for them are broadcast. The other rows join as usual.
+    Rows of large keys are not shuffled where those are few enough to broadcast,
+    and with them the rows of ``known`` for them. The other rows join as usual.
     """
-    large = large_keys(df, key, floor)
-    if large is None:
+    hot = large_keys(df, key, floor)
+    if hot is None:
         return df.join(known, key, how)
-    hot = F.broadcast(large)
     rest = df.join(hot, key, "left_anti").join(known, key, how)
-    few = F.broadcast(known.join(hot, key, "left_semi"))
+    few = known.join(hot, key, "left_semi").checkpoint(eager=True)
+    if few.count() <= _MOST_BROADCAST:
+        few = F.broadcast(few)
     return rest.unionByName(df.join(hot, key, "left_semi").join(few, key, how))
 
 
@@ -155,8 +162,14 @@ def running_max(
         "_local", F.max("_value").over(w.rowsBetween(Window.unboundedPreceding, last))
     )
     # greatest() skips NULLs.
+    same = F.col(CHUNK) == F.col("_chunk_of")
+    renamed = [F.col(CHUNK).alias("_chunk_of"), "_carry"]
+    for i, k in enumerate(keys):
+        renamed.append(F.col(k).alias(f"_key_{i}"))
+        # NULL is a key like any other.
+        same = same & F.col(k).eqNullSafe(F.col(f"_key_{i}"))
     return (
-        local.join(carried, [*keys, CHUNK])
+        local.join(carried.select(*renamed), same)
         .withColumn(out, F.greatest("_carry", "_local"))
-        .drop("_carry", "_local", "_value", CHUNK)
+        .select(*df.columns, out)
     )

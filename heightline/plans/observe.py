@@ -202,17 +202,38 @@ def counter_rate(spark, sf):
     )
 
 
+# Two counters of each series, as a container has one for reads and one for writes.
+_SENT = "CAST(event_id % 97 AS DOUBLE)"
+_TWO_RATES_SQL = " UNION ALL ".join(
+    f"""SELECT range_start, event_type, coalesce(sum(
+               CASE WHEN {counter} < before THEN {counter} ELSE {counter} - before END), 0) AS increase
+    FROM (SELECT date_trunc('day', ts) AS range_start, event_type, user_id, event_id, value,
+                 lag({counter}) OVER (PARTITION BY date_trunc('day', ts), event_type, user_id
+                                      ORDER BY ts, event_id) AS before
+          FROM events)
+    GROUP BY range_start, event_type, user_id"""
+    for counter in ("value", _SENT)
+)
+
+
 @query(
     "rate_sum_by_label",
-    f"""SELECT epoch_us(range_start) AS range_start,
-            round(100 * sum(increase / {DAY_S}.0::DOUBLE), 9) AS rate
-        FROM ({_RATE_SQL}) GROUP BY range_start""",
+    f"""SELECT epoch_us(range_start) AS range_start, event_type,
+            round(sum(increase / {DAY_S}.0::DOUBLE), 9) AS rate
+        FROM ({_TWO_RATES_SQL}) GROUP BY range_start, event_type""",
 )
 def rate_sum_by_label(spark, sf):
-    summed = metrics.sum_rates(_rates(spark, sf), ["range_start"])
+    samples = inputs.samples(spark, sf)
+    series = ["event_type", "user_id"]
+    rates = [
+        metrics.counter_rate(samples.withColumn("value", value), series, "ts", ["event_id"], "value", "1 day", DAY_S)
+        for value in (F.col("value"), F.expr(_SENT))
+    ]
+    summed = metrics.sum_rates(rates[0].unionByName(rates[1]), ["range_start", "event_type"])
     return summed.select(
         _micros("range_start").alias("range_start"),
-        F.round(F.col("rate") * 100, 9).alias("rate"),
+        "event_type",
+        F.round("rate", 9).alias("rate"),
     )
 
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -35,8 +34,8 @@ def build_session(app: str = "heightline", master: str | None = None, **conf: st
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only where the session names none (tests on one machine) is a temporary
-    folder made and set as the checkpoint folder.
+    Where the session names none, as in tests, it is a folder in the warehouse,
+    which a cluster shares as well.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
@@ -46,9 +45,8 @@ def shared_dir(spark: SparkSession) -> str:
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
-    made = tempfile.mkdtemp(prefix="heightline-")
-    spark.sparkContext.setCheckpointDir(made)
-    return spark.sparkContext.getCheckpointDir() or made
+    spark.sparkContext.setCheckpointDir(f"{spark.conf.get('spark.sql.warehouse.dir')}/_work")
+    return spark.sparkContext.getCheckpointDir()
 
 
 def work_path(spark: SparkSession, name: str) -> str:

@@ -24,8 +24,10 @@ class EpochTable:
         df.select(*self.schema.names).write.mode("overwrite").parquet(self._folder(epoch))
 
     def epoch(self, epoch: int) -> DataFrame:
-        """The rows of one epoch, empty if it was never written."""
-        return self._read(self._folder(epoch), self.schema)
+        """The rows of one epoch; none for a negative one, an error if its folder is not there."""
+        if epoch < 0:
+            return self.spark.createDataFrame([], self.schema)
+        return self.spark.read.schema(self.schema).parquet(self._folder(epoch))
 
     def rows(self, before: int | None = None) -> DataFrame:
         """All rows, or those of epochs before ``before`` (other folders are not read)."""

@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry
+from heightline.plans import catalog
 
 from . import oracle
 
@@ -14,14 +15,14 @@ def duck():
     return oracle.connect(SF)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.QUERIES))
 def test_query(spark, duck, name):
     got = oracle.spark_rows(entry.queries()[name](spark, SF))
     assert got == oracle.duck_rows(duck, entry.oracle_sql()[name])
 
 
 def test_every_query_has_rows(duck):
-    empty = [n for n, sql in entry.oracle_sql().items() if not oracle.duck_rows(duck, sql)[1]]
+    empty = [n for n, sql in catalog.ORACLE.items() if not oracle.duck_rows(duck, sql)[1]]
     assert empty == []
 
 

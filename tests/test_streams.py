@@ -1,6 +1,7 @@
 import json
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from heightline.operators import dedup
@@ -206,7 +207,9 @@ def test_epoch_table_replaces_an_epoch(spark, tmp_path):
     table.write(spark.range(3), 1)
     table.write(spark.range(2), 1)
     assert (table.rows().count(), table.rows(before=1).count(), table.epoch(1).count()) == (7, 5, 2)
-    assert table.epoch(9).count() == 0
+    assert table.epoch(-1).count() == 0
+    with pytest.raises(AnalysisException):
+        table.epoch(9)
 
 
 def test_block_table_reads_only_its_heights(spark, tmp_path):
