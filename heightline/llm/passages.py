@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,8 +22,8 @@ BANDS = 2
 # Shorter runs of repeated paragraphs are not passages.
 LEAST_WORDS = 16
 
-_WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], dtype=np.uint64)
+_TOP = np.iinfo(np.uint64).max
 
 
 def _mixed(values: np.ndarray, round_: int) -> np.ndarray:
@@ -33,10 +32,9 @@ def _mixed(values: np.ndarray, round_: int) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def word_hashes(words: list[str]) -> np.ndarray:
-    return np.fromiter(
-        (xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass").lower()) for w in words), np.uint64, len(words)
-    )
+def words_in(text: str | None) -> list[bytes]:
+    """Words as bytes, A-Z in lower case; both methods of bytes know ASCII only."""
+    return (text or "").encode("utf-8", "surrogatepass").lower().split()
 
 
 def borders(hashes: np.ndarray, reach: int = REACH) -> np.ndarray:
@@ -52,122 +50,128 @@ def borders(hashes: np.ndarray, reach: int = REACH) -> np.ndarray:
     if n <= reach + 1:
         return np.array([0, n])
     pairs = _mixed(hashes[:-1] * np.uint64(3) + hashes[1:], 0)
-    fill = np.full(reach, np.iinfo(np.uint64).max, dtype=np.uint64)
+    fill = np.full(reach, _TOP, dtype=np.uint64)
     padded = np.concatenate([fill, pairs, fill])
-    windows = np.lib.stride_tricks.sliding_window_view(padded, reach)
-    before = windows[: len(pairs)].min(axis=1)
-    after = windows[reach + 1 :].min(axis=1)
-    at = np.flatnonzero((pairs < before) & (pairs <= after))
-    return np.concatenate([[0], at[(at > 0)], [n]])
+    size = len(pairs)
+    lowest = np.ones(size, dtype=bool)
+    for step in range(1, reach + 1):
+        lowest &= pairs < padded[reach - step : reach - step + size]
+        lowest &= pairs <= padded[reach + step : reach + step + size]
+    at = np.flatnonzero(lowest)
+    return np.concatenate([[0], at[at > 0], [n]])
 
 
 def shingle_hashes(hashes: np.ndarray) -> np.ndarray:
-    out = hashes[: len(hashes) - SHINGLE + 1].copy()
+    size = max(len(hashes) - SHINGLE + 1, 0)
+    out = hashes[:size].copy()
     for i in range(1, SHINGLE):
-        out = out * _ODD[1] + hashes[i : len(hashes) - SHINGLE + 1 + i]
+        out = out * _ODD[1] + hashes[i : size + i]
     return _mixed(out, 1)
 
 
 class Paragraphs:
-    """The paragraphs of one text: borders, hash of all words, and the shingles of each."""
+    """The paragraphs of one text: their borders, and a hash of all words of each."""
 
-    def __init__(self, words: list[str]):
-        self.hashes = word_hashes(words)
+    def __init__(self, words: list[bytes]):
+        self.hashes = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
         self.borders = borders(self.hashes) if words else np.array([0])
-        self.count = len(self.borders) - 1
-        self.whole = np.fromiter(
-            (xxhash.xxh64_intdigest(self.hashes[a:b].tobytes(), 7) for a, b in zip(self.borders, self.borders[1:])),
-            np.uint64,
-            self.count,
-        )
-        self.shingles = shingle_hashes(self.hashes) if len(words) >= SHINGLE else np.empty(0, np.uint64)
-
-    def of(self, k: int) -> np.ndarray:
-        """Distinct shingles of paragraph k; a paragraph too short for one has its hash."""
-        own = self.shingles[self.borders[k] : max(self.borders[k], self.borders[k + 1] - SHINGLE + 1)]
-        return np.unique(own) if len(own) else self.whole[k : k + 1]
+        self.starts = self.borders[:-1]
+        self.sizes = np.diff(self.borders)
+        self.count = len(self.sizes)
+        self.whole = np.empty(0, np.uint64)
+        if self.count:
+            # Word hashes weighed by their place in the paragraph.
+            place = np.arange(len(words)) - np.repeat(self.starts, self.sizes)
+            weighed = _mixed(self.hashes + place.astype(np.uint64) * _ODD[2], 2)
+            sums = np.add.reduceat(weighed, self.starts)
+            self.whole = _mixed(sums + self.sizes.astype(np.uint64) * _ODD[0], 0)
 
     def bands(self) -> np.ndarray:
-        """MinHash of each paragraph in each band (rows: bands)."""
+        """MinHash of each paragraph in each band (rows: bands); too short for a shingle, it has its own hash."""
         out = np.empty((BANDS, self.count), dtype=np.uint64)
-        starts, ends = self.borders[:-1], self.borders[1:] - SHINGLE + 1
-        long = ends > starts
+        ends = self.borders[1:] - SHINGLE + 1
+        long = ends > self.starts
+        edges = np.stack([self.starts[long], ends[long]], axis=1).ravel()
+        shingles = shingle_hashes(self.hashes)
         for band in range(BANDS):
-            out[band] = _mixed(self.whole, band)
-            if long.any():
-                values = np.append(_mixed(self.shingles, band + 2), np.iinfo(np.uint64).max)
-                edges = np.stack([starts[long], ends[long]], axis=1).ravel()
-                out[band, long] = np.minimum.reduceat(values, edges)[::2]
+            out[band] = self.whole
+            if len(edges):
+                out[band, long] = np.minimum.reduceat(np.append(_mixed(shingles, band + 2), _TOP), edges)[::2]
         return _mixed(out * np.uint64(BANDS + 1) + np.arange(1, BANDS + 1, dtype=np.uint64)[:, None], 3)
 
 
-def _signed(values: np.ndarray) -> pa.Array:
-    return pa.array(np.ascontiguousarray(values).view(np.int64))
+def shingles_of(paragraph: list[bytes]) -> set[bytes]:
+    """The distinct shingles of a paragraph; fewer words than a shingle are one."""
+    count = max(len(paragraph) - SHINGLE + 1, 1)
+    return {b" ".join(paragraph[i : i + SHINGLE]) for i in range(count)}
+
+
+def jaccard(a: list[bytes], b: list[bytes]) -> float:
+    left, right = shingles_of(a), shingles_of(b)
+    both = len(left & right)
+    return both / (len(left) + len(right) - both)
+
+
+def _signed(parts: list[np.ndarray]) -> pa.Array:
+    return pa.array(np.concatenate([np.empty(0, np.uint64), *parts]).view(np.int64))
 
 
 def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(key, banded, paragraph): each paragraph under its own hash and under its bands."""
     for batch in batches:
-        keys, banded, whole = [np.empty(0, np.uint64)], [np.empty(0, bool)], [np.empty(0, np.uint64)]
-        for text in batch.column(0):
-            p = Paragraphs(_WORDS.findall(text.as_py() or ""))
-            keys += [p.whole, p.bands().ravel()]
-            banded += [np.zeros(p.count, bool), np.ones(BANDS * p.count, bool)]
-            whole.append(np.tile(p.whole, 1 + BANDS))
+        found = [Paragraphs(words_in(t.as_py())) for t in batch.column(0)]
+        keys = [k for p in found for k in (p.whole, p.bands().ravel())]
+        banded = [k for p in found for k in (np.zeros(p.count, bool), np.ones(BANDS * p.count, bool))]
         yield pa.RecordBatch.from_arrays(
-            [_signed(np.concatenate(keys)), pa.array(np.concatenate(banded)), _signed(np.concatenate(whole))],
+            [_signed(keys), pa.array(np.concatenate([np.empty(0, bool), *banded])), _signed([np.tile(p.whole, 1 + BANDS) for p in found])],
             names=["key", "banded", "paragraph"],
         )
 
 
 def _banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(key, paragraph, shingles) for the bands of each paragraph."""
+    """(key, paragraph, words) under each band; the words are joined with spaces."""
     for batch in batches:
-        keys, whole, sets = [], [], []
-        for text in batch.column(0):
-            p = Paragraphs(_WORDS.findall(text.as_py() or ""))
-            bands = p.bands().view(np.int64)
-            for k in range(p.count):
-                own = p.of(k).view(np.int64)
-                for band in range(BANDS):
-                    keys.append(bands[band, k])
-                    whole.append(p.whole.view(np.int64)[k])
-                    sets.append(own)
+        keys, whole, texts = [], [], []
+        for t in batch.column(0):
+            words = words_in(t.as_py())
+            p = Paragraphs(words)
+            keys.append(p.bands().ravel())
+            whole.append(np.tile(p.whole, BANDS))
+            cut = p.borders.tolist()
+            texts += [b" ".join(words[a:b]) for a, b in zip(cut, cut[1:])] * BANDS
         yield pa.RecordBatch.from_arrays(
-            [pa.array(keys, pa.int64()), pa.array(whole, pa.int64()), pa.array(sets, pa.list_(pa.int64()))],
-            names=["key", "paragraph", "shingles"],
+            [_signed(keys), _signed(whole), pa.array(texts, pa.binary())], names=["key", "paragraph", "words"]
         )
 
 
 def _placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(id, doc, at, paragraph, start, end, words) of each paragraph; start and end in code points."""
+    """(id, doc, at, paragraph, start, words) of each paragraph; start and size in words."""
     for batch in batches:
-        rows: list[list] = [[], [], []]
-        at, whole, starts, ends, sizes = [], [], [], [], []
-        for i, text in enumerate(batch.column(2)):
-            found = list(_WORDS.finditer(text.as_py() or ""))
-            p = Paragraphs([m.group() for m in found])
-            rows[0] += [i] * p.count
-            at += range(p.count)
-            whole.append(p.whole)
-            starts += [found[a].start() for a in p.borders[:-1]]
-            ends += [found[b - 1].end() for b in p.borders[1:]]
-            sizes += np.diff(p.borders).tolist()
-        take = pa.array(rows[0], pa.int64())
+        found = [Paragraphs(words_in(t.as_py())) for t in batch.column(2)]
+        counts = [p.count for p in found]
+        row = pa.array(np.repeat(np.arange(len(found)), counts))
+        none = np.empty(0, np.int64)
         yield pa.RecordBatch.from_arrays(
             [
-                batch.column(0).take(take),
-                batch.column(1).take(take),
-                pa.array(at, pa.int32()),
-                _signed(np.concatenate([np.empty(0, np.uint64), *whole])),
-                pa.array(starts, pa.int64()),
-                pa.array(ends, pa.int64()),
-                pa.array(sizes, pa.int64()),
+                batch.column(0).take(row),
+                batch.column(1).take(row),
+                pa.array(np.concatenate([none, *(np.arange(n) for n in counts)]).astype(np.int32)),
+                _signed([p.whole for p in found]),
+                pa.array(np.concatenate([none, *(p.starts for p in found)]).astype(np.int64)),
+                pa.array(np.concatenate([none, *(p.sizes for p in found)]).astype(np.int64)),
             ],
-            names=["id", "doc", "at", "paragraph", "start", "end", "words"],
+            names=["id", "doc", "at", "paragraph", "start", "words"],
         )
 
 
+def _similar(similarity: float):
+    def verify(left: pa.Array, right: pa.Array) -> pa.Array:
+        pairs = zip(left.to_pylist(), right.to_pylist())
+        return pa.array([jaccard(a.split(b" "), b.split(b" ")) >= similarity for a, b in pairs], pa.bool_())
+
+    return F.arrow_udf(verify, "boolean")
+
+
 def classes(docs: DataFrame, text: str = "text", similarity: float = SIMILARITY, most: int = SMALL_ROWS) -> DataFrame:
     """(paragraph, root) of every paragraph that repeats: equal roots mean copies or near copies.
 
@@ -186,19 +190,17 @@ def classes(docs: DataFrame, text: str = "text", similarity: float = SIMILARITY,
         .where("(NOT banded AND n > 1) OR lo <> hi")
     )
     buckets = shared.where("banded").select(F.col("key").alias("_key"), "lo")
+    banded = texts.mapInArrow(_banded, "key long, paragraph long, words binary")
     met = settled(
-        join_checked(
-            texts.mapInArrow(_banded, "key long, paragraph long, shingles array<long>"), buckets, F.col("key") == F.col("_key"), "inner", most
-        )
+        join_checked(banded, buckets, F.col("key") == F.col("_key"), "inner", most)
         .groupBy("key", "lo", "paragraph")
-        .agg(F.min("shingles").alias("shingles"))
+        .agg(F.min("words").alias("words"))
     )
-    least = met.where("paragraph = lo").select("key", F.col("shingles").alias("of_least"))
-    both = F.size(F.array_intersect("shingles", "of_least"))
+    least = met.where("paragraph = lo").select("key", F.col("words").alias("least_words"))
     links = (
         met.where("paragraph <> lo")
         .join(least, "key")
-        .where(both >= similarity * (F.size("shingles") + F.size("of_least") - both))
+        .where(_similar(similarity)(F.col("words"), F.col("least_words")))
         .select(F.col("lo").alias("a"), F.col("paragraph").alias("b"))
     )
     roots = components(links)
@@ -217,14 +219,14 @@ def repeated_passages(
     least_words: int = LEAST_WORDS,
     most: int = SMALL_ROWS,
 ) -> DataFrame:
-    """One row per repeated passage: id, start, end, n_words, component_id, removed.
+    """One row per repeated passage: id, start, n_words, component_id, removed.
 
     A passage is a run of neighbouring paragraphs that repeat, in other
     documents or in its own, of at least ``least_words`` words. It is given in
     parts that stay or go together: a paragraph stays (``removed`` false) at the
     first place of its component by id, hash of the text and order in it, and
-    goes anywhere else. ``start`` and ``end`` are code points; ``component_id``
-    names the component of the part's first paragraph.
+    goes anywhere else. ``start`` is the number of words before it;
+    ``component_id`` names the component of the part's first paragraph.
 
     * Texts that are NULL or have no word give no row, as do texts without a
       repeated passage. NULL ids come last. Rows alike in id and text are copies
@@ -233,11 +235,11 @@ def repeated_passages(
     """
     rows = docs.select(F.col(id).alias("id"), F.xxhash64(F.col(text)).alias("doc"), F.col(text).alias("text"))
     kind = dict(rows.dtypes)["id"]
-    placed = rows.mapInArrow(_placed, f"id {kind}, doc long, at int, paragraph long, start long, end long, words long")
+    placed = rows.mapInArrow(_placed, f"id {kind}, doc long, at int, paragraph long, start long, words long")
     known = classes(docs, text, similarity, most).select(F.col("paragraph").alias("_paragraph"), "root")
     hits = settled(
         join_checked(placed, known, F.col("paragraph") == F.col("_paragraph"), "inner", most)
-        .select("id", "doc", "at", "root", "start", "end", "words")
+        .select("id", "doc", "at", "root", "start", "words")
     )
     place = F.struct(F.col("id").isNull().alias("none"), F.col("id").alias("id"), F.col("doc").alias("doc"), F.col("at").alias("at"))
     firsts = hits.groupBy("root").agg(F.min(place).alias("first"))
@@ -253,8 +255,7 @@ def repeated_passages(
     )
     return long.groupBy("id", "doc", "run", "part").agg(
         F.min("start").alias("start"),
-        F.max("end").alias("end"),
         F.sum("words").alias("n_words"),
         F.min_by("root", "at").alias("component_id"),
         F.first("removed").alias("removed"),
-    ).select(F.col("id").alias(id), "start", "end", "n_words", "component_id", "removed")
+    ).select(F.col("id").alias(id), "start", "n_words", "component_id", "removed")

@@ -36,8 +36,8 @@ class Rules:
     histogram.
     """
 
-    farthest_characters: float = 0.30
-    farthest_words: float = 0.40
+    farthest_characters: float = 0.28
+    farthest_words: float = 0.37
     least_characters: int = 100
     least_words: int = 50
 

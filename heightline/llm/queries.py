@@ -145,7 +145,7 @@ _BINS = [(f"s[{i}]", f"cls[{i}]") for i in range(1, 7)]
             FROM bins GROUP BY doc_id)
     SELECT doc_id, n AS n_words, coalesce(word_chars, 0)::BIGINT AS word_chars, k[4] AS n_symbols,
            len(lines) - len(list_distinct(lines)) AS n_dup_lines, covered AS n_repeat_words, failed AS base_failed,
-           NOT failed AND coalesce(characters, 0) <= 0.30 AND coalesce(words, 0) <= 0.40 AS kept
+           NOT failed AND coalesce(characters, 0) <= 0.28 AND coalesce(words, 0) <= 0.37 AS kept
     FROM base LEFT JOIN far USING (doc_id)
     """,
 )
