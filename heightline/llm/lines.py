@@ -50,6 +50,28 @@ def _keys(line: Column, length: Column, edits: int) -> Column:
     return F.array(*entries)
 
 
+# Letters that are counted to tell unlike lines apart before their text is read; four bits each.
+LETTERS = "eaionrts"
+
+
+def letter_counts(line: Column) -> Column:
+    """Counts of some letters, modulo 16, in one number."""
+    packed = F.lit(0)
+    for i, letter in enumerate(LETTERS):
+        n = F.octet_length(line) - F.octet_length(F.replace(line, F.lit(letter), F.lit("")))
+        packed = packed.bitwiseOR(F.shiftleft((n % 16).cast("long"), 4 * i))
+    return packed
+
+
+def may_be_near(a: Column, b: Column, edits: int) -> Column:
+    """Whether letter counts allow for so many edits: an edit changes two of them by one at most."""
+    apart = F.lit(0)
+    for i in range(len(LETTERS)):
+        step = (F.shiftright(a, 4 * i) - F.shiftright(b, 4 * i)).bitwiseAND(15)
+        apart = apart + F.least(step, 16 - step)
+    return apart <= 2 * edits
+
+
 def occurrences(docs: DataFrame, id: str, text: str, least: int) -> DataFrame:
     """(id, doc, at, line) for the lines that are compared: with a word, and at least ``least`` code points.
 
@@ -85,8 +107,9 @@ def repeated_lines(
     edits must share, at nearly the same place. Segments are stored under
     (number, length of the line, text); lines probe them for their own and each
     smaller length. Equal lines are one line here, so a line that is very common
-    meets no copies of itself. Candidates are verified with Spark's banded edit
-    distance. All keys are 64-bit hashes.
+    meets no copies of itself. Matches whose letter counts differ too much for
+    the edits are left out in the join; the others are verified with Spark's
+    banded edit distance. All keys are 64-bit hashes.
     """
     if least < 2 * edits + 1:
         raise ValueError("a compared line needs a code point for each segment, also when it is shorter by the edits")
@@ -105,13 +128,20 @@ def repeated_lines(
     )
     entries = (
         single.withColumn("length", F.char_length("line"))
-        .select("hash", F.explode(_keys(F.col("line"), F.col("length"), edits)).alias("e"))
-        .select("hash", "e.*")
+        .select(
+            "hash",
+            letter_counts(F.col("line")).alias("letters"),
+            F.explode(_keys(F.col("line"), F.col("length"), edits)).alias("e"),
+        )
+        .select("hash", "letters", "e.*")
+    )
+    stored = entries.where("stored").select(
+        "key", F.col("hash").alias("other"), F.col("letters").alias("other_letters")
     )
-    stored = entries.where("stored").select("key", F.col("hash").alias("other"))
     pairs = settled(
         entries.join(stored, "key")
         .where((F.col("hash") < F.col("other")) | (~F.col("stored") & (F.col("hash") > F.col("other"))))
+        .where(may_be_near(F.col("letters"), F.col("other_letters"), edits))
         .select(F.least("hash", "other").alias("a"), F.greatest("hash", "other").alias("b"))
         .distinct()
     )
