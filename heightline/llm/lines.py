@@ -51,7 +51,7 @@ def _keys(line: Column, length: Column, edits: int) -> Column:
 
 
 # Letters that are counted to tell unlike lines apart before their text is read; four bits each.
-LETTERS = "eaionrts"
+LETTERS = "eaionrtshldc"
 
 
 def letter_counts(line: Column) -> Column:
@@ -77,11 +77,10 @@ def occurrences(docs: DataFrame, id: str, text: str, least: int) -> DataFrame:
 
     ``doc`` is a hash of the text, which with the id tells documents apart.
     """
-    lines = docs.select(
-        F.col(id).alias("id"),
-        F.xxhash64(F.col(text)).alias("doc"),
-        F.posexplode(F.split(F.col(text), "\n")).alias("at", "line"),
+    split = docs.select(
+        F.col(id).alias("id"), F.xxhash64(F.col(text)).alias("doc"), F.split(F.col(text), "\n").alias("lines")
     )
+    lines = split.select("id", "doc", F.posexplode("lines").alias("at", "line"))
     return lines.where((F.char_length("line") >= least) & F.col("line").rlike(HAS_WORD))
 
 
@@ -127,12 +126,10 @@ def repeated_lines(
         F.col("_hash").isNull() | (_place() == F.col("_first"))
     )
     entries = (
+        # Beside a generator an expression is worked out for each row it makes, below it once.
         single.withColumn("length", F.char_length("line"))
-        .select(
-            "hash",
-            letter_counts(F.col("line")).alias("letters"),
-            F.explode(_keys(F.col("line"), F.col("length"), edits)).alias("e"),
-        )
+        .withColumn("letters", letter_counts(F.col("line")))
+        .select("hash", "letters", F.explode(_keys(F.col("line"), F.col("length"), edits)).alias("e"))
         .select("hash", "letters", "e.*")
     )
     stored = entries.where("stored").select(
