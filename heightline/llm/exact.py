@@ -90,7 +90,9 @@ def exact_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", mo
         .agg(F.count(F.lit(1)).alias("n"), F.min(order).alias("best"))
         .where("n > 1")
     )
-    paired = slim.join(groups, "full", "left")
+    # Rows that were settled early have no hash; joined, they would all go to one task.
+    paired = slim.where(F.col("full").isNotNull()).join(groups, "full", "left")
+    paired = paired.unionByName(slim.where(F.col("full").isNull()), allowMissingColumns=True)
     alone = F.col("n").isNull()
     return paired.select(
         *unveiled(carried),
