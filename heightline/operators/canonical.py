@@ -10,12 +10,14 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.bigints import parse_big
 from ..functions.hexes import address20, bloom256, clean_hex, hash32, is_zero_hash, nonce8
-from ..schemas import CORRUPT, HEADER, WIRE
+from ..functions.ids import UINT64_MAX
+from ..schemas import BLOCK, CORRUPT, HEADER, INT, LONG, STRING, TRANSACTION, UINT64, WITHDRAWAL
 
-WIRE_DDL = ", ".join(f"{f.name}: {f.dataType.simpleString()}" for f in WIRE.fields)
+WIRE_DDL = ", ".join(f"{f.name}: {f.dataType.simpleString()}" for f in BLOCK.fields)
 
 
 def _struct(fields: dict[str, str]) -> str:
@@ -171,18 +173,78 @@ def encode_payload(block: str) -> str:
 
 
 def read_payload(payload: str) -> str:
-    """The raw wire struct of JSON text, with the text itself where it is malformed."""
+    """JSON text read twice: ``e.p`` is the raw wire struct, ``v`` what kinds of values the text has.
+
+    ``from_json`` takes any value for a string and stops at the end of the first
+    object, so it alone does not tell sound text. The text stands in an object
+    in one reading and in an array in the other; text after the payload breaks
+    one of them, or is a second element of the array.
+    """
     text = f"CASE WHEN trim({payload}) = 'null' THEN '{{}}' ELSE {payload} END"
-    return (
-        f"from_json({text}, 'STRUCT<{WIRE_DDL}>', map('columnNameOfCorruptRecord', '{CORRUPT}'))"
+    envelope = f"STRUCT<p: STRUCT<{WIRE_DDL}>, end: INT, {CORRUPT}: STRING>"
+    options = f"map('columnNameOfCorruptRecord', '{CORRUPT}', 'allowSingleQuotes', 'false')"
+    return _struct(
+        {
+            "e": f"from_json(concat('{{\"p\":', {text}, ',\"end\":1}}'), '{envelope}', {options})",
+            "v": f"try_parse_json(concat('[', {text}, ']'))",
+        }
     )
 
 
+def _wrong_kinds(fields: T.StructType) -> str:
+    """Pattern of a description of kinds in which some field has a value it cannot take."""
+    texts = "|".join(f.name for f in fields if f.dataType == STRING)
+    numbers = "|".join(f.name for f in fields if isinstance(f.dataType, T.NumericType))
+    parts = [f"(?:{texts}): (?!STRING|VOID)"]
+    if numbers:
+        parts.append(rf"(?:{numbers}): (?!BIGINT|VOID|DECIMAL\(\d+,0\))")
+    return f"[< ](?:{'|'.join(parts)})"
+
+
+def _kinds_ok(wire: str) -> str:
+    """Strings are strings and numbers whole numbers, at each place that is read."""
+
+    def kinds(path: str) -> str:
+        return f"coalesce(schema_of_variant(try_variant_get({wire}.v, '$[0]{path}', 'variant')), 'VOID')"
+
+    keys = r"[< ](?:address: (?!STRING|VOID)|storageKeys: (?!ARRAY<STRING>|ARRAY<VOID>|VOID))"
+    tests = [
+        f"{kinds('.hash')} IN ('STRING', 'VOID')",
+        f"NOT {kinds('.header')} rlike r'{_wrong_kinds(HEADER)}'",
+        f"NOT {kinds('.uncles')} rlike r'{_wrong_kinds(HEADER)}'",
+        f"NOT {kinds('.transactions')} rlike r'{_wrong_kinds(TRANSACTION)}|{keys}'",
+        f"NOT {kinds('.withdrawals')} rlike r'{_wrong_kinds(WITHDRAWAL)}'",
+    ]
+    return " AND ".join(tests)
+
+
+def _in_range(fields: T.StructType, of: str) -> str:
+    """Whether all numbers of a struct are unsigned and within their bits."""
+    limits = {UINT64: f"cast('{UINT64_MAX}' AS DECIMAL(20,0))", LONG: f"{2**63 - 1}L", INT: "255"}
+    return " AND ".join(
+        f"coalesce({of}.{f.name} BETWEEN 0 AND {limits[f.dataType]}, TRUE)"
+        for f in fields
+        if f.dataType in limits
+    )
+
+
+def _all_in_range(fields: T.StructType, items: str) -> str:
+    return f"coalesce(forall({items}, x -> {_in_range(fields, 'x')}), TRUE)"
+
+
 def wire_ok(wire: str) -> str:
-    """Whether a wire struct was read without error and holds unsigned numbers."""
+    """Whether the whole of a payload was read, and each value is of its kind and in its range.
+
+    An object that names a field twice is not sound.
+    """
+    block = f"{wire}.e.p"
     return (
-        f"({wire} IS NOT NULL AND {wire}.{CORRUPT} IS NULL "
-        f"AND coalesce({wire}.header.number, 0) >= 0 AND coalesce({wire}.header.time, 0) >= 0)"
+        f"coalesce({wire}.e.{CORRUPT} IS NULL AND {wire}.e.end = 1 "
+        f"AND {wire}.v IS NOT NULL AND try_variant_get({wire}.v, '$[1]', 'variant') IS NULL "
+        f"AND {_kinds_ok(wire)} AND {_in_range(HEADER, f'{block}.header')} "
+        f"AND {_all_in_range(HEADER, f'{block}.uncles')} "
+        f"AND {_all_in_range(TRANSACTION, f'{block}.transactions')} "
+        f"AND {_all_in_range(WITHDRAWAL, f'{block}.withdrawals')}, FALSE)"
     )
 
 
@@ -215,10 +277,11 @@ def with_block(df: DataFrame, raw: str = "raw", into: str = "block") -> DataFram
 
 def decode_payload(df: DataFrame, payload: str = "payload", into: str = "block") -> DataFrame:
     """Add the canonical block of a JSON payload; NULL where it cannot be read."""
+    read = once(df, "_wire", F.expr(read_payload(payload)))
     return (
-        once(df, "_wire", F.expr(read_payload(payload)))
-        .withColumn(into, F.expr(f"CASE WHEN {wire_ok('_wire')} THEN {map_block('_wire')} END"))
-        .drop("_wire")
+        once(read, "_sound", F.expr(wire_ok("_wire")))
+        .withColumn(into, F.expr(f"CASE WHEN _sound THEN {map_block('_wire.e.p')} END"))
+        .drop("_wire", "_sound")
     )
 
 

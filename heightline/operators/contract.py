@@ -48,13 +48,14 @@ def check_messages(df: DataFrame) -> DataFrame:
     The payload is parsed once; nothing is dropped, so callers can split the
     result into good rows (``reason IS NULL``) and a quarantine table.
     """
-    parsed = canonical.once(df, "_wire", F.expr(canonical.read_payload("payload"))).withColumn(
+    read = canonical.once(df, "_wire", F.expr(canonical.read_payload("payload")))
+    parsed = canonical.once(read, "_sound", F.expr(canonical.wire_ok("_wire"))).withColumn(
         "_sent_number", parse_uint64(F.col("number")).try_cast("bigint")
     )
     block = canonical.map_block(
-        "_wire",
-        canonical.repaired_hash("_wire.hash", "hash"),
-        canonical.repaired_number("_wire.header.number", "_sent_number"),
+        "_wire.e.p",
+        canonical.repaired_hash("_wire.e.p.hash", "hash"),
+        canonical.repaired_number("_wire.e.p.header.number", "_sent_number"),
     )
     return parsed.withColumns(
         {
@@ -62,11 +63,11 @@ def check_messages(df: DataFrame) -> DataFrame:
                 F.col("hash"),
                 F.col("number"),
                 F.col("payload"),
-                F.expr(canonical.wire_ok("_wire")),
+                F.col("_sound"),
             ),
             "block": F.expr(block),
         }
-    ).drop("_wire", "_sent_number")
+    ).drop("_wire", "_sound", "_sent_number")
 
 
 def too_large(value: Column, limit: int) -> Column:

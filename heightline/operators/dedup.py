@@ -43,14 +43,16 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) ->
 
 
 def _runs(*columns: pa.Array) -> list[tuple[int, int]]:
-    """Start and end of each run of rows equal in all columns."""
+    """Start and end of each run of rows equal in all columns; NULL equals NULL."""
     n = len(columns[0])
     if n == 0:
         return []
     changed = np.zeros(n - 1, dtype=bool)
     for column in columns:
-        step = pc.not_equal(column.slice(1), column.slice(0, n - 1))
+        step = pc.fill_null(pc.not_equal(column.slice(1), column.slice(0, n - 1)), False)
         changed |= step.to_numpy(zero_copy_only=False)
+        null = column.is_null().to_numpy(zero_copy_only=False)
+        changed |= null[1:] != null[:-1]
     edges = [0, *(np.flatnonzero(changed) + 1).tolist(), n]
     return list(zip(edges[:-1], edges[1:]))
 
@@ -219,8 +221,9 @@ def _split_key_dedup(df: DataFrame, key: str, at: str, ttl: int, tie: Sequence[s
     )
     # One row per key and chunk. The sort makes the result right whichever join
     # is picked; a broadcast join keeps the layout and the sort is a no-op.
+    carried = carries.select(F.col(key).alias("_of"), F.col(CHUNK).alias("_in"), _CARRY)
     return (
-        chunks.join(carries, [key, CHUNK], "left")
+        chunks.join(carried, F.col(key).eqNullSafe(F.col("_of")) & (F.col(CHUNK) == F.col("_in")), "left")
         .sortWithinPartitions(key, CHUNK, at, *tie)
         .select(*columns, CHUNK, _CARRY)
         .mapInArrow(_accept_rows(key, at, ttl, columns, carried=True), df.schema)
@@ -240,14 +243,17 @@ def dedup_ttl(
     The time counts from the last *accepted* row, so a rejected repeat does not
     extend it, and a row exactly ``ttl`` later is accepted. ``at`` is a BIGINT
     time in the unit of ``ttl``; ``tie`` orders rows of equal time and should
-    end in a unique column. Keys must not be NULL.
+    end in a unique column. NULL is a key like any other.
 
     Rows stream through each task with one carried time per key. Keys of more
     than ``floor`` rows are cut into chunks (see ``ordered``).
     """
     accept = _accept_rows(key, at, ttl, df.columns, carried=False)
     large = large_keys(df, key, floor)
-    small = df if large is None else df.join(large, key, "left_anti")
+    if large is not None:
+        large = large.withColumnRenamed(key, "_large")
+        is_large = F.col(key).eqNullSafe(F.col("_large"))
+    small = df if large is None else df.join(large, is_large, "left_anti")
     result = (
         small.select(*df.columns)
         .repartition(key)
@@ -256,5 +262,5 @@ def dedup_ttl(
     )
     if large is None:
         return result
-    hot = df.join(large, key, "left_semi").select(*df.columns)
+    hot = df.join(large, is_large, "left_semi").select(*df.columns)
     return result.unionByName(_split_key_dedup(hot, key, at, ttl, tie))

@@ -215,7 +215,9 @@ _MESSAGE_FIELDS = {
         WHEN k >= 20 AND k < 23 THEN 'x' WHEN k >= 23 AND k < 25 THEN '18446744073709551616'
         ELSE CAST(event_id AS {string}) END""",
     "payload": """CASE WHEN k >= 25 AND k < 30 THEN NULL WHEN k >= 30 AND k < 35 THEN ''
-        WHEN k >= 35 AND k < 40 THEN '{{'
+        WHEN k = 35 THEN '{{' WHEN k = 36 THEN '{{"header":{{"number":7}}}}garbage'
+        WHEN k = 37 THEN '{{"hash":5}}' WHEN k = 38 THEN '{{"header":{{"gasLimit":"5"}}}}'
+        WHEN k = 39 THEN '{{"header":{{"gasUsed":-5}}}}'
         WHEN k < 60 THEN '{{"header":{{"number":0}}}}'
         ELSE '{{"hash":"' || hash || '","header":{{"number":' || CAST(event_id + 1 AS {string}) || '}}}}'
         END""",

@@ -89,7 +89,9 @@ def latest_per_key(spark, sf):
             WHEN NOT regexp_full_match(number, '[0-9]+')
                  OR TRY_CAST(number AS UBIGINT) IS NULL THEN 'number_invalid'
             WHEN payload IS NULL THEN 'payload_missing' WHEN payload = '' THEN 'payload_empty'
-            WHEN NOT json_valid(payload) THEN 'payload_undecodable' END AS reason
+            WHEN NOT json_valid(payload) THEN 'payload_undecodable'
+            WHEN json_type(payload, '$.hash') <> 'VARCHAR' OR json_type(payload, '$.header.gasLimit') <> 'UBIGINT'
+                 OR json_type(payload, '$.header.gasUsed') <> 'UBIGINT' THEN 'payload_undecodable' END AS reason
         FROM ({_MESSAGES})""",
 )
 def message_contract(spark, sf):

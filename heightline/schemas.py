@@ -59,7 +59,6 @@ BLOCK = struct(
     withdrawals=T.ArrayType(WITHDRAWAL),
 )
 CORRUPT = "_corrupt_record"
-WIRE = T.StructType([*BLOCK.fields, T.StructField(CORRUPT, STRING)])
 
 OUTBOX = struct(id=STRING, hash=STRING, number=STRING, payload=STRING, scanned_at_ms=STRING)
 RECORD = struct(

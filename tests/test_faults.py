@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from heightline.operators import backlog, contract, heights, markers, metrics, ordered
+from heightline.operators import backlog, canonical, contract, dedup, heights, markers, metrics, ordered
 
 
 @pytest.mark.parametrize("floor", [0, ordered.SMALL_KEY_ROWS])
@@ -64,6 +64,47 @@ def test_heights_beyond_bigint_are_put_aside(spark):
     assert found == {7: None, 2**63 - 1: None, 2**63: "number_invalid", 2**64 - 1: "number_invalid"}
 
 
+@pytest.mark.parametrize("floor", [0, ordered.SMALL_KEY_ROWS])
+def test_null_keys_have_a_time_to_live(spark, floor):
+    rows = [(None if i % 3 == 0 else f"k{i % 2}", i * 5 % 97, i) for i in range(300)]
+    df = spark.createDataFrame(rows, "k string, at long, i int").repartition(4)
+    got = sorted(r.i for r in dedup.dedup_ttl(df, "k", "at", 10, ["i"], floor).collect())
+    accepted, want = {}, []
+    for k, at, i in sorted(rows, key=lambda r: (r[1], r[2])):
+        if k not in accepted or at >= accepted[k] + 10:
+            accepted[k] = at
+            want.append(i)
+    assert got == sorted(want)
+
+
+UNSOUND = [
+    '{"header":{"number":7}}garbage', '{"header":{"number":7}}{}', '{},{}', '{},"p":{}', '{}],"q":[{}',
+    '{},"end":1} x', '{}}', '[{}]', '{"hash":5}', '{"hash":{"a":1}}', '{"hash":true}', "{'hash':'0x1'}",
+    '{"header":{"nonce":1}}', '{"header":{"number":7.5}}', '{"header":{"gasLimit":"5"}}',
+    '{"header":{"gasLimit":-5}}', '{"header":{"gasLimit":5.7}}',
+    '{"header":{"gasLimit":36893488147419103232}}', '{"header":{"gasLimit":1%s}}' % ("0" * 40),
+    '{"header":{"blobGasUsed":-1}}', '{"uncles":[{"gasUsed":-1}]}', '{"uncles":[{"extra":7}]}',
+    '{"transactions":[{"gas":-1}]}', '{"transactions":[{"type":300}]}', '{"transactions":[{"type":-1}]}',
+    '{"transactions":[{"nonce":"1"}]}', '{"transactions":[{"to":1}]}', '{"transactions":[{"hash":"0x1"},{"hash":2}]}',
+    '{"transactions":[{"accessList":[{"address":1}]}]}',
+    '{"transactions":[{"accessList":[{"storageKeys":[1]}]}]}', '{"withdrawals":[{"amount":-1}]}',
+    '{"withdrawals":[{"address":0}]}',
+]
+SOUND = [
+    "{}", " null ", ' {"hash":"0x1"}\n', '{"other":{"x":[1,"a"]},"header":{"number":9}}',
+    '{"header":{"gasLimit":18446744073709551615,"nonce":"0x1"}}', '{"hash":null,"header":null,"uncles":[null]}',
+    '{"transactions":[{"type":255,"nonce":1,"accessList":[{"address":"0x1","storageKeys":["0x2"]}]},{"nonce":null}]}',
+    '{"withdrawals":[null,{"index":1,"address":"0x3"}],"transactions":[]}',
+]
+
+
+def test_payloads_are_read_strictly(spark):
+    df = spark.createDataFrame(list(enumerate(UNSOUND + SOUND)), "i int, payload string")
+    blocks = [r.block for r in canonical.decode_payload(df).orderBy("i").collect()]
+    assert [p for p, b in zip(UNSOUND, blocks) if b is not None] == []
+    assert [p for p, b in zip(SOUND, blocks[len(UNSOUND) :]) if b is None] == []
+
+
 def test_long_ranges_are_whole(spark):
     df = spark.createDataFrame([(5, 4), (1, 1), (10, 250_011)], "lo long, hi long")
     got = heights.explode_heights(df, F.col("lo"), F.col("hi"), "h").agg(F.count("h"), F.min("h"), F.max("h")).first()
