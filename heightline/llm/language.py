@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .rows import blocks
+from .rows import blocks, settled
 
 UNKNOWN = "und"
 # n-grams of 1 to 3 characters; a profile is the most frequent ones, in order.
@@ -150,7 +150,8 @@ def learn(docs: DataFrame, text: str = "text", lang: str = "lang") -> Profiles:
     )
     counts = rows.mapInArrow(_count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     of_language = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
-    top = counts.select("*", F.row_number().over(of_language).alias("rank")).where(F.col("rank") <= RANKS)
+    # Read twice below: worked out once, RANKS rows a language.
+    top = settled(counts.select("*", F.row_number().over(of_language).alias("rank")).where(F.col("rank") <= RANKS))
     sizes = top.groupBy("lang").agg(F.max("n").alias("size"))
     frequent = sizes.orderBy(F.desc("size"), "lang").limit(MOST_LANGUAGES)
     ordered: dict[str, list] = defaultdict(list)
