@@ -143,10 +143,20 @@ def near_duplicates(
             fingerprint(F.col(text), words).alias("mark"),
         )
     )
-    first = F.min(F.struct(F.col(id).isNull().alias("none"), F.col(id).alias("id"), F.col("text_hash").alias("hash")))
-    nodes = settled(rows.groupBy("mark").agg(first.alias("first")))
-    roots = components(links(nodes.select("mark"), distance)).withColumnRenamed("node", "mark")
-    rooted = nodes.join(roots, "mark", "left").withColumn("root", F.coalesce("root", "mark"))
+    nodes = settled(rows.groupBy("mark").agg(_first(id).alias("first")))
+    roots = components(links(nodes.select("mark"), distance))
+    return grouped(rows, roots, id, nodes)
+
+
+def _first(id: str) -> Column:
+    return F.min(F.struct(F.col(id).isNull().alias("none"), F.col(id).alias("id"), F.col("text_hash").alias("hash")))
+
+
+def grouped(rows: DataFrame, roots: DataFrame, id: str, nodes: DataFrame | None = None) -> DataFrame:
+    """Rows (id, text_hash, mark) with ``component_id`` and ``kept``, by the (node, root) of their marks."""
+    if nodes is None:
+        nodes = settled(rows.groupBy("mark").agg(_first(id).alias("first")))
+    rooted = nodes.join(roots.withColumnRenamed("node", "mark"), "mark", "left").withColumn("root", F.coalesce("root", "mark"))
     firsts = rooted.groupBy("root").agg(F.min("first").alias("least"))
     named = rooted.select("mark", "root").join(firsts, "root").select("mark", "least")
     return rows.join(named, "mark").select(
@@ -165,9 +175,12 @@ def drop_near_duplicates(
 
     Rows alike in id and text are one document: one of them stays.
     """
-    kept = near_duplicates(docs, id, text, words, distance).where("kept").select(
-        F.col(id).alias("_id"), F.col("text_hash").alias("_hash")
-    ).distinct()
+    return one_of_each(docs, near_duplicates(docs, id, text, words, distance), id, text)
+
+
+def one_of_each(docs: DataFrame, judged: DataFrame, id: str, text: str) -> DataFrame:
+    """The rows of ``docs`` that ``judged`` (id, text_hash, kept) keeps; one of those alike in id and text."""
+    kept = judged.where("kept").select(F.col(id).alias("_id"), F.col("text_hash").alias("_hash")).distinct()
     own = f"_{docs.columns.index(id)}"
     whole = veiled(docs).withColumn("_text", F.xxhash64(F.col(f"_{docs.columns.index(text)}")))
     return (
