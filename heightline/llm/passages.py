@@ -1,4 +1,4 @@
-"""Passages that repeat across documents: MinHash banding of content-defined paragraphs."""
+"""Passages that repeat across documents: near copies of lines, and equal runs of words anywhere in them."""
 
 from __future__ import annotations
 
@@ -7,19 +7,18 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .components import components
 from .rows import SMALL_ROWS, join_checked, settled
+from .similar import SIMILARITY, band_keys, jaccard, linked, words_in  # noqa: F401
 
-SHINGLE = 5
-SIMILARITY = 0.8
 # A border is the smallest word pair among this many before and after it.
 REACH = 4
-# One MinHash value per band: two paragraphs at the least similarity meet in one of two bands with 96 %.
-BANDS = 2
-# Shorter runs of repeated paragraphs are not passages.
+# Two lines at the least similarity share no band in 3 of 10,000 cases.
+BANDS = 8
+VALUES = 2
+# Shorter runs of repeated words are not passages, and shorter lines no near copies.
 LEAST_WORDS = 16
 
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], dtype=np.uint64)
@@ -32,11 +31,6 @@ def _mixed(values: np.ndarray, round_: int) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def words_in(text: str | None) -> list[bytes]:
-    """Words as bytes, A-Z in lower case; both methods of bytes know ASCII only."""
-    return (text or "").encode("utf-8", "surrogatepass").lower().split()
-
-
 def borders(hashes: np.ndarray, reach: int = REACH) -> np.ndarray:
     """First words of the paragraphs of a text, the first word and the end included.
 
@@ -61,14 +55,6 @@ def borders(hashes: np.ndarray, reach: int = REACH) -> np.ndarray:
     return np.concatenate([[0], at[at > 0], [n]])
 
 
-def shingle_hashes(hashes: np.ndarray) -> np.ndarray:
-    size = max(len(hashes) - SHINGLE + 1, 0)
-    out = hashes[:size].copy()
-    for i in range(1, SHINGLE):
-        out = out * _ODD[1] + hashes[i : size + i]
-    return _mixed(out, 1)
-
-
 class Paragraphs:
     """The paragraphs of one text: their borders, and a hash of all words of each."""
 
@@ -86,62 +72,16 @@ class Paragraphs:
             sums = np.add.reduceat(weighed, self.starts)
             self.whole = _mixed(sums + self.sizes.astype(np.uint64) * _ODD[0], 0)
 
-    def bands(self) -> np.ndarray:
-        """MinHash of each paragraph in each band (rows: bands); too short for a shingle, it has its own hash."""
-        out = np.empty((BANDS, self.count), dtype=np.uint64)
-        ends = self.borders[1:] - SHINGLE + 1
-        long = ends > self.starts
-        edges = np.stack([self.starts[long], ends[long]], axis=1).ravel()
-        shingles = shingle_hashes(self.hashes)
-        for band in range(BANDS):
-            out[band] = self.whole
-            if len(edges):
-                out[band, long] = np.minimum.reduceat(np.append(_mixed(shingles, band + 2), _TOP), edges)[::2]
-        return _mixed(out * np.uint64(BANDS + 1) + np.arange(1, BANDS + 1, dtype=np.uint64)[:, None], 3)
-
-
-def shingles_of(paragraph: list[bytes]) -> set[bytes]:
-    """The distinct shingles of a paragraph; fewer words than a shingle are one."""
-    count = max(len(paragraph) - SHINGLE + 1, 1)
-    return {b" ".join(paragraph[i : i + SHINGLE]) for i in range(count)}
-
-
-def jaccard(a: list[bytes], b: list[bytes]) -> float:
-    left, right = shingles_of(a), shingles_of(b)
-    both = len(left & right)
-    return both / (len(left) + len(right) - both)
-
 
 def _signed(parts: list[np.ndarray]) -> pa.Array:
     return pa.array(np.concatenate([np.empty(0, np.uint64), *parts]).view(np.int64))
 
 
-def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(key, banded, paragraph): each paragraph under its own hash and under its bands."""
-    for batch in batches:
-        found = [Paragraphs(words_in(t.as_py())) for t in batch.column(0)]
-        keys = [k for p in found for k in (p.whole, p.bands().ravel())]
-        banded = [k for p in found for k in (np.zeros(p.count, bool), np.ones(BANDS * p.count, bool))]
-        yield pa.RecordBatch.from_arrays(
-            [_signed(keys), pa.array(np.concatenate([np.empty(0, bool), *banded])), _signed([np.tile(p.whole, 1 + BANDS) for p in found])],
-            names=["key", "banded", "paragraph"],
-        )
-
-
-def _banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(key, paragraph, words) under each band; the words are joined with spaces."""
+def _wholes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The hash of each paragraph."""
     for batch in batches:
-        keys, whole, texts = [], [], []
-        for t in batch.column(0):
-            words = words_in(t.as_py())
-            p = Paragraphs(words)
-            keys.append(p.bands().ravel())
-            whole.append(np.tile(p.whole, BANDS))
-            cut = p.borders.tolist()
-            texts += [b" ".join(words[a:b]) for a, b in zip(cut, cut[1:])] * BANDS
-        yield pa.RecordBatch.from_arrays(
-            [_signed(keys), _signed(whole), pa.array(texts, pa.binary())], names=["key", "paragraph", "words"]
-        )
+        found = [Paragraphs(words_in(t.as_py())).whole for t in batch.column(0)]
+        yield pa.RecordBatch.from_arrays([_signed(found)], names=["paragraph"])
 
 
 def _placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -164,51 +104,242 @@ def _placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _similar(similarity: float):
-    def verify(left: pa.Array, right: pa.Array) -> pa.Array:
-        pairs = zip(left.to_pylist(), right.to_pylist())
-        return pa.array([jaccard(a.split(b" "), b.split(b" ")) >= similarity for a, b in pairs], pa.bool_())
+def _lines(text: str | None, least: int) -> Iterator[tuple[int, list[bytes]]]:
+    """(words before it, words) of each line of at least ``least`` words."""
+    at = 0
+    for line in (text or "").split("\n"):
+        words = words_in(line)
+        if len(words) >= least:
+            yield at, words
+        at += len(words)
+
+
+def _node(words: list[bytes]) -> int:
+    return xxhash.xxh64_intdigest(b" ".join(words))
+
+
+def _line_table(least: int, what: str):
+    """Lines as tables: their band keys, their words or their places."""
+
+    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found, nodes, sizes = [], [], []
+            for t in batch.column(0):
+                for _, words in _lines(t.as_py(), least):
+                    bands, size = band_keys(words, BANDS, VALUES)
+                    found.append(bands)
+                    nodes.append(np.full(len(bands), _node(words), np.uint64))
+                    sizes += [size] * len(bands)
+            yield pa.RecordBatch.from_arrays([_signed(found), _signed(nodes), pa.array(sizes, pa.int64())], names=["key", "node", "size"])
+
+    def bodies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [b" ".join(words) for t in batch.column(0) for _, words in _lines(t.as_py(), least)]
+            nodes = np.array([xxhash.xxh64_intdigest(t) for t in texts], np.uint64)
+            yield pa.RecordBatch.from_arrays([_signed([nodes]), pa.array(texts, pa.binary())], names=["node", "words"])
+
+    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [(i, at, len(w), _node(w)) for i, t in enumerate(batch.column(2)) for at, w in _lines(t.as_py(), least)]
+            row, start, words, nodes = zip(*found) if found else ((), (), (), ())
+            row = pa.array(row, pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0).take(row),
+                    batch.column(1).take(row),
+                    _signed([np.array(nodes, np.uint64)]),
+                    pa.array(start, pa.int64()),
+                    pa.array(words, pa.int64()),
+                ],
+                names=["id", "doc", "node", "start", "words"],
+            )
+
+    return {"keys": keys, "bodies": bodies, "places": places}[what]
+
+
+def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(id, doc, pos, left, right): the words outward from a border, as hashes.
+
+    Where two texts are equal, their borders are too. So words that go on
+    equal end within the next paragraph or the few words that decide its border.
+    """
+    more = REACH + 2
+    for batch in batches:
+        row, pos, left, right = [], [], [], []
+        for i, (t, wanted) in enumerate(zip(batch.column(2), batch.column(3))):
+            p = Paragraphs(words_in(t.as_py()))
+            signed = p.hashes.view(np.int64)
+            for at in wanted.as_py():
+                k = int(np.searchsorted(p.borders, at))
+                begin = max(int(p.borders[max(k - 1, 0)]) - more, 0)
+                end = int(p.borders[min(k + 1, p.count)]) + more
+                row.append(i)
+                pos.append(at)
+                left.append(signed[begin:at][::-1])
+                right.append(signed[at:end])
+        row = pa.array(row, pa.int64())
+        many = pa.list_(pa.int64())
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0).take(row), batch.column(1).take(row), pa.array(pos, pa.int64()), pa.array(left, many), pa.array(right, many)],
+            names=["id", "doc", "pos", "left", "right"],
+        )
+
+
+def _common() -> Column:
+    """How many values two arrays have in common from their first on."""
+
+    def count(a: pa.Array, b: pa.Array) -> pa.Array:
+        out = []
+        for x, y in zip(a, b):
+            n = 0
+            for u, v in zip(x.as_py(), y.as_py()):
+                if u != v:
+                    break
+                n += 1
+            out.append(n)
+        return pa.array(out, pa.int64())
+
+    return F.arrow_udf(count, "long")
+
+
+def _merged(least_words: int):
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """(id, start, n_words, component_id, removed) from the ranges of a document; what one range removes goes."""
+        for batch in batches:
+            row, out = [], []
+            for i, ranges in enumerate(batch.column(1)):
+                for part in _parts([(r["start"], r["end"], r["removed"], r["root"]) for r in ranges.as_py()], least_words):
+                    row.append(i)
+                    out.append(part)
+            start, words, root, removed = zip(*out) if out else ((), (), (), ())
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0).take(pa.array(row, pa.int64())),
+                    pa.array(start, pa.int64()),
+                    pa.array(words, pa.int64()),
+                    pa.array(root, pa.int64()),
+                    pa.array(removed, pa.bool_()),
+                ],
+                names=["id", "start", "n_words", "component_id", "removed"],
+            )
+
+    return merge
+
+
+def _parts(ranges: list[tuple[int, int, bool, int]], least_words: int) -> list[tuple[int, int, int, bool]]:
+    ranges = sorted(ranges)
+    runs: list[list] = []
+    for r in ranges:
+        if runs and r[0] <= runs[-1][1]:
+            runs[-1][1] = max(runs[-1][1], r[1])
+            runs[-1][2].append(r)
+        else:
+            runs.append([r[0], r[1], [r]])
+    out = []
+    for begin, end, held in runs:
+        if end - begin < least_words:
+            continue
+        gone = np.zeros(end - begin, dtype=bool)
+        names = np.zeros((2, end - begin), dtype=np.int64)
+        for s, e, removed, root in reversed(held):
+            gone[s - begin : e - begin] |= removed
+            names[int(removed), s - begin : e - begin] = root
+        cuts = [0, *(np.flatnonzero(gone[1:] != gone[:-1]) + 1).tolist(), end - begin]
+        for a, b in zip(cuts, cuts[1:]):
+            out.append((begin + a, b - a, int(names[int(gone[a]), a]), bool(gone[a])))
+    return out
+
+
+def line_hits(rows: DataFrame, similarity: float, least: int, most: int) -> DataFrame:
+    """(id, doc, root, start, words, removed) of the lines with near copies: all but the first place of a component go."""
+    texts = rows.select("text")
+    kind = dict(rows.dtypes)["id"]
+    # Read twice: worked out once.
+    members = settled(texts.mapInArrow(_line_table(least, "keys"), "key long, node long, size long").distinct())
+    bodies = texts.mapInArrow(_line_table(least, "bodies"), "node long, words binary")
+    roots = settled(linked(members, bodies, similarity, most).withColumnRenamed("node", "_node"))
+    placed = rows.mapInArrow(_line_table(least, "places"), f"id {kind}, doc long, node long, start long, words long")
+    hits = settled(
+        join_checked(placed, roots, F.col("node") == F.col("_node"), "inner", most).select("id", "doc", "root", "start", "words").distinct()
+    )
+    firsts = hits.groupBy("root").agg(F.min(_place()).alias("first"))
+    return settled(hits.join(firsts, "root").withColumn("removed", _place() != F.col("first")).drop("first"))
+
 
-    return F.arrow_udf(verify, "boolean")
+def _place() -> Column:
+    return F.struct(F.col("id").isNull().alias("none"), F.col("id").alias("id"), F.col("doc").alias("doc"), F.col("start").alias("start"))
 
 
-def classes(docs: DataFrame, text: str = "text", similarity: float = SIMILARITY, most: int = SMALL_ROWS) -> DataFrame:
-    """(paragraph, root) of every paragraph that repeats: equal roots mean copies or near copies.
+def equal_runs(rows: DataFrame, gone: DataFrame, most: int) -> DataFrame:
+    """(id, doc, start, end, root, removed): equal words at two places, at the later and at the first.
 
-    Paragraphs are filed under their own hash and under one MinHash value per
-    band. A key counts its paragraphs before the shuffle, so one that a third of
-    the corpus shares costs a row per task. Where different paragraphs share a
-    band, each is compared with the bucket's smallest, by the exact Jaccard
-    similarity of their 5-word shingles: a bucket gives as many pairs as it has
-    paragraphs. Links are clustered by connected components.
+    A paragraph that repeats is held against its first place outside the lines
+    ``gone`` (id, doc, start, words). Neighbours with the same partner are a
+    run, which is extended word by word at both ends.
     """
-    texts = docs.select(F.col(text).alias("text"))
-    shared = settled(
-        texts.mapInArrow(_keys, "key long, banded boolean, paragraph long")
-        .groupBy("key", "banded")
-        .agg(F.count(F.lit(1)).alias("n"), F.min("paragraph").alias("lo"), F.max("paragraph").alias("hi"))
-        .where("(NOT banded AND n > 1) OR lo <> hi")
+    kind = dict(rows.dtypes)["id"]
+    known = (
+        rows.select("text").mapInArrow(_wholes, "paragraph long").groupBy("paragraph").agg(F.count(F.lit(1)).alias("n"))
+        .where("n > 1").select(F.col("paragraph").alias("_paragraph"))
     )
-    buckets = shared.where("banded").select(F.col("key").alias("_key"), "lo")
-    banded = texts.mapInArrow(_banded, "key long, paragraph long, words binary")
-    met = settled(
-        join_checked(banded, buckets, F.col("key") == F.col("_key"), "inner", most)
-        .groupBy("key", "lo", "paragraph")
-        .agg(F.min("words").alias("words"))
+    placed = rows.mapInArrow(_placed, f"id {kind}, doc long, at int, paragraph long, start long, words long")
+    hits = join_checked(placed, known, F.col("paragraph") == F.col("_paragraph"), "inner", most).drop("_paragraph").distinct()
+    none = F.lit(None)
+    lines = gone.select("id", "doc", none.cast("int").alias("at"), none.cast("long").alias("paragraph"), "start", "words")
+    in_doc = Window.partitionBy("id", "doc").orderBy("start")
+    line = F.col("paragraph").isNull()
+    hits = settled(
+        hits.unionByName(lines)
+        .withColumn("before", F.max(F.when(line, F.col("start") + F.col("words"))).over(in_doc))
+        .withColumn("after", F.min(F.when(line, F.col("start"))).over(in_doc.rowsBetween(0, Window.unboundedFollowing)))
+        .where(~line)
+        .withColumn("in_gone", F.coalesce(F.col("before") > F.col("start"), F.lit(False)) | F.coalesce(F.col("after") < F.col("start") + F.col("words"), F.lit(False)))
+        .drop("before", "after")
     )
-    least = met.where("paragraph = lo").select("key", F.col("words").alias("least_words"))
-    links = (
-        met.where("paragraph <> lo")
-        .join(least, "key")
-        .where(_similar(similarity)(F.col("words"), F.col("least_words")))
-        .select(F.col("lo").alias("a"), F.col("paragraph").alias("b"))
+    firsts = hits.where("NOT in_gone").groupBy("paragraph").agg(F.min(_place()).alias("first"))
+    pairs = hits.join(firsts, "paragraph").where(_place() != F.col("first")).select(
+        "id", "doc", "at", "paragraph", "start", "words",
+        F.col("first.id").alias("pid"), F.col("first.doc").alias("pdoc"), (F.col("start") - F.col("first.start")).alias("delta"),
     )
-    roots = components(links)
-    copies = shared.where("NOT banded").select(F.col("key").alias("paragraph"))
-    return (
-        copies.join(roots.withColumnRenamed("node", "paragraph"), "paragraph", "full")
-        .select("paragraph", F.coalesce("root", "paragraph").alias("root"))
+    same = ("id", "doc", "pid", "pdoc", "delta")
+    runs = settled(
+        pairs.withColumn("run", F.col("at") - F.row_number().over(Window.partitionBy(*same).orderBy("at")))
+        .groupBy(*same, "run")
+        .agg(F.min("start").alias("start"), F.max(F.col("start") + F.col("words")).alias("end"), F.min_by("paragraph", "at").alias("root"))
     )
+    wanted = (
+        runs.select("id", "doc", F.explode(F.array("start", "end")).alias("pos"))
+        .union(runs.select("pid", "pdoc", F.explode(F.array(F.col("start") - F.col("delta"), F.col("end") - F.col("delta")))))
+        .distinct()
+        .groupBy("id", "doc")
+        .agg(F.collect_list("pos").alias("wanted"))
+        .toDF("_id", "_doc", "wanted")
+    )
+    texts = join_checked(rows, wanted, F.col("id").eqNullSafe(F.col("_id")) & (F.col("doc") == F.col("_doc")), "inner", most)
+    around = settled(
+        texts.dropDuplicates(["id", "doc"]).select("id", "doc", "text", "wanted")
+        .mapInArrow(_contexts, f"id {kind}, doc long, pos long, left array<long>, right array<long>")
+    )
+
+    def beside(df: DataFrame, id: str, doc: str, pos: Column, side: str, name: str) -> DataFrame:
+        other = around.select(F.col("id").alias("_id"), F.col("doc").alias("_doc"), F.col("pos").alias("_pos"), F.col(side).alias(name))
+        on = F.col(id).eqNullSafe(F.col("_id")) & (F.col(doc) == F.col("_doc")) & (pos == F.col("_pos"))
+        return df.join(other, on).drop("_id", "_doc", "_pos")
+
+    wide = beside(runs, "id", "doc", F.col("start"), "left", "l1")
+    wide = beside(wide, "pid", "pdoc", F.col("start") - F.col("delta"), "left", "l2")
+    wide = beside(wide, "id", "doc", F.col("end"), "right", "r1")
+    wide = beside(wide, "pid", "pdoc", F.col("end") - F.col("delta"), "right", "r2")
+    wide = settled(
+        wide.select(
+            *same, "root",
+            (F.col("start") - _common()(F.col("l1"), F.col("l2"))).alias("start"),
+            (F.col("end") + _common()(F.col("r1"), F.col("r2"))).alias("end"),
+        )
+    )
+    later = wide.select("id", "doc", "start", "end", "root", F.lit(True).alias("removed"))
+    first = wide.select("pid", "pdoc", F.col("start") - F.col("delta"), F.col("end") - F.col("delta"), "root", F.lit(False))
+    return later.union(first)
 
 
 def repeated_passages(
@@ -221,41 +352,28 @@ def repeated_passages(
 ) -> DataFrame:
     """One row per repeated passage: id, start, n_words, component_id, removed.
 
-    A passage is a run of neighbouring paragraphs that repeat, in other
-    documents or in its own, of at least ``least_words`` words. It is given in
-    parts that stay or go together: a paragraph stays (``removed`` false) at the
-    first place of its component by id, hash of the text and order in it, and
-    goes anywhere else. ``start`` is the number of words before it;
-    ``component_id`` names the component of the part's first paragraph.
+    A passage is a run of words that repeat, in other documents or in its own,
+    of at least ``least_words`` words. Words repeat in a line with a near copy
+    (line_hits) and in a run equal to one at another place (equal_runs). A
+    passage is given in parts that stay or go together: the first place by id,
+    hash of the text and order in it stays (``removed`` false), the others go.
+    ``start`` is the number of words before it; ``component_id`` names the
+    component of the part's first range.
 
     * Texts that are NULL or have no word give no row, as do texts without a
       repeated passage. NULL ids come last. Rows alike in id and text are copies
-      of one place: their passages are told once, with ``n_words`` of one of them.
+      of one place: their passages are told once.
     * Other columns are not read. An empty table gives an empty table.
     """
     rows = docs.select(F.col(id).alias("id"), F.xxhash64(F.col(text)).alias("doc"), F.col(text).alias("text"))
     kind = dict(rows.dtypes)["id"]
-    placed = rows.mapInArrow(_placed, f"id {kind}, doc long, at int, paragraph long, start long, words long")
-    known = classes(docs, text, similarity, most).select(F.col("paragraph").alias("_paragraph"), "root")
-    hits = settled(
-        join_checked(placed, known, F.col("paragraph") == F.col("_paragraph"), "inner", most)
-        .select("id", "doc", "at", "root", "start", "words")
-    )
-    place = F.struct(F.col("id").isNull().alias("none"), F.col("id").alias("id"), F.col("doc").alias("doc"), F.col("at").alias("at"))
-    firsts = hits.groupBy("root").agg(F.min(place).alias("first"))
-    judged = hits.join(firsts, "root").withColumn("removed", place != F.col("first")).drop("first").distinct()
-    in_doc = Window.partitionBy("id", "doc").orderBy("at")
-    runs = (
-        judged.withColumn("run", F.col("at") - F.row_number().over(in_doc))
-        .withColumn("turns", F.when(F.lag("removed").over(in_doc).eqNullSafe(F.col("removed")), 0).otherwise(1))
-        .withColumn("part", F.sum("turns").over(in_doc))
-    )
-    long = runs.withColumn("in_run", F.sum("words").over(Window.partitionBy("id", "doc", "run"))).where(
-        F.col("in_run") >= least_words
+    lines = line_hits(rows, similarity, least_words, most)
+    runs = equal_runs(rows, lines.where("removed"), most)
+    ranges = lines.select("id", "doc", "start", (F.col("start") + F.col("words")).alias("end"), "root", "removed").union(runs).distinct()
+    return (
+        ranges.groupBy("id", "doc")
+        .agg(F.collect_list(F.struct("start", "end", "root", "removed")).alias("ranges"))
+        .select("id", "ranges")
+        .mapInArrow(_merged(least_words), f"id {kind}, start long, n_words long, component_id long, removed boolean")
+        .withColumnRenamed("id", id)
     )
-    return long.groupBy("id", "doc", "run", "part").agg(
-        F.min("start").alias("start"),
-        F.sum("words").alias("n_words"),
-        F.min_by("root", "at").alias("component_id"),
-        F.first("removed").alias("removed"),
-    ).select(F.col("id").alias(id), "start", "n_words", "component_id", "removed")

@@ -49,7 +49,7 @@ def jaccard(a: list[bytes], b: list[bytes]) -> float:
     return both / (len(left) + len(right) - both)
 
 
-def band_keys(words: list[bytes]) -> tuple[np.ndarray, int]:
+def band_keys(words: list[bytes], bands: int = BANDS, values: int = VALUES) -> tuple[np.ndarray, int]:
     """(a key per band, number of distinct shingles); no key without a whole shingle."""
     n = len(words) - SHINGLE + 1
     if n < 1:
@@ -59,13 +59,14 @@ def band_keys(words: list[bytes]) -> tuple[np.ndarray, int]:
     for i in range(1, SHINGLE):
         shingles = shingles * _MIX + hashes[i : n + i]
     shingles = np.unique(_mixed(shingles))
-    least = np.full(BANDS * VALUES, np.iinfo(np.uint64).max, dtype=np.uint64)
+    count = bands * values
+    least = np.full(count, np.iinfo(np.uint64).max, dtype=np.uint64)
     for at in range(0, len(shingles), _PART):
-        part = (shingles[at : at + _PART, None] ^ _FLIPS) * _ODDS
+        part = (shingles[at : at + _PART, None] ^ _FLIPS[:count]) * _ODDS[:count]
         least = np.minimum(least, part.min(axis=0))
-    rows = _mixed(least).reshape(BANDS, VALUES)
-    keys = np.arange(1, BANDS + 1, dtype=np.uint64)
-    for v in range(VALUES):
+    rows = _mixed(least).reshape(bands, values)
+    keys = np.arange(1, bands + 1, dtype=np.uint64)
+    for v in range(values):
         keys = _mixed(keys * _MIX + rows[:, v])
     return keys, len(shingles)
 
@@ -111,6 +112,8 @@ def _similar(similarity: float):
 def _verified(pairs: DataFrame, bodies: DataFrame, similarity: float, most: int) -> DataFrame:
     """The pairs (a, b) whose words are similar, by their exact Jaccard similarity."""
     pairs = settled(pairs)
+    if pairs.isEmpty():
+        return pairs
     nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
     texts = settled(join_checked(bodies, nodes, "node", "left_semi", most).groupBy("node").agg(F.min("words").alias("words")))
     return (
@@ -132,9 +135,8 @@ def linked(members: DataFrame, bodies: DataFrame, similarity: float = SIMILARITY
     different components are compared; the others are joined already.
     """
     fits = F.least("size", "other_size") >= similarity * F.greatest("size", "other_size") - 1e-9
-    members = members.distinct()
     shared = members.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi"), F.min_by("size", "node").alias("other_size"))
-    met = settled(join_checked(members, shared.where("lo <> hi").drop("hi"), "key", "inner", most))
+    met = settled(join_checked(members, shared.where("lo <> hi").drop("hi"), "key", "inner", most).distinct())
     first = _verified(met.where((F.col("node") != F.col("lo")) & fits).select(F.col("lo").alias("a"), F.col("node").alias("b")).distinct(), bodies, similarity, most)
     roots = components(first)
     rooted = join_checked(met.drop("other_size"), roots, "node", "left", most).withColumn("root", F.coalesce("root", "node"))
@@ -145,7 +147,8 @@ def linked(members: DataFrame, bodies: DataFrame, similarity: float = SIMILARITY
     others = rest.select("key", F.col("node").alias("other"), F.col("size").alias("other_size"), F.col("root").alias("other_root"))
     across = rest.join(others, "key").where((F.col("node") < F.col("other")) & (F.col("root") != F.col("other_root")) & fits)
     second = _verified(across.select(F.col("node").alias("a"), F.col("other").alias("b")).distinct(), bodies, similarity, most)
-    return components(roots.toDF("a", "b").union(second))
+    second = settled(second)
+    return roots if second.isEmpty() else components(roots.toDF("a", "b").union(second))
 
 
 def near_copies(docs: DataFrame, id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY, most: int = SMALL_ROWS) -> DataFrame:
