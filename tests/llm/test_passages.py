@@ -4,7 +4,7 @@ import random
 
 from heightline.llm import passages
 
-from .test_similar import prose
+from .test_similar import brute_groups, edited, prose
 
 
 def docs_of(spark, rows):
@@ -55,3 +55,22 @@ def test_equal_runs_are_found_to_their_ends(spark):
     assert sum(map(len, got.values())) >= 0.99 * sum(map(len, want.values()))
     # The first copy stays, the later one goes.
     assert all(r.removed == (r.doc_id % 2 == 1) for r in found)
+
+
+def test_near_lines_beside_a_frequent_phrase(spark):
+    rng = random.Random(32)
+    phrase = prose(rng, 12)
+    lines = []
+    for _ in range(150):
+        line = prose(rng, 10) + phrase + prose(rng, 60)
+        lines += [" ".join(line), " ".join(edited(rng, line[-50:], 0)), " ".join(line[:76] + prose(rng, 6))]
+    group, near = brute_groups(lines)
+    assert len(near) == 150
+    found = passages.line_hits(
+        docs_of(spark, list(enumerate(lines))).selectExpr("doc_id AS id", "xxhash64(text) AS doc", "text"), 0.8, 16, 1000
+    ).collect()
+    sizes = {}
+    for g in group.values():
+        sizes[g] = sizes.get(g, 0) + 1
+    assert {r.id for r in found} == {i for i, g in group.items() if sizes[g] > 1}
+    assert {r.id for r in found if not r.removed} == {g for g, n in sizes.items() if n > 1}
