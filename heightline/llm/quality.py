@@ -23,8 +23,9 @@ CLASSES = {
 # Words of up to this many code points can be common words of a language.
 LONGEST_COMMON = 4
 COMMON_WORDS = 24
-# A language is a reference if it has at least this share of the documents, so there are 100 at most.
+# A language is a reference if it has at least this share of the documents, or this many words whatever its share.
 LEAST_SHARE = 0.01
+LEAST_REFERENCE_WORDS = 2_000
 
 
 @dataclass(frozen=True)
@@ -59,8 +60,9 @@ def references(docs: DataFrame, text: str = "text", lang: str = "lang") -> list[
     """References of the languages in ``docs``, counted over all texts with a language.
 
     Two aggregations that combine before the shuffle, to a row per language and
-    a row per language and short word. What the driver gets is bounded: 100
-    languages, COMMON_WORDS words each; equally frequent words go by their text.
+    a row per language and short word. The driver gets COMMON_WORDS words of each
+    language; equally frequent words go by their text. Languages with few words
+    and documents have no reference: see ``lang`` of assess().
     """
     body = F.coalesce(F.col(text), F.lit(""))
     known = let(docs.select(F.col(lang).alias("lang"), body.alias("text")), "words", words_of(F.col("text")))
@@ -71,7 +73,8 @@ def references(docs: DataFrame, text: str = "text", lang: str = "lang") -> list[
         *(F.sum(F.get("counts", F.lit(i))).alias(name) for i, name in enumerate(("chars", *CLASSES))),
     )
     totals = totals.select("*", F.try_divide("docs", F.sum("docs").over(Window.partitionBy(F.lit(0)))).alias("share"))
-    large = totals.where(F.col("lang").isNotNull() & (F.col("share") >= LEAST_SHARE) & (F.col("words") > 0)).collect()
+    enough = (F.col("words") >= LEAST_REFERENCE_WORDS) | ((F.col("share") >= LEAST_SHARE) & (F.col("words") > 0))
+    large = totals.where(F.col("lang").isNotNull() & enough).collect()
     if not large:
         return []
     short = F.filter("words", lambda w: F.char_length(w) <= LONGEST_COMMON)
@@ -108,6 +111,7 @@ def assess(
     known: list[Reference],
     text: str = "text",
     rules: Rules = Rules(),
+    lang: str | None = None,
 ) -> DataFrame:
     """``docs`` with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
     character_distance, word_distance and kept.
@@ -172,12 +176,15 @@ def assess(
     measured = let(measured, "runs", _common_counts(known))
     characters = [_character_distance(r) for r in known]
     words = [_word_distance(r) for r in known]
+    own = F.lit(True)
+    if lang is not None and known:
+        own = F.coalesce(F.col(f"_{columns.index(lang)}").isin([r.language for r in known]), F.lit(True))
     far = let(
         measured,
         "far",
         F.array(
-            _nearest(characters, F.get("counts", F.lit(0)) >= rules.least_characters),
-            _nearest(words, F.col("n_words") >= rules.least_words),
+            _nearest(characters, own & (F.get("counts", F.lit(0)) >= rules.least_characters)),
+            _nearest(words, own & (F.col("n_words") >= rules.least_words)),
         ),
     )
     by_characters, by_words = F.get("far", F.lit(0)), F.get("far", F.lit(1))
@@ -269,5 +276,6 @@ def _word_distance(r: Reference) -> Column:
 
 def drop_low_quality(docs: DataFrame, text: str = "text", lang: str = "lang", rules: Rules = Rules()) -> DataFrame:
     """The rows of ``docs`` that assess() keeps, against references from the same table; columns as they were."""
-    judged = assess(veiled(docs), references(docs, text, lang), f"_{docs.columns.index(text)}", rules)
+    numbered = [f"_{docs.columns.index(c)}" for c in (text, lang)]
+    judged = assess(veiled(docs), references(docs, text, lang), numbered[0], rules, numbered[1])
     return judged.where("kept").select(*unveiled(docs.columns))

@@ -151,7 +151,7 @@ _BINS = [(f"s[{i}]", f"cls[{i}]") for i in range(1, 7)]
 )
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
-    return quality.assess(docs.select("doc_id", "text"), quality.references(docs)).select(
+    return quality.assess(docs.select("doc_id", "text", "lang"), quality.references(docs), lang="lang").select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
     )
 
