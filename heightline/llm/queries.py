@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, exact, language, lines, mixing, packing, passages, quality, simhash, toxicity
+from . import chat, crf, exact, language, lines, merkle, mixing, packing, passages, quality, repair, simhash, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -217,3 +217,187 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(probe)
     return chat.digest(chat.format_turns(rows)).withColumnRenamed("id", "conv_id")
+
+
+@query("op11_line_crf")
+def op11_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    held_out = _remainder("doc_id", 5) == 0
+    model = crf.learn(docs.select("doc_id", "text"), _table(spark, sf_dir, "labels").where(~held_out))
+    scored = docs.select("doc_id", held_out.alias("held_out"), crf.score(F.col("text"), model).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
+def _crc32(ascii: str) -> str:
+    """DuckDB expression for the unsigned CRC-32 of an ASCII text; the polynomial is fixed."""
+    codes = f"list_transform(range(1, length({ascii}) + 1), lambda i: ascii(({ascii})[i])::BIGINT)"
+    turned = "list_reduce(list_prepend(xor(c, b), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]), lambda x, z: xor(x >> 1, (x & 1) * 3988292384))"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {codes}), lambda c, b: {turned}), 4294967295)"
+
+
+def _sql_field(name: str) -> str:
+    return f"coalesce(strlen({name}::VARCHAR) || ':' || {name}::VARCHAR, '-')"
+
+
+def _sql_leaf(text: str) -> str:
+    return "sha256(" + " || ".join(_sql_field(c) for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+
+def _sql_tree(name: str, leaves: str, levels: int) -> str:
+    """CTEs of a forest: ``name_k`` has (tree, pos, node) of level k, ``name_sib`` the siblings of each node."""
+    parts = [f"{name}_0 AS (SELECT tree, pos, node, count(*) OVER (PARTITION BY tree) AS n FROM {leaves})"]
+    for k in range(levels):
+        parts.append(
+            f"{name}_{k + 1} AS (SELECT *, count(*) OVER (PARTITION BY tree) AS n FROM (SELECT tree, pos // 3 AS pos, "
+            f"CASE WHEN any_value(n) = 1 THEN any_value(node) ELSE sha256(string_agg(node, '' ORDER BY pos)) END AS node "
+            f"FROM {name}_{k} GROUP BY tree, pos // 3))"
+        )
+    sides = " UNION ALL ".join(
+        f"SELECT {k} AS level, a.tree, a.pos, coalesce(string_agg(b.node, '' ORDER BY b.pos) FILTER (b.pos < a.pos), '') AS before, "
+        f"coalesce(string_agg(b.node, '' ORDER BY b.pos) FILTER (b.pos > a.pos), '') AS after "
+        f"FROM {name}_{k} a JOIN {name}_{k} b ON a.tree IS NOT DISTINCT FROM b.tree AND a.pos // 3 = b.pos // 3 "
+        f"WHERE a.n > 1 GROUP BY a.tree, a.pos"
+        for k in range(levels)
+    )
+    parts.append(f"{name}_sib AS ({sides})")
+    return ",\n    ".join(parts)
+
+
+_DEEP, _HIGH = 13, 6
+_TAMPERED = f"CASE WHEN {_crc32('doc_id::VARCHAR')} % 2 = 0 THEN replace(text, chr(10), '') ELSE text END"
+
+
+@query(
+    "op12_merkle",
+    rf"""
+    WITH RECURSIVE docs AS (SELECT doc_id, source, {_sql_leaf('text')} AS leaf, {_sql_leaf('tampered')} AS altered
+                            FROM (SELECT *, {_TAMPERED} AS tampered FROM documents)),
+    leaves AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos FROM docs),
+    low AS (SELECT source AS tree, pos, leaf AS node FROM leaves),
+    {_sql_tree('t', 'low', _DEEP)},
+    subs AS (SELECT tree AS source, node AS subroot, row_number() OVER (ORDER BY tree NULLS FIRST) - 1 AS pos FROM t_{_DEEP}),
+    up AS (SELECT 0 AS tree, pos, subroot AS node FROM subs),
+    {_sql_tree('u', 'up', _HIGH)},
+    sib AS (SELECT level, tree AS source, pos, before, after FROM t_sib
+            UNION ALL SELECT {_DEEP} + level, subs.source, u_sib.pos, before, after
+            FROM u_sib JOIN subs ON subs.pos // (3 ** level)::BIGINT = u_sib.pos),
+    walk AS (SELECT doc_id, source, pos, leaf, leaf AS node, altered AS other, '' AS siblings, 0 AS level FROM leaves
+             UNION ALL
+             SELECT w.doc_id, w.source, w.pos, w.leaf,
+                    CASE WHEN s.level IS NULL THEN w.node ELSE sha256(s.before || w.node || s.after) END,
+                    CASE WHEN s.level IS NULL THEN w.other ELSE sha256(s.before || w.other || s.after) END,
+                    w.siblings || coalesce(s.before || s.after, ''), w.level + 1
+             FROM walk w LEFT JOIN sib s ON s.level = w.level AND s.source IS NOT DISTINCT FROM w.source
+                  AND s.pos = CASE WHEN w.level < {_DEEP} THEN w.pos // (3 ** w.level)::BIGINT
+                                  ELSE (SELECT any_value(subs.pos) FROM subs WHERE subs.source IS NOT DISTINCT FROM w.source)
+                                       // (3 ** (w.level - {_DEEP}))::BIGINT END
+             WHERE w.level < {_DEEP + _HIGH})
+    SELECT w.doc_id, w.leaf, subs.subroot, u_{_HIGH}.node AS root, sha256(w.siblings) AS proof_sha256,
+           w.other AS folded_root, w.other = u_{_HIGH}.node AS verified
+    FROM walk w JOIN subs ON subs.source IS NOT DISTINCT FROM w.source, u_{_HIGH} WHERE w.level = {_DEEP + _HIGH}
+    """,
+)
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    spoiled = F.when(
+        F.crc32(F.col("doc_id").cast("string")) % 2 == 0, F.replace("text", F.lit("\n"), F.lit(""))
+    ).otherwise(F.col("text"))
+    columns = ["doc_id", "source", "lang", "n_chars", "text"]
+    tampered = merkle.leaf_digest(*(spoiled if c == "text" else F.col(c) for c in columns))
+    rows = merkle.manifest(docs.withColumn("tampered", tampered), columns, carry=["tampered"])
+    folded = rows.withColumn("folded_root", merkle.fold(F.col("tampered"), F.col("proof")))
+    return folded.select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        merkle.proof_digest(F.col("proof")).alias("proof_sha256"),
+        "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
+def damaged(rows: DataFrame) -> DataFrame:
+    """Conversations with faults put in by a checksum of conversation and turn; dropped rows are marked ``gone``."""
+    space = F.lit(" ")
+    key = F.concat(F.coalesce(F.col("conv_id").cast("string"), space), F.lit(":"), F.coalesce(F.col("turn").cast("string"), space))
+    kind = F.crc32(key) % 20
+    text, role = F.coalesce("text", space), F.coalesce("role", space)
+    harmed = rows.select(
+        "conv_id",
+        "turn",
+        F.when(kind == 4, "user").otherwise(role).alias("role"),
+        F.when(kind == 1, "").when(kind == 2, F.regexp_replace(text, "[.!?]", "")).otherwise(text).alias("text"),
+        (kind == 0).alias("gone"),
+        F.explode(F.array_repeat(F.lit(0), F.when(kind == 3, 2).otherwise(1))).alias("copy"),
+    )
+    return harmed.drop("copy")
+
+
+_KEY = "(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '))"
+_NEXT = ("s2", "s2", "s3", "s2")
+_MARK = {"s2": "user:", "s3": "assistant:"}
+
+
+def _sql_state(i: int) -> str:
+    """Least (cost, audit, repaired text with a line end each) from state ``i`` on, over the edits of the row itself."""
+
+    def then(cost: str, mark: str, state: str, line: str) -> str:
+        return f"struct_pack(c := {cost} + w.{state}.c, a := '{mark}' || w.{state}.a, t := {line} || w.{state}.t)"
+
+    rerole = _NEXT[i]
+    options = [then("3", "D", f"s{i}", "''")]
+    keeps = {0: {"s": "s1", "u": "s2"}, 1: {"u": "s2"}, 2: {"a": "s3"}, 3: {"u": "s2"}}[i]
+    for initial, state in keeps.items():
+        kept = then("r.late", "K", state, "r.role || ':' || r.text || chr(10)")
+        options.append(f"CASE WHEN NOT r.doomed AND r.role[1] = '{initial}' THEN {kept} END")
+    moved = then("2 + r.late", "R", rerole, f"'{_MARK[rerole]}' || r.text || chr(10)")
+    options.append(f"CASE WHEN NOT r.doomed THEN {moved} END")
+    return f"list_min(list_filter([{', '.join(options)}], lambda x: x IS NOT NULL))"
+
+
+def _sql_inserted(own: str, i: int, after: str) -> str:
+    """The better of a state's own edits and a turn put in first."""
+    return f"list_min([{own}, struct_pack(c := 2 + {after}.c, a := 'I' || {after}.a, t := '{_MARK[_NEXT[i]]}' || chr(10) || {after}.t)])"
+
+
+@query(
+    "op13_repair",
+    rf"""
+    WITH RECURSIVE harm AS (
+      SELECT conv_id, turn, {_crc32(_KEY)} % 20 AS k, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text FROM conversations),
+    rows AS (SELECT conv_id, turn, CASE WHEN k = 4 THEN 'user' ELSE role END AS role,
+                    CASE WHEN k = 1 THEN '' WHEN k = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+             FROM (SELECT *, unnest(CASE WHEN k = 3 THEN [1, 2] ELSE [1] END) FROM harm WHERE k <> 0)),
+    marked AS (SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST) AS seen,
+                      NOT regexp_matches(text, '[^ 	-
+]') AS blank,
+                      NOT regexp_matches(text, '[.!?][ 	-
+]*\z') AS open FROM rows),
+    r AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC NULLS LAST, role DESC, text DESC, seen DESC) AS i,
+                 lag(role) OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, seen) AS before,
+                 blank OR seen > 1 AS doomed, CASE WHEN NOT blank AND seen = 1 AND open THEN 1 ELSE 0 END AS late FROM marked),
+    w AS (SELECT DISTINCT conv_id, 0::BIGINT AS i, struct_pack(c := 0::BIGINT, a := '', t := '') AS s0,
+                 struct_pack(c := 4::BIGINT, a := 'II', t := 'user:' || chr(10) || 'assistant:' || chr(10)) AS s1,
+                 struct_pack(c := 2::BIGINT, a := 'I', t := 'assistant:' || chr(10)) AS s2,
+                 struct_pack(c := 0::BIGINT, a := '', t := '') AS s3 FROM conversations
+          UNION ALL
+          SELECT conv_id, i, {_sql_inserted('o0', 0, 'n2')}, {_sql_inserted('o1', 1, 'n2')}, n2, n3
+          FROM (SELECT *, {_sql_inserted('o2', 2, 'o3')} AS n2, {_sql_inserted('o3', 3, 'o2')} AS n3
+                FROM (SELECT w.conv_id, w.i + 1 AS i, {', '.join(f'{_sql_state(i)} AS o{i}' for i in range(4))}
+                      FROM w JOIN r ON r.conv_id IS NOT DISTINCT FROM w.conv_id AND r.i = w.i + 1))),
+    f AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count_if(blank) AS blank,
+                 count_if(NOT blank AND seen > 1) AS duplicate, sum(late)::BIGINT AS truncated,
+                 count_if(before IS NOT NULL AND left(before, 1) || left(role, 1) NOT IN ('su', 'ua', 'au')) AS illegal
+          FROM r GROUP BY conv_id)
+    SELECT w.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(f.blank, 0)::BIGINT AS blank,
+           coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated,
+           coalesce(illegal, 0)::BIGINT AS illegal, s0.c AS cost, s0.a AS audit,
+           sha256(CASE WHEN s0.t = '' THEN '' ELSE left(s0.t, length(s0.t) - 1) END) AS repaired_sha256
+    FROM w LEFT JOIN f ON f.conv_id IS NOT DISTINCT FROM w.conv_id
+    QUALIFY row_number() OVER (PARTITION BY w.conv_id ORDER BY i DESC) = 1
+    """,
+)
+def op13_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = damaged(_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text"))
+    return repair.summary(repair.edits(rows, gone="gone")).withColumnRenamed("conv", "conv_id")
