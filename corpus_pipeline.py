@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from heightline.llm import lines, mixing, packing, quality, similar
+from heightline.llm import lines, mixing, packing, quality, simhash
 from heightline.session import work_path
 
 
@@ -23,8 +23,8 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: 5-word Jaccard similarity of 0.8 or more."""
-    return similar.drop_near_copies(docs)
+    """One document of each group whose fingerprints (3-word shingles) link at 2 or fewer differing bits."""
+    return simhash.drop_near_duplicates(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
