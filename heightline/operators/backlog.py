@@ -63,6 +63,39 @@ def work_list(phases: list[tuple[str, DataFrame]], id_col: str = "id") -> DataFr
     )
 
 
+# What is known of an entry, a bit each.
+DELIVERED, ACKED, OWN, STALE, NEW = (1 << i for i in range(5))
+
+
+def entry_states(events: DataFrame, flags: dict[int, Column], id_col: str = "id") -> DataFrame:
+    """(id, state): the bits that any row of an entry sets.
+
+    Deliveries, acknowledgements and arrivals are rows of one table, or a union
+    of several; one aggregation that combines before the shuffle takes the place
+    of joins between them. A NULL flag is not set.
+    """
+    bits = [F.when(flag, F.lit(bit)).otherwise(0) for bit, flag in flags.items()]
+    return (
+        events.select(id_col, reduce(lambda a, b: a.bitwiseOR(b), bits).alias("_bits"))
+        .groupBy(id_col)
+        .agg(F.bit_or("_bits").alias("state"))
+    )
+
+
+def phases(states: DataFrame, id_col: str = "id") -> DataFrame:
+    """Entries with work left: own pending ones, then stale ones of anybody, then new ones."""
+    state = F.col("state")
+
+    def has(bit: int) -> Column:
+        return state.bitwiseAND(F.lit(bit)) != 0
+
+    waits = has(DELIVERED) & ~has(ACKED)
+    phase = (
+        F.when(waits & has(OWN), "pending").when(waits & has(STALE), "reclaimed").when(has(NEW) & ~has(ACKED), "new")
+    )
+    return states.select(id_col, phase.alias("phase")).filter(F.col("phase").isNotNull())
+
+
 def backlog_summary(
     entries: DataFrame, delivered: Column, acked: Column, now_ms: int, by: list[str] | None = None,
     id_col: str = "id",

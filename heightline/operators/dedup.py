@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .ordered import CHUNK, SMALL_KEY_ROWS, large_keys, ordered_chunks
+from .ordered import CHUNK, SMALL_KEY_ROWS, large_keys, ordered_chunks, running_max
 
 _CARRY = "_carry"
 
@@ -155,75 +155,125 @@ def _summaries(key: str, at: str, ttl: int, schema: pa.Schema):
     return run
 
 
-def _carry_over(key: str, ttl: int, schema: pa.Schema):
-    """Walk the steps of a key chunk by chunk, holding only the carried time."""
+def _arrow_schema(fields: list[T.StructField]) -> pa.Schema:
+    from pyspark.sql.pandas.types import to_arrow_schema
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        name, chunk, carry, settled = None, None, None, False
-        for batch in batches:
-            out: list[tuple] = []
-            keys = _column(batch, key).to_pylist()
-            chunks = _column(batch, CHUNK).to_pylist()
-            upto = _column(batch, "upto").to_pylist()
-            leaves = _column(batch, "leaves").to_pylist()
-            for k, c, u, v in zip(keys, chunks, upto, leaves):
-                if k != name:
-                    name, chunk, carry = k, None, None
-                if c != chunk:
-                    chunk, settled = c, False
-                    out.append((k, c, carry))
-                if not settled and (carry is None or carry + ttl <= u):
-                    carry, settled = v, True
-            if out:
-                ks, cs, vs = zip(*out)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(ks, schema.field(0).type),
-                        pa.array(cs, pa.int32()),
-                        pa.array(vs, pa.int64()),
-                    ],
-                    schema=schema,
-                )
+    return to_arrow_schema(T.StructType(fields))
 
-    return run
 
+def _same(key: str, *names: tuple[str, str]) -> Column:
+    """Join condition: the key, where NULL equals NULL, and pairs of columns that are never NULL."""
+    same = F.col(key).eqNullSafe(F.col("_key"))
+    for left, right in names:
+        same = same & (F.col(left) == F.col(right))
+    return same
 
-def _arrow_schema(fields: list[T.StructField]) -> pa.Schema:
-    from pyspark.sql.pandas.types import to_arrow_schema
 
-    return to_arrow_schema(T.StructType(fields))
+def _next_steps(steps: DataFrame, key: str, ttl: int, floor: int) -> DataFrame:
+    """(key, chunk, leaf, to_chunk, to_leaf): where a time carried out of a chunk leads next.
+
+    The step that a time meets is the first one, in all later chunks of its key,
+    that its expiry does not exceed. Steps and expiries are put in one order from
+    the latest to the earliest; the last step seen is a running maximum, which
+    cuts large keys itself. Times that meet no step have no row.
+    """
+    # Chunks of the steps have a name of their own: the running maximum cuts chunks too.
+    met = steps.select(
+        key,
+        (-F.col("upto")).alias("back"),
+        F.lit(0).alias("asks"),
+        F.col(CHUNK).alias("chunk"),
+        F.struct((-F.col("upto")).alias("back"), (-F.col(CHUNK)).alias("chunk"), F.col("leaves").alias("leaf")).alias("step"),
+        F.lit(None).cast("bigint").alias("leaf"),
+    )
+    asked = steps.select(key, F.col(CHUNK).alias("chunk"), F.col("leaves").alias("leaf")).distinct()
+    none = F.lit(None).cast(met.schema["step"].dataType)
+    asked = asked.select(
+        key, (-(F.col("leaf") + ttl)).alias("back"), F.lit(1).alias("asks"), "chunk", none.alias("step"), "leaf"
+    )
+    seen = running_max(
+        met.unionByName(asked), [key], ["back", "asks", "chunk", "leaf"], F.col("step"), "next", include_current=True, floor=floor
+    )
+    return seen.filter((F.col("asks") == 1) & F.col("next").isNotNull()).select(
+        key, "chunk", "leaf", (-F.col("next.chunk")).alias("to_chunk"), F.col("next.leaf").alias("to_leaf")
+    )
 
 
-def _split_key_dedup(df: DataFrame, key: str, at: str, ttl: int, tie: Sequence[str]) -> DataFrame:
+def _carried_times(steps: DataFrame, key: str, ttl: int, floor: int) -> DataFrame:
+    """(_key, _in, _carry): the accepted time that each chunk of a key begins with, NULL for none.
+
+    Steps are links from a time carried out of a chunk to the one carried out of
+    the next chunk where a row is accepted. Links are doubled until none is left
+    (up), and the chain of the key's first row is then filled in from the longest
+    links to the shortest (down): rounds grow with the logarithm of the chunks,
+    and each is a join on single links, however dense the key.
+    """
+    starts = (
+        steps.groupBy(key)
+        .agg(F.min(F.struct(CHUNK, "upto", "leaves")).alias("first"))
+        .select(key, F.col(f"first.{CHUNK}").alias("chunk"), F.col("first.leaves").alias("leaf"))
+        .checkpoint(eager=True)
+    )
+    links = _next_steps(steps, key, ttl, floor).checkpoint(eager=True)
+    # Only what something leads to can be on the chain.
+    targets = links.select(key, F.col("to_chunk").alias("chunk"), F.col("to_leaf").alias("leaf")).unionByName(starts).distinct()
+    ends = targets.select(F.col(key).alias("_key"), F.col("chunk").alias("_in_chunk"), F.col("leaf").alias("_leaf"))
+    links = links.join(ends, _same(key, ("chunk", "_in_chunk"), ("leaf", "_leaf")), "left_semi").checkpoint(eager=True)
+    doubled = []
+    while not links.isEmpty():
+        doubled.append(links)
+        onward = links.select(
+            F.col(key).alias("_key"),
+            F.col("chunk").alias("_in_chunk"),
+            F.col("leaf").alias("_leaf"),
+            F.col("to_chunk").alias("_to_in_chunk"),
+            F.col("to_leaf").alias("_to_leaf"),
+        )
+        links = (
+            links.join(onward, _same(key, ("to_chunk", "_in_chunk"), ("to_leaf", "_leaf")))
+            .select(key, "chunk", "leaf", F.col("_to_in_chunk").alias("to_chunk"), F.col("_to_leaf").alias("to_leaf"))
+            .checkpoint(eager=True)
+        )
+    chain = starts
+    for links in reversed(doubled):
+        at = chain.select(F.col(key).alias("_key"), F.col("chunk").alias("_in_chunk"), F.col("leaf").alias("_leaf"))
+        further = links.join(at, _same(key, ("chunk", "_in_chunk"), ("leaf", "_leaf")), "left_semi")
+        chain = chain.unionByName(
+            further.select(key, F.col("to_chunk").alias("chunk"), F.col("to_leaf").alias("leaf"))
+        ).checkpoint(eager=True)
+    # One row per key and chunk from here on; a chunk that accepts no row hands on what it got.
+    found = chain.select(F.col(key).alias("_key"), F.col("chunk").alias("_in_chunk"), "leaf")
+    earlier = Window.partitionBy(key).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+    return (
+        steps.select(key, CHUNK)
+        .distinct()
+        .join(found, _same(key, (CHUNK, "_in_chunk")), "left")
+        .select(F.col(key).alias("_key"), F.col(CHUNK).alias("_in"), F.max("leaf").over(earlier).alias(_CARRY))
+    )
+
+
+def _split_key_dedup(df: DataFrame, key: str, at: str, ttl: int, tie: Sequence[str], floor: int) -> DataFrame:
     """Exact dedup of keys that are cut over several tasks."""
     columns = df.columns
-    key_field = T.StructField(key, df.schema[key].dataType)
-    chunk_field = T.StructField(CHUNK, T.IntegerType())
-    long = T.LongType()
-
     chunks = ordered_chunks(df, [key], [at, *tie])
-    step_fields = [
-        key_field,
-        chunk_field,
-        T.StructField("upto", long),
-        T.StructField("leaves", long),
-    ]
-    steps = chunks.select(key, at, CHUNK).mapInArrow(
-        _summaries(key, at, ttl, _arrow_schema(step_fields)), T.StructType(step_fields)
+    step_type = T.StructType(
+        [
+            T.StructField(key, df.schema[key].dataType),
+            T.StructField(CHUNK, T.IntegerType()),
+            T.StructField("upto", T.LongType()),
+            T.StructField("leaves", T.LongType()),
+        ]
     )
-    carry_fields = [key_field, chunk_field, T.StructField(_CARRY, long)]
-    carries = (
-        steps.repartition(key)
-        .sortWithinPartitions(key, CHUNK, "upto")
-        .mapInArrow(
-            _carry_over(key, ttl, _arrow_schema(carry_fields)), T.StructType(carry_fields)
-        )
+    steps = (
+        chunks.select(key, at, CHUNK)
+        .mapInArrow(_summaries(key, at, ttl, _arrow_schema(step_type.fields)), step_type)
+        .checkpoint(eager=True)
     )
+    carried = _carried_times(steps, key, ttl, floor)
     # One row per key and chunk. The sort makes the result right whichever join
     # is picked; a broadcast join keeps the layout and the sort is a no-op.
-    carried = carries.select(F.col(key).alias("_of"), F.col(CHUNK).alias("_in"), _CARRY)
     return (
-        chunks.join(carried, F.col(key).eqNullSafe(F.col("_of")) & (F.col(CHUNK) == F.col("_in")), "left")
+        chunks.join(carried, _same(key, (CHUNK, "_in")), "left")
         .sortWithinPartitions(key, CHUNK, at, *tie)
         .select(*columns, CHUNK, _CARRY)
         .mapInArrow(_accept_rows(key, at, ttl, columns, carried=True), df.schema)
@@ -246,10 +296,12 @@ def dedup_ttl(
     end in a unique column. NULL is a key like any other.
 
     Rows stream through each task with one carried time per key. Keys of more
-    than ``floor`` rows are cut into chunks (see ``ordered``).
+    than ``floor`` rows are cut into chunks (see ``ordered``); what a chunk does to
+    any time carried in is worked out in its task, and the times really carried
+    follow from joins of such steps.
     """
     accept = _accept_rows(key, at, ttl, df.columns, carried=False)
-    large = large_keys(df, key, floor)
+    large = large_keys(df, key, floor, with_null=True)
     if large is not None:
         large = large.withColumnRenamed(key, "_large")
         is_large = F.col(key).eqNullSafe(F.col("_large"))
@@ -263,4 +315,4 @@ def dedup_ttl(
     if large is None:
         return result
     hot = df.join(large, is_large, "left_semi").select(*df.columns)
-    return result.unionByName(_split_key_dedup(hot, key, at, ttl, tie))
+    return result.unionByName(_split_key_dedup(hot, key, at, ttl, tie, floor))

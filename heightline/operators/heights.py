@@ -111,12 +111,55 @@ def finalized_backlog(
     return explode_heights(seen, low, F.col(finalized), "height").select(chain, *order, "height")
 
 
+# Heights of one word of a bitmap.
+WORD = 64
+
+
+def _word(height: str) -> Column:
+    # An arithmetic shift, which rounds down below zero too.
+    return F.shiftright(F.col(height).cast("bigint"), 6)
+
+
+def height_words(done: DataFrame, chain: str, number: str) -> DataFrame:
+    """(chain, word, bits): the heights that are there as one bit each, 64 to a row.
+
+    A hash aggregation that combines before the shuffle, so repeats of a height
+    cost nothing and neighbours share a row.
+    """
+    at = F.col(number).cast("bigint")
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(at, F.lit(WORD)).cast("int"))
+    return (
+        done.filter(at.isNotNull())
+        .select(F.col(chain).alias("chain"), _word(number).alias("word"), bit.alias("bit"))
+        .groupBy("chain", "word")
+        .agg(F.bit_or("bit").alias("bits"))
+    )
+
+
 def missing_heights(wanted: DataFrame, done: DataFrame, chain: str, low: str, high: str, number: str) -> DataFrame:
     """Wanted heights (one low..high range per chain) that are not done.
 
-    Done heights are made distinct first, so repeats of a height do not pile up
-    on one side of the anti-join.
+    Both sides meet as bitmaps: done heights as the bits of words, wanted ranges
+    as the words they touch. Heights become rows after the join only, from the
+    bits that are not set; NULL is a chain like any other.
     """
-    heights = explode_heights(wanted, F.col(low), F.col(high), "height")
-    have = done.select(F.col(chain), F.col(number).alias("height")).distinct()
-    return heights.select(chain, "height").join(have, [chain, "height"], "left_anti")
+    ranges = wanted.select(F.col(chain).alias("chain"), F.col(low).alias("_first"), F.col(high).alias("_last"))
+    words = explode_heights(
+        ranges.filter(F.col("_first") <= F.col("_last")),
+        _word("_first"),
+        _word("_last"),
+        "word",
+    )
+    have = height_words(done, chain, number).select(F.col("chain").alias("_chain"), F.col("word").alias("_word"), "bits")
+    met = words.join(have, F.col("chain").eqNullSafe(F.col("_chain")) & (F.col("word") == F.col("_word")), "left")
+    start = F.col("word") * WORD
+    bits = F.coalesce("bits", F.lit(0).cast("bigint"))
+    from_bit = F.greatest(F.col("_first") - start, F.lit(0)).cast("int")
+    to_bit = F.least(F.col("_last") - start, F.lit(WORD - 1)).cast("int")
+    return (
+        # A word with all bits set has nothing to list.
+        met.filter(bits != -1)
+        .select("chain", start.alias("_start"), bits.alias("_bits"), F.explode(F.sequence(from_bit, to_bit)).alias("_bit"))
+        .filter(F.call_function("getbit", F.col("_bits"), F.col("_bit")) == 0)
+        .select(F.col("chain").alias(chain), (F.col("_start") + F.col("_bit")).alias("height"))
+    )

@@ -149,38 +149,39 @@ def _growth(value: str, previous: str) -> Column:
     )
 
 
-def counter_increase(
-    df: DataFrame,
-    series: Sequence[str],
-    order: Sequence[str],
-    value: str,
-    out: str = "increase",
-    floor: int = SMALL_KEY_ROWS,
+def counter_states(
+    df: DataFrame, series: Sequence[str], order: Sequence[str], value: str, floor: int = SMALL_KEY_ROWS
 ) -> DataFrame:
-    """Growth of a counter over its samples, allowing for resets.
+    """What a counter did over its samples: first_value, last_value, increase, resets, samples.
 
-    ``series`` should include the range the growth is measured in. A series with
-    one sample has grown by 0. Series too large for one task are cut into
-    chunks, and the step from one chunk to the next is added from their edges.
+    Two states of one series that follow each other merge: increases, resets and
+    samples add up, and the step from the last value of the one to the first of
+    the other counts like any step. ``series`` should include the range that is
+    looked at. Series too large for one task are cut into chunks, whose states
+    are merged so.
     """
+    at = F.struct(*order)
     if not has_large_key(df, series, floor):
         w = Window.partitionBy(*series).orderBy(*order)
         return (
             df.withColumn("_before", F.lag(value).over(w))
             .groupBy(*series)
             .agg(
-                F.coalesce(F.sum(_growth(value, "_before")), F.lit(0.0)).alias(out),
+                F.min_by(value, at).alias("first_value"),
+                F.max_by(value, at).alias("last_value"),
+                F.coalesce(F.sum(_growth(value, "_before")), F.lit(0.0)).alias("increase"),
+                F.count_if(F.col(value) < F.col("_before")).alias("resets"),
                 F.count(F.lit(1)).alias("samples"),
             )
         )
     chunks = ordered_chunks(df, series, order)
     w = Window.partitionBy(*series, CHUNK).orderBy(*order)
-    at = F.struct(*order)
     pieces = (
         chunks.withColumn("_before", F.lag(value).over(w))
         .groupBy(*series, CHUNK)
         .agg(
             F.sum(_growth(value, "_before")).alias("_inner"),
+            F.count_if(F.col(value) < F.col("_before")).alias("_resets"),
             F.min_by(value, at).alias("_first"),
             F.max_by(value, at).alias("_last"),
             F.count(F.lit(1)).alias("_n"),
@@ -192,15 +193,100 @@ def counter_increase(
         pieces.withColumn("_before", F.lag("_last").over(joined))
         .groupBy(*series)
         .agg(
+            F.min_by("_first", CHUNK).alias("first_value"),
+            F.max_by("_last", CHUNK).alias("last_value"),
             (
                 F.coalesce(F.sum("_inner"), F.lit(0.0))
                 + F.coalesce(F.sum(_growth("_first", "_before")), F.lit(0.0))
-            ).alias(out),
+            ).alias("increase"),
+            (F.sum("_resets") + F.count_if(F.col("_first") < F.col("_before"))).alias("resets"),
             F.sum("_n").alias("samples"),
         )
     )
 
 
+def counter_increase(
+    df: DataFrame,
+    series: Sequence[str],
+    order: Sequence[str],
+    value: str,
+    out: str = "increase",
+    floor: int = SMALL_KEY_ROWS,
+) -> DataFrame:
+    """Growth of a counter over its samples, allowing for resets; a series with one sample has grown by 0."""
+    states = counter_states(df, series, order, value, floor)
+    return states.select(*series, F.col("increase").alias(out), "samples")
+
+
+def sliding_rate(
+    df: DataFrame,
+    series: Sequence[str],
+    ts: str,
+    tie: Sequence[str],
+    value: str,
+    width_s: int,
+    step_s: int,
+    floor: int = SMALL_KEY_ROWS,
+) -> DataFrame:
+    """Per-second growth of each series over the last ``width_s`` seconds, one range every ``step_s``.
+
+    Samples shrink to one counter state per series and pane of ``step_s``, and no
+    sample is copied into ranges. A pane's growth is its own increase and the
+    step that leads into it from the pane before; a range is the sum over its
+    panes, less the step into its first one. Each range that holds a sample has
+    one row, put next to the last pane it reaches.
+
+    Ranges start at multiples of the step. Only samples inside a range count, and
+    growth is not extrapolated to its edges. NULL labels are labels like any
+    other; NULL values are no samples. Result: range_start, series, samples,
+    resets, increase, rate.
+    """
+    if width_s % step_s:
+        raise ValueError("the range must be a multiple of the step")
+    panes = width_s // step_s
+    seconds = F.unix_seconds(F.col(ts).cast("timestamp"))
+    paned = df.filter(F.col(value).isNotNull()).select(
+        F.floor(seconds / F.lit(step_s)).alias("_pane"), *series, ts, *tie, value
+    )
+    states = counter_states(paned, [*series, "_pane"], [ts, *tie], value, floor)
+    # One row per series and pane from here on: a year of hours is 8,760.
+    w = Window.partitionBy(*series).orderBy("_pane")
+    before = F.lag("last_value").over(w)
+    linked = states.select(
+        *series,
+        "_pane",
+        "samples",
+        "resets",
+        "increase",
+        F.coalesce(
+            F.when(F.col("first_value") < before, F.col("first_value")).otherwise(F.col("first_value") - before), F.lit(0.0)
+        ).alias("_step"),
+        F.coalesce((F.col("first_value") < before).cast("bigint"), F.lit(0)).alias("_fell"),
+        # Ranges whose last pane with samples this is.
+        F.least(F.coalesce(F.lead("_pane").over(w) - 1, F.col("_pane") + panes - 1), F.col("_pane") + panes - 1).alias("_until"),
+    )
+    ends = linked.withColumn("_end", F.explode(F.sequence("_pane", "_until")))
+    real = F.col("_end") == F.col("_pane")
+    ends = ends.select(
+        *series,
+        "_end",
+        *(F.when(real, F.col(c)).alias(c) for c in ("samples", "resets", "increase", "_step", "_fell")),
+    )
+    reach = Window.partitionBy(*series).orderBy("_end").rangeBetween(-(panes - 1), Window.currentRow)
+
+    def over(inner: str, step: str) -> Column:
+        first = F.first(step, ignorenulls=True).over(reach)
+        return F.sum(F.col(inner) + F.col(step)).over(reach) - first
+
+    return ends.select(
+        F.timestamp_seconds((F.col("_end") - (panes - 1)) * step_s).alias("range_start"),
+        *series,
+        F.sum("samples").over(reach).alias("samples"),
+        over("resets", "_fell").alias("resets"),
+        over("increase", "_step").alias("increase"),
+    ).withColumn("rate", F.col("increase") / F.lit(float(width_s)))
+
+
 def counter_rate(
     df: DataFrame,
     series: Sequence[str],

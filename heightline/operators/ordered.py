@@ -19,6 +19,8 @@ CHUNK = "_chunk"
 
 # Below this many rows a key is left to one task.
 SMALL_KEY_ROWS = 2_000_000
+# Rows of a chunk, about; fewer where the shuffle is wide enough for that.
+CHUNK_ROWS = 1_000_000
 
 
 # The sketch that tells whether there is any key of more than ``floor`` rows.
@@ -57,18 +59,19 @@ def has_large_key(df: DataFrame, keys: Sequence[str], floor: int = SMALL_KEY_ROW
     return bool(row and row["rows"] and row["top"] and row["top"][0]["count"] > floor)
 
 
-def large_keys(df: DataFrame, key: str, floor: int = SMALL_KEY_ROWS) -> DataFrame | None:
+def large_keys(df: DataFrame, key: str, floor: int = SMALL_KEY_ROWS, with_null: bool = False) -> DataFrame | None:
     """The keys of more than ``floor`` rows as a table, or None if there are none.
 
-    Only where the sketch finds one are keys counted; NULL is not among them, as
-    no join matches it. Their number is at most the rows over ``floor``.
+    Only where the sketch finds one are keys counted. NULL is among them only
+    with ``with_null``, as no plain join matches it. Their number is at most the
+    rows over ``floor``.
     """
-    if not has_large_key(df.filter(F.col(key).isNotNull()), [key], floor):
+    keyed = df if with_null else df.filter(F.col(key).isNotNull())
+    if not has_large_key(keyed, [key], floor):
         return None
     shared_dir(df.sparkSession)
     found = (
-        df.filter(F.col(key).isNotNull())
-        .groupBy(key)
+        keyed.groupBy(key)
         .agg(F.count(F.lit(1)).alias("_n"))
         .filter(F.col("_n") > floor)
         .select(key)
@@ -113,12 +116,14 @@ def ordered_chunks(df: DataFrame, keys: Sequence[str], order: Sequence[str]) ->
     Range partitioning samples its bounds, so the layout is fixed by a
     checkpoint in the shared folder before anything depends on it. ``order``
     should end in a unique column, so that rows with equal times can be split.
+    The rows are counted, so that chunks stay small however narrow the shuffle.
     """
     spark = df.sparkSession
     shared_dir(spark)
     by = [*keys, *order]
+    parts = max(shuffle_width(spark), -(-df.count() // CHUNK_ROWS))
     return (
-        df.repartitionByRange(shuffle_width(spark), *by)
+        df.repartitionByRange(parts, *by)
         .sortWithinPartitions(*by)
         .withColumn(CHUNK, F.spark_partition_id())
         .checkpoint(eager=True)

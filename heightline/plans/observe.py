@@ -202,6 +202,69 @@ def counter_rate(spark, sf):
     )
 
 
+# --- rates at each step ----------------------------------------------------------
+
+STEP_S = 3600
+_STEPS = DAY_S // STEP_S
+
+
+def _sliding_sql(counter: str) -> str:
+    """Every sample in each of the ranges it lies in, for the checks."""
+    return f"""
+    SELECT s * {STEP_S} * 1000000 AS range_start, user_id, count(*) AS samples, coalesce(count_if(v < before), 0) AS resets,
+           coalesce(sum(CASE WHEN v < before THEN v ELSE v - before END), 0) AS increase
+    FROM (SELECT *, lag(v) OVER (PARTITION BY user_id, s ORDER BY ts, event_id) AS before
+          FROM (SELECT ts, event_id, user_id, {counter} AS v,
+                       unnest(range(CAST(floor(epoch(ts) / {STEP_S}) AS BIGINT) - {_STEPS - 1},
+                                    CAST(floor(epoch(ts) / {STEP_S}) AS BIGINT) + 1)) AS s
+                FROM events WHERE {counter} IS NOT NULL))
+    GROUP BY s, user_id"""
+
+
+def _sliding(spark, sf, counter):
+    samples = inputs.samples(spark, sf).withColumn("value", counter)
+    return metrics.sliding_rate(samples, ["user_id"], "ts", ["event_id"], "value", DAY_S, STEP_S)
+
+
+@query(
+    "rate_sliding",
+    f"""SELECT range_start, user_id, samples, resets, round(increase, 4) AS increase,
+            round(increase / {DAY_S}.0::DOUBLE, 9) AS rate
+        FROM ({_sliding_sql('value')})""",
+)
+def rate_sliding(spark, sf):
+    return _sliding(spark, sf, F.col("value")).select(
+        _micros("range_start").alias("range_start"),
+        "user_id",
+        "samples",
+        "resets",
+        F.round("increase", 4).alias("increase"),
+        F.round("rate", 9).alias("rate"),
+    )
+
+
+# Bytes of a container against what it may use, both counters, as a share at each step.
+_USED, _LIMIT = "value", "97003.0::DOUBLE * (event_id % 97)"
+
+
+@query(
+    "rate_ratio",
+    f"""SELECT a.range_start, a.user_id, round(100.0::DOUBLE * (a.increase / {DAY_S}.0::DOUBLE)
+               / greatest(b.increase / {DAY_S}.0::DOUBLE, 1), 7) AS pct
+        FROM ({_sliding_sql(_USED)}) a JOIN ({_sliding_sql(_LIMIT)}) b
+          ON a.user_id = b.user_id AND a.range_start = b.range_start""",
+)
+def rate_ratio(spark, sf):
+    used = _sliding(spark, sf, F.col("value"))
+    limit = _sliding(spark, sf, F.expr("97003.0D * (event_id % 97)"))
+    both = used.join(limit.select("user_id", "range_start", F.col("rate").alias("limit")), ["user_id", "range_start"])
+    return both.select(
+        _micros("range_start").alias("range_start"),
+        "user_id",
+        F.round(metrics.percent(F.col("rate"), F.col("limit")), 7).alias("pct"),
+    )
+
+
 # Two counters of each series, as a container has one for reads and one for writes.
 _SENT = "CAST(event_id % 97 AS DOUBLE)"
 _TWO_RATES_SQL = " UNION ALL ".join(

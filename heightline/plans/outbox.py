@@ -145,6 +145,16 @@ def dedup_ttl(spark, sf):
     return dedup.dedup_ttl(rows, "user_id", "at_us", DAY, ["event_id"])
 
 
+DEDUP_HOT_SQL = DEDUP_TTL_SQL.replace("user_id", "event_type")
+
+
+@query("dedup_ttl_hot", DEDUP_HOT_SQL)
+def dedup_ttl_hot(spark, sf):
+    # A handful of keys that share all rows, each cut over several tasks.
+    rows = inputs.entries(spark, sf).select(F.col("kind").alias("event_type"), "event_id", "at_us")
+    return dedup.dedup_ttl(rows, "event_type", "at_us", DAY, ["event_id"], floor=0)
+
+
 @query(
     "marker_insert",
     f"""WITH c AS (
@@ -279,17 +289,18 @@ def stale_reclaim(spark, sf):
         FROM all_phases GROUP BY id""",
 )
 def work_list(spark, sf):
-    waiting = _pending(spark, sf).withColumn("delivered_ms", F.expr("at_us div 1000"))
-    return backlog.work_list(
-        [
-            ("pending", waiting.filter(F.col("kind") == "click")),
-            (
-                "reclaimed",
-                backlog.reclaim_stale(waiting, "delivered_ms", NOW_MS, DAY_MS, "replica1"),
-            ),
-            ("new", inputs.entries(spark, sf).filter(F.col("kind") == "signup")),
-        ]
+    kind = F.col("kind")
+    states = backlog.entry_states(
+        inputs.entries(spark, sf),
+        {
+            backlog.DELIVERED: kind != "signup",
+            backlog.ACKED: kind == "purchase",
+            backlog.OWN: kind == "click",
+            backlog.STALE: F.expr("at_us div 1000") <= NOW_MS - DAY_MS,
+            backlog.NEW: kind == "signup",
+        },
     )
+    return backlog.phases(states)
 
 
 @query(

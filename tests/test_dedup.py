@@ -115,3 +115,57 @@ def test_markers(spark):
     found = markers.look_up_markers(asked, live, "hash").collect()
     assert sorted((r.o, r.published) for r in found)[:3] == [(1, True), (2, False), (3, False)]
     assert sorted(r.o for r in markers.skip_published(asked, live, "hash").collect()) == [2, 3, 4, 5, 6]
+
+
+def test_null_key_is_split_too(spark):
+    rng = random.Random(3)
+    rows = [(None if rng.random() < 0.7 else rng.choice("ab"), rng.randrange(900), i) for i in range(1500)]
+    for ttl in (1, 40, 900, 5000):
+        assert kept(spark, rows, ttl, 0) == brute(rows, ttl), ttl
+
+
+def test_chunks_follow_the_rows(spark, monkeypatch):
+    monkeypatch.setattr(ordered, "CHUNK_ROWS", 50)
+    rows = [("a", i * 3, i) for i in range(1000)]
+    df = spark.createDataFrame(rows, "k string, at long, i long")
+    sizes = [r["count"] for r in ordered.ordered_chunks(df, ["k"], ["at", "i"]).groupBy(ordered.CHUNK).count().collect()]
+    assert len(sizes) >= 18 and max(sizes) <= 150
+    for ttl in (7, 1000):
+        assert kept(spark, rows, ttl, 0) == brute(rows, ttl), ttl
+
+
+def walked(steps, ttl):
+    """The carried times of one key's steps, chunk by chunk."""
+    carry, out = None, {}
+    for chunk in sorted({c for c, _, _ in steps}):
+        out[chunk] = carry
+        for _, upto, leaves in sorted(s for s in steps if s[0] == chunk):
+            if carry is None or carry + ttl <= upto:
+                carry = leaves
+                break
+    return out
+
+
+def test_carried_times_equal_a_walk(spark):
+    rng = random.Random(8)
+    for ttl, gap in ((30, 1), (30, 9), (200, 3), (10_000, 2)):
+        times, at = [], 0
+        for _ in range(400):
+            at += rng.randrange(gap + 1)
+            times.append(at)
+        cuts = sorted(rng.sample(range(1, 400), 25))
+        steps = []
+        for chunk, (a, b) in enumerate(zip([0, *cuts], [*cuts, 400])):
+            upto, leaves = dedup._summarise_run(np.array(times[a:b]), ttl)
+            steps += [(chunk, int(u), int(v)) for u, v in zip(upto, leaves)]
+        df = spark.createDataFrame([("k", *s) for s in steps], f"k string, {ordered.CHUNK} int, upto long, leaves long")
+        for floor in (0, ordered.SMALL_KEY_ROWS):
+            got = dedup._carried_times(df, "k", ttl, floor).collect()
+            assert {r["_in"]: r["_carry"] for r in got} == walked(steps, ttl)
+
+
+def test_a_key_within_one_ttl_has_no_links(spark):
+    # Every row is a step of its chunk, and none of them leads anywhere: no join, no walk.
+    steps = [("k", c, 10 * c + i, 10 * c + i) for c in range(8) for i in range(10)]
+    df = spark.createDataFrame(steps, f"k string, {ordered.CHUNK} int, upto long, leaves long")
+    assert dedup._next_steps(df, "k", 1000, 0).count() == 0
