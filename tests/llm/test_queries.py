@@ -30,7 +30,7 @@ def test_query(spark, duck, name):
 def test_registered():
     names = entry.queries()
     assert "pipeline" in names
-    assert sorted({int(n[2:].split("_")[0]) for n in names if n.startswith("op") and n[2].isdigit()}) == list(range(1, 11))
+    assert sorted({int(n[2:].split("_")[0]) for n in names if n.startswith("op") and n[2].isdigit()}) == list(range(1, 14))
 
 
 def test_pipeline_stages(spark):
