@@ -19,15 +19,28 @@ from .outbox import DEDUP_TTL_SQL, NOW, PUBLISH, PUBLISH_ONCE_SQL, _ENTRIES
 from .registry import query
 
 FILES_PER_BATCH = 64
-
-
-def _follow(spark, sf, name):
-    schema = inputs.table(spark, sf, name).schema
-    return follow_parquet(spark, sf, schema, FILES_PER_BATCH, only=f"{name}.parquet")
-
-
-def _end(query):
-    query.awaitTermination()
+# A table arrives in so many parts; the stream is stopped and started again after each.
+PARTS = 4
+
+
+def _over_restarts(spark, rows, order, path, run):
+    """Hand ``rows`` to a stream in parts by ``order``, and run it to its end after each part.
+
+    ``run`` gets the stream of the folder the parts arrive in. It starts from its
+    checkpoint each time, so state has to outlast both batches and queries.
+    """
+    cuts = rows.approxQuantile(order, [i / PARTS for i in range(1, PARTS)], 0.01)
+    for low, high in zip([None, *cuts], [*cuts, None]):
+        part = rows
+        if low is not None:
+            part = part.filter(F.col(order) >= low)
+        if high is not None:
+            part = part.filter(F.col(order) < high)
+        elif low is not None:
+            # Rows without an order come with the last part.
+            part = rows.filter((F.col(order) >= low) | F.col(order).isNull())
+        part.write.mode("append").parquet(f"{path}/in")
+        run(follow_parquet(spark, f"{path}/in", rows.schema, FILES_PER_BATCH)).awaitTermination()
 
 
 def _first_to_top(number: str, rows: str) -> str:
@@ -40,9 +53,28 @@ def _first_to_top(number: str, rows: str) -> str:
 @query("stream_new_heads", _first_to_top("number", _HEADS))
 def stream_new_heads(spark, sf):
     path = work_path(spark, "heads")
-    rows = inputs.as_heads(_follow(spark, sf, "orders"))
+    rows = inputs.heads(spark, sf).select("chain", "number", "arrived")
+    order = F.struct("arrived", "number")
+    _over_restarts(
+        spark, rows, "arrived", path,
+        lambda heads: head_stream.follow_heads(heads, f"{path}/out", f"{path}/checkpoint", order),
+    )
+    return head_stream.written_heights(spark, f"{path}/out")
+
+
+# One chain has lost its name, and is followed like the others.
+_NAMELESS = f"SELECT nullif(chain, 'P') AS chain, number, arrived FROM ({_HEADS})"
+
+
+@query("stream_null_chain", _first_to_top("number", _NAMELESS))
+def stream_null_chain(spark, sf):
+    path = work_path(spark, "null-chain")
+    rows = inputs.heads(spark, sf).select(F.expr("nullif(chain, 'P')").alias("chain"), "number", "arrived")
     order = F.struct("arrived", "number")
-    _end(head_stream.follow_heads(rows, f"{path}/out", f"{path}/checkpoint", order))
+    _over_restarts(
+        spark, rows, "arrived", path,
+        lambda heads: head_stream.follow_heads(heads, f"{path}/out", f"{path}/checkpoint", order),
+    )
     return head_stream.written_heights(spark, f"{path}/out")
 
 
@@ -55,17 +87,18 @@ _POLLED = f"""
 @query("stream_finalized", _first_to_top("final", _POLLED))
 def stream_finalized(spark, sf):
     path = work_path(spark, "finalized")
-    polls = inputs.as_heads(_follow(spark, sf, "orders")).select(
+    polls = inputs.heads(spark, sf).select(
         "chain",
         F.when((F.col("chain") == "F") & ~F.col("ok"), F.col("number")).alias("tag"),
         F.col("number").alias("latest"),
         "arrived",
     )
     order = F.struct("arrived", "latest")
-    _end(
-        head_stream.follow_finalized(
-            polls, f"{path}/out", f"{path}/checkpoint", order, inputs.CONFIRMATIONS
-        )
+    _over_restarts(
+        spark, polls, "arrived", path,
+        lambda rows: head_stream.follow_finalized(
+            rows, f"{path}/out", f"{path}/checkpoint", order, inputs.CONFIRMATIONS
+        ),
     )
     return head_stream.written_heights(spark, f"{path}/out")
 
@@ -80,12 +113,12 @@ def read_new(spark, sf):
     def handle(batch, epoch):
         table.write(backlog.with_id_parts(batch), epoch)
 
-    entries = inputs.as_entries(_follow(spark, sf, "events"))
-    _end(
-        entries.writeStream.foreachBatch(handle)
+    _over_restarts(
+        spark, inputs.entries(spark, sf).select("id", "hash", "at_us"), "at_us", path,
+        lambda entries: entries.select("id", "hash").writeStream.foreachBatch(handle)
         .option("checkpointLocation", f"{path}/checkpoint")
         .trigger(availableNow=True)
-        .start()
+        .start(),
     )
     return table.rows()
 
@@ -93,12 +126,12 @@ def read_new(spark, sf):
 @query("stream_dedup_ttl", DEDUP_TTL_SQL)
 def stream_dedup_ttl(spark, sf):
     path = work_path(spark, "dedup")
-    rows = inputs.as_entries(_follow(spark, sf, "events")).select("user_id", "event_id", "at_us")
-    _end(
-        dedup_ttl_batches(
-            rows, f"{path}/out", f"{path}/checkpoint", "user_id", "at_us", inputs.DAY_US,
-            ["event_id"],
-        )
+    rows = inputs.entries(spark, sf).select("user_id", "event_id", "at_us")
+    _over_restarts(
+        spark, rows, "at_us", path,
+        lambda stream: dedup_ttl_batches(
+            stream, f"{path}/out", f"{path}/checkpoint", "user_id", "at_us", inputs.DAY_US, ["event_id"]
+        ),
     )
     return EpochTable(spark, f"{path}/out", rows.schema).rows()
 
@@ -106,18 +139,13 @@ def stream_dedup_ttl(spark, sf):
 @query("stream_publish_once", PUBLISH_ONCE_SQL)
 def stream_publish_once(spark, sf):
     path = work_path(spark, "publish")
-    out = publish_job.Publisher(spark, f"{path}/out")
+    out = publish_job.Publisher(spark, f"{path}/out", PUBLISH.marker_ttl)
     out.ledger.write(inputs.ledger(spark, sf), -1)
-    outbox = inputs.as_messages(_follow(spark, sf, "events"))
-    _end(
-        publish_job.publish_stream(
-            outbox,
-            f"{path}/out",
-            f"{path}/checkpoint",
-            PUBLISH,
-            lambda: NOW,
-            ["at_us", "event_id"],
-        )
+    _over_restarts(
+        spark, inputs.messages(spark, sf), "at_us", path,
+        lambda outbox: publish_job.publish_stream(
+            outbox, f"{path}/out", f"{path}/checkpoint", PUBLISH, lambda: NOW, ["at_us", "event_id"]
+        ),
     )
     written = out.records.rows()
     headers = F.transform("headers", lambda h: F.decode(h["value"], "UTF-8"))

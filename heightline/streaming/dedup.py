@@ -23,6 +23,8 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from ..operators.dedup import dedup_ttl
 from ..operators.ordered import SMALL_KEY_ROWS, with_known
 from ..sources.epochs import EpochTable
+from ..sources.ledger import Ledger
+from .publish import SLOTS_PER_TTL
 
 
 def accept_batch(
@@ -37,27 +39,39 @@ def accept_batch(
 ) -> None:
     """Append the rows of a batch that no live accepted row of their key precedes.
 
-    Accepting a row and appending it are one write, which replaces its epoch:
-    a batch that fails leaves nothing behind, and one that is run again finds
-    the state it found before.
+    The accepted rows of a batch are one write, which replaces its epoch; the
+    last one of each key then goes to a ledger beside them, of which the next
+    batch reads the live slots in its own keys' buckets. A batch that fails
+    before the ledger is run again, and finds the state it found before. NULL is
+    a key like any other.
     """
+    spark = batch.sparkSession
+    kind = batch.schema[key].dataType
+    marks = T.StructType([T.StructField("key", kind), T.StructField("last", T.LongType())])
+    state = Ledger(spark, f"{accepted.path}/_state", marks, "key", "last", slot=max(1, ttl // SLOTS_PER_TTL))
     batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         first = batch.agg(F.min(at).alias("first")).first()["first"]
         if first is None:
             accepted.write(batch, epoch)
-            return
-        live = accepted.rows(before=epoch).filter(F.col(at) > first - ttl)
-        last = live.groupBy(key).agg(F.max(at).alias("_last"))
-        # All rows before the carried time runs out are repeats; what is left
-        # starts afresh.
-        free = with_known(batch, last, key, "left", floor).filter(
-            F.col("_last").isNull() | (F.col(at) >= F.col("_last") + ttl)
-        )
-        kept = dedup_ttl(free.select(*batch.columns), key, at, ttl, tie, floor)
-        accepted.write(kept, epoch)
+        else:
+            asked = batch.select(F.col(key).alias("key")).distinct()
+            live = state.rows(before=epoch, since=first - ttl, keys=asked)
+            # A struct equals another where both hold NULL, which bare keys do not.
+            last = live.groupBy(F.struct("key").alias("_of")).agg(F.max("last").alias("_last"))
+            named = batch.withColumn("_of", F.struct(F.col(key).alias("key")))
+            # All rows before the carried time runs out are repeats; what is left
+            # starts afresh.
+            free = with_known(named, last, "_of", "left", floor).filter(
+                F.col("_last").isNull() | (F.col(at) >= F.col("_last") + ttl)
+            )
+            kept = dedup_ttl(free.select(*batch.columns), key, at, ttl, tie, floor)
+            accepted.write(kept, epoch)
     finally:
         batch.unpersist()
+    written = accepted.epoch(epoch).groupBy(F.col(key).alias("key")).agg(F.max(at).alias("last"))
+    # What has expired for this batch may be live for a late one: two lives are kept.
+    state.write(written, epoch, None if first is None else first - 2 * ttl)
 
 
 def dedup_ttl_batches(

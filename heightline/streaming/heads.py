@@ -35,8 +35,12 @@ def new_heights(batch: DataFrame, marks: DataFrame, number: Column, first: Colum
     tops = batch.groupBy("chain").agg(
         F.max(number).alias("high"), F.min_by(number, first).alias("first")
     )
-    return tops.join(marks, "chain", "left").withColumn(
-        "low", F.coalesce(F.col("last") + 1, F.col("first"))
+    known = marks.select(F.col("chain").alias("_chain"), "last")
+    return (
+        # NULL is a chain like any other.
+        tops.join(known, F.col("chain").eqNullSafe(F.col("_chain")), "left")
+        .drop("_chain")
+        .withColumn("low", F.coalesce(F.col("last") + 1, F.col("first")))
     )
 
 

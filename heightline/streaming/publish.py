@@ -11,10 +11,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import contract, markers, records
+from ..operators.dedup import first_arrival
 from ..schemas import LEDGER, QUARANTINE, RECORD
 from ..sources.epochs import EpochTable
+from ..sources.ledger import Ledger
 
 TOO_LARGE = "record_too_large"
+# Time slots of the ledger that one time-to-live covers.
+SLOTS_PER_TTL = 1
 
 
 @dataclass(frozen=True)
@@ -26,37 +30,26 @@ class PublishPlan:
     marker_ttl: int = 0
 
 
-def classify(messages: DataFrame, plan: PublishPlan) -> DataFrame:
-    """Checked messages with their record, or the reason they have none."""
-    checked = contract.check_messages(messages)
-    shaped = records.block_records(
-        checked, plan.topic, extras=records.source_header(F.col("id"))
-    ).withColumn("block_hash", F.col("block.hash"))
-    return shaped.withColumn(
+def shaped(checked: DataFrame, plan: PublishPlan) -> DataFrame:
+    """Sound checked messages with their record, or the reason they have none."""
+    made = records.block_records(checked, plan.topic, extras=records.source_header(F.col("id")))
+    return made.withColumn(
         "reason",
-        F.coalesce(
-            F.col("reason"),
-            F.when(
-                contract.too_large(F.col("value"), plan.max_record_bytes), F.lit(TOO_LARGE)
-            ),
-        ),
+        F.when(contract.too_large(F.col("value"), plan.max_record_bytes), F.lit(TOO_LARGE)),
     )
 
 
-def unpublished(classified: DataFrame, live: DataFrame, order: list[str]) -> DataFrame:
-    """Sound records with no live marker, one per hash."""
-    sound = classified.filter(F.col("reason").isNull()).drop("hash")
-    return markers.first_unmarked(
-        sound.withColumnRenamed("block_hash", "hash"), live, "hash", order
-    )
+def sound(checked: DataFrame) -> DataFrame:
+    """Messages that keep the contract, under the hash of their block."""
+    return checked.filter(F.col("reason").isNull()).withColumn("hash", F.col("block.hash"))
 
 
 class Publisher:
     """Tables of one publishing job below ``path``: records, ledger, quarantine."""
 
-    def __init__(self, spark, path: str):
+    def __init__(self, spark, path: str, marker_ttl: int = 0):
         self.records = EpochTable(spark, f"{path}/records", RECORD)
-        self.ledger = EpochTable(spark, f"{path}/ledger", LEDGER)
+        self.ledger = Ledger(spark, f"{path}/ledger", LEDGER, "hash", "published_at", slot=marker_ttl // SLOTS_PER_TTL)
         self.quarantine = EpochTable(spark, f"{path}/quarantine", QUARANTINE)
 
 
@@ -73,35 +66,42 @@ def publish_batch(
     """Check, publish, then mark one micro-batch.
 
     Every write replaces its epoch, and only markers of earlier epochs are
-    looked at, so running a batch again writes the same records. ``send`` hands
-    the written records to a broker; that step can repeat, and the newest record
-    per key removes the repeat on the reading side.
+    looked at, so running a batch again writes the same records. Of the ledger,
+    live markers in the buckets of the batch's hashes are read. Records are made
+    after published hashes have gone. ``send`` hands the written records to a
+    broker; that step can repeat, and the newest record per key removes the
+    repeat on the reading side.
     """
     spark = messages.sparkSession
-    out = Publisher(spark, path)
+    out = Publisher(spark, path, plan.marker_ttl)
     at = now()
-    classified = classify(messages, plan).persist(StorageLevel.MEMORY_AND_DISK)
+    since = at - plan.marker_ttl if plan.marker_ttl > 0 else None
+    checked = contract.check_messages(messages).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        out.quarantine.write(classified.filter(F.col("reason").isNotNull()), epoch)
-        live = markers.live_markers(
-            out.ledger.rows(before=epoch), "published_at", plan.marker_ttl, at
-        )
+        good = sound(checked)
+        asked = good.select("hash").distinct()
+        live = out.ledger.rows(before=epoch, since=since, keys=asked)
         # The batch is small and its size is known by now, the ledger is not:
         # cut the ledger down to the batch's hashes before anything shuffles.
-        asked = classified.select(F.col("block_hash").alias("hash")).distinct()
         live = live.join(asked, "hash", "left_semi")
-        out.records.write(unpublished(classified, live, order), epoch)
+        made = shaped(markers.skip_published(good, live, "hash"), plan).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            bad = checked.filter(F.col("reason").isNotNull()).select(*QUARANTINE.names)
+            large = made.filter(F.col("reason").isNotNull()).select(*QUARANTINE.names)
+            out.quarantine.write(bad.unionByName(large), epoch)
+            out.records.write(first_arrival(made.filter(F.col("reason").isNull()), ["hash"], order), epoch)
+        finally:
+            made.unpersist()
     finally:
-        classified.unpersist()
+        checked.unpersist()
     written = out.records.epoch(epoch)
     if send is not None:
         send(written)
     if before_ledger is not None:
         before_ledger(epoch)
     # From the written records, so that the ledger is what was published.
-    out.ledger.write(
-        written.select("hash", F.lit(at).cast("bigint").alias("published_at")), epoch
-    )
+    marked = written.select("hash", F.lit(at).cast("bigint").alias("published_at"))
+    out.ledger.write(marked, epoch, since)
 
 
 def publish_stream(
@@ -129,6 +129,7 @@ def publish_stream(
 def publish_once(
     messages: DataFrame, ledger: DataFrame, plan: PublishPlan, now: Column | int, order: list[str]
 ) -> DataFrame:
-    """The batch form: the records a set of messages would publish."""
+    """The batch form: the records a set of messages would publish, made once published hashes have gone."""
     live = markers.live_markers(ledger, "published_at", plan.marker_ttl, now)
-    return unpublished(classify(messages, plan), live, order)
+    waiting = markers.skip_published(sound(contract.check_messages(messages)), live, "hash")
+    return first_arrival(shaped(waiting, plan).filter(F.col("reason").isNull()), ["hash"], order)
