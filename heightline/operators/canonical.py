@@ -15,9 +15,10 @@ from pyspark.sql import types as T
 from ..functions.bigints import parse_big
 from ..functions.hexes import address20, bloom256, clean_hex, hash32, is_zero_hash, nonce8
 from ..functions.ids import UINT64_MAX
-from ..schemas import BLOCK, CORRUPT, HEADER, INT, LONG, STRING, TRANSACTION, UINT64, WITHDRAWAL
+from ..schemas import BLOCK, HEADER, INT, STRING, TRANSACTION, UINT64, WITHDRAWAL
 
-WIRE_DDL = ", ".join(f"{f.name}: {f.dataType.simpleString()}" for f in BLOCK.fields)
+# Wire shape: numbers of any width are read in full, and checked against their bits afterwards.
+WIRE_DDL = ", ".join(f"{f.name}: {f.dataType.simpleString()}" for f in BLOCK.fields).replace(":int", ":decimal(20,0)")
 
 
 def _struct(fields: dict[str, str]) -> str:
@@ -33,10 +34,6 @@ def _number(value: str) -> str:
     return f"coalesce(cast({value} AS DECIMAL(20,0)), cast(0 AS DECIMAL(20,0)))"
 
 
-def _long(value: str) -> str:
-    return f"coalesce(cast({value} AS BIGINT), 0L)"
-
-
 def _optional(s: str, normal: Callable[[str], str]) -> str:
     return f"CASE WHEN {s} <> '' THEN {normal(s)} END"
 
@@ -53,10 +50,10 @@ def map_header(h: str, number: str | None = None) -> str:
             "receiptHash": hash32(f"{h}.receiptHash"),
             "bloom": bloom256(f"{h}.bloom"),
             "difficulty": parse_big(f"{h}.difficulty"),
-            "number": _long(number or f"{h}.number"),
+            "number": _number(number or f"{h}.number"),
             "gasLimit": _number(f"{h}.gasLimit"),
             "gasUsed": _number(f"{h}.gasUsed"),
-            "time": _long(f"{h}.time"),
+            "time": _number(f"{h}.time"),
             "extra": clean_hex(f"{h}.extra"),
             "mixDigest": hash32(f"{h}.mixDigest"),
             "nonce": nonce8(f"{h}.nonce"),
@@ -93,7 +90,7 @@ def map_transactions(items: str) -> str:
         lambda t: _struct(
             {
                 "hash": hash32(f"{t}.hash"),
-                "type": f"coalesce({t}.type, 0)",
+                "type": f"coalesce(cast({t}.type AS INT), 0)",
                 "to": _optional(f"{t}.to", address20),
                 "value": parse_big(f"{t}.value"),
                 "gas": _number(f"{t}.gas"),
@@ -173,54 +170,107 @@ def encode_payload(block: str) -> str:
 
 
 def read_payload(payload: str) -> str:
-    """JSON text read twice: ``e.p`` is the raw wire struct, ``v`` what kinds of values the text has.
+    """The one reading of a JSON text: a VARIANT object with the payload as ``p`` and a field ``end`` behind it.
 
-    ``from_json`` takes any value for a string and stops at the end of the first
-    object, so it alone does not tell sound text. The text stands in an object
-    in one reading and in an array in the other; text after the payload breaks
-    one of them, or is a second element of the array.
+    The reader stops where the object ends. Text after the payload breaks the
+    object, adds a field to it, or hides its true end, which a text cannot hold
+    itself: it is a hash of the text. An object that names a field twice is no
+    VARIANT.
     """
     text = f"CASE WHEN trim({payload}) = 'null' THEN '{{}}' ELSE {payload} END"
-    envelope = f"STRUCT<p: STRUCT<{WIRE_DDL}>, end: INT, {CORRUPT}: STRING>"
-    options = f"map('columnNameOfCorruptRecord', '{CORRUPT}', 'allowSingleQuotes', 'false')"
-    return _struct(
-        {
-            "e": f"from_json(concat('{{\"p\":', {text}, ',\"end\":1}}'), '{envelope}', {options})",
-            "v": f"try_parse_json(concat('[', {text}, ']'))",
-        }
-    )
+    return f"try_parse_json(concat('{{\"p\":', {text}, ',\"end\":', cast(xxhash64({payload}) AS STRING), '}}'))"
+
+
+# Kinds of values as schema_of_variant() describes them. Whole numbers of up to 20 digits; more are out of range.
+_TEXT = "(?:STRING|VOID)"
+_WHOLE = r"(?:BIGINT|VOID|DECIMAL\((?:1?\d|20),0\))"
+
+
+def _object(fields: dict[str, str]) -> str:
+    """Pattern of an object, or nothing, with some of these fields."""
+    return "(?:VOID|OBJECT<(?:(?:" + "|".join(f"{name}: {kind}" for name, kind in fields.items()) + ")(?:, |(?=>)))*+>)"
+
+
+def _list(kind: str) -> str:
+    return f"(?:VOID|ARRAY<{kind}>)"
 
 
-def _wrong_kinds(fields: T.StructType) -> str:
-    """Pattern of a description of kinds in which some field has a value it cannot take."""
-    texts = "|".join(f.name for f in fields if f.dataType == STRING)
-    numbers = "|".join(f.name for f in fields if isinstance(f.dataType, T.NumericType))
-    parts = [f"(?:{texts}): (?!STRING|VOID)"]
-    if numbers:
-        parts.append(rf"(?:{numbers}): (?!BIGINT|VOID|DECIMAL\(\d+,0\))")
-    return f"[< ](?:{'|'.join(parts)})"
+def _plain_fields(shape: T.StructType) -> dict[str, str]:
+    return {
+        f.name: _TEXT if f.dataType == STRING else _WHOLE
+        for f in shape
+        if f.dataType == STRING or isinstance(f.dataType, T.NumericType)
+    }
 
 
-def _kinds_ok(wire: str) -> str:
-    """Strings are strings and numbers whole numbers, at each place that is read."""
+_HEADER_KINDS = _object(_plain_fields(HEADER))
+_ACCESS_KINDS = _list(_object({"address": _TEXT, "storageKeys": _list(_TEXT)}))
+_PARTS = {
+    "hash": _TEXT,
+    "header": _HEADER_KINDS,
+    "uncles": _list(_HEADER_KINDS),
+    "transactions": _list(_object({**_plain_fields(TRANSACTION), "accessList": _ACCESS_KINDS})),
+    "withdrawals": _list(_object(_plain_fields(WITHDRAWAL))),
+}
+# A payload that has no fields but known ones is judged by one description of the whole text.
+_SOUND = f"^OBJECT<end: BIGINT, p: {_object(_PARTS)}>$"
 
-    def kinds(path: str) -> str:
-        return f"coalesce(schema_of_variant(try_variant_get({wire}.v, '$[0]{path}', 'variant')), 'VOID')"
 
-    keys = r"[< ](?:address: (?!STRING|VOID)|storageKeys: (?!ARRAY<STRING>|ARRAY<VOID>|VOID))"
+def _kinds(wire: str, path: str) -> str:
+    return f"coalesce(schema_of_variant(try_variant_get({wire}, '$.p{path}', 'variant')), 'VOID')"
+
+
+def _known_kinds(wire: str) -> str:
+    """The test of a payload with unknown fields: those of each place that is read are taken out by name."""
     tests = [
-        f"{kinds('.hash')} IN ('STRING', 'VOID')",
-        f"NOT {kinds('.header')} rlike r'{_wrong_kinds(HEADER)}'",
-        f"NOT {kinds('.uncles')} rlike r'{_wrong_kinds(HEADER)}'",
-        f"NOT {kinds('.transactions')} rlike r'{_wrong_kinds(TRANSACTION)}|{keys}'",
-        f"NOT {kinds('.withdrawals')} rlike r'{_wrong_kinds(WITHDRAWAL)}'",
+        f"size(try_variant_get({wire}, '$', 'map<string,variant>')) = 2",
+        f"{_kinds(wire, '')} rlike '^(?:OBJECT<|VOID)'",
+        f"{_kinds(wire, '.hash')} rlike '^{_TEXT}$'",
     ]
+
+    def variants(fields: list[str]) -> str:
+        return "struct<" + ",".join(f"{name}:variant" for name in fields) + ">"
+
+    def flat(item: str, shape: T.StructType, nested: str | None = None) -> str:
+        """Whether an object, or nothing, has fields of the right kinds."""
+        found = []
+        for name, kind in _plain_fields(shape).items():
+            found.append(f"coalesce(schema_of_variant({item}.{name}), 'VOID') rlike r'^{kind}$'")
+        if nested:
+            found.append(nested)
+        return " AND ".join(found)
+
+    def each(path: str, shape: T.StructType, name: str, extra: list[str] = [], nested: str | None = None) -> str:
+        kind = variants([*_plain_fields(shape), *extra])
+        items = f"try_variant_get({wire}, '$.p{path}', 'array<variant>')"
+        objects = f"forall({items}, i -> coalesce(schema_of_variant(i), 'VOID') rlike '^(?:OBJECT<|VOID)')"
+        parts = f"try_variant_get({wire}, '$.p{path}', 'array<{kind}>')"
+        sound = f"forall({parts}, {name} -> {name} IS NULL OR ({flat(name, shape, nested)}))"
+        return f"({_kinds(wire, path)} = 'VOID' OR ({_kinds(wire, path)} rlike '^ARRAY<' AND {objects} AND {sound}))"
+
+    header = f"try_variant_get({wire}, '$.p.header', '{variants(list(_plain_fields(HEADER)))}')"
+    tests.append(
+        f"({_kinds(wire, '.header')} = 'VOID' OR ({_kinds(wire, '.header')} rlike '^OBJECT<' AND "
+        f"forall(array({header}), h -> {flat('h', HEADER)})))"
+    )
+    tests.append(each(".uncles", HEADER, "u"))
+    access = "try_variant_get(t.accessList, '$', 'array<struct<address:variant,storageKeys:variant>>')"
+    nested = (
+        "(coalesce(schema_of_variant(t.accessList), 'VOID') = 'VOID' OR "
+        "(schema_of_variant(t.accessList) rlike '^ARRAY<' "
+        "AND forall(try_variant_get(t.accessList, '$', 'array<variant>'), "
+        "i -> coalesce(schema_of_variant(i), 'VOID') rlike '^(?:OBJECT<|VOID)') "
+        f"AND forall({access}, a -> a IS NULL OR (coalesce(schema_of_variant(a.address), 'VOID') rlike '^{_TEXT}$' "
+        f"AND coalesce(schema_of_variant(a.storageKeys), 'VOID') rlike '^{_list(_TEXT)}$'))))"
+    )
+    tests.append(each(".transactions", TRANSACTION, "t", ["accessList"], nested))
+    tests.append(each(".withdrawals", WITHDRAWAL, "w"))
     return " AND ".join(tests)
 
 
 def _in_range(fields: T.StructType, of: str) -> str:
     """Whether all numbers of a struct are unsigned and within their bits."""
-    limits = {UINT64: f"cast('{UINT64_MAX}' AS DECIMAL(20,0))", LONG: f"{2**63 - 1}L", INT: "255"}
+    limits = {UINT64: f"cast('{UINT64_MAX}' AS DECIMAL(20,0))", INT: "255"}
     return " AND ".join(
         f"coalesce({of}.{f.name} BETWEEN 0 AND {limits[f.dataType]}, TRUE)"
         for f in fields
@@ -232,16 +282,18 @@ def _all_in_range(fields: T.StructType, items: str) -> str:
     return f"coalesce(forall({items}, x -> {_in_range(fields, 'x')}), TRUE)"
 
 
-def wire_ok(wire: str) -> str:
-    """Whether the whole of a payload was read, and each value is of its kind and in its range.
+def raw_block(wire: str, payload: str) -> str:
+    """The raw wire struct of a reading; NULL if the text is no payload or has a value of a wrong kind."""
+    ended = f"coalesce(try_variant_get({wire}, '$.end', 'bigint') = xxhash64({payload}), FALSE)"
+    kinds = f"coalesce(schema_of_variant({wire}) rlike r'{_SOUND}', FALSE) OR coalesce({_known_kinds(wire)}, FALSE)"
+    empty = f"from_json('{{}}', 'STRUCT<{WIRE_DDL}>')"
+    return f"CASE WHEN {ended} AND ({kinds}) THEN coalesce(try_variant_get({wire}, '$.p', 'STRUCT<{WIRE_DDL}>'), {empty}) END"
 
-    An object that names a field twice is not sound.
-    """
-    block = f"{wire}.e.p"
+
+def numbers_ok(block: str) -> str:
+    """Whether a raw block was read, and each number of it is in its range."""
     return (
-        f"coalesce({wire}.e.{CORRUPT} IS NULL AND {wire}.e.end = 1 "
-        f"AND {wire}.v IS NOT NULL AND try_variant_get({wire}.v, '$[1]', 'variant') IS NULL "
-        f"AND {_kinds_ok(wire)} AND {_in_range(HEADER, f'{block}.header')} "
+        f"coalesce({block} IS NOT NULL AND {_in_range(HEADER, f'{block}.header')} "
         f"AND {_all_in_range(HEADER, f'{block}.uncles')} "
         f"AND {_all_in_range(TRANSACTION, f'{block}.transactions')} "
         f"AND {_all_in_range(WITHDRAWAL, f'{block}.withdrawals')}, FALSE)"
@@ -275,13 +327,19 @@ def with_block(df: DataFrame, raw: str = "raw", into: str = "block") -> DataFram
     return df.withColumn(into, F.expr(map_block(raw))).drop(raw)
 
 
+def read_block(df: DataFrame, payload: str, into: str) -> DataFrame:
+    """Add the raw block of a JSON payload; NULL where the text, a value or its range is not sound."""
+    read = once(df, "_wire", F.expr(read_payload(payload)))
+    raw = once(read, "_raw", F.expr(raw_block("_wire", payload))).drop("_wire")
+    return once(raw, into, F.expr(f"CASE WHEN {numbers_ok('_raw')} THEN _raw END")).drop("_raw")
+
+
 def decode_payload(df: DataFrame, payload: str = "payload", into: str = "block") -> DataFrame:
     """Add the canonical block of a JSON payload; NULL where it cannot be read."""
-    read = once(df, "_wire", F.expr(read_payload(payload)))
     return (
-        once(read, "_sound", F.expr(wire_ok("_wire")))
-        .withColumn(into, F.expr(f"CASE WHEN _sound THEN {map_block('_wire.e.p')} END"))
-        .drop("_wire", "_sound")
+        read_block(df, payload, "_sound")
+        .withColumn(into, F.expr(f"CASE WHEN _sound IS NOT NULL THEN {map_block('_sound')} END"))
+        .drop("_sound")
     )
 
 

@@ -20,8 +20,6 @@ REASONS = (
     "payload_undecodable",
 )
 
-LARGEST_HEIGHT = 2**63 - 1
-
 
 def failure_reason(hash_: Column, number: Column, payload: Column, decoded_ok: Column) -> Column:
     """The first broken rule, or NULL for a sound message."""
@@ -30,8 +28,7 @@ def failure_reason(hash_: Column, number: Column, payload: Column, decoded_ok: C
         hash_ == "",
         number.isNull(),
         number == "",
-        # A height beyond BIGINT has no place in the tables: quarantine, not a failing batch.
-        parse_uint64(number).isNull() | (parse_uint64(number) > F.lit(LARGEST_HEIGHT)),
+        parse_uint64(number).isNull(),
         payload.isNull(),
         payload == "",
         ~decoded_ok,
@@ -48,14 +45,11 @@ def check_messages(df: DataFrame) -> DataFrame:
     The payload is parsed once; nothing is dropped, so callers can split the
     result into good rows (``reason IS NULL``) and a quarantine table.
     """
-    read = canonical.once(df, "_wire", F.expr(canonical.read_payload("payload")))
-    parsed = canonical.once(read, "_sound", F.expr(canonical.wire_ok("_wire"))).withColumn(
-        "_sent_number", parse_uint64(F.col("number")).try_cast("bigint")
-    )
+    parsed = canonical.read_block(df, "payload", "_raw_block").withColumn("_sent_number", parse_uint64(F.col("number")))
     block = canonical.map_block(
-        "_wire.e.p",
-        canonical.repaired_hash("_wire.e.p.hash", "hash"),
-        canonical.repaired_number("_wire.e.p.header.number", "_sent_number"),
+        "_raw_block",
+        canonical.repaired_hash("_raw_block.hash", "hash"),
+        canonical.repaired_number("_raw_block.header.number", "_sent_number"),
     )
     return parsed.withColumns(
         {
@@ -63,11 +57,11 @@ def check_messages(df: DataFrame) -> DataFrame:
                 F.col("hash"),
                 F.col("number"),
                 F.col("payload"),
-                F.col("_sound"),
+                F.col("_raw_block").isNotNull(),
             ),
             "block": F.expr(block),
         }
-    ).drop("_wire", "_sound", "_sent_number")
+    ).drop("_raw_block", "_sent_number")
 
 
 def too_large(value: Column, limit: int) -> Column:

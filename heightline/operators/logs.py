@@ -36,6 +36,32 @@ def drop_matching(df: DataFrame, label: str, pattern: str) -> DataFrame:
     return df.filter(~matches(F.col(label), pattern))
 
 
+# What a container runtime wraps each line in.
+DOCKER_DDL = "log STRING, stream STRING, time STRING, _corrupt_record STRING"
+
+
+def unwrap_docker(df: DataFrame, line: str = "line") -> DataFrame:
+    """Take lines out of the JSON objects of a container log: ``line``, ``stream`` and ``ts``.
+
+    The line loses the line end it carries. ``broken`` marks rows whose text is
+    no such object, or has no line or no time that can be read; they keep their
+    text as it stands, and have no stream and no time. NULL is broken too.
+    """
+    read = df.withColumn("_read", F.from_json(F.col(line), DOCKER_DDL, {"columnNameOfCorruptRecord": "_corrupt_record"}))
+    read = read.withColumn("_ts", F.col("_read.time").try_cast("timestamp"))
+    sound = F.col("_read._corrupt_record").isNull() & F.col("_read.log").isNotNull() & F.col("_ts").isNotNull()
+    read = read.withColumn("broken", ~F.coalesce(sound, F.lit(False)))
+    whole = ~F.col("broken")
+    others = [c for c in df.columns if c not in (line, "stream", "ts", "broken")]
+    return read.select(
+        *others,
+        F.when(whole, F.regexp_replace("_read.log", r"\r?\n\z", "")).otherwise(F.col(line)).alias(line),
+        F.when(whole, F.col("_read.stream")).alias("stream"),
+        F.when(whole, F.col("_ts")).alias("ts"),
+        "broken",
+    )
+
+
 # A token takes a quoted value whole, so that text inside it is never read as a
 # field. Possessive repeats keep matching flat on long lines.
 _TOKEN = r'[^\s=]++(?:=(?:"[^"\\]*+(?:\\.[^"\\]*+)*+"|\S*+))?'

@@ -56,7 +56,7 @@ _HEADER_COLUMNS = {
     "blob_gas_used": "blobGasUsed",
     "excess_blob_gas": "excessBlobGas",
 }
-_COUNTS = {"gasLimit", "gasUsed", "blobGasUsed", "excessBlobGas"}
+_COUNTS = {"number", "time", "gasLimit", "gasUsed", "blobGasUsed", "excessBlobGas"}
 
 
 def _flat_header(header):
@@ -105,7 +105,7 @@ def block_map(spark, sf):
     )
     return mapped(inputs.document_blocks(spark, sf)).select(
         b["hash"].alias("hash"),
-        b["header"]["number"].alias("number"),
+        b["header"]["number"].cast("bigint").alias("number"),
         b["header"]["gasUsed"].cast("bigint").alias("gas_used"),
         F.when(b["uncles"].isNotNull(), F.size(b["uncles"])).alias("uncles"),
         F.size(b["transactions"]).alias("transactions"),
@@ -135,9 +135,9 @@ def uncles_map(spark, sf):
             u["coinbase"].alias("coinbase"),
             u["bloom"].alias("bloom"),
             u["nonce"].alias("nonce"),
-            u["number"].alias("number"),
+            u["number"].cast("bigint").alias("number"),
             u["gasUsed"].cast("bigint").alias("gas_used"),
-            u["time"].alias("time"),
+            u["time"].cast("bigint").alias("time"),
             u["extra"].alias("extra"),
             u["baseFee"].alias("base_fee"),
         )
@@ -272,7 +272,7 @@ def payload_decode(spark, sf):
 @query(
     "payload_repair",
     f"""SELECT id, CASE WHEN k < 60 THEN '0x' || sha256(sent_hash) ELSE sent_hash END AS hash,
-            CASE WHEN k < 60 THEN event_id ELSE event_id + 1 END AS number
+            {inputs.REPAIRED_NUMBER_SQL} AS number
         FROM ({inputs.MESSAGES_SQL}) WHERE k >= 40""",
 )
 def payload_repair(spark, sf):
@@ -284,7 +284,7 @@ def payload_repair(spark, sf):
     return checked.filter(F.col("reason").isNull()).select(
         "id",
         F.col("block.hash").alias("hash"),
-        F.col("block.header.number").alias("number"),
+        F.col("block.header.number").cast("string").alias("number"),
     )
 
 

@@ -12,7 +12,9 @@ from ..sources.epochs import EpochTable
 from ..sources.tables import follow_parquet
 from ..streaming import heads as head_stream
 from ..streaming import publish as publish_job
-from ..streaming.dedup import dedup_ttl_batches
+from ..streaming import logs as log_stream
+from ..streaming.dedup import ROCKSDB, dedup_ttl_batches, dedup_ttl_state
+from ..streaming.progress import ProgressLog
 from . import inputs
 from .chain import _HEADS
 from .outbox import DEDUP_TTL_SQL, NOW, PUBLISH, PUBLISH_ONCE_SQL, _ENTRIES
@@ -136,6 +138,93 @@ def stream_dedup_ttl(spark, sf):
     return EpochTable(spark, f"{path}/out", rows.schema).rows()
 
 
+@query("stream_dedup_state", DEDUP_TTL_SQL)
+def stream_dedup_state(spark, sf):
+    path = work_path(spark, "dedup-state")
+    rows = inputs.entries(spark, sf).select("user_id", "event_id", "at_us")
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(provider)
+    spark.conf.set(provider, ROCKSDB)
+    try:
+        _over_restarts(
+            spark, rows, "at_us", path,
+            lambda stream: dedup_ttl_state(stream, "user_id", "at_us", inputs.DAY_US, ["event_id"])
+            .writeStream.format("parquet")
+            .option("path", f"{path}/out")
+            .option("checkpointLocation", f"{path}/checkpoint")
+            .trigger(availableNow=True)
+            .start(),
+        )
+    finally:
+        spark.conf.set(provider, before)
+    return spark.read.schema(rows.schema).parquet(f"{path}/out")
+
+
+_LOG_MINE = f"regexp_full_match(service, '{inputs.SERVICE_PATTERN}')"
+
+
+@query(
+    "stream_docker_logs",
+    f"""WITH l AS (SELECT *, CAST(json_extract_string(props, '$.k') AS INTEGER) % 20 AS k,
+                          substr(meta_container, 2) AS container,
+                          'time=' || event_id || ' level=' || level
+                          || ' msg="user said level=none and \\"left\\"" service="' || service
+                          || '" instance=' || instance || ' err=' || props AS line
+                   FROM ({inputs.LOG_LINES_SQL}) JOIN (SELECT event_id, props FROM events) USING (event_id)),
+        e AS (SELECT *, '{{"log":"' || replace(replace(line, '\\', '\\\\'), '"', '\\"') || '\\n","stream":"stdout","time":"'
+                     || strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ') || '"}}' AS entry FROM l WHERE container <> 'promtail')
+        SELECT container, k IN (3, 7, 11) AS broken, CASE WHEN k NOT IN (3, 7, 11) THEN epoch_us(ts) END AS at_us,
+               CASE WHEN k NOT IN (3, 7, 11) THEN service END AS service,
+               CASE WHEN k NOT IN (3, 7, 11) AND {_LOG_MINE} THEN instance END AS instance,
+               CASE WHEN k NOT IN (3, 7, 11) AND {_LOG_MINE} THEN level END AS level,
+               CASE WHEN k NOT IN (3, 7, 11) THEN 'stdout' END AS stream,
+               sha256(CASE k WHEN 3 THEN substr(entry, 1, 40) WHEN 7 THEN line
+                             WHEN 11 THEN replace(entry, '"time"', '"tome"') ELSE line END) AS line_sha256
+        FROM e""",
+)
+def stream_docker_logs(spark, sf):
+    path = work_path(spark, "docker-logs")
+    containers = inputs.containers(spark, sf)
+    rows = inputs.docker_lines(spark, sf)
+    cuts = [None, *rows.approxQuantile("at_us", [i / PARTS for i in range(1, PARTS)], 0.01), None]
+    for low, high in zip(cuts, cuts[1:]):
+        part = rows.filter((F.lit(True) if low is None else F.col("at_us") >= low) & (F.lit(True) if high is None else F.col("at_us") < high))
+        part.select("container", "entry").write.mode("append").partitionBy("container").text(f"{path}/in")
+        lines = log_stream.follow_log_files(spark, f"{path}/in", FILES_PER_BATCH)
+        log_stream.ingest_logs(lines, containers, f"{path}/out", f"{path}/checkpoint", inputs.SERVICE_PATTERN).awaitTermination()
+    out = log_stream.LogTables(spark, f"{path}/out")
+    good = out.lines.rows().select(
+        "container", F.lit(False).alias("broken"), F.unix_micros("ts").alias("at_us"), "service", "instance", "level",
+        "stream", F.sha2("line", 256).alias("line_sha256"),
+    )
+    aside = out.aside.rows().select("container", F.lit(True).alias("broken"), F.sha2("line", 256).alias("line_sha256"))
+    return good.unionByName(aside, allowMissingColumns=True)
+
+
+@query("stream_saturation", "SELECT count(*) AS input_rows, TRUE AS all_batches FROM events")
+def stream_saturation(spark, sf):
+    path = work_path(spark, "saturation")
+    table = EpochTable(spark, f"{path}/out", struct(id=T.StringType()))
+    with ProgressLog(spark, f"{path}/updates") as log:
+        queries = []
+
+        def run(entries):
+            queries.append(
+                entries.writeStream.foreachBatch(lambda batch, epoch: table.write(batch, epoch))
+                .option("checkpointLocation", f"{path}/checkpoint")
+                .trigger(availableNow=True)
+                .start()
+            )
+            return queries[-1]
+
+        _over_restarts(spark, inputs.entries(spark, sf).select("id", "at_us"), "at_us", path, run)
+        for query_ in queries:
+            log.wait(query_)
+    return log.rows().agg(
+        F.sum("input_rows").alias("input_rows"), (F.count_distinct("batch_id") >= PARTS).alias("all_batches")
+    )
+
+
 @query("stream_publish_once", PUBLISH_ONCE_SQL)
 def stream_publish_once(spark, sf):
     path = work_path(spark, "publish")
@@ -152,6 +241,6 @@ def stream_publish_once(spark, sf):
     return written.select(
         headers[2].alias("id"),
         F.hex("key").alias("key_hex"),
-        headers[0].cast("bigint").alias("number"),
+        headers[0].alias("number"),
         F.decode("value", "UTF-8").alias("value"),
     )

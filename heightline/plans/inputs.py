@@ -209,17 +209,21 @@ ENTRIES_SQL = """
            epoch_us(ts) AS at_us, epoch_us(ts) // 1000 AS at_ms, event_type AS kind, event_id, user_id, value, props
     FROM events"""
 
+# Heights that need all 64 bits.
+_WIDE = "WHEN k = 97 THEN '9223372036854775808' WHEN k = 98 THEN '18446744073709551615'"
 _MESSAGE_FIELDS = {
     "hash": """CASE WHEN k < 5 THEN NULL WHEN k < 10 THEN '' ELSE hash END""",
-    "number": """CASE WHEN k >= 10 AND k < 15 THEN NULL WHEN k >= 15 AND k < 20 THEN ''
+    "number": f"""CASE {_WIDE} WHEN k >= 10 AND k < 15 THEN NULL WHEN k >= 15 AND k < 20 THEN ''
         WHEN k >= 20 AND k < 23 THEN 'x' WHEN k >= 23 AND k < 25 THEN '18446744073709551616'
-        ELSE CAST(event_id AS {string}) END""",
+        ELSE CAST(event_id AS {{string}}) END""",
     "payload": """CASE WHEN k >= 25 AND k < 30 THEN NULL WHEN k >= 30 AND k < 35 THEN ''
         WHEN k = 35 THEN '{{' WHEN k = 36 THEN '{{"header":{{"number":7}}}}garbage'
         WHEN k = 37 THEN '{{"hash":5}}' WHEN k = 38 THEN '{{"header":{{"gasLimit":"5"}}}}'
         WHEN k = 39 THEN '{{"header":{{"gasUsed":-5}}}}'
         WHEN k < 60 THEN '{{"header":{{"number":0}}}}'
-        ELSE '{{"hash":"' || hash || '","header":{{"number":' || CAST(event_id + 1 AS {string}) || '}}}}'
+        ELSE '{{"hash":"' || hash || '","header":{{"number":'
+            || CASE WHEN k = 97 THEN '9223372036854775808' WHEN k = 98 THEN '18446744073709551615'
+                    ELSE CAST(event_id + 1 AS {string}) END || '}}}}'
         END""",
 }
 
@@ -250,6 +254,10 @@ MESSAGES_SQL = f"""
           FROM ({ENTRIES_SQL}))"""
 
 
+# The height of a sound message as text: the message's own where the payload has none.
+REPAIRED_NUMBER_SQL = f"CASE WHEN k < 60 THEN CAST(event_id AS VARCHAR) {_WIDE} ELSE CAST(event_id + 1 AS VARCHAR) END"
+
+
 def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Purchases as published markers: hash, published_at_us (microseconds)."""
     return (
@@ -317,3 +325,32 @@ LOG_LINES_SQL = f"""
            {_SERVICE} AS service, 'replica' || CAST(user_id AS VARCHAR) AS instance,
            {_LEVEL} AS level
     FROM events"""
+
+
+# Of each hundred entries a few have lost their end, their wrapping, or a field.
+_CUT, _BARE, _NO_TIME = "k % 20 = 3", "k % 20 = 7", "k % 20 = 11"
+
+
+def docker_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log lines as a container runtime writes them, in JSON objects: at_us, container, entry."""
+    events = table(spark, sf_dir, "events").select("event_id", F.get_json_object("props", "$.k").cast("int").alias("k"))
+    lines = log_lines(spark, sf_dir).join(events, "event_id")
+    time = F.date_format(F.col("ts").cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+    body = F.replace(F.replace("line", F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"'))
+    entry = F.concat(F.lit('{"log":"'), body, F.lit('\\n","stream":"stdout","time":"'), time, F.lit('"}'))
+    return lines.select(
+        F.unix_micros(F.col("ts").cast("timestamp")).alias("at_us"),
+        F.substring("meta_container", 2, 99).alias("container"),
+        F.when(F.expr(_CUT), F.substring(entry, 1, 40))
+        .when(F.expr(_BARE), F.col("line"))
+        .when(F.expr(_NO_TIME), F.replace(entry, F.lit('"time"'), F.lit('"tome"')))
+        .otherwise(entry)
+        .alias("entry"),
+    )
+
+
+def containers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What discovery knows of the containers that log: id, name, service, project."""
+    return log_lines(spark, sf_dir).groupBy(F.substring("meta_container", 2, 99).alias("id")).agg(
+        F.first("meta_container").alias("name"), F.first("service").alias("service"), F.lit("blocks").alias("project")
+    )

@@ -215,7 +215,7 @@ _BARE_HEADER = (
 PUBLISH_ONCE_SQL = f"""
     WITH sound AS (
         SELECT id, sent_hash AS hash, at_us, event_id,
-               CASE WHEN k < 60 THEN event_id ELSE event_id + 1 END AS number
+               {inputs.REPAIRED_NUMBER_SQL} AS number
         FROM ({_MESSAGES}) WHERE k >= 40),
     live AS (SELECT hash FROM ({_LEDGER}) WHERE published_at > {NOW} - {DAY})
     SELECT id, upper(substr(hash, 3)) AS key_hex, number,
@@ -235,7 +235,7 @@ def publish_once_query(spark, sf):
     return made.select(
         "id",
         F.hex("key").alias("key_hex"),
-        F.col("block.header.number").alias("number"),
+        F.col("block.header.number").cast("string").alias("number"),
         F.decode("value", "UTF-8").alias("value"),
     )
 

@@ -22,10 +22,10 @@ HEADER = struct(
     receiptHash=STRING,
     bloom=STRING,
     difficulty=STRING,
-    number=LONG,
+    number=UINT64,
     gasLimit=UINT64,
     gasUsed=UINT64,
-    time=LONG,
+    time=UINT64,
     extra=STRING,
     mixDigest=STRING,
     nonce=STRING,
@@ -58,7 +58,6 @@ BLOCK = struct(
     transactions=T.ArrayType(TRANSACTION),
     withdrawals=T.ArrayType(WITHDRAWAL),
 )
-CORRUPT = "_corrupt_record"
 
 OUTBOX = struct(id=STRING, hash=STRING, number=STRING, payload=STRING, scanned_at_ms=STRING)
 RECORD = struct(

@@ -2,7 +2,7 @@
 
 ``dedup_ttl_batches`` is for large micro-batches and hot keys: the accepted rows
 are the state, and each batch uses the batch operator, which splits large keys.
-``dedup_ttl_stream`` keeps a value per key in the state store instead, for small
+``dedup_ttl_state`` keeps a value per key in the state store instead, for small
 and frequent micro-batches.
 """
 
@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from ..operators.dedup import dedup_ttl
 from ..operators.ordered import SMALL_KEY_ROWS, with_known
@@ -103,56 +103,58 @@ def dedup_ttl_batches(
     )
 
 
-_MICROS = "_micros"
-
 # As in the batch operator: workers need not have the package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def _acceptor(at: str, ttl: int, tie: Sequence[str], keep_ms: int | None, columns: list[str]):
+    class Acceptor(StatefulProcessor):
+        """Keeps the time of a key's last accepted row."""
+
+        def init(self, handle: StatefulProcessorHandle) -> None:
+            self.last = handle.getValueState("last", "accepted long", keep_ms)
+
+        def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+            frame = pd.concat(list(rows), ignore_index=True).sort_values([at, *tie], kind="stable", ignore_index=True)
+            times = frame[at].to_numpy()
+            accepted = self.last.get()[0] if self.last.exists() else None
+            keep: list[int] = []
+            i = 0 if accepted is None else int(np.searchsorted(times, accepted + ttl))
+            while i < len(times):
+                keep.append(i)
+                accepted = int(times[i])
+                i = int(np.searchsorted(times, accepted + ttl))
+            if keep:
+                self.last.update((accepted,))
+                yield frame.iloc[keep][columns]
+
+        def close(self) -> None:
+            pass
 
-def dedup_ttl_stream(
-    stream: DataFrame, key: str, at: str, ttl_us: int, tie: Sequence[str], late_by: str
+    return Acceptor()
+
+
+def dedup_ttl_state(
+    stream: DataFrame, key: str, at: str, ttl: int, tie: Sequence[str], keep_ms: int | None = None
 ) -> DataFrame:
     """State store form of ``operators.dedup.dedup_ttl``.
 
-    ``at`` is a TIMESTAMP. The state of a key is the time of its last accepted
-    row; it is let go once the watermark shows that it has expired, so state
-    covers live keys only. ``late_by`` must cover how late rows may come: rows
-    behind the watermark are dropped, as their key's state may be gone.
-
-    The rows of one key and micro-batch are put in order in one task, so the
-    source's batch limit has to be one that a task can hold.
+    ``at`` is a BIGINT time in the unit of ``ttl``, and no column but it and
+    ``tie`` is looked at. The state of a key is one number, the time of its last
+    accepted row. There is no watermark, so no row is lost for being late: like
+    in ``dedup_ttl_batches`` it is a repeat unless it is past the key's last
+    accepted row by ``ttl``. ``keep_ms`` lets go of the state of keys that have
+    accepted no row for so long on the clock of the cluster; it has to cover the
+    TTL and any standstill of the stream. By default state stays.
+
+    NULL is a key like any other. The rows of one key and micro-batch are put in
+    order in one task, so the source's batch limit has to be one that a task can
+    hold; ``dedup_ttl_batches`` has no such bound. Needs the RocksDB state store.
     """
-    columns = stream.columns
-    state_type = T.StructType([T.StructField("accepted", T.LongType())])
-
-    def accept(
-        name: tuple, frames: Iterator[pd.DataFrame], state: GroupState
-    ) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        rows = pd.concat(list(frames), ignore_index=True)
-        rows = rows.sort_values([_MICROS, *tie], kind="stable", ignore_index=True)
-        times = rows[_MICROS].to_numpy()
-        accepted = state.get[0] if state.exists else None
-        keep: list[int] = []
-        i = 0 if accepted is None else int(np.searchsorted(times, accepted + ttl_us))
-        while i < len(times):
-            keep.append(i)
-            accepted = int(times[i])
-            i = int(np.searchsorted(times, accepted + ttl_us))
-        state.update((accepted,))
-        # Rounded up, and past the watermark, as Spark asks for.
-        expiry = -((-(accepted + ttl_us)) // 1000)
-        state.setTimeoutTimestamp(max(expiry, state.getCurrentWatermarkMs() + 1))
-        if keep:
-            yield rows.iloc[keep][columns]
-
-    return (
-        stream.withWatermark(at, late_by)
-        .withColumn(_MICROS, F.unix_micros(at))
-        .groupBy(F.col(key))
-        .applyInPandasWithState(
-            accept, stream.schema, state_type, "append", GroupStateTimeout.EventTimeTimeout
-        )
+    # The state store does not group by NULL itself.
+    grouped = stream.withColumn("_of", F.struct(F.col(key).alias("k"))).groupBy("_of")
+    return grouped.transformWithStateInPandas(
+        _acceptor(at, ttl, tie, keep_ms, stream.columns), stream.schema, "append", "none" if keep_ms is None else "processingTime"
     )

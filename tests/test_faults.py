@@ -57,11 +57,11 @@ def test_patterns_match_whole_labels(spark):
     assert df.filter(metrics.matches(F.col("c"), "promtail")).count() == 1
 
 
-def test_heights_beyond_bigint_are_put_aside(spark):
-    rows = [(str(n), "0x1", str(n), '{"header":{"number":0}}') for n in (7, 2**63 - 1, 2**63, 2**64 - 1)]
+def test_heights_of_64_bits_are_sound(spark):
+    rows = [(str(n), "0x1", str(n), '{"header":{"number":0}}') for n in (7, 2**63 - 1, 2**63, 2**64 - 1, 2**64)]
     df = spark.createDataFrame(rows, "id string, hash string, number string, payload string")
-    found = {int(r.id): r.reason for r in contract.check_messages(df).collect()}
-    assert found == {7: None, 2**63 - 1: None, 2**63: "number_invalid", 2**64 - 1: "number_invalid"}
+    found = {int(r.id): (r.reason, r.reason or int(r.block.header.number)) for r in contract.check_messages(df).collect()}
+    assert found == {n: (None, n) for n in (7, 2**63 - 1, 2**63, 2**64 - 1)} | {2**64: ("number_invalid",) * 2}
 
 
 @pytest.mark.parametrize("floor", [0, ordered.SMALL_KEY_ROWS])

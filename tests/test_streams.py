@@ -10,7 +10,7 @@ from heightline.sources import kafka, tables
 from heightline.sources.epochs import EpochTable
 from heightline.streaming import heads as head_stream
 from heightline.streaming import publish
-from heightline.streaming.dedup import accept_batch, dedup_ttl_batches, dedup_ttl_stream
+from heightline.streaming.dedup import accept_batch, dedup_ttl_batches, dedup_ttl_state
 from heightline.streaming.progress import progress_table
 
 EVENTS = "/root/testdata/sf0.001/events.parquet"
@@ -159,7 +159,7 @@ DAY = 86_400_000_000
 def run_state_dedup(spark, tmp):
     schema = spark.read.parquet(str(tmp / "in")).schema
     stream = tables.follow_parquet(spark, str(tmp / "in"), schema, files_per_batch=1)
-    kept = dedup_ttl_stream(stream, "user_id", "at", DAY, ["event_id"], "1 minute")
+    kept = dedup_ttl_state(stream, "user_id", "us", DAY, ["event_id"])
     kept.writeStream.format("parquet").option("path", str(tmp / "out")).option(
         "checkpointLocation", str(tmp / "cp")).trigger(availableNow=True).start().awaitTermination()
     return sorted(r.event_id for r in spark.read.parquet(str(tmp / "out")).collect())
