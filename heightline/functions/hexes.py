@@ -57,6 +57,14 @@ def let(value: str, name: str, body: Callable[[str], str]) -> str:
     return f"element_at(transform(array({value}), {name} -> {body(name)}), 1)"
 
 
+def _as_is(s: str, width: str, other: str) -> str:
+    """Text that is canonical but for its case is taken as it stands, without a way through binary and back."""
+    return (
+        f"CASE WHEN octet_length({s}) {width} AND startswith({s}, '0x') AND unhex(substr({s}, 3)) IS NOT NULL "
+        f"THEN lower({s}) ELSE {other} END"
+    )
+
+
 def hex_bytes(s: str) -> str:
     """Bytes of hex text. Empty, odd-length or malformed text is NULL."""
     return f"nullif({_bytes(s)}, X'')"
@@ -104,10 +112,8 @@ def address20(s: str) -> str:
 def bloom256(s: str) -> str:
     """A bloom value: exactly 256 bytes, anything else reads as zero."""
     value = _bytes(s)
-    return (
-        f"CASE WHEN octet_length({value}) = {BLOOM_DIGITS // 2} THEN {hex_text(value)} "
-        f"ELSE '{ZERO_BLOOM}' END"
-    )
+    other = f"CASE WHEN octet_length({value}) = {BLOOM_DIGITS // 2} THEN {hex_text(value)} ELSE '{ZERO_BLOOM}' END"
+    return _as_is(s, f"= {2 + BLOOM_DIGITS}", other)
 
 
 def nonce8(s: str) -> str:

@@ -40,6 +40,11 @@ def first_unmarked(
     )
 
 
+def without_marked(df: DataFrame, markers: DataFrame, hash_col: str) -> DataFrame:
+    """Rows whose hash has no live marker, by a plain anti-join; for rows that are costly to work out twice."""
+    return df.join(_known(markers, hash_col), hash_col, "left_anti")
+
+
 def insert_markers(
     candidates: DataFrame, ledger: DataFrame, hash_col: str, order: list[str]
 ) -> DataFrame:

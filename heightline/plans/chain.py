@@ -85,12 +85,11 @@ def header_project(spark, sf):
     "block_map",
     f"""WITH l AS ({_LINES}), c AS (
             SELECT doc_id, count(*) AS n,
-                   count(*) FILTER (WHERE octet_length(encode(line)) > 200) AS n_uncles,
                    sum(octet_length(encode(line))) AS bytes
             FROM l GROUP BY doc_id)
         SELECT '0x' || sha256(CAST(d.doc_id AS VARCHAR)) AS hash, d.doc_id AS number,
                d.n_chars AS gas_used,
-               CASE WHEN n_uncles > 0 THEN CAST(n_uncles AS INTEGER) END AS uncles,
+               CAST(n AS INTEGER) AS uncles,
                CAST(n AS INTEGER) AS transactions, CAST(n AS INTEGER) AS withdrawals,
                CAST(bytes AS BIGINT) AS data_bytes
         FROM documents d JOIN c USING (doc_id)""",
@@ -114,105 +113,110 @@ def block_map(spark, sf):
     )
 
 
-@query(
-    "uncles_map",
-    f"""SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY pos) - 1 AS pos,
+_UNCLES_SQL = f"""SELECT doc_id, pos,
             '0x' || sha256(line) AS parent_hash, '{ZERO_ADDRESS}' AS coinbase,
             '{ZERO_BLOOM}' AS bloom, '{ZERO_NONCE}' AS nonce, CAST(n AS BIGINT) AS number,
             CAST(n * 21 AS BIGINT) AS gas_used, CAST(0 AS BIGINT) AS time,
-            '0x' || lower(hex(encode(line))) AS extra, CAST(NULL AS VARCHAR) AS base_fee
-        FROM (SELECT *, octet_length(encode(line)) AS n FROM ({_LINES})) WHERE n > 200""",
-)
-def uncles_map(spark, sf):
+            CASE WHEN n > 0 THEN '0x' || lower(hex(encode(line))) END AS extra, CAST(NULL AS VARCHAR) AS base_fee
+        FROM (SELECT *, octet_length(encode(line)) AS n FROM ({_LINES}))"""
+
+
+def _uncle_rows(df, items):
     u = F.col("u")
-    return (
-        inputs.document_blocks(spark, sf)
-        .select("doc_id", F.posexplode(F.expr(canonical.map_headers("raw.uncles"))).alias("pos", "u"))
-        .select(
-            "doc_id",
-            F.col("pos").cast("bigint").alias("pos"),
-            u["parentHash"].alias("parent_hash"),
-            u["coinbase"].alias("coinbase"),
-            u["bloom"].alias("bloom"),
-            u["nonce"].alias("nonce"),
-            u["number"].cast("bigint").alias("number"),
-            u["gasUsed"].cast("bigint").alias("gas_used"),
-            u["time"].cast("bigint").alias("time"),
-            u["extra"].alias("extra"),
-            u["baseFee"].alias("base_fee"),
-        )
+    return df.select("doc_id", F.posexplode(items).alias("pos", "u")).select(
+        "doc_id",
+        F.col("pos").cast("bigint").alias("pos"),
+        u["parentHash"].alias("parent_hash"),
+        u["coinbase"].alias("coinbase"),
+        u["bloom"].alias("bloom"),
+        u["nonce"].alias("nonce"),
+        u["number"].cast("bigint").alias("number"),
+        u["gasUsed"].cast("bigint").alias("gas_used"),
+        u["time"].cast("bigint").alias("time"),
+        u["extra"].alias("extra"),
+        u["baseFee"].alias("base_fee"),
     )
 
 
-@query(
-    "tx_map",
-    f"""SELECT doc_id, pos, '0x' || sha256(line) AS hash,
+@query("uncles_map", _UNCLES_SQL)
+def uncles_map(spark, sf):
+    return _uncle_rows(inputs.document_blocks(spark, sf), F.expr(canonical.map_headers("raw.uncles")))
+
+
+# Each tuple as address|key,key; tuples of a transaction are joined by semicolons.
+_TUPLES = (
+    "'0x' || substr(sha256(line), 1, 40) || '|0x' || repeat('0', 61) || 'abc,0x' || sha256(line)",
+    "';0x' || substr(sha256(line), 21, 40) || '|'",
+    f"';{ZERO_ADDRESS}|0x' || sha256(line)",
+)
+_ACCESS_SQL = " || ".join(f"CASE WHEN n >= {120 * (i + 1)} THEN {t} ELSE '' END" for i, t in enumerate(_TUPLES))
+_TX_SQL = f"""SELECT doc_id, pos, '0x' || sha256(line) AS hash,
             CASE WHEN n > 160 THEN 2 WHEN n > 80 THEN 1 ELSE 0 END AS type,
             CASE WHEN n > 80 THEN '0x' || substr(sha256(line), 25, 40) END AS "to",
             CAST(n * 1000000007 AS VARCHAR) AS value, CAST(n * 16 + 21000 AS BIGINT) AS gas,
             CAST(n AS VARCHAR) AS gas_price, CAST(NULL AS VARCHAR) AS max_fee, pos AS nonce,
             CASE WHEN n > 0 THEN '0x' || lower(hex(encode(line))) END AS data,
-            CASE WHEN n > 120 THEN '0x' || substr(sha256(line), 1, 40) END AS access_address,
-            CASE WHEN n > 120 THEN '0x' || repeat('0', 61) || 'abc,0x' || sha256(line) END AS storage_keys,
+            CAST(least(3, n // 120) AS INTEGER) AS access_tuples, nullif({_ACCESS_SQL}, '') AS access_list,
             '1' AS chain_id
-        FROM (SELECT *, octet_length(encode(line)) AS n FROM ({_LINES}))""",
-)
-def tx_map(spark, sf):
+        FROM (SELECT *, octet_length(encode(line)) AS n FROM ({_LINES}))"""
+
+
+def _tx_rows(df, items):
     t = F.col("t")
-    first = F.get(t["accessList"], F.lit(0))
-    return (
-        inputs.document_blocks(spark, sf)
-        .select(
-            "doc_id",
-            F.posexplode(F.expr(canonical.map_transactions("raw.transactions"))).alias("pos", "t"),
-        )
-        .select(
-            "doc_id",
-            F.col("pos").cast("bigint").alias("pos"),
-            t["hash"].alias("hash"),
-            t["type"].alias("type"),
-            t["to"].alias("to"),
-            t["value"].alias("value"),
-            t["gas"].cast("bigint").alias("gas"),
-            t["gasPrice"].alias("gas_price"),
-            t["maxFeePerGas"].alias("max_fee"),
-            t["nonce"].cast("bigint").alias("nonce"),
-            t["data"].alias("data"),
-            first["address"].alias("access_address"),
-            F.array_join(first["storageKeys"], ",").alias("storage_keys"),
-            t["chainId"].alias("chain_id"),
-        )
+    shown = F.transform(
+        t["accessList"],
+        lambda a: F.concat(
+            a["address"], F.lit("|"), F.array_join(F.coalesce(a["storageKeys"], F.array().cast("array<string>")), ",")
+        ),
+    )
+    return df.select("doc_id", F.posexplode(items).alias("pos", "t")).select(
+        "doc_id",
+        F.col("pos").cast("bigint").alias("pos"),
+        t["hash"].alias("hash"),
+        t["type"].alias("type"),
+        t["to"].alias("to"),
+        t["value"].alias("value"),
+        t["gas"].cast("bigint").alias("gas"),
+        t["gasPrice"].alias("gas_price"),
+        t["maxFeePerGas"].alias("max_fee"),
+        t["nonce"].cast("bigint").alias("nonce"),
+        t["data"].alias("data"),
+        F.coalesce(F.when(t["accessList"].isNotNull(), F.size(t["accessList"])), F.lit(0)).alias("access_tuples"),
+        F.array_join(shown, ";").alias("access_list"),
+        t["chainId"].alias("chain_id"),
     )
 
 
-@query(
-    "withdrawal_map",
-    f"""SELECT doc_id, pos, CASE WHEN line = '' THEN 0 ELSE pos END AS idx,
+@query("tx_map", _TX_SQL)
+def tx_map(spark, sf):
+    return _tx_rows(inputs.document_blocks(spark, sf), F.expr(canonical.map_transactions("raw.transactions")))
+
+
+_WITHDRAWALS_SQL = f"""SELECT doc_id, pos, CASE WHEN line = '' THEN 0 ELSE pos END AS idx,
             CAST(octet_length(encode(line)) AS BIGINT) AS validator,
             CASE WHEN line = '' THEN '{ZERO_ADDRESS}'
                  ELSE '0x' || substr(sha256(line), 25, 40) END AS address,
             CAST(octet_length(encode(line)) * 32 AS BIGINT) AS amount
-        FROM ({_LINES})""",
-)
-def withdrawal_map(spark, sf):
+        FROM ({_LINES})"""
+
+
+def _withdrawal_rows(df, items):
     w = F.col("w")
-    return (
-        inputs.document_blocks(spark, sf)
-        .select(
-            "doc_id",
-            F.posexplode(F.expr(canonical.map_withdrawals("raw.withdrawals"))).alias("pos", "w"),
-        )
-        .select(
-            "doc_id",
-            F.col("pos").cast("bigint").alias("pos"),
-            w["index"].cast("bigint").alias("idx"),
-            w["validator"].cast("bigint").alias("validator"),
-            w["address"].alias("address"),
-            w["amount"].cast("bigint").alias("amount"),
-        )
+    return df.select("doc_id", F.posexplode(items).alias("pos", "w")).select(
+        "doc_id",
+        F.col("pos").cast("bigint").alias("pos"),
+        w["index"].cast("bigint").alias("idx"),
+        w["validator"].cast("bigint").alias("validator"),
+        w["address"].alias("address"),
+        w["amount"].cast("bigint").alias("amount"),
     )
 
 
+@query("withdrawal_map", _WITHDRAWALS_SQL)
+def withdrawal_map(spark, sf):
+    return _withdrawal_rows(inputs.document_blocks(spark, sf), F.expr(canonical.map_withdrawals("raw.withdrawals")))
+
+
 def payload_sql(fields: list[tuple[str, str]]) -> str:
     """SQL text of a JSON object: literal names, each with its SQL value text."""
     parts = [f"""coalesce('"{name}":' || ({value}) || ',', '')""" for name, value in fields]
@@ -269,6 +273,108 @@ def payload_decode(spark, sf):
     )
 
 
+# --- nested payloads: blocks with uncles, transactions, access lists and withdrawals ---------
+
+
+def _list_sql(rows: str, order: str = "pos") -> str:
+    return f"'[' || string_agg({rows}, ',' ORDER BY {order}) || ']'"
+
+
+_ZEROS = {name: _quoted(f"'{zero}'") for name, zero in (("hash", ZERO_HASH), ("address", ZERO_ADDRESS), ("bloom", ZERO_BLOOM), ("nonce", ZERO_NONCE))}
+
+
+def _sparse_header(parent: str, number: str, gas_used: str, extra: str) -> str:
+    """A header with only these fields set, as JSON text."""
+    return payload_sql(
+        [
+            ("parentHash", parent),
+            ("uncleHash", _ZEROS["hash"]),
+            ("coinbase", _ZEROS["address"]),
+            ("root", _ZEROS["hash"]),
+            ("txHash", _ZEROS["hash"]),
+            ("receiptHash", _ZEROS["hash"]),
+            ("bloom", _ZEROS["bloom"]),
+            ("number", f"CAST({number} AS VARCHAR)"),
+            ("gasUsed", f"CASE WHEN {gas_used} <> 0 THEN CAST({gas_used} AS VARCHAR) END"),
+            ("extra", extra),
+            ("mixDigest", _ZEROS["hash"]),
+            ("nonce", _ZEROS["nonce"]),
+        ]
+    )
+
+
+_HASH_SQL, _DATA_SQL = _quoted("'0x' || sha256(line)"), f"CASE WHEN n > 0 THEN {_quoted("'0x' || lower(hex(encode(line)))")} END"
+_KEY_SQL = f"'\"0x' || sha256(line) || '\"'"
+_ACCESS_JSON = [
+    payload_sql([("address", _quoted("'0x' || substr(sha256(line), 1, 40)")), ("storageKeys", f"'[\"0x{'0' * 61}abc\",' || {_KEY_SQL} || ']'")]),
+    payload_sql([("address", _quoted("'0x' || substr(sha256(line), 21, 40)"))]),
+    payload_sql([("address", _ZEROS["address"]), ("storageKeys", f"'[' || {_KEY_SQL} || ']'")]),
+]
+_ACCESS_JSON_SQL = " || ".join(
+    f"CASE WHEN n >= {120 * (i + 1)} THEN {"','" if i else "''"} || {t} ELSE '' END" for i, t in enumerate(_ACCESS_JSON)
+)
+_TX_JSON = payload_sql(
+    [
+        ("hash", _HASH_SQL),
+        ("type", "CASE WHEN n > 160 THEN '2' WHEN n > 80 THEN '1' ELSE '0' END"),
+        ("to", f"CASE WHEN n > 80 THEN {_quoted("'0x' || substr(sha256(line), 25, 40)")} END"),
+        ("value", _quoted("CAST(n * 1000000007 AS VARCHAR)")),
+        ("gas", "CAST(n * 16 + 21000 AS VARCHAR)"),
+        ("gasPrice", _quoted("CAST(n AS VARCHAR)")),
+        ("nonce", "CAST(pos AS VARCHAR)"),
+        ("data", _DATA_SQL),
+        ("accessList", f"CASE WHEN n >= 120 THEN '[' || {_ACCESS_JSON_SQL} || ']' END"),
+        ("chainId", _quoted("'1'")),
+    ]
+)
+_WITHDRAWAL_JSON = payload_sql(
+    [
+        ("index", "CASE WHEN line = '' THEN '0' ELSE CAST(pos AS VARCHAR) END"),
+        ("validator", "CAST(n AS VARCHAR)"),
+        ("address", f"CASE WHEN line = '' THEN {_ZEROS['address']} ELSE {_quoted("'0x' || substr(sha256(line), 25, 40)")} END"),
+        ("amount", "CAST(n * 32 AS VARCHAR)"),
+    ]
+)
+NESTED_SQL = f"""
+    SELECT d.doc_id, '{{"hash":"0x' || sha256(CAST(d.doc_id AS VARCHAR)) || '","header":'
+           || {_sparse_header(_ZEROS["hash"], "d.doc_id", "d.n_chars", "NULL")}
+           || ',"uncles":' || uncles || ',"transactions":' || txs || ',"withdrawals":' || withdrawals || '}}' AS payload
+    FROM documents d JOIN (
+        SELECT doc_id, {_list_sql(_sparse_header(_HASH_SQL, "n", "n * 21", _DATA_SQL))} AS uncles,
+               {_list_sql(_TX_JSON)} AS txs, {_list_sql(_WITHDRAWAL_JSON)} AS withdrawals
+        FROM (SELECT *, octet_length(encode(line)) AS n FROM ({_LINES})) GROUP BY doc_id) USING (doc_id)"""
+
+
+def _nested(spark, sf):
+    return mapped(inputs.document_blocks(spark, sf)).select("doc_id", F.expr(canonical.encode_payload("block")).alias("payload"))
+
+
+def _nested_block(spark, sf):
+    return canonical.decode_payload(_nested(spark, sf)).select("doc_id", "block.*")
+
+
+@query("payload_nested", f"SELECT doc_id, octet_length(encode(payload)) AS bytes, sha256(payload) AS payload_sha256 FROM ({NESTED_SQL})")
+def payload_nested(spark, sf):
+    return _nested(spark, sf).select(
+        "doc_id", F.octet_length("payload").cast("bigint").alias("bytes"), F.sha2("payload", 256).alias("payload_sha256")
+    )
+
+
+@query("nested_uncles", _UNCLES_SQL)
+def nested_uncles(spark, sf):
+    return _uncle_rows(_nested_block(spark, sf), F.col("uncles"))
+
+
+@query("nested_transactions", _TX_SQL)
+def nested_transactions(spark, sf):
+    return _tx_rows(_nested_block(spark, sf), F.col("transactions"))
+
+
+@query("nested_withdrawals", _WITHDRAWALS_SQL)
+def nested_withdrawals(spark, sf):
+    return _withdrawal_rows(_nested_block(spark, sf), F.col("withdrawals"))
+
+
 @query(
     "payload_repair",
     f"""SELECT id, CASE WHEN k < 60 THEN '0x' || sha256(sent_hash) ELSE sent_hash END AS hash,

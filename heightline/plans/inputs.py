@@ -146,13 +146,12 @@ def document_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
         'maxPriorityFeePerGas', cast(NULL as string),
         'nonce', cast(i as decimal(20,0)),
         'data', hex(encode(line, 'UTF-8')),
-        'accessList', CASE WHEN octet_length(line) > 120
-            THEN array(named_struct('address', substring(sha2(line, 256), 1, 40),
-                                    'storageKeys', array('0xabc', sha2(line, 256))))
-            ELSE array() END,
+        'accessList', slice(array(
+            named_struct('address', substring(sha2(line, 256), 1, 40), 'storageKeys', array('0xabc', sha2(line, 256))),
+            named_struct('address', substring(sha2(line, 256), 21, 40), 'storageKeys', cast(array() as array<string>)),
+            named_struct('address', '', 'storageKeys', array(sha2(line, 256)))), 1, least(3, octet_length(line) div 120)),
         'chainId', '1'))"""
-    to_uncle = f"""transform(filter(_lines, line -> octet_length(line) > 200),
-        line -> {_LINE_HEADER})"""
+    to_uncle = f"transform(_lines, line -> {_LINE_HEADER})"
     to_withdrawal = """transform(_lines, (line, i) -> CASE WHEN line <> '' THEN named_struct(
         'index', cast(i as decimal(20,0)),
         'validator', cast(octet_length(line) as decimal(20,0)),

@@ -84,7 +84,7 @@ def publish_batch(
         # The batch is small and its size is known by now, the ledger is not:
         # cut the ledger down to the batch's hashes before anything shuffles.
         live = live.join(asked, "hash", "left_semi")
-        made = shaped(markers.skip_published(good, live, "hash"), plan).persist(StorageLevel.MEMORY_AND_DISK)
+        made = shaped(markers.without_marked(good, live, "hash"), plan).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             bad = checked.filter(F.col("reason").isNotNull()).select(*QUARANTINE.names)
             large = made.filter(F.col("reason").isNotNull()).select(*QUARANTINE.names)
@@ -131,5 +131,5 @@ def publish_once(
 ) -> DataFrame:
     """The batch form: the records a set of messages would publish, made once published hashes have gone."""
     live = markers.live_markers(ledger, "published_at", plan.marker_ttl, now)
-    waiting = markers.skip_published(sound(contract.check_messages(messages)), live, "hash")
+    waiting = markers.without_marked(sound(contract.check_messages(messages)), live, "hash")
     return first_arrival(shaped(waiting, plan).filter(F.col("reason").isNull()), ["hash"], order)
