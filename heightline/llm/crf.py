@@ -19,7 +19,7 @@ SAMPLE = 4_000
 PARTS = 16
 STEPS = 30
 FIRST_STEPS = 12
-PENALTY = 1.0
+PENALTY = 0.2
 
 # Texts are measured in pieces of about this many code points, cut at line ends.
 PIECE = 1 << 20
@@ -299,7 +299,8 @@ def _fit(rows: DataFrame, steps: int, chained: bool, first: np.ndarray | None) -
         found = rows.mapInArrow(_evaluate(x, first), "value double, slope array<double>").collect()
         value, slope = math.fsum(r["value"] for r in found), np.sum([r["slope"] for r in found], axis=0)
         if not chained:
-            slope[_NODE:] = 0.0
+            # A line by itself: no neighbours, no transitions.
+            slope[_COUNT * _WIDTH :] = 0.0
         return 0.5 * PENALTY * float(x @ x) - value, PENALTY * x - slope
 
     x = np.zeros(_SIZE)
@@ -365,7 +366,7 @@ def _power(good: np.ndarray, bad: np.ndarray, at: float) -> float:
     errors = np.searchsorted(np.sort(good), cuts[1:]) + len(bad) - np.searchsorted(np.sort(bad), cuts[1:])
     least = np.flatnonzero(errors == errors.min())
     best = least[np.argmax(cuts[1:][least] - cuts[:-1][least])]
-    middle = min(max((cuts[best] + cuts[best + 1]) / 2, 0.05), 0.95)
+    middle = min(max((cuts[best] + cuts[best + 1]) / 2, 0.1), 0.9)
     return math.log(at) / math.log(middle)
 
 
@@ -380,7 +381,7 @@ def learn(
 ) -> Model:
     """A model fitted on at most ``sample`` documents of either label, those whose ids hash lowest.
 
-    Labels are those of documents. A first model without transitions takes every
+    Labels are those of documents. A first model without neighbours takes every
     line of a document for what the document is. By its judgement, lines of bad
     documents that look good are good lines (but never all of a document); the
     chain is then fitted to the lines so labelled.

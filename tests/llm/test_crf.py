@@ -89,8 +89,8 @@ def test_scores_of_odd_rows(spark, small_model):
     got = df.select("doc_id", "text", crf.score(F.col("text"), small_model).alias("s")).collect()
     assert len(got) == 7 and all(0 <= r.s <= 1 for r in got)
     by = {(r.doc_id, r.text): r.s for r in got}
-    assert by[1, GOOD] > 0.3 > by[2, BAD] == by[None, BAD]
-    assert by[3, None] == by[4, ""] and by[5, long] > 0.3
+    assert by[1, GOOD] > 0.3 > by[2, BAD] and by[5, long] > 0.3
+    assert by[2, BAD] == pytest.approx(by[None, BAD]) and by[3, None] == pytest.approx(by[4, ""])
     assert df.limit(0).select(crf.score(F.col("text"), small_model)).collect() == []
 
 
@@ -107,15 +107,16 @@ def test_held_out_accuracy(spark):
     labels = spark.read.parquet(f"{SF}/labels.parquet").collect()
     held = [r for r in labels if zlib.crc32(str(r.doc_id).encode()) % 5 == 0]
     assert all(got[r.doc_id].held_out for r in held)
-    for value in (0, 1):
+    # Some 300 labelled rows to learn from; a dozen bad ones are held out.
+    for value, least in ((0, 0.8), (1, 0.97)):
         mine = [got[r.doc_id].predicted == value for r in held if r.quality == value]
-        assert sum(mine) >= 0.9 * len(mine)
+        assert sum(mine) >= least * len(mine)
 
 
 def test_lines_of_one_document_are_told_apart(spark):
     got = crf.learn(
-        spark.createDataFrame([(i, GOOD if i % 2 else f"{GOOD}\n{BAD}\n{BAD}\n{BAD}") for i in range(60)], "doc_id long, text string"),
-        spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, quality int"),
+        spark.createDataFrame([(i, GOOD if i % 3 else f"{GOOD}\n{BAD}\n{BAD}\n{BAD}") for i in range(90)], "doc_id long, text string"),
+        spark.createDataFrame([(i, int(i % 3 > 0)) for i in range(90)], "doc_id long, quality int"),
     )
     chance = crf.decode(got.weights, crf.lines_of([f"{GOOD}\n{BAD}"]))[0][:, 1]
     assert chance[0] > 0.5 > chance[2]
