@@ -123,7 +123,8 @@ _BINS = [(f"s[{i}]", f"cls[{i}]") for i in range(1, 7)]
     ref AS (SELECT lang, sum(n) AS words, sum(chars) AS chars,
                    [sum(k[1]) / sum(chars), sum(k[2]) / sum(chars), sum(k[3]) / sum(chars), sum(k[4]) / sum(chars),
                     sum(k[5]) / sum(chars)] AS five
-            FROM c WHERE lang IS NOT NULL GROUP BY lang HAVING count(*) >= 0.01 * (SELECT count(*) FROM c) AND sum(n) > 0),
+            FROM c WHERE lang IS NOT NULL GROUP BY lang
+            HAVING sum(n) >= 2000 OR (count(*) >= 0.01 * (SELECT count(*) FROM c) AND sum(n) > 0)),
     refs AS (SELECT lang, words, list_append(five, greatest(0, 1 - list_sum(five))) AS cls FROM ref),
     top AS (SELECT lang, word, count(*) / any_value(words) AS q
             FROM (SELECT lang, unnest(w) AS word FROM c) JOIN refs USING (lang) WHERE length(word) <= 4 GROUP BY lang, word
@@ -136,7 +137,8 @@ _BINS = [(f"s[{i}]", f"cls[{i}]") for i in range(1, 7)]
                      list_transform(b.k, lambda x: x / b.chars) AS five,
                      coalesce(twice, 0) AS twice, greatest(0, 1 - coalesce(p_in, 0)) AS p_out, coalesce(q_in, 0) AS q_in
               FROM base b CROSS JOIN refs r LEFT JOIN alls a ON a.lang = r.lang
-              LEFT JOIN sums s ON s.doc_id = b.doc_id AND s.lang = r.lang),
+              LEFT JOIN sums s ON s.doc_id = b.doc_id AND s.lang = r.lang
+              WHERE b.lang IS NULL OR b.lang IN (SELECT lang FROM refs)),
     bins AS (SELECT *, list_append(five, greatest(0, 1 - list_sum(five))) AS s, greatest(0, 1 - q_all) AS q_out FROM pairs),
     far AS (SELECT doc_id,
                    min(CASE WHEN chars >= 100 THEN sqrt(greatest(0, {' + '.join(_js(p, q) for p, q in _BINS)}) / (2 * ln(2))) END) AS characters,
