@@ -35,23 +35,27 @@ def shifts(edits: int, shorter_by: int, i: int) -> range:
     return range(max(-i, shorter_by - (edits - i)), min(i, shorter_by + (edits - i)) + 1)
 
 
-def _keys(line: Column, length: Column, edits: int) -> Column:
-    """Array of (key, stored): the index entries of a line, and its probes for lines of its length and shorter."""
+def _key(line: Column, of: Column, i: int, shift: int, edits: int) -> Column:
+    start, size = _bounds(of, i, edits)
+    return F.xxhash64(F.lit(i), of, F.substring(line, start + 1 + shift, size))
+
+
+def _probes(line: Column, length: Column, edits: int) -> Column:
+    """Array of (key, own): a line's index entries, and its probes for lines of its length and shorter.
+
+    Its own entries are the segments of its own length at their own places.
+    """
     entries = []
     for shorter_by in range(edits + 1):
-        of = length - shorter_by
         for i in range(segments(edits)):
-            start, size = _bounds(of, i, edits)
             for shift in shifts(edits, shorter_by, i):
-                key = F.xxhash64(F.lit(i), of, F.substring(line, start + 1 + shift, size))
-                entries.append(
-                    F.struct(key.alias("key"), F.lit(shorter_by == 0 and shift == 0).alias("stored"))
-                )
+                own = F.lit(shorter_by == 0 and shift == 0)
+                entries.append(F.struct(_key(line, length - shorter_by, i, shift, edits).alias("key"), own.alias("own")))
     return F.array(*entries)
 
 
 # Letters that are counted to tell unlike lines apart before their text is read; four bits each.
-LETTERS = "eaionrtshldc"
+LETTERS = "eaionrts"
 
 
 def letter_counts(line: Column) -> Column:
@@ -125,19 +129,21 @@ def repeated_lines(
     single = join_checked(keyed, first, F.col("hash") == F.col("_hash"), "left", most).where(
         F.col("_hash").isNull() | (_place() == F.col("_first"))
     )
+    # Beside a generator an expression is worked out for each row it makes, below it once.
+    measured = single.withColumn("length", F.char_length("line")).withColumn("letters", letter_counts(F.col("line")))
     entries = (
-        # Beside a generator an expression is worked out for each row it makes, below it once.
-        single.withColumn("length", F.char_length("line"))
-        .withColumn("letters", letter_counts(F.col("line")))
-        .select("hash", "letters", F.explode(_keys(F.col("line"), F.col("length"), edits)).alias("e"))
+        measured.select("hash", "letters", F.explode(_probes(F.col("line"), F.col("length"), edits)).alias("e"))
         .select("hash", "letters", "e.*")
+        .repartition("key")
     )
-    stored = entries.where("stored").select(
+    # Both sides of the join are one shuffle, read twice: a condition on the partition keeps
+    # the filter of the index from being pushed below it, which would make them two.
+    stored = entries.where(F.when(F.spark_partition_id() >= 0, F.col("own"))).select(
         "key", F.col("hash").alias("other"), F.col("letters").alias("other_letters")
     )
     pairs = settled(
         entries.join(stored, "key")
-        .where((F.col("hash") < F.col("other")) | (~F.col("stored") & (F.col("hash") > F.col("other"))))
+        .where((F.col("hash") < F.col("other")) | (~F.col("own") & (F.col("hash") > F.col("other"))))
         .where(may_be_near(F.col("letters"), F.col("other_letters"), edits))
         .select(F.least("hash", "other").alias("a"), F.greatest("hash", "other").alias("b"))
         .distinct()
