@@ -401,8 +401,8 @@ def learn(
     own = docs.select(F.col(id).alias("_id"), F.col(text).alias("_text"))
     rows = own.join(few, "_id").select((F.col("_label") == 1).alias("good"), "_text")
     rows = rows.mapInArrow(_sampled, "good boolean, bins binary, weight binary")
-    # Ordered, so that sums are added up alike however the input was split.
-    rows = settled(rows.repartition(PARTS, F.xxhash64("bins")).sortWithinPartitions("good", "bins", "weight"))
+    # Few tasks, as the sample is bounded; settled, so that every step reads the same rows in the same order.
+    rows = settled(rows.repartition(PARTS))
     if rows.select("good").distinct().count() < 2:
         return Model(np.zeros(_SIZE))
     weights = _fit(rows, STEPS, True, _fit(rows, FIRST_STEPS, False, None))
