@@ -18,6 +18,7 @@ ZERO_HASH = "0x" + "0" * HASH_DIGITS
 ZERO_ADDRESS = "0x" + "0" * ADDRESS_DIGITS
 ZERO_BLOOM = "0x" + "0" * BLOOM_DIGITS
 ZERO_NONCE = "0x" + "0" * NONCE_DIGITS
+_CANONICAL = r"^0x[0-9a-f]+\z"
 BLANKS = " \t\n\r\u000b\f\u0085 "
 
 # Values go through binary rather than regular expressions: ``unhex`` is many
@@ -57,11 +58,11 @@ def let(value: str, name: str, body: Callable[[str], str]) -> str:
     return f"element_at(transform(array({value}), {name} -> {body(name)}), 1)"
 
 
-def _as_is(s: str, width: str, other: str) -> str:
-    """Text that is canonical but for its case is taken as it stands, without a way through binary and back."""
+def _as_is(s: str, digits: int, other: str, zero: str) -> str:
+    """Canonical text is taken as it stands, without a way through binary and back; missing is zero."""
     return (
-        f"CASE WHEN octet_length({s}) {width} AND startswith({s}, '0x') AND unhex(substr({s}, 3)) IS NOT NULL "
-        f"THEN lower({s}) ELSE {other} END"
+        f"CASE WHEN {s} IS NULL OR {s} = '{zero}' THEN '{zero}' "
+        f"WHEN octet_length({s}) = {2 + digits} AND {s} rlike r'{_CANONICAL}' THEN {s} ELSE {other} END"
     )
 
 
@@ -72,7 +73,13 @@ def hex_bytes(s: str) -> str:
 
 def clean_hex(s: str) -> str:
     """Canonical ``0x`` text of a byte value; empty or malformed is NULL."""
-    return hex_text(hex_bytes(s))
+    bare = _bare(s)
+    return (
+        f"CASE WHEN {s} IS NULL THEN NULL "
+        f"WHEN octet_length({s}) > 2 AND octet_length({s}) % 2 = 0 AND {s} rlike r'{_CANONICAL}' THEN {s} "
+        f"WHEN length({s}) % 2 = 0 AND octet_length(unhex({bare})) > 0 THEN concat('0x', lower({bare})) "
+        f"ELSE {hex_text(hex_bytes(s))} END"
+    )
 
 
 def bytes_hex(b: str) -> str:
@@ -93,10 +100,8 @@ def _fixed(s: str, width: int) -> str:
 
     bare = _bare(s)
     partial = f"regexp_extract(lower({bare}), r'{_LEADING_BYTES}', 1)"
-    return (
-        f"coalesce({fit(bare)}, CASE WHEN {s} IS NOT NULL THEN {fit(partial)} END, "
-        f"'0x{'00' * width}')"
-    )
+    zero = "0x" + "00" * width
+    return _as_is(s, 2 * width, f"coalesce({fit(bare)}, {fit(partial)}, '{zero}')", zero)
 
 
 def hash32(s: str) -> str:
@@ -113,12 +118,13 @@ def bloom256(s: str) -> str:
     """A bloom value: exactly 256 bytes, anything else reads as zero."""
     value = _bytes(s)
     other = f"CASE WHEN octet_length({value}) = {BLOOM_DIGITS // 2} THEN {hex_text(value)} ELSE '{ZERO_BLOOM}' END"
-    return _as_is(s, f"= {2 + BLOOM_DIGITS}", other)
+    return _as_is(s, BLOOM_DIGITS, other, ZERO_BLOOM)
 
 
 def nonce8(s: str) -> str:
     """An 8-byte nonce: left-aligned, cut or zero-filled on the right."""
-    return hex_text(f"rpad(coalesce({_bytes(s)}, X''), {NONCE_DIGITS // 2}, X'00')")
+    other = hex_text(f"rpad(coalesce({_bytes(s)}, X''), {NONCE_DIGITS // 2}, X'00')")
+    return _as_is(s, NONCE_DIGITS, other, ZERO_NONCE)
 
 
 def is_zero_hash(s: str) -> str:

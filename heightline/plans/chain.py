@@ -121,9 +121,18 @@ _UNCLES_SQL = f"""SELECT doc_id, pos,
         FROM (SELECT *, octet_length(encode(line)) AS n FROM ({_LINES}))"""
 
 
+def _elements(df, items, name):
+    """The elements of a list and their places.
+
+    The plain generator would have a filter on the list's size put below it, which
+    works the whole list out a second time.
+    """
+    return df.select("doc_id", F.posexplode_outer(items).alias("pos", name)).filter("pos IS NOT NULL")
+
+
 def _uncle_rows(df, items):
     u = F.col("u")
-    return df.select("doc_id", F.posexplode(items).alias("pos", "u")).select(
+    return _elements(df, items, "u").select(
         "doc_id",
         F.col("pos").cast("bigint").alias("pos"),
         u["parentHash"].alias("parent_hash"),
@@ -169,7 +178,7 @@ def _tx_rows(df, items):
             a["address"], F.lit("|"), F.array_join(F.coalesce(a["storageKeys"], F.array().cast("array<string>")), ",")
         ),
     )
-    return df.select("doc_id", F.posexplode(items).alias("pos", "t")).select(
+    return _elements(df, items, "t").select(
         "doc_id",
         F.col("pos").cast("bigint").alias("pos"),
         t["hash"].alias("hash"),
@@ -202,7 +211,7 @@ _WITHDRAWALS_SQL = f"""SELECT doc_id, pos, CASE WHEN line = '' THEN 0 ELSE pos E
 
 def _withdrawal_rows(df, items):
     w = F.col("w")
-    return df.select("doc_id", F.posexplode(items).alias("pos", "w")).select(
+    return _elements(df, items, "w").select(
         "doc_id",
         F.col("pos").cast("bigint").alias("pos"),
         w["index"].cast("bigint").alias("idx"),
