@@ -184,7 +184,9 @@ _LOG_MINE = f"regexp_full_match(service, '{inputs.SERVICE_PATTERN}')"
 )
 def stream_docker_logs(spark, sf):
     path = work_path(spark, "docker-logs")
-    containers = inputs.containers(spark, sf)
+    # What discovery found is kept: a batch would look through the whole table for it again.
+    inputs.containers(spark, sf).write.parquet(f"{path}/containers")
+    containers = spark.read.parquet(f"{path}/containers")
     rows = inputs.docker_lines(spark, sf)
     cuts = [None, *rows.approxQuantile("at_us", [i / PARTS for i in range(1, PARTS)], 0.01), None]
     for low, high in zip(cuts, cuts[1:]):
