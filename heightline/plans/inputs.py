@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
-from ..sources.tables import spread_small
+from ..sources.tables import spread
 
 # Fixed parameters of the checks.
 NOW_US = 1706659200000000  # 2024-01-31 00:00:00 UTC, after the last event
@@ -19,6 +19,11 @@ DAY_US = 86_400_000_000
 DAY_MS = 86_400_000
 CONFIRMATIONS = 64
 
+# Rows a task takes when they become blocks or messages.
+ORDERS_A_TASK = 100_000
+DOCUMENTS_A_TASK = 10_000
+EVENTS_A_TASK = 500_000
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -87,7 +92,7 @@ def order_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
         'uncles', cast(array() as array<struct<{_ddl(schemas.HEADER)}>>),
         'transactions', cast(NULL as array<struct<{_ddl(schemas.TRANSACTION)}>>),
         'withdrawals', cast(array() as array<struct<{_ddl(schemas.WITHDRAWAL)}>>))"""
-    return spread_small(table(spark, sf_dir, "orders"), "o_orderkey").select(
+    return spread(table(spark, sf_dir, "orders"), ORDERS_A_TASK).select(
         F.col("o_orderstatus").alias("chain"),
         F.col("o_orderkey").alias("number"),
         F.unix_seconds(F.col("o_orderdate").cast("timestamp")).alias("arrived"),
@@ -158,7 +163,7 @@ def document_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
         'address', concat('0x', substring(sha2(line, 256), 25, 40)),
         'amount', cast(octet_length(line) * 32 as decimal(20,0))) END)"""
     return (
-        spread_small(table(spark, sf_dir, "documents"), "doc_id")
+        spread(table(spark, sf_dir, "documents"), DOCUMENTS_A_TASK)
         .withColumn("_lines", F.expr("split(text, '\\n', -1)"))
         .select(
             "doc_id",
@@ -229,7 +234,7 @@ _MESSAGE_FIELDS = {
 
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as outbox messages, sound or broken as their property ``k`` says."""
-    return as_messages(spread_small(table(spark, sf_dir, "events"), "event_id"))
+    return as_messages(spread(table(spark, sf_dir, "events"), EVENTS_A_TASK))
 
 
 def as_messages(events: DataFrame) -> DataFrame:

@@ -13,16 +13,19 @@ from ..schemas import BLOCK
 HEIGHT_BUCKET = 100_000
 
 
-def spread_small(df: DataFrame, *keys: str) -> DataFrame:
-    """Deal out a scan of fewer partitions than there are cores, by ``keys``.
+def spread(df: DataFrame, rows: int) -> DataFrame:
+    """Deal out a scan, for costly per-row work: about ``rows`` rows a task, and a task for each core at least.
 
-    For costly per-row work on small tables only: large scans have enough
-    partitions of their own and pass through without a shuffle.
+    The rows of a scan stand where its row groups begin, so many of its partitions
+    may be empty, and one may hold most of the table. Partitions are counted by a
+    job that reads no column; a scan that has its rows spread passes through
+    without a shuffle. Rows go round, whatever their keys are.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
+    held = [r[0] for r in df.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1))).select("count(1)").collect()]
+    if len(held) >= cores and max(held) <= rows:
         return df
-    return df.repartition(cores, *keys)
+    return df.repartition(max(cores, -(-sum(held) // rows)))
 
 
 def in_height_range(df: DataFrame, number: str, low: int | None, high: int | None) -> DataFrame:
