@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.hexes import hash32, let
 from ..functions.ids import parse_uint64
 from . import canonical
 
@@ -39,29 +40,64 @@ def failure_reason(hash_: Column, number: Column, payload: Column, decoded_ok: C
     return reason
 
 
+_RAW, _NUMBER = "_raw_block", "_sent_number"
+_HASH = canonical.repaired_hash(f"{_RAW}.hash", "hash")
+_BLOCK = canonical.map_block(_RAW, _HASH, canonical.repaired_number(f"{_RAW}.header.number", _NUMBER))
+
+# What a header, a transaction, a withdrawal, an access tuple or a storage key is as JSON at most,
+# with all fields at their full width but the texts of free length.
+_ELEMENT_BYTES = 1500
+
+
+def _read(df: DataFrame) -> DataFrame:
+    """Add ``reason`` and what was read of the payload."""
+    parsed = canonical.read_block(df, "payload", _RAW).withColumn(_NUMBER, parse_uint64(F.col("number")))
+    return parsed.withColumn(
+        "reason",
+        failure_reason(F.col("hash"), F.col("number"), F.col("payload"), F.col(_RAW).isNotNull()),
+    )
+
+
 def check_messages(df: DataFrame) -> DataFrame:
     """Add ``reason`` and the repaired canonical ``block`` (of use where reason is NULL).
 
     The payload is parsed once; nothing is dropped, so callers can split the
     result into good rows (``reason IS NULL``) and a quarantine table.
     """
-    parsed = canonical.read_block(df, "payload", "_raw_block").withColumn("_sent_number", parse_uint64(F.col("number")))
-    block = canonical.map_block(
-        "_raw_block",
-        canonical.repaired_hash("_raw_block.hash", "hash"),
-        canonical.repaired_number("_raw_block.header.number", "_sent_number"),
-    )
-    return parsed.withColumns(
-        {
-            "reason": failure_reason(
-                F.col("hash"),
-                F.col("number"),
-                F.col("payload"),
-                F.col("_raw_block").isNotNull(),
-            ),
-            "block": F.expr(block),
-        }
-    ).drop("_raw_block", "_sent_number")
+    return _read(df).withColumn("block", F.expr(_BLOCK)).drop(_RAW, _NUMBER)
+
+
+def judge_messages(df: DataFrame, max_record_bytes: int = 0) -> DataFrame:
+    """Add ``reason`` and, of use where it is NULL, the ``block_hash`` and whether the record is too ``large``.
+
+    For messages of which few are published: blocks are not mapped, but for
+    payloads that may exceed the limit (see may_exceed).
+    """
+    large = F.lit(False)
+    if max_record_bytes > 0:
+        size = let(_BLOCK, "b", lambda b: f"octet_length({canonical.encode_payload(b)})")
+        asked = F.col("reason").isNull() & may_exceed(F.col("payload"), max_record_bytes)
+        large = F.when(asked, F.expr(size) > F.lit(max_record_bytes)).otherwise(F.lit(False))
+    return _read(df).withColumn("block_hash", F.expr(hash32(_HASH))).withColumn("large", large).drop(_RAW, _NUMBER)
+
+
+def may_exceed(payload: Column, limit: int) -> Column:
+    """False where the record of a payload cannot take more than ``limit`` bytes, however it is written.
+
+    Texts of free length are at most twice as long in the record as in the
+    payload. What is filled in has a fixed width, and stands in the block, its
+    header or an element of a list; a list has one element more than commas.
+    """
+    size = F.octet_length(payload).cast("bigint")
+
+    def count(mark: str) -> Column:
+        return size - F.octet_length(F.replace(payload, F.lit(mark), F.lit("")))
+
+    def bound(elements: Column) -> Column:
+        return size * 2 + (elements + 2) * _ELEMENT_BYTES
+
+    # No payload has more elements than bytes: most need not be looked through.
+    return (bound(size) > limit) & (bound(count(",") + count("[")) > limit)
 
 
 def too_large(value: Column, limit: int) -> Column:

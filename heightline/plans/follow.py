@@ -29,7 +29,9 @@ def _over_restarts(spark, rows, order, path, run):
     """Hand ``rows`` to a stream in parts by ``order``, and run it to its end after each part.
 
     ``run`` gets the stream of the folder the parts arrive in. It starts from its
-    checkpoint each time, so state has to outlast both batches and queries.
+    checkpoint each time, so state has to outlast both batches and queries. A part
+    is one batch: the files of a part are not in order, and batches of some of them
+    would not be either.
     """
     cuts = rows.approxQuantile(order, [i / PARTS for i in range(1, PARTS)], 0.01)
     for low, high in zip([None, *cuts], [*cuts, None]):
@@ -41,7 +43,7 @@ def _over_restarts(spark, rows, order, path, run):
         elif low is not None:
             # Rows without an order come with the last part.
             part = rows.filter((F.col(order) >= low) | F.col(order).isNull())
-        part.write.mode("append").parquet(f"{path}/in")
+        part.coalesce(FILES_PER_BATCH).write.mode("append").parquet(f"{path}/in")
         run(follow_parquet(spark, f"{path}/in", rows.schema, FILES_PER_BATCH)).awaitTermination()
 
 

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import contract, markers, records
-from ..operators.dedup import first_arrival
 from ..schemas import LEDGER, QUARANTINE, RECORD
 from ..sources.epochs import EpochTable
 from ..sources.ledger import Ledger
@@ -30,18 +29,20 @@ class PublishPlan:
     marker_ttl: int = 0
 
 
-def shaped(checked: DataFrame, plan: PublishPlan) -> DataFrame:
-    """Sound checked messages with their record, or the reason they have none."""
-    made = records.block_records(checked, plan.topic, extras=records.source_header(F.col("id")))
-    return made.withColumn(
-        "reason",
-        F.when(contract.too_large(F.col("value"), plan.max_record_bytes), F.lit(TOO_LARGE)),
-    )
+def shaped(chosen: DataFrame, plan: PublishPlan) -> DataFrame:
+    """Messages that are published, with their record."""
+    checked = contract.check_messages(chosen)
+    return records.block_records(checked, plan.topic, extras=records.source_header(F.col("id")))
 
 
-def sound(checked: DataFrame) -> DataFrame:
+def sound(judged: DataFrame) -> DataFrame:
     """Messages that keep the contract, under the hash of their block."""
-    return checked.filter(F.col("reason").isNull()).withColumn("hash", F.col("block.hash"))
+    return judged.filter(F.col("reason").isNull()).withColumn("hash", F.col("block_hash"))
+
+
+def chosen(good: DataFrame, live: DataFrame, order: list[str]) -> DataFrame:
+    """Of sound messages those to publish: the first of each hash without a marker that is not too large."""
+    return markers.first_unmarked(good.filter(~F.col("large")), live, "hash", order).drop("block_hash", "large")
 
 
 class Publisher:
@@ -67,8 +68,9 @@ def publish_batch(
 
     Every write replaces its epoch, and only markers of earlier epochs are
     looked at, so running a batch again writes the same records. Of the ledger,
-    live markers in the buckets of the batch's hashes are read. Records are made
-    after published hashes have gone. ``send`` hands the written records to a
+    live markers in the buckets of the batch's hashes are read. What is kept of
+    a message is its text and what was found of it; blocks are mapped and records
+    made of those that are published. ``send`` hands the written records to a
     broker; that step can repeat, and the newest record per key removes the
     repeat on the reading side.
     """
@@ -76,24 +78,20 @@ def publish_batch(
     out = Publisher(spark, path, plan.marker_ttl)
     at = now()
     since = at - plan.marker_ttl if plan.marker_ttl > 0 else None
-    checked = contract.check_messages(messages).persist(StorageLevel.MEMORY_AND_DISK)
+    judged = contract.judge_messages(messages, plan.max_record_bytes).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        good = sound(checked)
+        good = sound(judged)
         asked = good.select("hash").distinct()
         live = out.ledger.rows(before=epoch, since=since, keys=asked)
         # The batch is small and its size is known by now, the ledger is not:
         # cut the ledger down to the batch's hashes before anything shuffles.
         live = live.join(asked, "hash", "left_semi")
-        made = shaped(markers.without_marked(good, live, "hash"), plan).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            bad = checked.filter(F.col("reason").isNotNull()).select(*QUARANTINE.names)
-            large = made.filter(F.col("reason").isNotNull()).select(*QUARANTINE.names)
-            out.quarantine.write(bad.unionByName(large), epoch)
-            out.records.write(first_arrival(made.filter(F.col("reason").isNull()), ["hash"], order), epoch)
-        finally:
-            made.unpersist()
+        bad = judged.filter(F.col("reason").isNotNull()).select(*QUARANTINE.names)
+        large = markers.without_marked(good.filter("large"), live, "hash").withColumn("reason", F.lit(TOO_LARGE))
+        out.quarantine.write(bad.unionByName(large.select(*QUARANTINE.names)), epoch)
+        out.records.write(shaped(chosen(good, live, order), plan), epoch)
     finally:
-        checked.unpersist()
+        judged.unpersist()
     written = out.records.epoch(epoch)
     if send is not None:
         send(written)
@@ -129,7 +127,7 @@ def publish_stream(
 def publish_once(
     messages: DataFrame, ledger: DataFrame, plan: PublishPlan, now: Column | int, order: list[str]
 ) -> DataFrame:
-    """The batch form: the records a set of messages would publish, made once published hashes have gone."""
+    """The batch form: the records a set of messages would publish, made of the messages that are."""
     live = markers.live_markers(ledger, "published_at", plan.marker_ttl, now)
-    waiting = markers.without_marked(sound(contract.check_messages(messages)), live, "hash")
-    return first_arrival(shaped(waiting, plan).filter(F.col("reason").isNull()), ["hash"], order)
+    judged = contract.judge_messages(messages, plan.max_record_bytes)
+    return shaped(chosen(sound(judged), live, order), plan)
