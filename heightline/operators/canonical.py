@@ -282,9 +282,32 @@ def _all_in_range(fields: T.StructType, items: str) -> str:
     return f"coalesce(forall({items}, x -> {_in_range(fields, 'x')}), TRUE)"
 
 
+def _ended(wire: str, payload: str) -> str:
+    return f"coalesce(try_variant_get({wire}, '$.end', 'bigint') = xxhash64({payload}), FALSE)"
+
+
+def plainly_sound(wire: str, kinds: str, payload: str) -> str:
+    """Whether a reading is sound as its description ``kinds`` tells, without a look at its numbers.
+
+    Whole numbers that are no DECIMAL and have no sign are within 63 bits; only
+    the type of a transaction has fewer. FALSE is no verdict.
+    """
+    types = f"try_variant_get({wire}, '$.p.transactions', 'array<struct<type:decimal(20,0)>>')"
+    return (
+        f"coalesce({kinds} rlike r'{_SOUND}' AND NOT contains({kinds}, 'DECIMAL') AND NOT contains({payload}, '-') "
+        f"AND CASE WHEN contains({kinds}, 'type: ') THEN coalesce(forall({types}, t -> coalesce(t.type <= 255, TRUE)), TRUE) "
+        f"ELSE TRUE END AND {_ended(wire, payload)}, FALSE)"
+    )
+
+
+def own_hash(wire: str) -> str:
+    """The hash a sound reading names."""
+    return f"try_variant_get({wire}, '$.p.hash', 'string')"
+
+
 def raw_block(wire: str, payload: str) -> str:
     """The raw wire struct of a reading; NULL if the text is no payload or has a value of a wrong kind."""
-    ended = f"coalesce(try_variant_get({wire}, '$.end', 'bigint') = xxhash64({payload}), FALSE)"
+    ended = _ended(wire, payload)
     kinds = f"coalesce(schema_of_variant({wire}) rlike r'{_SOUND}', FALSE) OR coalesce({_known_kinds(wire)}, FALSE)"
     empty = f"from_json('{{}}', 'STRUCT<{WIRE_DDL}>')"
     return f"CASE WHEN {ended} AND ({kinds}) THEN coalesce(try_variant_get({wire}, '$.p', 'STRUCT<{WIRE_DDL}>'), {empty}) END"

@@ -49,36 +49,56 @@ _BLOCK = canonical.map_block(_RAW, _HASH, canonical.repaired_number(f"{_RAW}.hea
 _ELEMENT_BYTES = 1500
 
 
-def _read(df: DataFrame) -> DataFrame:
-    """Add ``reason`` and what was read of the payload."""
-    parsed = canonical.read_block(df, "payload", _RAW).withColumn(_NUMBER, parse_uint64(F.col("number")))
-    return parsed.withColumn(
-        "reason",
-        failure_reason(F.col("hash"), F.col("number"), F.col("payload"), F.col(_RAW).isNotNull()),
-    )
-
-
 def check_messages(df: DataFrame) -> DataFrame:
     """Add ``reason`` and the repaired canonical ``block`` (of use where reason is NULL).
 
     The payload is parsed once; nothing is dropped, so callers can split the
     result into good rows (``reason IS NULL``) and a quarantine table.
     """
-    return _read(df).withColumn("block", F.expr(_BLOCK)).drop(_RAW, _NUMBER)
+    parsed = canonical.read_block(df, "payload", _RAW).withColumn(_NUMBER, parse_uint64(F.col("number")))
+    return parsed.withColumns(
+        {
+            "reason": failure_reason(
+                F.col("hash"),
+                F.col("number"),
+                F.col("payload"),
+                F.col(_RAW).isNotNull(),
+            ),
+            "block": F.expr(_BLOCK),
+        }
+    ).drop(_RAW, _NUMBER)
 
 
 def judge_messages(df: DataFrame, max_record_bytes: int = 0) -> DataFrame:
     """Add ``reason`` and, of use where it is NULL, the ``block_hash`` and whether the record is too ``large``.
 
-    For messages of which few are published: blocks are not mapped, but for
-    payloads that may exceed the limit (see may_exceed).
+    For messages of which few are published: a block is read in full only where
+    the kinds of its values do not tell that it is sound, and mapped only where
+    its record may exceed the limit (see may_exceed).
     """
+    doubt = may_exceed(F.col("payload"), max_record_bytes) if max_record_bytes > 0 else F.lit(False)
+    wire = canonical.once(df, "_wire", F.expr(canonical.read_payload("payload")))
+    kinds = canonical.once(wire, "_kinds", F.expr("schema_of_variant(_wire)"))
+    plain = F.expr(canonical.plainly_sound("_wire", "_kinds", "payload")) & ~F.coalesce(doubt, F.lit(False))
+    told = canonical.once(kinds, "_plain", plain)
+    read = canonical.once(told, _RAW, F.when(~F.col("_plain"), F.expr(canonical.raw_block("_wire", "payload"))))
+    known = read.withColumn(_NUMBER, parse_uint64(F.col("number"))).withColumn(
+        "_own", F.when(F.col("_plain"), F.expr(canonical.own_hash("_wire"))).otherwise(F.col(f"{_RAW}.hash"))
+    )
+    sound = F.col("_plain") | F.expr(canonical.numbers_ok(_RAW))
+    reason = canonical.once(
+        known, "reason", failure_reason(F.col("hash"), F.col("number"), F.col("payload"), sound)
+    )
     large = F.lit(False)
     if max_record_bytes > 0:
         size = let(_BLOCK, "b", lambda b: f"octet_length({canonical.encode_payload(b)})")
-        asked = F.col("reason").isNull() & may_exceed(F.col("payload"), max_record_bytes)
+        asked = F.col("reason").isNull() & doubt
         large = F.when(asked, F.expr(size) > F.lit(max_record_bytes)).otherwise(F.lit(False))
-    return _read(df).withColumn("block_hash", F.expr(hash32(_HASH))).withColumn("large", large).drop(_RAW, _NUMBER)
+    own = canonical.repaired_hash("_own", "hash")
+    return (
+        reason.withColumn("block_hash", F.expr(hash32(own))).withColumn("large", large)
+        .select(*df.columns, "reason", "block_hash", "large")
+    )
 
 
 def may_exceed(payload: Column, limit: int) -> Column:

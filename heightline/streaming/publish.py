@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -78,20 +77,20 @@ def publish_batch(
     out = Publisher(spark, path, plan.marker_ttl)
     at = now()
     since = at - plan.marker_ttl if plan.marker_ttl > 0 else None
-    judged = contract.judge_messages(messages, plan.max_record_bytes).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        good = sound(judged)
-        asked = good.select("hash").distinct()
-        live = out.ledger.rows(before=epoch, since=since, keys=asked)
-        # The batch is small and its size is known by now, the ledger is not:
-        # cut the ledger down to the batch's hashes before anything shuffles.
-        live = live.join(asked, "hash", "left_semi")
-        bad = judged.filter(F.col("reason").isNotNull()).select(*QUARANTINE.names)
-        large = markers.without_marked(good.filter("large"), live, "hash").withColumn("reason", F.lit(TOO_LARGE))
-        out.quarantine.write(bad.unionByName(large.select(*QUARANTINE.names)), epoch)
-        out.records.write(shaped(chosen(good, live, order), plan), epoch)
-    finally:
-        judged.unpersist()
+    # Judged once, on shared storage: one batch takes the place of the last.
+    judged = contract.judge_messages(messages, plan.max_record_bytes)
+    judged.write.mode("overwrite").parquet(f"{path}/judged")
+    judged = spark.read.schema(judged.schema).parquet(f"{path}/judged")
+    good = sound(judged)
+    asked = good.select("hash").distinct()
+    live = out.ledger.rows(before=epoch, since=since, keys=asked)
+    # The batch is small and its size is known by now, the ledger is not:
+    # cut the ledger down to the batch's hashes before anything shuffles.
+    live = live.join(asked, "hash", "left_semi")
+    bad = judged.filter(F.col("reason").isNotNull()).select(*QUARANTINE.names)
+    large = markers.without_marked(good.filter("large"), live, "hash").withColumn("reason", F.lit(TOO_LARGE))
+    out.quarantine.write(bad.unionByName(large.select(*QUARANTINE.names)), epoch)
+    out.records.write(shaped(chosen(good, live, order), plan), epoch)
     written = out.records.epoch(epoch)
     if send is not None:
         send(written)
