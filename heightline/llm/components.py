@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .rows import settled
+from .rows import stored
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -15,16 +15,16 @@ def components(links: DataFrame) -> DataFrame:
     neighbourhood that a hash, new in each round, puts first. Links between
     nodes that moved apart remain, so their number falls by a constant factor
     per round, whatever the shape of the graph. All steps are joins and minima
-    that combine before the shuffle; each round is cut off by a checkpoint.
+    that combine before the shuffle; the tables of each round are stored.
     Nodes may be of any one type; links with a NULL end are left out.
     """
     spark = links.sparkSession
-    edges = settled(_tidy(links.select(F.col("a"), F.col("b"))))
+    edges = stored(_tidy(links.select(F.col("a"), F.col("b"))))
     layers: list[DataFrame] = []
     while not edges.isEmpty():
         mark = F.lit(len(layers))
         ends = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        heads = settled(
+        heads = stored(
             ends.groupBy(F.col("a").alias("node"))
             .agg(F.min(F.struct(F.xxhash64("b", mark).alias("by"), F.col("b").alias("to"))).alias("near"))
             .select(
@@ -38,7 +38,7 @@ def components(links: DataFrame) -> DataFrame:
         moved = edges.join(heads.select(F.col("node").alias("a"), F.col("head").alias("ha")), "a").join(
             heads.select(F.col("node").alias("b"), F.col("head").alias("hb")), "b"
         )
-        edges = settled(_tidy(moved.select(F.col("ha").alias("a"), F.col("hb").alias("b"))))
+        edges = stored(_tidy(moved.select(F.col("ha").alias("a"), F.col("hb").alias("b"))))
     if not layers:
         kind = links.schema["a"].dataType.simpleString()
         return spark.createDataFrame([], f"node {kind}, root {kind}")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -10,14 +11,16 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .rows import SMALL_ROWS, join_checked, settled
-from .similar import SIMILARITY, band_keys, jaccard, linked, words_in  # noqa: F401
+from .rows import SMALL_ROWS, join_checked, join_settled, stored
+from .similar import SHINGLE, SIMILARITY, bands_of, jaccard, linked, words_in  # noqa: F401
 
 # A border is the smallest word pair among this many before and after it.
 REACH = 4
 # Two lines at the least similarity share no band in 3 of 10,000 cases.
 BANDS = 8
 VALUES = 2
+# Texts are split together up to this many words.
+PORTION = 1 << 17
 # Shorter runs of repeated words are not passages, and shorter lines no near copies.
 LEAST_WORDS = 16
 
@@ -55,12 +58,16 @@ def borders(hashes: np.ndarray, reach: int = REACH) -> np.ndarray:
     return np.concatenate([[0], at[at > 0], [n]])
 
 
+def _hashed(words: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
+
+
 class Paragraphs:
-    """The paragraphs of one text: their borders, and a hash of all words of each."""
+    """The paragraphs of one text, given as its words or as their hashes: borders, and a hash of all words of each."""
 
-    def __init__(self, words: list[bytes]):
-        self.hashes = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
-        self.borders = borders(self.hashes) if words else np.array([0])
+    def __init__(self, words: list[bytes] | np.ndarray):
+        self.hashes = words if isinstance(words, np.ndarray) else _hashed(words)
+        self.borders = borders(self.hashes) if len(words) else np.array([0])
         self.starts = self.borders[:-1]
         self.sizes = np.diff(self.borders)
         self.count = len(self.sizes)
@@ -73,115 +80,117 @@ class Paragraphs:
             self.whole = _mixed(sums + self.sizes.astype(np.uint64) * _ODD[0], 0)
 
 
-def _signed(parts: list[np.ndarray]) -> pa.Array:
-    return pa.array(np.concatenate([np.empty(0, np.uint64), *parts]).view(np.int64))
+def _signed(values: np.ndarray) -> pa.Array:
+    return pa.array(values.astype(np.uint64, copy=False).view(np.int64))
 
 
-def _wholes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The hash of each paragraph."""
-    for batch in batches:
-        found = [Paragraphs(words_in(t.as_py())).whole for t in batch.column(0)]
-        yield pa.RecordBatch.from_arrays([_signed(found)], names=["paragraph"])
-
+def _listed(values: pa.Array, counts: np.ndarray) -> pa.Array:
+    """Lists of as many values each as ``counts`` says."""
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)), values)
 
-def _placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(id, doc, at, paragraph, start, words) of each paragraph; start and size in words."""
-    for batch in batches:
-        found = [Paragraphs(words_in(t.as_py())) for t in batch.column(2)]
-        counts = [p.count for p in found]
-        row = pa.array(np.repeat(np.arange(len(found)), counts))
-        none = np.empty(0, np.int64)
-        yield pa.RecordBatch.from_arrays(
-            [
-                batch.column(0).take(row),
-                batch.column(1).take(row),
-                pa.array(np.concatenate([none, *(np.arange(n) for n in counts)]).astype(np.int32)),
-                _signed([p.whole for p in found]),
-                pa.array(np.concatenate([none, *(p.starts for p in found)]).astype(np.int64)),
-                pa.array(np.concatenate([none, *(p.sizes for p in found)]).astype(np.int64)),
-            ],
-            names=["id", "doc", "at", "paragraph", "start", "words"],
-        )
 
+def _portions(batch: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, list[list[list[bytes]]]]]:
+    """(rows, the words of each line of each text): rows in turn until they have PORTION words."""
+    begin, held, size = 0, [], 0
+    for i, t in enumerate(batch.column(2)):
+        held.append([line.split() for line in (t.as_py() or "").encode("utf-8", "surrogatepass").lower().split(b"\n")])
+        size += sum(map(len, held[-1]))
+        if size >= PORTION or i + 1 == batch.num_rows:
+            yield batch.slice(begin, len(held)), held
+            begin, held, size = i + 1, [], 0
 
-def _lines(text: str | None, least: int) -> Iterator[tuple[int, list[bytes]]]:
-    """(words before it, words) of each line of at least ``least`` words."""
-    at = 0
-    for line in (text or "").split("\n"):
-        words = words_in(line)
-        if len(words) >= least:
-            yield at, words
-        at += len(words)
 
+SPLIT = "nodes array<long>, starts array<int>, words array<int>, sizes array<int>, keys array<long>, paragraphs array<long>, borders array<int>"
 
-def _node(words: list[bytes]) -> int:
-    return xxhash.xxh64_intdigest(b" ".join(words))
 
+def _split(least: int):
+    """Texts to lines and paragraphs, in one pass.
 
-def _line_table(least: int, what: str):
-    """Lines as tables: their band keys, their words or their places."""
+    Of the lines of at least ``least`` words: a hash of the words, the number of
+    words before and in them, of their distinct shingles, and BANDS keys each,
+    one line after the other. Of the paragraphs: a hash, and the borders.
+    """
 
-    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found, nodes, sizes = [], [], []
-            for t in batch.column(0):
-                for _, words in _lines(t.as_py(), least):
-                    bands, size = band_keys(words, BANDS, VALUES)
-                    found.append(bands)
-                    nodes.append(np.full(len(bands), _node(words), np.uint64))
-                    sizes += [size] * len(bands)
-            yield pa.RecordBatch.from_arrays([_signed(found), _signed(nodes), pa.array(sizes, pa.int64())], names=["key", "node", "size"])
+            for part, texts in _portions(batch):
+                words = list(chain.from_iterable(chain.from_iterable(texts)))
+                hashes = _hashed(words)
+                # By line, with the text it stands in.
+                count = np.array([len(line) for lines in texts for line in lines], np.int64)
+                owner = np.repeat(np.arange(len(texts)), [len(lines) for lines in texts])
+                end = np.cumsum(count)
+                begin = end - count
+                ends = end[np.cumsum([len(lines) for lines in texts]) - 1]
+                first = np.concatenate([[0], ends[:-1]])
+                long = count >= max(least, SHINGLE)
+                keys, sizes = bands_of(hashes[np.repeat(long, count)], count[long], BANDS, VALUES)
+                nodes = np.fromiter(
+                    (xxhash.xxh64_intdigest(b" ".join(words[b:e])) for b, e in zip(begin[long].tolist(), end[long].tolist())), np.uint64, len(sizes)
+                )
+                lines = np.bincount(owner[long], minlength=len(texts))
+                found = [Paragraphs(hashes[b:e]) for b, e in zip(first.tolist(), ends.tolist())]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part.column(0),
+                        part.column(1),
+                        _listed(_signed(nodes), lines),
+                        _listed(pa.array((begin - first[owner])[long].astype(np.int32)), lines),
+                        _listed(pa.array(count[long].astype(np.int32)), lines),
+                        _listed(pa.array(sizes.astype(np.int32)), lines),
+                        _listed(_signed(keys.ravel()), lines * BANDS),
+                        _listed(_signed(np.concatenate([p.whole for p in found])), np.array([p.count for p in found])),
+                        _listed(pa.array(np.concatenate([p.borders for p in found]).astype(np.int32)), np.array([len(p.borders) for p in found])),
+                    ],
+                    names=["id", "doc", "nodes", "starts", "words", "sizes", "keys", "paragraphs", "borders"],
+                )
+
+    return split
+
+
+def split_texts(rows: DataFrame, least: int) -> DataFrame:
+    """(id, doc, SPLIT) of rows (id, doc, text), read once and stored; what follows takes lines and paragraphs from here."""
+    kind = dict(rows.dtypes)["id"]
+    return stored(rows.mapInArrow(_split(least), f"id {kind}, doc long, {SPLIT}"))
 
+
+def _bodies(least: int):
     def bodies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """(node, words) of the lines."""
         for batch in batches:
-            texts = [b" ".join(words) for t in batch.column(0) for _, words in _lines(t.as_py(), least)]
-            nodes = np.array([xxhash.xxh64_intdigest(t) for t in texts], np.uint64)
-            yield pa.RecordBatch.from_arrays([_signed([nodes]), pa.array(texts, pa.binary())], names=["node", "words"])
+            lines = (line for t in batch.column(0) for line in (t.as_py() or "").split("\n"))
+            texts = [b" ".join(words) for words in map(words_in, lines) if len(words) >= least]
+            yield pa.RecordBatch.from_arrays([_signed(_hashed(texts)), pa.array(texts, pa.binary())], names=["node", "words"])
 
-    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [(i, at, len(w), _node(w)) for i, t in enumerate(batch.column(2)) for at, w in _lines(t.as_py(), least)]
-            row, start, words, nodes = zip(*found) if found else ((), (), (), ())
-            row = pa.array(row, pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0).take(row),
-                    batch.column(1).take(row),
-                    _signed([np.array(nodes, np.uint64)]),
-                    pa.array(start, pa.int64()),
-                    pa.array(words, pa.int64()),
-                ],
-                names=["id", "doc", "node", "start", "words"],
-            )
-
-    return {"keys": keys, "bodies": bodies, "places": places}[what]
+    return bodies
 
 
 def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(id, doc, pos, left, right): the words outward from a border, as hashes.
+    """(id, doc, pos, forward, words): the words before a border from the last on, or those after it, as hashes.
 
     Where two texts are equal, their borders are too. So words that go on
     equal end within the next paragraph or the few words that decide its border.
     """
     more = REACH + 2
     for batch in batches:
-        row, pos, left, right = [], [], [], []
-        for i, (t, wanted) in enumerate(zip(batch.column(2), batch.column(3))):
+        row, pos, forward, outward = [], [], [], []
+        for i, (t, starts, ends) in enumerate(zip(batch.column(2), batch.column(3), batch.column(4))):
             p = Paragraphs(words_in(t.as_py()))
             signed = p.hashes.view(np.int64)
-            for at in wanted.as_py():
-                k = int(np.searchsorted(p.borders, at))
-                begin = max(int(p.borders[max(k - 1, 0)]) - more, 0)
-                end = int(p.borders[min(k + 1, p.count)]) + more
-                row.append(i)
-                pos.append(at)
-                left.append(signed[begin:at][::-1])
-                right.append(signed[at:end])
+            for way, wanted in enumerate((starts.as_py(), ends.as_py())):
+                for at in wanted:
+                    k = int(np.searchsorted(p.borders, at))
+                    row.append(i)
+                    pos.append(at)
+                    forward.append(bool(way))
+                    if way:
+                        outward.append(signed[at : int(p.borders[min(k + 1, p.count)]) + more])
+                    else:
+                        outward.append(signed[max(int(p.borders[max(k - 1, 0)]) - more, 0) : at][::-1])
         row = pa.array(row, pa.int64())
-        many = pa.list_(pa.int64())
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0).take(row), batch.column(1).take(row), pa.array(pos, pa.int64()), pa.array(left, many), pa.array(right, many)],
-            names=["id", "doc", "pos", "left", "right"],
+            [batch.column(0).take(row), batch.column(1).take(row), pa.array(pos, pa.int64()), pa.array(forward, pa.bool_()), pa.array(outward, pa.list_(pa.int64()))],
+            names=["id", "doc", "pos", "forward", "words"],
         )
 
 
@@ -250,45 +259,53 @@ def _parts(ranges: list[tuple[int, int, bool, int]], least_words: int) -> list[t
     return out
 
 
-def line_hits(rows: DataFrame, similarity: float, least: int, most: int) -> DataFrame:
-    """(id, doc, root, start, words, removed) of the lines with near copies: all but the first place of a component go."""
-    texts = rows.select("text")
-    kind = dict(rows.dtypes)["id"]
-    # Read twice: worked out once.
-    members = settled(texts.mapInArrow(_line_table(least, "keys"), "key long, node long, size long").distinct())
-    bodies = texts.mapInArrow(_line_table(least, "bodies"), "node long, words binary")
-    roots = settled(linked(members, bodies, similarity, most).withColumnRenamed("node", "_node"))
-    placed = rows.mapInArrow(_line_table(least, "places"), f"id {kind}, doc long, node long, start long, words long")
-    hits = settled(
-        join_checked(placed, roots, F.col("node") == F.col("_node"), "inner", most).select("id", "doc", "root", "start", "words").distinct()
+def line_hits(rows: DataFrame, similarity: float, least: int, most: int, split: DataFrame | None = None) -> DataFrame:
+    """(id, doc, root, start, words, removed) of the lines with near copies: all but the first place of a component go.
+
+    ``split`` is split_texts() of the rows, where it is at hand.
+    """
+    split = split_texts(rows, least) if split is None else split
+    members = split.select("nodes", "sizes", F.posexplode("keys").alias("k", "key")).select(
+        "key", F.expr(f"nodes[k DIV {BANDS}]").alias("node"), F.expr(f"sizes[k DIV {BANDS}]").cast("long").alias("size")
+    )
+    bodies = rows.select("text").mapInArrow(_bodies(least), "node long, words binary")
+    roots = linked(members, bodies, similarity, most).withColumnRenamed("node", "_node")
+    placed = split.select("id", "doc", "starts", "words", F.posexplode("nodes").alias("k", "node")).select(
+        "id", "doc", "node", F.expr("starts[k]").cast("long").alias("start"), F.expr("words[k]").cast("long").alias("words")
+    )
+    hits = stored(
+        join_settled(placed, roots, F.col("node") == F.col("_node"), "inner", most).select("id", "doc", "root", "start", "words").distinct()
     )
     firsts = hits.groupBy("root").agg(F.min(_place()).alias("first"))
-    return settled(hits.join(firsts, "root").withColumn("removed", _place() != F.col("first")).drop("first"))
+    return stored(hits.join(firsts, "root").withColumn("removed", _place() != F.col("first")).drop("first"))
 
 
 def _place() -> Column:
     return F.struct(F.col("id").isNull().alias("none"), F.col("id").alias("id"), F.col("doc").alias("doc"), F.col("start").alias("start"))
 
 
-def equal_runs(rows: DataFrame, gone: DataFrame, most: int) -> DataFrame:
+def equal_runs(rows: DataFrame, gone: DataFrame, most: int, split: DataFrame) -> DataFrame:
     """(id, doc, start, end, root, removed): equal words at two places, at the later and at the first.
 
     A paragraph that repeats is held against its first place outside the lines
     ``gone`` (id, doc, start, words). Neighbours with the same partner are a
-    run, which is extended word by word at both ends.
+    run, which is extended word by word at both ends. ``split`` is
+    split_texts() of the rows.
     """
     kind = dict(rows.dtypes)["id"]
     known = (
-        rows.select("text").mapInArrow(_wholes, "paragraph long").groupBy("paragraph").agg(F.count(F.lit(1)).alias("n"))
+        split.select(F.explode("paragraphs").alias("paragraph")).groupBy("paragraph").agg(F.count(F.lit(1)).alias("n"))
         .where("n > 1").select(F.col("paragraph").alias("_paragraph"))
     )
-    placed = rows.mapInArrow(_placed, f"id {kind}, doc long, at int, paragraph long, start long, words long")
+    placed = split.select("id", "doc", "borders", F.posexplode("paragraphs").alias("at", "paragraph")).select(
+        "id", "doc", "at", "paragraph", F.expr("borders[at]").cast("long").alias("start"), F.expr("borders[at + 1] - borders[at]").cast("long").alias("words")
+    )
     hits = join_checked(placed, known, F.col("paragraph") == F.col("_paragraph"), "inner", most).drop("_paragraph").distinct()
     none = F.lit(None)
     lines = gone.select("id", "doc", none.cast("int").alias("at"), none.cast("long").alias("paragraph"), "start", "words")
     in_doc = Window.partitionBy("id", "doc").orderBy("start")
     line = F.col("paragraph").isNull()
-    hits = settled(
+    hits = stored(
         hits.unionByName(lines)
         .withColumn("before", F.max(F.when(line, F.col("start") + F.col("words"))).over(in_doc))
         .withColumn("after", F.min(F.when(line, F.col("start"))).over(in_doc.rowsBetween(0, Window.unboundedFollowing)))
@@ -302,44 +319,49 @@ def equal_runs(rows: DataFrame, gone: DataFrame, most: int) -> DataFrame:
         F.col("first.id").alias("pid"), F.col("first.doc").alias("pdoc"), (F.col("start") - F.col("first.start")).alias("delta"),
     )
     same = ("id", "doc", "pid", "pdoc", "delta")
-    runs = settled(
+    runs = stored(
         pairs.withColumn("run", F.col("at") - F.row_number().over(Window.partitionBy(*same).orderBy("at")))
         .groupBy(*same, "run")
         .agg(F.min("start").alias("start"), F.max(F.col("start") + F.col("words")).alias("end"), F.min_by("paragraph", "at").alias("root"))
     )
+    delta = F.col("delta")
+    own = runs.select("id", "doc", F.inline(F.array(*(F.struct(F.col(c).alias("pos"), F.lit(c == "end").alias("forward")) for c in ("start", "end")))))
+    other = runs.select(
+        "pid", "pdoc", F.inline(F.array(*(F.struct((F.col(c) - delta).alias("pos"), F.lit(c == "end").alias("forward")) for c in ("start", "end"))))
+    )
     wanted = (
-        runs.select("id", "doc", F.explode(F.array("start", "end")).alias("pos"))
-        .union(runs.select("pid", "pdoc", F.explode(F.array(F.col("start") - F.col("delta"), F.col("end") - F.col("delta")))))
+        own.union(other)
         .distinct()
         .groupBy("id", "doc")
-        .agg(F.collect_list("pos").alias("wanted"))
-        .toDF("_id", "_doc", "wanted")
+        .agg(F.collect_list(F.when(~F.col("forward"), F.col("pos"))).alias("starts"), F.collect_list(F.when(F.col("forward"), F.col("pos"))).alias("ends"))
+        .toDF("_id", "_doc", "starts", "ends")
     )
     texts = join_checked(rows, wanted, F.col("id").eqNullSafe(F.col("_id")) & (F.col("doc") == F.col("_doc")), "inner", most)
-    around = settled(
-        texts.dropDuplicates(["id", "doc"]).select("id", "doc", "text", "wanted")
-        .mapInArrow(_contexts, f"id {kind}, doc long, pos long, left array<long>, right array<long>")
+    # Texts are shuffled to tell rows alike only where there are any.
+    if not split.groupBy("id", "doc").count().where("count > 1").isEmpty():
+        texts = texts.dropDuplicates(["id", "doc"])
+    around = stored(
+        texts.select("id", "doc", "text", "starts", "ends")
+        .mapInArrow(_contexts, f"id {kind}, doc long, pos long, forward boolean, words array<long>")
     )
 
-    def beside(df: DataFrame, id: str, doc: str, pos: Column, side: str, name: str) -> DataFrame:
-        other = around.select(F.col("id").alias("_id"), F.col("doc").alias("_doc"), F.col("pos").alias("_pos"), F.col(side).alias(name))
+    def beside(df: DataFrame, id: str, doc: str, pos: Column, forward: bool, name: str) -> DataFrame:
+        other = around.where(F.col("forward") == forward).select(F.col("id").alias("_id"), F.col("doc").alias("_doc"), F.col("pos").alias("_pos"), F.col("words").alias(name))
         on = F.col(id).eqNullSafe(F.col("_id")) & (F.col(doc) == F.col("_doc")) & (pos == F.col("_pos"))
         return df.join(other, on).drop("_id", "_doc", "_pos")
 
-    wide = beside(runs, "id", "doc", F.col("start"), "left", "l1")
-    wide = beside(wide, "pid", "pdoc", F.col("start") - F.col("delta"), "left", "l2")
-    wide = beside(wide, "id", "doc", F.col("end"), "right", "r1")
-    wide = beside(wide, "pid", "pdoc", F.col("end") - F.col("delta"), "right", "r2")
-    wide = settled(
-        wide.select(
-            *same, "root",
-            (F.col("start") - _common()(F.col("l1"), F.col("l2"))).alias("start"),
-            (F.col("end") + _common()(F.col("r1"), F.col("r2"))).alias("end"),
-        )
+    wide = beside(runs, "id", "doc", F.col("start"), False, "l1")
+    wide = beside(wide, "pid", "pdoc", F.col("start") - delta, False, "l2")
+    wide = wide.withColumn("start", F.col("start") - _common()(F.col("l1"), F.col("l2"))).drop("l1", "l2")
+    wide = beside(wide, "id", "doc", F.col("end"), True, "r1")
+    wide = beside(wide, "pid", "pdoc", F.col("end") - delta, True, "r2")
+    wide = wide.withColumn("end", F.col("end") + _common()(F.col("r1"), F.col("r2"))).drop("r1", "r2")
+    later = F.struct("id", "doc", "start", "end", "root", F.lit(True).alias("removed"))
+    first = F.struct(
+        F.col("pid").alias("id"), F.col("pdoc").alias("doc"), (F.col("start") - F.col("delta")).alias("start"), (F.col("end") - F.col("delta")).alias("end"),
+        "root", F.lit(False).alias("removed"),
     )
-    later = wide.select("id", "doc", "start", "end", "root", F.lit(True).alias("removed"))
-    first = wide.select("pid", "pdoc", F.col("start") - F.col("delta"), F.col("end") - F.col("delta"), "root", F.lit(False))
-    return later.union(first)
+    return wide.select(F.explode(F.array(later, first)).alias("r")).select("r.*")
 
 
 def repeated_passages(
@@ -367,8 +389,9 @@ def repeated_passages(
     """
     rows = docs.select(F.col(id).alias("id"), F.xxhash64(F.col(text)).alias("doc"), F.col(text).alias("text"))
     kind = dict(rows.dtypes)["id"]
-    lines = line_hits(rows, similarity, least_words, most)
-    runs = equal_runs(rows, lines.where("removed"), most)
+    split = split_texts(rows, least_words)
+    lines = line_hits(rows, similarity, least_words, most, split)
+    runs = equal_runs(rows, lines.where("removed"), most, split)
     ranges = lines.select("id", "doc", "start", (F.col("start") + F.col("words")).alias("end"), "root", "removed").union(runs).distinct()
     return (
         ranges.groupBy("id", "doc")

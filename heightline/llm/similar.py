@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .rows import SMALL_ROWS, join_checked, settled
+from .rows import SMALL_ROWS, join_checked, join_settled, settled, stored
 from .simhash import grouped, one_of_each
 
 SHINGLE = 5
@@ -71,6 +71,35 @@ def band_keys(words: list[bytes], bands: int = BANDS, values: int = VALUES) -> t
     return keys, len(shingles)
 
 
+def bands_of(hashes: np.ndarray, counts: np.ndarray, bands: int, values: int) -> tuple[np.ndarray, np.ndarray]:
+    """band_keys() of many texts at once: (a row of keys, the number of distinct shingles) of each.
+
+    ``hashes`` are those of the words, one text after the other, and ``counts``
+    the words of each text: a whole shingle at least.
+    """
+    if not len(counts):
+        return np.empty((0, bands), np.uint64), np.empty(0, np.int64)
+    spans = counts - SHINGLE + 1
+    firsts = np.cumsum(spans) - spans
+    at = np.arange(spans.sum()) + np.repeat(np.cumsum(counts) - counts - firsts, spans)
+    shingles = hashes[at]
+    for i in range(1, SHINGLE):
+        shingles = shingles * _MIX + hashes[at + i]
+    shingles = _mixed(shingles)
+    ordered = shingles[np.lexsort((shingles, np.repeat(np.arange(len(counts)), spans)))]
+    new = np.ones(len(ordered), np.int64)
+    new[1:] = ordered[1:] != ordered[:-1]
+    new[firsts] = 1
+    least = np.empty((len(counts), bands * values), np.uint64)
+    for v in range(bands * values):
+        least[:, v] = np.minimum.reduceat((shingles ^ _FLIPS[v]) * _ODDS[v], firsts)
+    rows = _mixed(least).reshape(-1, bands, values)
+    keys = np.arange(1, bands + 1, dtype=np.uint64)
+    for v in range(values):
+        keys = _mixed(keys * _MIX + rows[:, :, v])
+    return keys, np.add.reduceat(new, firsts)
+
+
 def _filed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(id, text_hash, mark, size, keys); the mark is a hash of the words."""
     for batch in batches:
@@ -111,11 +140,14 @@ def _similar(similarity: float):
 
 def _verified(pairs: DataFrame, bodies: DataFrame, similarity: float, most: int) -> DataFrame:
     """The pairs (a, b) whose words are similar, by their exact Jaccard similarity."""
-    pairs = settled(pairs)
-    if pairs.isEmpty():
+    pairs = stored(pairs)
+    count = pairs.count()
+    if not count:
         return pairs
     nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    texts = settled(join_checked(bodies, nodes, "node", "left_semi", most).groupBy("node").agg(F.min("words").alias("words")))
+    # Nodes are at most twice the pairs.
+    whole = bodies.join(F.broadcast(nodes), "node", "left_semi") if 2 * count <= most else join_checked(bodies, nodes, "node", "left_semi", most)
+    texts = stored(whole.groupBy("node").agg(F.min("words").alias("words")))
     return (
         pairs.join(texts.toDF("b", "b_words"), "b")
         .join(texts.toDF("a", "a_words"), "a")
@@ -128,27 +160,27 @@ def linked(members: DataFrame, bodies: DataFrame, similarity: float = SIMILARITY
     """(node, root) of the nodes similar to another that shares a key with them; equal roots mean one component.
 
     ``members`` has (key, node, size), with the number of distinct shingles;
-    ``bodies`` has (node, words). The components are those of all similar pairs
-    that share a key, though not all pairs are compared. First every node meets
+    ``bodies`` has (node, words). Both may repeat rows; the result is stored.
+    The components are those of all similar pairs that share a key, though not
+    all pairs are compared. First every node meets
     the smallest of its key: as many pairs as nodes, however many copies a key
     holds. Then, in keys that still hold several components, all pairs of
     different components are compared; the others are joined already.
     """
     fits = F.least("size", "other_size") >= similarity * F.greatest("size", "other_size") - 1e-9
     shared = members.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi"), F.min_by("size", "node").alias("other_size"))
-    met = settled(join_checked(members, shared.where("lo <> hi").drop("hi"), "key", "inner", most).distinct())
+    met = stored(join_checked(members, shared.where("lo <> hi").drop("hi"), "key", "inner", most).distinct())
     first = _verified(met.where((F.col("node") != F.col("lo")) & fits).select(F.col("lo").alias("a"), F.col("node").alias("b")).distinct(), bodies, similarity, most)
-    roots = components(first)
-    rooted = join_checked(met.drop("other_size"), roots, "node", "left", most).withColumn("root", F.coalesce("root", "node"))
-    rooted = settled(rooted)
-    split = rooted.groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 <> r1").select("key")
+    roots = stored(components(first))
+    rooted = stored(join_settled(met.drop("other_size"), roots, "node", "left", most).withColumn("root", F.coalesce("root", "node")))
+    split = stored(rooted.groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 <> r1").select("key"))
     # Pairs with the smallest node of the key have been compared.
-    rest = settled(join_checked(rooted, split, "key", "left_semi", most).where("node <> lo"))
+    rest = join_settled(rooted, split, "key", "left_semi", most).where("node <> lo")
     others = rest.select("key", F.col("node").alias("other"), F.col("size").alias("other_size"), F.col("root").alias("other_root"))
     across = rest.join(others, "key").where((F.col("node") < F.col("other")) & (F.col("root") != F.col("other_root")) & fits)
-    second = _verified(across.select(F.col("node").alias("a"), F.col("other").alias("b")).distinct(), bodies, similarity, most)
-    second = settled(second)
-    return roots if second.isEmpty() else components(roots.toDF("a", "b").union(second))
+    pairs = across.select(F.col("node").alias("a"), F.col("other").alias("b"))
+    second = stored(_verified(pairs.distinct(), bodies, similarity, most))
+    return roots if second.isEmpty() else stored(components(roots.toDF("a", "b").union(second)))
 
 
 def near_copies(docs: DataFrame, id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY, most: int = SMALL_ROWS) -> DataFrame:

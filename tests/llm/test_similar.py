@@ -2,11 +2,15 @@
 
 import itertools
 import random
+import re
 
+import numpy as np
+import pyarrow as pa
+import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from heightline.llm import similar
+from heightline.llm import components, passages, similar
 
 from .test_dedup import classes, docs_of
 
@@ -79,3 +83,44 @@ def test_rows_alike_and_null_ids(spark):
     rows = [(1, "a b c d e"), (2, "a b  C d e"), (2, "a b  C d e"), (None, "a b c d e"), (None, "only here"), (6, None), (7, "")]
     left = similar.drop_near_copies(docs_of(spark, rows)).select(F.col("doc_id")).collect()
     assert sorted(map(repr, (r.doc_id for r in left))) == ["1", "6", "None"]
+
+
+def test_estimated_sizes_stay_small_over_many_rounds(spark, capsys):
+    """A path takes many rounds; the sizes estimated for its joins must not multiply from round to round."""
+    order = random.Random(22).sample(range(1000), 400)
+    path = spark.createDataFrame(list(zip(order, order[1:])), "a long, b long")
+    found = components.components(path)
+    found.explain("cost")
+    sizes = re.findall(r"sizeInBytes=([^,)]*)", capsys.readouterr().out)
+    assert sizes and max(int(m[1]) for m in [re.search(r"E\+(\d+)", s) or (0, 0) for s in sizes]) < 200
+    rows = found.collect()
+    assert sorted(r.node for r in rows) == sorted(order) and len({r.root for r in rows}) == 1
+
+
+def test_bands_of_many_texts_are_those_of_each():
+    rng = random.Random(23)
+    texts = [[rng.choice("abcdef").encode() for _ in range(n)] for n in (5, 6, 16, 40, 5, 300)] + [[b"x"] * 50]
+    hashes = np.array([xxhash.xxh64_intdigest(w) for t in texts for w in t], np.uint64)
+    keys, sizes = similar.bands_of(hashes, np.array([len(t) for t in texts]), 8, 2)
+    for t, k, n in zip(texts, keys, sizes):
+        own, size = similar.band_keys(t, 8, 2)
+        assert k.tolist() == own.tolist() and n == size == len(similar.shingles_of(t))
+    assert similar.bands_of(hashes[:0], np.empty(0, np.int64), 8, 2)[0].shape == (0, 8)
+
+
+def test_texts_are_split_alike_in_any_portion(monkeypatch):
+    rng = random.Random(24)
+    texts = [None, "", "\n", " \n\t", "a b", "X" * 9 + "\n" + " ".join(prose(rng, 40)) + "\n\n" + "\n".join(" ".join(prose(rng, n)) for n in (3, 15, 16, 17)), "caf\u00e9 \u00a0 x"]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(7)), pa.array(range(7)), pa.array(texts)], names=["id", "doc", "text"])
+    whole = pa.Table.from_batches(passages._split(16)(iter([batch]))).to_pylist()
+    monkeypatch.setattr(passages, "PORTION", 1)
+    parts = list(passages._split(16)(iter([batch, batch.slice(0, 0)])))
+    assert len(parts) > 1 and pa.Table.from_batches(parts).to_pylist() == whole
+    for row, text in zip(whole, texts):
+        words = similar.words_in(text)
+        lines = [similar.words_in(x) for x in (text or "").split("\n")]
+        assert row["words"] == [len(x) for x in lines if len(x) >= 16]
+        assert [words[s : s + n] for s, n in zip(row["starts"], row["words"])] == [x for x in lines if len(x) >= 16]
+        assert row["paragraphs"] == passages.Paragraphs(words).whole.view(np.int64).tolist()
+        assert row["borders"] == passages.Paragraphs(words).borders.tolist()
+        assert row["keys"] == [k for x in lines if len(x) >= 16 for k in similar.band_keys(x, 8, 2)[0].view(np.int64).tolist()]
