@@ -3,24 +3,27 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import chain
+from itertools import groupby
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .rows import SMALL_ROWS, join_checked, join_settled, stored
+from .rows import SMALL_ROWS, hashed_side, join_checked, join_settled, settled, stored
 from .similar import SHINGLE, SIMILARITY, bands_of, jaccard, linked, words_in  # noqa: F401
+from .words import hashed, lowered, words_at
 
 # A border is the smallest word pair among this many before and after it.
 REACH = 4
 # Two lines at the least similarity share no band in 3 of 10,000 cases.
 BANDS = 8
 VALUES = 2
-# Texts are split together up to this many words.
-PORTION = 1 << 17
+# Texts are split together up to this many bytes.
+PORTION = 1 << 20
 # Shorter runs of repeated words are not passages, and shorter lines no near copies.
 LEAST_WORDS = 16
 
@@ -34,50 +37,61 @@ def _mixed(values: np.ndarray, round_: int) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def borders(hashes: np.ndarray, reach: int = REACH) -> np.ndarray:
-    """First words of the paragraphs of a text, the first word and the end included.
+class Paragraphs:
+    """The paragraphs of texts: borders, and a hash of all words of each; one text after the other.
 
-    A paragraph begins where the hash of two words is smaller than those of the
-    ``reach`` pairs before, and no larger than those of as many after. So the
+    A text is given by its words, or texts by the hashes of theirs and the
+    ``counts`` of each. The first word and the end of a text are borders. A
+    paragraph begins where the hash of two words is smaller than those of the
+    REACH pairs before, and no larger than those of as many after. So the
     words around decide, not the place: a passage has the same borders wherever
-    it stands, but for its ends. Paragraphs have more than ``reach`` words, and
-    about twice that.
+    it stands, but for its ends. Paragraphs have more than REACH words, and
+    about twice that. A text without words has one border and no paragraph.
     """
-    n = len(hashes)
-    if n <= reach + 1:
-        return np.array([0, n])
-    pairs = _mixed(hashes[:-1] * np.uint64(3) + hashes[1:], 0)
-    fill = np.full(reach, _TOP, dtype=np.uint64)
-    padded = np.concatenate([fill, pairs, fill])
-    size = len(pairs)
-    lowest = np.ones(size, dtype=bool)
-    for step in range(1, reach + 1):
-        lowest &= pairs < padded[reach - step : reach - step + size]
-        lowest &= pairs <= padded[reach + step : reach + step + size]
-    at = np.flatnonzero(lowest)
-    return np.concatenate([[0], at[at > 0], [n]])
-
-
-def _hashed(words: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
-
 
-class Paragraphs:
-    """The paragraphs of one text, given as its words or as their hashes: borders, and a hash of all words of each."""
-
-    def __init__(self, words: list[bytes] | np.ndarray):
-        self.hashes = words if isinstance(words, np.ndarray) else _hashed(words)
-        self.borders = borders(self.hashes) if len(words) else np.array([0])
-        self.starts = self.borders[:-1]
-        self.sizes = np.diff(self.borders)
-        self.count = len(self.sizes)
+    def __init__(self, words: list[bytes] | np.ndarray, counts: np.ndarray | None = None):
+        hashes = words if isinstance(words, np.ndarray) else np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
+        counts = np.array([len(hashes)]) if counts is None else counts
+        n = len(hashes)
+        self.hashes = hashes
+        # The first word of each text, and the text of each word.
+        self.firsts = np.cumsum(counts) - counts
+        owner = np.repeat(np.arange(len(counts)), counts)
+        held = counts > 0
+        begins = np.zeros(n, bool)
+        if n:
+            pairs = np.empty(n, np.uint64)
+            pairs[:-1] = _mixed(hashes[:-1] * np.uint64(3) + hashes[1:], 0)
+            pairs[(self.firsts + counts - 1)[held]] = _TOP
+            # REACH places between the pairs of two texts, and at both ends.
+            at = np.arange(n) + REACH * owner
+            padded = np.full(at[-1] + 1 + 2 * REACH, _TOP, np.uint64)
+            padded[at + REACH] = pairs
+            size = len(padded) - 2 * REACH
+            lowest = np.ones(size, bool)
+            middle = padded[REACH : REACH + size]
+            for step in range(1, REACH + 1):
+                lowest &= middle < padded[REACH - step : REACH - step + size]
+                lowest &= middle <= padded[REACH + step : REACH + step + size]
+            begins = lowest[at] & (counts > REACH + 1)[owner]
+            begins[self.firsts[held]] = True
+        starts = np.flatnonzero(begins)
+        sizes = np.diff(np.append(starts, n))
+        self.counts = np.bincount(owner[starts], minlength=len(counts))
+        # The borders of each text, from its first word on; where its first stands, and its last.
+        self.last = np.cumsum(self.counts + 1) - 1
+        self.first = self.last - self.counts
+        self.borders = np.empty(len(starts) + len(counts), np.int64)
+        inner = np.ones(len(self.borders), bool)
+        inner[self.last] = False
+        self.borders[inner] = starts - self.firsts[owner[starts]]
+        self.borders[self.last] = counts
         self.whole = np.empty(0, np.uint64)
-        if self.count:
+        if n:
             # Word hashes weighed by their place in the paragraph.
-            place = np.arange(len(words)) - np.repeat(self.starts, self.sizes)
-            weighed = _mixed(self.hashes + place.astype(np.uint64) * _ODD[2], 2)
-            sums = np.add.reduceat(weighed, self.starts)
-            self.whole = _mixed(sums + self.sizes.astype(np.uint64) * _ODD[0], 0)
+            place = np.arange(n) - np.repeat(starts, sizes)
+            weighed = _mixed(hashes + place.astype(np.uint64) * _ODD[2], 2)
+            self.whole = _mixed(np.add.reduceat(weighed, starts) + sizes.astype(np.uint64) * _ODD[0], 0)
 
 
 def _signed(values: np.ndarray) -> pa.Array:
@@ -89,15 +103,14 @@ def _listed(values: pa.Array, counts: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)), values)
 
 
-def _portions(batch: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, list[list[list[bytes]]]]]:
-    """(rows, the words of each line of each text): rows in turn until they have PORTION words."""
-    begin, held, size = 0, [], 0
-    for i, t in enumerate(batch.column(2)):
-        held.append([line.split() for line in (t.as_py() or "").encode("utf-8", "surrogatepass").lower().split(b"\n")])
-        size += sum(map(len, held[-1]))
-        if size >= PORTION or i + 1 == batch.num_rows:
-            yield batch.slice(begin, len(held)), held
-            begin, held, size = i + 1, [], 0
+def _portions(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Rows (id, doc, text, ...) in turn until their texts have PORTION bytes."""
+    begin, held = 0, 0
+    for i, size in enumerate(pc.fill_null(pc.binary_length(batch.column(2)), 0).to_pylist()):
+        held += size
+        if held >= PORTION or i + 1 == batch.num_rows:
+            yield batch.slice(begin, i + 1 - begin)
+            begin, held = i + 1, 0
 
 
 SPLIT = "nodes array<long>, starts array<int>, words array<int>, sizes array<int>, keys array<long>, paragraphs array<long>, borders array<int>"
@@ -113,34 +126,29 @@ def _split(least: int):
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part, texts in _portions(batch):
-                words = list(chain.from_iterable(chain.from_iterable(texts)))
-                hashes = _hashed(words)
+            for part in _portions(batch):
+                lines = pc.split_pattern(lowered(part.column(2)), "\n")
+                owner = pc.list_parent_indices(lines).to_numpy(zero_copy_only=False)
+                words, count = words_at(lines.flatten())
+                hashes = hashed(words)
                 # By line, with the text it stands in.
-                count = np.array([len(line) for lines in texts for line in lines], np.int64)
-                owner = np.repeat(np.arange(len(texts)), [len(lines) for lines in texts])
-                end = np.cumsum(count)
-                begin = end - count
-                ends = end[np.cumsum([len(lines) for lines in texts]) - 1]
-                first = np.concatenate([[0], ends[:-1]])
+                begin = np.cumsum(count) - count
+                inside = np.bincount(owner, weights=count, minlength=part.num_rows).astype(np.int64)
+                found = Paragraphs(hashes, inside)
                 long = count >= max(least, SHINGLE)
                 keys, sizes = bands_of(hashes[np.repeat(long, count)], count[long], BANDS, VALUES)
-                nodes = np.fromiter(
-                    (xxhash.xxh64_intdigest(b" ".join(words[b:e])) for b, e in zip(begin[long].tolist(), end[long].tolist())), np.uint64, len(sizes)
-                )
-                lines = np.bincount(owner[long], minlength=len(texts))
-                found = [Paragraphs(hashes[b:e]) for b, e in zip(first.tolist(), ends.tolist())]
+                held = np.bincount(owner[long], minlength=part.num_rows)
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column(0),
                         part.column(1),
-                        _listed(_signed(nodes), lines),
-                        _listed(pa.array((begin - first[owner])[long].astype(np.int32)), lines),
-                        _listed(pa.array(count[long].astype(np.int32)), lines),
-                        _listed(pa.array(sizes.astype(np.int32)), lines),
-                        _listed(_signed(keys.ravel()), lines * BANDS),
-                        _listed(_signed(np.concatenate([p.whole for p in found])), np.array([p.count for p in found])),
-                        _listed(pa.array(np.concatenate([p.borders for p in found]).astype(np.int32)), np.array([len(p.borders) for p in found])),
+                        _listed(_signed(hashed(pc.binary_join(_listed(words, count).filter(pa.array(long)), " "))), held),
+                        _listed(pa.array((begin - found.firsts[owner])[long].astype(np.int32)), held),
+                        _listed(pa.array(count[long].astype(np.int32)), held),
+                        _listed(pa.array(sizes.astype(np.int32)), held),
+                        _listed(_signed(keys.ravel()), held * BANDS),
+                        _listed(_signed(found.whole), found.counts),
+                        _listed(pa.array(found.borders.astype(np.int32)), found.counts + 1),
                     ],
                     names=["id", "doc", "nodes", "starts", "words", "sizes", "keys", "paragraphs", "borders"],
                 )
@@ -154,61 +162,92 @@ def split_texts(rows: DataFrame, least: int) -> DataFrame:
     return stored(rows.mapInArrow(_split(least), f"id {kind}, doc long, {SPLIT}"))
 
 
-def _bodies(least: int):
-    def bodies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """(node, words) of the lines."""
-        for batch in batches:
-            lines = (line for t in batch.column(0) for line in (t.as_py() or "").split("\n"))
-            texts = [b" ".join(words) for words in map(words_in, lines) if len(words) >= least]
-            yield pa.RecordBatch.from_arrays([_signed(_hashed(texts)), pa.array(texts, pa.binary())], names=["node", "words"])
+def _alike(split: DataFrame) -> bool:
+    """Whether some rows are alike in id and text."""
+    return not split.groupBy("id", "doc").count().where("count > 1").isEmpty()
+
+
+def _texts_at(rows: DataFrame, places: DataFrame, most: int) -> DataFrame:
+    """(id, doc, text, places) of the texts that ``places`` (id, doc, places) asks for."""
+    return join_checked(
+        rows, places.toDF("_id", "_doc", "places"), F.col("id").eqNullSafe(F.col("_id")) & (F.col("doc") == F.col("_doc")), "inner", most
+    ).select("id", "doc", "text", "places")
+
+
+def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(node, words) of the lines at the places (node, start, words) of texts."""
+    for batch in batches:
+        node, lines = [], []
+        for t, places in zip(batch.column(0), batch.column(1)):
+            words = words_in(t.as_py())
+            for p in places.as_py():
+                node.append(p["node"])
+                lines.append(b" ".join(words[p["start"] : p["start"] + p["words"]]))
+        yield pa.RecordBatch.from_arrays([pa.array(node, pa.int64()), pa.array(lines, pa.binary())], names=["node", "words"])
+
+
+def _bodies(rows: DataFrame, split: DataFrame, most: int):
+    """(node, words) of a table of nodes, each cut from one of the texts it stands in."""
+
+    def bodies(nodes: DataFrame) -> DataFrame:
+        placed = split.select("id", "doc", "starts", "words", F.posexplode("nodes").alias("k", "node")).select(
+            "id", "doc", "node", F.expr("starts[k]").alias("start"), F.expr("words[k]").alias("words")
+        )
+        one = join_checked(placed, nodes, "node", "left_semi", most).groupBy("node").agg(*(F.first(c).alias(c) for c in ("id", "doc", "start", "words")))
+        places = one.groupBy("id", "doc").agg(F.collect_list(F.struct("node", "start", "words")).alias("places"))
+        return _texts_at(rows, places, most).select("text", "places").mapInArrow(_cut, "node long, words binary")
 
     return bodies
 
 
 def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(id, doc, pos, forward, words): the words before a border from the last on, or those after it, as hashes.
+    """(id, doc, start, end, pid, pdoc, delta, root, before, after) of rows (id, doc, text, places).
 
+    A place is (start, end, pid, pdoc, delta, root), from border to border. The
+    words before it from the last on, and those after it, are given as hashes.
     Where two texts are equal, their borders are too. So words that go on
     equal end within the next paragraph or the few words that decide its border.
     """
     more = REACH + 2
     for batch in batches:
-        row, pos, forward, outward = [], [], [], []
-        for i, (t, starts, ends) in enumerate(zip(batch.column(2), batch.column(3), batch.column(4))):
-            p = Paragraphs(words_in(t.as_py()))
+        for part in _portions(batch):
+            words, counts = words_at(lowered(part.column(2)))
+            p = Paragraphs(hashed(words), counts)
             signed = p.hashes.view(np.int64)
-            for way, wanted in enumerate((starts.as_py(), ends.as_py())):
-                for at in wanted:
-                    k = int(np.searchsorted(p.borders, at))
-                    row.append(i)
-                    pos.append(at)
-                    forward.append(bool(way))
-                    if way:
-                        outward.append(signed[at : int(p.borders[min(k + 1, p.count)]) + more])
-                    else:
-                        outward.append(signed[max(int(p.borders[max(k - 1, 0)]) - more, 0) : at][::-1])
-        row = pa.array(row, pa.int64())
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0).take(row), batch.column(1).take(row), pa.array(pos, pa.int64()), pa.array(forward, pa.bool_()), pa.array(outward, pa.list_(pa.int64()))],
-            names=["id", "doc", "pos", "forward", "words"],
-        )
+            row = pc.list_parent_indices(part.column(3)).to_numpy(zero_copy_only=False)
+            places = part.column(3).flatten()
+            columns = dict(zip((f.name for f in places.type), places.flatten()))
+            first, count = p.firsts[row], counts[row]
+            # Borders of all texts in one order: between two texts, one place is free.
+            texts = np.repeat(np.arange(len(counts)), p.counts + 1)
+            line = p.borders + p.firsts[texts] + texts
+            start, end = (columns[c].to_numpy(zero_copy_only=False) for c in ("start", "end"))
+            k = np.maximum(np.searchsorted(line, start + first + row) - 1, p.first[row])
+            low = np.maximum(p.borders[k] - more, 0)
+            k = np.minimum(np.searchsorted(line, end + first + row) + 1, p.last[row])
+            high = np.minimum(p.borders[k] + more, count)
+            sizes = start - low
+            at = np.repeat(first + start - 1, sizes) - _counted(sizes)
+            before = _listed(pa.array(signed[at]), sizes)
+            sizes = high - end
+            at = np.repeat(first + end, sizes) + _counted(sizes)
+            after = _listed(pa.array(signed[at]), sizes)
+            row = pa.array(row)
+            yield pa.RecordBatch.from_arrays(
+                [part.column(0).take(row), part.column(1).take(row), *columns.values(), before, after],
+                names=["id", "doc", *columns, "before", "after"],
+            )
 
 
-def _common() -> Column:
-    """How many values two arrays have in common from their first on."""
+def _counted(sizes: np.ndarray) -> np.ndarray:
+    """0, 1, 2 ... for each size, one after the other."""
+    return np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
 
-    def count(a: pa.Array, b: pa.Array) -> pa.Array:
-        out = []
-        for x, y in zip(a, b):
-            n = 0
-            for u, v in zip(x.as_py(), y.as_py()):
-                if u != v:
-                    break
-                n += 1
-            out.append(n)
-        return pa.array(out, pa.int64())
 
-    return F.arrow_udf(count, "long")
+def _common(a: str, b: str) -> Column:
+    """How many values two arrays have in common from their first on."""
+    same = F.zip_with(a, b, lambda x, y: F.coalesce(x == y, F.lit(False)))
+    return F.array_position(F.concat(same, F.array(F.lit(False))), F.lit(False)) - 1
 
 
 def _merged(least_words: int):
@@ -216,8 +255,10 @@ def _merged(least_words: int):
         """(id, start, n_words, component_id, removed) from the ranges of a document; what one range removes goes."""
         for batch in batches:
             row, out = [], []
-            for i, ranges in enumerate(batch.column(1)):
-                for part in _parts([(r["start"], r["end"], r["removed"], r["root"]) for r in ranges.as_py()], least_words):
+            owner = pc.list_parent_indices(batch.column(1)).to_pylist()
+            parts = batch.column(1).flatten().flatten()
+            for i, held in groupby(zip(owner, zip(*(c.to_pylist() for c in parts))), itemgetter(0)):
+                for part in _parts([r for _, r in held], least_words):
                     row.append(i)
                     out.append(part)
             start, words, root, removed = zip(*out) if out else ((), (), (), ())
@@ -268,8 +309,7 @@ def line_hits(rows: DataFrame, similarity: float, least: int, most: int, split:
     members = split.select("nodes", "sizes", F.posexplode("keys").alias("k", "key")).select(
         "key", F.expr(f"nodes[k DIV {BANDS}]").alias("node"), F.expr(f"sizes[k DIV {BANDS}]").cast("long").alias("size")
     )
-    bodies = rows.select("text").mapInArrow(_bodies(least), "node long, words binary")
-    roots = linked(members, bodies, similarity, most).withColumnRenamed("node", "_node")
+    roots = linked(members, _bodies(rows, split, most), similarity, most).withColumnRenamed("node", "_node")
     placed = split.select("id", "doc", "starts", "words", F.posexplode("nodes").alias("k", "node")).select(
         "id", "doc", "node", F.expr("starts[k]").cast("long").alias("start"), F.expr("words[k]").cast("long").alias("words")
     )
@@ -284,13 +324,13 @@ def _place() -> Column:
     return F.struct(F.col("id").isNull().alias("none"), F.col("id").alias("id"), F.col("doc").alias("doc"), F.col("start").alias("start"))
 
 
-def equal_runs(rows: DataFrame, gone: DataFrame, most: int, split: DataFrame) -> DataFrame:
+def equal_runs(rows: DataFrame, gone: DataFrame, most: int, split: DataFrame, alike: bool) -> DataFrame:
     """(id, doc, start, end, root, removed): equal words at two places, at the later and at the first.
 
     A paragraph that repeats is held against its first place outside the lines
     ``gone`` (id, doc, start, words). Neighbours with the same partner are a
     run, which is extended word by word at both ends. ``split`` is
-    split_texts() of the rows.
+    split_texts() of the rows; ``alike`` tells that some have the same id and text.
     """
     kind = dict(rows.dtypes)["id"]
     known = (
@@ -300,7 +340,11 @@ def equal_runs(rows: DataFrame, gone: DataFrame, most: int, split: DataFrame) ->
     placed = split.select("id", "doc", "borders", F.posexplode("paragraphs").alias("at", "paragraph")).select(
         "id", "doc", "at", "paragraph", F.expr("borders[at]").cast("long").alias("start"), F.expr("borders[at + 1] - borders[at]").cast("long").alias("words")
     )
-    hits = join_checked(placed, known, F.col("paragraph") == F.col("_paragraph"), "inner", most).drop("_paragraph").distinct()
+    known = settled(known)
+    side = F.broadcast(known) if known.count() <= most else hashed_side(known)
+    hits = placed.join(side, F.col("paragraph") == F.col("_paragraph")).drop("_paragraph")
+    if alike:
+        hits = hits.distinct()
     none = F.lit(None)
     lines = gone.select("id", "doc", none.cast("int").alias("at"), none.cast("long").alias("paragraph"), "start", "words")
     in_doc = Window.partitionBy("id", "doc").orderBy("start")
@@ -314,7 +358,7 @@ def equal_runs(rows: DataFrame, gone: DataFrame, most: int, split: DataFrame) ->
         .drop("before", "after")
     )
     firsts = hits.where("NOT in_gone").groupBy("paragraph").agg(F.min(_place()).alias("first"))
-    pairs = hits.join(firsts, "paragraph").where(_place() != F.col("first")).select(
+    pairs = hits.join(hashed_side(firsts), "paragraph").where(_place() != F.col("first")).select(
         "id", "doc", "at", "paragraph", "start", "words",
         F.col("first.id").alias("pid"), F.col("first.doc").alias("pdoc"), (F.col("start") - F.col("first.start")).alias("delta"),
     )
@@ -325,37 +369,32 @@ def equal_runs(rows: DataFrame, gone: DataFrame, most: int, split: DataFrame) ->
         .agg(F.min("start").alias("start"), F.max(F.col("start") + F.col("words")).alias("end"), F.min_by("paragraph", "at").alias("root"))
     )
     delta = F.col("delta")
-    own = runs.select("id", "doc", F.inline(F.array(*(F.struct(F.col(c).alias("pos"), F.lit(c == "end").alias("forward")) for c in ("start", "end")))))
-    other = runs.select(
-        "pid", "pdoc", F.inline(F.array(*(F.struct((F.col(c) - delta).alias("pos"), F.lit(c == "end").alias("forward")) for c in ("start", "end"))))
-    )
-    wanted = (
-        own.union(other)
-        .distinct()
-        .groupBy("id", "doc")
-        .agg(F.collect_list(F.when(~F.col("forward"), F.col("pos"))).alias("starts"), F.collect_list(F.when(F.col("forward"), F.col("pos"))).alias("ends"))
-        .toDF("_id", "_doc", "starts", "ends")
+    asked = runs.select("id", "doc", F.struct("start", "end", "pid", "pdoc", "delta", "root").alias("place"))
+    none = F.lit(None)
+    across = runs.select(F.col("pid").alias("id"), F.col("pdoc").alias("doc"), (F.col("start") - delta).alias("start"), (F.col("end") - delta).alias("end"))
+    across = across.distinct().select(
+        "id", "doc",
+        F.struct(
+            "start", "end", none.cast(kind).alias("pid"), none.cast("long").alias("pdoc"), none.cast("long").alias("delta"), none.cast("long").alias("root")
+        ).alias("place"),
     )
-    texts = join_checked(rows, wanted, F.col("id").eqNullSafe(F.col("_id")) & (F.col("doc") == F.col("_doc")), "inner", most)
+    texts = _texts_at(rows, asked.union(across).groupBy("id", "doc").agg(F.collect_list("place").alias("places")), most)
     # Texts are shuffled to tell rows alike only where there are any.
-    if not split.groupBy("id", "doc").count().where("count > 1").isEmpty():
+    if alike:
         texts = texts.dropDuplicates(["id", "doc"])
     around = stored(
-        texts.select("id", "doc", "text", "starts", "ends")
-        .mapInArrow(_contexts, f"id {kind}, doc long, pos long, forward boolean, words array<long>")
+        texts.mapInArrow(
+            _contexts,
+            f"id {kind}, doc long, start long, end long, pid {kind}, pdoc long, delta long, root long, before array<long>, after array<long>",
+        )
+    )
+    other = around.where("pdoc IS NULL").select(*(F.col(c).alias(f"_{c}") for c in ("id", "doc", "start", "end", "before", "after")))
+    on = F.col("pid").eqNullSafe(F.col("_id")) & (F.col("pdoc") == F.col("_doc"))
+    on &= (F.col("start") - delta == F.col("_start")) & (F.col("end") - delta == F.col("_end"))
+    wide = around.where("pdoc IS NOT NULL").join(hashed_side(other), on).select(
+        "id", "doc", "pid", "pdoc", "delta", "root",
+        (F.col("start") - _common("before", "_before")).alias("start"), (F.col("end") + _common("after", "_after")).alias("end"),
     )
-
-    def beside(df: DataFrame, id: str, doc: str, pos: Column, forward: bool, name: str) -> DataFrame:
-        other = around.where(F.col("forward") == forward).select(F.col("id").alias("_id"), F.col("doc").alias("_doc"), F.col("pos").alias("_pos"), F.col("words").alias(name))
-        on = F.col(id).eqNullSafe(F.col("_id")) & (F.col(doc) == F.col("_doc")) & (pos == F.col("_pos"))
-        return df.join(other, on).drop("_id", "_doc", "_pos")
-
-    wide = beside(runs, "id", "doc", F.col("start"), False, "l1")
-    wide = beside(wide, "pid", "pdoc", F.col("start") - delta, False, "l2")
-    wide = wide.withColumn("start", F.col("start") - _common()(F.col("l1"), F.col("l2"))).drop("l1", "l2")
-    wide = beside(wide, "id", "doc", F.col("end"), True, "r1")
-    wide = beside(wide, "pid", "pdoc", F.col("end") - delta, True, "r2")
-    wide = wide.withColumn("end", F.col("end") + _common()(F.col("r1"), F.col("r2"))).drop("r1", "r2")
     later = F.struct("id", "doc", "start", "end", "root", F.lit(True).alias("removed"))
     first = F.struct(
         F.col("pid").alias("id"), F.col("pdoc").alias("doc"), (F.col("start") - F.col("delta")).alias("start"), (F.col("end") - F.col("delta")).alias("end"),
@@ -390,12 +429,13 @@ def repeated_passages(
     rows = docs.select(F.col(id).alias("id"), F.xxhash64(F.col(text)).alias("doc"), F.col(text).alias("text"))
     kind = dict(rows.dtypes)["id"]
     split = split_texts(rows, least_words)
+    alike = _alike(split)
     lines = line_hits(rows, similarity, least_words, most, split)
-    runs = equal_runs(rows, lines.where("removed"), most, split)
+    runs = equal_runs(rows, lines.where("removed"), most, split, alike)
     ranges = lines.select("id", "doc", "start", (F.col("start") + F.col("words")).alias("end"), "root", "removed").union(runs).distinct()
     return (
         ranges.groupBy("id", "doc")
-        .agg(F.collect_list(F.struct("start", "end", "root", "removed")).alias("ranges"))
+        .agg(F.collect_list(F.struct("start", "end", "removed", "root")).alias("ranges"))
         .select("id", "ranges")
         .mapInArrow(_merged(least_words), f"id {kind}, start long, n_words long, component_id long, removed boolean")
         .withColumnRenamed("id", id)

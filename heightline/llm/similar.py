@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
@@ -20,6 +20,8 @@ SIMILARITY = 0.8
 BANDS = 16
 VALUES = 3
 _PART = 4096
+# A pair costs about as much as a shingle, and a text has some 50.
+FEW = 32
 
 _RNG = np.random.default_rng(20)
 _FLIPS = _RNG.integers(0, 1 << 64, BANDS * VALUES, dtype=np.uint64)
@@ -49,16 +51,28 @@ def jaccard(a: list[bytes], b: list[bytes]) -> float:
     return both / (len(left) + len(right) - both)
 
 
+def _shingle_hashes(hashes: np.ndarray, firsts: np.ndarray | slice) -> np.ndarray:
+    """Hashes of the shingles that begin at ``firsts`` in words with these hashes."""
+    width = len(hashes) - SHINGLE + 1
+    shingles = hashes[:width][firsts]
+    for i in range(1, SHINGLE):
+        shingles = shingles * _MIX + hashes[i : width + i][firsts]
+    return _mixed(shingles)
+
+
+def _shingle_set(words: list[bytes]) -> np.ndarray:
+    """Hashes of shingles_of(), in order."""
+    if len(words) < SHINGLE:
+        words = [b" ".join(words)]
+    hashes = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
+    return hashes if len(words) < SHINGLE else np.unique(_shingle_hashes(hashes, slice(None)))
+
+
 def band_keys(words: list[bytes], bands: int = BANDS, values: int = VALUES) -> tuple[np.ndarray, int]:
     """(a key per band, number of distinct shingles); no key without a whole shingle."""
-    n = len(words) - SHINGLE + 1
-    if n < 1:
+    if len(words) < SHINGLE:
         return np.empty(0, np.uint64), 1
-    hashes = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
-    shingles = hashes[:n].copy()
-    for i in range(1, SHINGLE):
-        shingles = shingles * _MIX + hashes[i : n + i]
-    shingles = np.unique(_mixed(shingles))
+    shingles = _shingle_set(words)
     count = bands * values
     least = np.full(count, np.iinfo(np.uint64).max, dtype=np.uint64)
     for at in range(0, len(shingles), _PART):
@@ -81,15 +95,8 @@ def bands_of(hashes: np.ndarray, counts: np.ndarray, bands: int, values: int) ->
         return np.empty((0, bands), np.uint64), np.empty(0, np.int64)
     spans = counts - SHINGLE + 1
     firsts = np.cumsum(spans) - spans
-    at = np.arange(spans.sum()) + np.repeat(np.cumsum(counts) - counts - firsts, spans)
-    shingles = hashes[at]
-    for i in range(1, SHINGLE):
-        shingles = shingles * _MIX + hashes[at + i]
-    shingles = _mixed(shingles)
-    ordered = shingles[np.lexsort((shingles, np.repeat(np.arange(len(counts)), spans)))]
-    new = np.ones(len(ordered), np.int64)
-    new[1:] = ordered[1:] != ordered[:-1]
-    new[firsts] = 1
+    owner = np.repeat(np.arange(len(counts)), spans)
+    shingles = _shingle_hashes(hashes, np.arange(len(owner)) + (np.cumsum(counts) - counts - firsts)[owner])
     least = np.empty((len(counts), bands * values), np.uint64)
     for v in range(bands * values):
         least[:, v] = np.minimum.reduceat((shingles ^ _FLIPS[v]) * _ODDS[v], firsts)
@@ -97,7 +104,21 @@ def bands_of(hashes: np.ndarray, counts: np.ndarray, bands: int, values: int) ->
     keys = np.arange(1, bands + 1, dtype=np.uint64)
     for v in range(values):
         keys = _mixed(keys * _MIX + rows[:, :, v])
-    return keys, np.add.reduceat(new, firsts)
+    return keys, spans - _repeated(shingles, owner, len(counts))
+
+
+def _repeated(values: np.ndarray, owner: np.ndarray, owners: int) -> np.ndarray:
+    """How many of the values of each owner stand there a second time, or a further one."""
+    marks = values ^ (owner.astype(np.uint64) * _MIX)
+    ordered = np.sort(marks)
+    twice = ordered[1:][ordered[1:] == ordered[:-1]]
+    if not len(twice):
+        return np.zeros(owners, np.int64)
+    # Equal marks nearly always are equal values; these few are told exactly.
+    at = np.flatnonzero(twice[np.minimum(np.searchsorted(twice, marks), len(twice) - 1)] == marks)
+    at = at[np.lexsort((values[at], owner[at]))]
+    again = (owner[at][1:] == owner[at][:-1]) & (values[at][1:] == values[at][:-1])
+    return np.bincount(owner[at][1:][again], minlength=owners)
 
 
 def _filed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -130,56 +151,106 @@ def _bodies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(marks.view(np.int64)), pa.array(texts, pa.binary())], names=["node", "words"])
 
 
-def _similar(similarity: float):
-    def verify(left: pa.Array, right: pa.Array) -> pa.Array:
-        pairs = zip(left, right)
-        return pa.array([jaccard(a.as_py().split(), b.as_py().split()) >= similarity for a, b in pairs], pa.bool_())
-
-    return F.arrow_udf(verify, "boolean")
+def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(node, shingles) of (node, words): the hashes of the distinct shingles."""
+    for batch in batches:
+        found = [_shingle_set(t.as_py().split()).view(np.int64) for t in batch.column(1)]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int64()))], names=["node", "shingles"])
 
 
-def _verified(pairs: DataFrame, bodies: DataFrame, similarity: float, most: int) -> DataFrame:
-    """The pairs (a, b) whose words are similar, by their exact Jaccard similarity."""
-    pairs = stored(pairs)
-    count = pairs.count()
-    if not count:
-        return pairs
-    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    # Nodes are at most twice the pairs.
-    whole = bodies.join(F.broadcast(nodes), "node", "left_semi") if 2 * count <= most else join_checked(bodies, nodes, "node", "left_semi", most)
-    texts = stored(whole.groupBy("node").agg(F.min("words").alias("words")))
+def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """The pairs (a, b) whose sets are similar, by their exact Jaccard similarity."""
+    both = F.size(F.array_intersect("a_set", "b_set"))
     return (
-        pairs.join(texts.toDF("b", "b_words"), "b")
-        .join(texts.toDF("a", "a_words"), "a")
-        .where(_similar(similarity)(F.col("a_words"), F.col("b_words")))
+        pairs.join(sets.toDF("b", "b_set"), "b")
+        .join(sets.toDF("a", "a_set"), "a")
+        .where(both / (F.size("a_set") + F.size("b_set") - both) >= similarity)
         .select("a", "b")
     )
 
 
-def linked(members: DataFrame, bodies: DataFrame, similarity: float = SIMILARITY, most: int = SMALL_ROWS) -> DataFrame:
+def _candidates(rest: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """Pairs (a, b) of nodes in different components that share a key; all pairs that are similar are among them.
+
+    ``rest`` has (key, node, size, root). The shingles of a node are put in one
+    order for all, rare ones first. Two similar sets share one of the few first
+    shingles of each, as long as fewer stand behind than the sets must have in
+    common; and from the first they share on, enough of both must be left.
+    So nodes that share but a frequent passage never meet.
+    """
+    opened = stored(rest.groupBy("node", "size", "root").agg(F.collect_set("key").alias("keys")))
+    shingles = sets.join(opened.select("node", "size"), "node").select("node", "size", F.explode("shingles").alias("shingle"))
+    shared = shingles.groupBy("shingle").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    # Shingles that one node has alone come first in its order; they meet none.
+    size, alone = F.col("size"), F.col("size") - F.size("ordered")
+    first = size - F.ceil(similarity * size - 1e-9) + 1
+    front = stored(
+        shingles.join(shared, "shingle")
+        .groupBy("node", "size")
+        .agg(F.array_sort(F.collect_list(F.struct("n", "shingle"))).alias("ordered"))
+        .select("node", alone.alias("alone"), F.posexplode(F.slice("ordered", 1, F.greatest(first - alone, F.lit(0)).cast("int"))).alias("at", "token"))
+        .join(opened, "node")
+        .select("node", "size", "root", "keys", F.col("token.shingle").alias("shingle"), (size - F.col("alone") - F.col("at")).alias("left"))
+    )
+    other = front.toDF("other", "other_size", "other_root", "other_keys", "shingle", "other_left")
+    sizes = F.col("size") + F.col("other_size")
+    return (
+        front.join(other, "shingle")
+        .where(
+            _apart()
+            & (F.least("left", "other_left") >= similarity / (1 + similarity) * sizes - 1e-9)
+            & _fits(similarity)
+            & F.arrays_overlap("keys", "other_keys")
+        )
+        .select(F.col("node").alias("a"), F.col("other").alias("b"))
+    )
+
+
+def _apart() -> Column:
+    return (F.col("node") < F.col("other")) & (F.col("root") != F.col("other_root"))
+
+
+def _fits(similarity: float) -> Column:
+    return F.least("size", "other_size") >= similarity * F.greatest("size", "other_size") - 1e-9
+
+
+def linked(
+    members: DataFrame,
+    bodies: DataFrame | Callable[[DataFrame], DataFrame],
+    similarity: float = SIMILARITY,
+    most: int = SMALL_ROWS,
+) -> DataFrame:
     """(node, root) of the nodes similar to another that shares a key with them; equal roots mean one component.
 
     ``members`` has (key, node, size), with the number of distinct shingles;
-    ``bodies`` has (node, words). Both may repeat rows; the result is stored.
+    ``bodies`` has (node, words), or gives it for a table of nodes. Both may
+    repeat rows; the result is stored. Shingles are told by 64-bit hashes.
     The components are those of all similar pairs that share a key, though not
     all pairs are compared. First every node meets
     the smallest of its key: as many pairs as nodes, however many copies a key
-    holds. Then, in keys that still hold several components, all pairs of
-    different components are compared; the others are joined already.
+    holds. Then, in keys that still hold several components, the pairs of
+    different components are compared; the others are joined already. Of keys
+    with more than FEW such nodes these are the pairs that can be similar by
+    their rarest shingles.
     """
-    fits = F.least("size", "other_size") >= similarity * F.greatest("size", "other_size") - 1e-9
     shared = members.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi"), F.min_by("size", "node").alias("other_size"))
     met = stored(join_checked(members, shared.where("lo <> hi").drop("hi"), "key", "inner", most).distinct())
-    first = _verified(met.where((F.col("node") != F.col("lo")) & fits).select(F.col("lo").alias("a"), F.col("node").alias("b")).distinct(), bodies, similarity, most)
-    roots = stored(components(first))
+    wanted = met.select("node").distinct()
+    whole = bodies(wanted) if callable(bodies) else join_checked(bodies, wanted, "node", "left_semi", most)
+    sets = stored(whole.groupBy("node").agg(F.min("words").alias("words")).mapInArrow(_sets, "node long, shingles array<long>"))
+    low = met.where((F.col("node") != F.col("lo")) & _fits(similarity)).select(F.col("lo").alias("a"), F.col("node").alias("b")).distinct()
+    roots = stored(components(_verified(low, sets, similarity)))
     rooted = stored(join_settled(met.drop("other_size"), roots, "node", "left", most).withColumn("root", F.coalesce("root", "node")))
     split = stored(rooted.groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 <> r1").select("key"))
     # Pairs with the smallest node of the key have been compared.
-    rest = join_settled(rooted, split, "key", "left_semi", most).where("node <> lo")
-    others = rest.select("key", F.col("node").alias("other"), F.col("size").alias("other_size"), F.col("root").alias("other_root"))
-    across = rest.join(others, "key").where((F.col("node") < F.col("other")) & (F.col("root") != F.col("other_root")) & fits)
-    pairs = across.select(F.col("node").alias("a"), F.col("other").alias("b"))
-    second = stored(_verified(pairs.distinct(), bodies, similarity, most))
+    rest = join_settled(rooted, split, "key", "left_semi", most).where("node <> lo").drop("lo")
+    rest = stored(rest.join(rest.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "key"))
+    few, many = rest.where(F.col("n") <= FEW).drop("n"), rest.where(F.col("n") > FEW).drop("n")
+    others = few.toDF("key", "other", "other_size", "other_root")
+    pairs = few.join(others, "key").where(_apart() & _fits(similarity)).select(F.col("node").alias("a"), F.col("other").alias("b"))
+    if not many.isEmpty():
+        pairs = pairs.union(_candidates(many, sets, similarity))
+    second = stored(_verified(pairs.distinct(), sets, similarity))
     return roots if second.isEmpty() else stored(components(roots.toDF("a", "b").union(second)))
 
 
