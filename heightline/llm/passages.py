@@ -157,9 +157,12 @@ def _split(least: int):
 
 
 def split_texts(rows: DataFrame, least: int) -> DataFrame:
-    """(id, doc, SPLIT) of rows (id, doc, text), read once and stored; what follows takes lines and paragraphs from here."""
+    """(id, doc, SPLIT, row) of rows (id, doc, text), read once and stored; what follows takes lines and paragraphs from here.
+
+    ``row`` is a number of the row, to stand for id and doc.
+    """
     kind = dict(rows.dtypes)["id"]
-    return stored(rows.mapInArrow(_split(least), f"id {kind}, doc long, {SPLIT}"))
+    return stored(rows.mapInArrow(_split(least), f"id {kind}, doc long, {SPLIT}").withColumn("row", F.monotonically_increasing_id()))
 
 
 def _alike(split: DataFrame) -> bool:
@@ -330,24 +333,26 @@ def equal_runs(rows: DataFrame, gone: DataFrame, most: int, split: DataFrame, al
     A paragraph that repeats is held against its first place outside the lines
     ``gone`` (id, doc, start, words). Neighbours with the same partner are a
     run, which is extended word by word at both ends. ``split`` is
-    split_texts() of the rows; ``alike`` tells that some have the same id and text.
+    split_texts() of the rows, without those alike in id and text; ``alike``
+    tells that there are some.
     """
     kind = dict(rows.dtypes)["id"]
     known = (
         split.select(F.explode("paragraphs").alias("paragraph")).groupBy("paragraph").agg(F.count(F.lit(1)).alias("n"))
         .where("n > 1").select(F.col("paragraph").alias("_paragraph"))
     )
-    placed = split.select("id", "doc", "borders", F.posexplode("paragraphs").alias("at", "paragraph")).select(
-        "id", "doc", "at", "paragraph", F.expr("borders[at]").cast("long").alias("start"), F.expr("borders[at + 1] - borders[at]").cast("long").alias("words")
+    # All paragraphs may be shuffled here: rows are narrow.
+    placed = split.select("row", "borders", F.posexplode("paragraphs").alias("at", "paragraph")).select(
+        "row", "paragraph", F.expr("borders[at]").cast("long").alias("start"), F.expr("borders[at + 1] - borders[at]").cast("long").alias("words")
     )
     known = settled(known)
     side = F.broadcast(known) if known.count() <= most else hashed_side(known)
     hits = placed.join(side, F.col("paragraph") == F.col("_paragraph")).drop("_paragraph")
-    if alike:
-        hits = hits.distinct()
-    none = F.lit(None)
-    lines = gone.select("id", "doc", none.cast("int").alias("at"), none.cast("long").alias("paragraph"), "start", "words")
-    in_doc = Window.partitionBy("id", "doc").orderBy("start")
+    named = split.select("row", "id", "doc")
+    lines = gone.join(
+        named.toDF("row", "_id", "_doc"), F.col("id").eqNullSafe(F.col("_id")) & (F.col("doc") == F.col("_doc"))
+    ).select("row", F.lit(None).cast("long").alias("paragraph"), "start", "words")
+    in_doc = Window.partitionBy("row").orderBy("start")
     line = F.col("paragraph").isNull()
     hits = stored(
         hits.unionByName(lines)
@@ -355,18 +360,22 @@ def equal_runs(rows: DataFrame, gone: DataFrame, most: int, split: DataFrame, al
         .withColumn("after", F.min(F.when(line, F.col("start"))).over(in_doc.rowsBetween(0, Window.unboundedFollowing)))
         .where(~line)
         .withColumn("in_gone", F.coalesce(F.col("before") > F.col("start"), F.lit(False)) | F.coalesce(F.col("after") < F.col("start") + F.col("words"), F.lit(False)))
-        .drop("before", "after")
+        .join(hashed_side(named), "row")
+        .drop("row", "before", "after")
     )
     firsts = hits.where("NOT in_gone").groupBy("paragraph").agg(F.min(_place()).alias("first"))
     pairs = hits.join(hashed_side(firsts), "paragraph").where(_place() != F.col("first")).select(
-        "id", "doc", "at", "paragraph", "start", "words",
+        "id", "doc", "paragraph", "start", "words",
         F.col("first.id").alias("pid"), F.col("first.doc").alias("pdoc"), (F.col("start") - F.col("first.start")).alias("delta"),
     )
     same = ("id", "doc", "pid", "pdoc", "delta")
+    in_turn = Window.partitionBy(*same).orderBy("start")
+    end = F.col("start") + F.col("words")
     runs = stored(
-        pairs.withColumn("run", F.col("at") - F.row_number().over(Window.partitionBy(*same).orderBy("at")))
+        pairs.withColumn("opens", F.when(F.lag(end).over(in_turn) == F.col("start"), 0).otherwise(1))
+        .withColumn("run", F.sum("opens").over(in_turn))
         .groupBy(*same, "run")
-        .agg(F.min("start").alias("start"), F.max(F.col("start") + F.col("words")).alias("end"), F.min_by("paragraph", "at").alias("root"))
+        .agg(F.min("start").alias("start"), F.max(end).alias("end"), F.min_by("paragraph", "start").alias("root"))
     )
     delta = F.col("delta")
     asked = runs.select("id", "doc", F.struct("start", "end", "pid", "pdoc", "delta", "root").alias("place"))
@@ -430,6 +439,8 @@ def repeated_passages(
     kind = dict(rows.dtypes)["id"]
     split = split_texts(rows, least_words)
     alike = _alike(split)
+    if alike:
+        split = stored(split.dropDuplicates(["id", "doc"]))
     lines = line_hits(rows, similarity, least_words, most, split)
     runs = equal_runs(rows, lines.where("removed"), most, split, alike)
     ranges = lines.select("id", "doc", "start", (F.col("start") + F.col("words")).alias("end"), "root", "removed").union(runs).distinct()

@@ -188,11 +188,12 @@ def _candidates(rest: DataFrame, sets: DataFrame, similarity: float) -> DataFram
         shingles.join(shared, "shingle")
         .groupBy("node", "size")
         .agg(F.array_sort(F.collect_list(F.struct("n", "shingle"))).alias("ordered"))
-        .select("node", alone.alias("alone"), F.posexplode(F.slice("ordered", 1, F.greatest(first - alone, F.lit(0)).cast("int"))).alias("at", "token"))
+        .select("node", alone.alias("alone"), F.slice("ordered.shingle", 1, F.greatest(first - alone, F.lit(0)).cast("int")).alias("front"))
         .join(opened, "node")
-        .select("node", "size", "root", "keys", F.col("token.shingle").alias("shingle"), (size - F.col("alone") - F.col("at")).alias("left"))
+        .select("node", "size", "root", "keys", "front", "alone", F.posexplode("front").alias("at", "shingle"))
+        .select("node", "size", "root", "keys", "front", "shingle", (size - F.col("alone") - F.col("at")).alias("left"))
     )
-    other = front.toDF("other", "other_size", "other_root", "other_keys", "shingle", "other_left")
+    other = front.toDF("other", "other_size", "other_root", "other_keys", "other_front", "shingle", "other_left")
     sizes = F.col("size") + F.col("other_size")
     return (
         front.join(other, "shingle")
@@ -201,6 +202,8 @@ def _candidates(rest: DataFrame, sets: DataFrame, similarity: float) -> DataFram
             & (F.least("left", "other_left") >= similarity / (1 + similarity) * sizes - 1e-9)
             & _fits(similarity)
             & F.arrays_overlap("keys", "other_keys")
+            # A pair is told once, by the first shingle that its fronts share.
+            & (F.array_intersect("front", "other_front")[0] == F.col("shingle"))
         )
         .select(F.col("node").alias("a"), F.col("other").alias("b"))
     )

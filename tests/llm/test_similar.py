@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from heightline.llm import components, passages, similar
+from heightline.llm import components, passages, similar, words
 
 from .test_dedup import classes, docs_of
 
@@ -124,3 +124,52 @@ def test_texts_are_split_alike_in_any_portion(monkeypatch):
         assert row["paragraphs"] == passages.Paragraphs(words).whole.view(np.int64).tolist()
         assert row["borders"] == passages.Paragraphs(words).borders.tolist()
         assert row["keys"] == [k for x in lines if len(x) >= 16 for k in similar.band_keys(x, 8, 2)[0].view(np.int64).tolist()]
+
+
+def test_lines_that_share_a_frequent_passage_are_no_candidates(spark):
+    """300 nodes of one key: a phrase in all, and a near copy of every tenth. The pairs looked at are those near copies."""
+    rng = random.Random(25)
+    phrase = prose(rng, 20)
+    lines = [phrase + prose(rng, 40) for _ in range(270)]
+    near = [edited(rng, line, 1) for line in lines[::9]]
+    sets = [sorted(similar._shingle_set([w.encode() for w in line]).view(np.int64).tolist()) for line in lines + near]
+    rest = spark.createDataFrame([(0, i, len(s), i) for i, s in enumerate(sets)], "key long, node long, size long, root long")
+    held = spark.createDataFrame(list(enumerate(sets)), "node long, shingles array<long>")
+    found = sorted(map(tuple, similar._candidates(rest, held, 0.8).collect()))
+    assert found == [(9 * i, 270 + i) for i in range(30)]
+    assert sorted(map(tuple, similar._verified(similar._candidates(rest, held, 0.8), held, 0.8).collect())) == found
+
+
+def test_candidates_hold_all_similar_pairs(spark):
+    """A large group of copies with 0 to 8 edits, whose first lies far from the others, against all pairs."""
+    rng = random.Random(26)
+    base = prose(rng, 60)
+    texts = [" ".join(edited(rng, base, rng.randrange(9))) for _ in range(120)]
+    sets = [similar._shingle_set(t.encode().split()).view(np.int64).tolist() for t in texts]
+    rest = spark.createDataFrame([(k, i, len(s), i) for i, s in enumerate(sets) for k in (0, 1)], "key long, node long, size long, root long")
+    held = spark.createDataFrame(list(enumerate(sets)), "node long, shingles array<long>")
+    found = [tuple(r) for r in similar._candidates(rest, held, 0.8).collect()]
+    assert len(found) == len(set(found)) < 120 * 119 // 2
+    assert {tuple(r) for r in similar._verified(similar._candidates(rest, held, 0.8), held, 0.8).collect()} == set(brute_groups(texts)[1])
+
+
+def test_words_are_split_and_hashed_as_bytes_are():
+    rng = random.Random(27)
+    values = [bytes(rng.randrange(256) for _ in range(n)) for n in range(70)] * 3
+    assert words.hashed(pa.array(values, pa.binary()).slice(1)).tolist() == [xxhash.xxh64_intdigest(v) for v in values[1:]]
+    assert words.hashed(pa.array([], pa.string())).tolist() == []
+    texts = [None, "", " ", "a", "  A b\x0b\x0cC\r\n d ", "cafÉ   x\x1cy  z", "\t" * 5, "X" * 99 + " y"]
+    found, counts = words.words_at(words.lowered(pa.array(texts)))
+    want = [similar.words_in(t) for t in texts]
+    assert counts.tolist() == [len(w) for w in want] and found.cast(pa.binary()).to_pylist() == [x for w in want for x in w]
+
+
+def test_paragraphs_of_many_texts_are_those_of_each():
+    rng = random.Random(28)
+    texts = [[rng.choice("abcdefgh").encode() for _ in range(n)] for n in (0, 1, 4, 5, 6, 7, 0, 0, 300, 12)] + [[b"x"] * 40, []]
+    each = [passages.Paragraphs(t) for t in texts]
+    hashes = np.concatenate([p.hashes for p in each])
+    found = passages.Paragraphs(hashes, np.array([len(t) for t in texts]))
+    assert found.borders.tolist() == [b for p in each for b in p.borders.tolist()]
+    assert found.whole.tolist() == [w for p in each for w in p.whole.tolist()]
+    assert found.counts.tolist() == [len(p.whole) for p in each] and max(found.counts) > 20
