@@ -341,26 +341,28 @@ def equal_runs(rows: DataFrame, gone: DataFrame, most: int, split: DataFrame, al
         split.select(F.explode("paragraphs").alias("paragraph")).groupBy("paragraph").agg(F.count(F.lit(1)).alias("n"))
         .where("n > 1").select(F.col("paragraph").alias("_paragraph"))
     )
-    # All paragraphs may be shuffled here: rows are narrow.
-    placed = split.select("row", "borders", F.posexplode("paragraphs").alias("at", "paragraph")).select(
-        "row", "paragraph", F.expr("borders[at]").cast("long").alias("start"), F.expr("borders[at + 1] - borders[at]").cast("long").alias("words")
-    )
+    # All paragraphs may be shuffled here: places come from the row's borders after the join.
+    placed = split.select("row", F.posexplode("paragraphs").alias("at", "paragraph"))
     known = settled(known)
     side = F.broadcast(known) if known.count() <= most else hashed_side(known)
     hits = placed.join(side, F.col("paragraph") == F.col("_paragraph")).drop("_paragraph")
-    named = split.select("row", "id", "doc")
     lines = gone.join(
-        named.toDF("row", "_id", "_doc"), F.col("id").eqNullSafe(F.col("_id")) & (F.col("doc") == F.col("_doc"))
-    ).select("row", F.lit(None).cast("long").alias("paragraph"), "start", "words")
+        split.select("row", F.col("id").alias("_id"), F.col("doc").alias("_doc")), F.col("id").eqNullSafe(F.col("_id")) & (F.col("doc") == F.col("_doc"))
+    ).select("row", "start", "words")
+    hits = (
+        hits.unionByName(lines, allowMissingColumns=True)
+        .join(hashed_side(split.select("row", "id", "doc", "borders")), "row")
+        .withColumn("start", F.coalesce("start", F.expr("borders[at]").cast("long")))
+        .withColumn("words", F.coalesce("words", F.expr("borders[at + 1] - borders[at]").cast("long")))
+        .drop("at", "borders")
+    )
     in_doc = Window.partitionBy("row").orderBy("start")
     line = F.col("paragraph").isNull()
     hits = stored(
-        hits.unionByName(lines)
-        .withColumn("before", F.max(F.when(line, F.col("start") + F.col("words"))).over(in_doc))
+        hits.withColumn("before", F.max(F.when(line, F.col("start") + F.col("words"))).over(in_doc))
         .withColumn("after", F.min(F.when(line, F.col("start"))).over(in_doc.rowsBetween(0, Window.unboundedFollowing)))
         .where(~line)
         .withColumn("in_gone", F.coalesce(F.col("before") > F.col("start"), F.lit(False)) | F.coalesce(F.col("after") < F.col("start") + F.col("words"), F.lit(False)))
-        .join(hashed_side(named), "row")
         .drop("row", "before", "after")
     )
     firsts = hits.where("NOT in_gone").groupBy("paragraph").agg(F.min(_place()).alias("first"))
